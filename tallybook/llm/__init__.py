@@ -1,0 +1,8 @@
+"""Training-data operators: each module holds one operator and needs nothing from the rest of the library."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors inside the job, so that a cluster needs no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
