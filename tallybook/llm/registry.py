@@ -1,10 +1,11 @@
 """The queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from tallybook.llm import curriculum, language_crf, license_scan, line_dedup, url_filter
+from tallybook.llm import bagminhash, curriculum, language_crf, license_scan, line_dedup, url_filter
 
 QUERIES = {
     "op1_license_diagonals": license_scan.op1_license_diagonals,
     "op2_language_crf": language_crf.op2_language_crf,
+    "op3_bag_minhash": bagminhash.op3_bag_minhash,
     "op5_line_hashing": line_dedup.op5_line_hashing,
     "op7_url_vocabulary": url_filter.op7_url_vocabulary,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
