@@ -1,6 +1,6 @@
 """The queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from tallybook.llm import bagminhash, curriculum, language_crf, license_scan, line_dedup, url_filter
+from tallybook.llm import bagminhash, curriculum, language_crf, license_scan, line_dedup, packing, url_filter
 
 QUERIES = {
     "op1_license_diagonals": license_scan.op1_license_diagonals,
@@ -8,9 +8,11 @@ QUERIES = {
     "op3_bag_minhash": bagminhash.op3_bag_minhash,
     "op5_line_hashing": line_dedup.op5_line_hashing,
     "op7_url_vocabulary": url_filter.op7_url_vocabulary,
+    "op8_island_packing": packing.op8_island_packing,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 ORACLE_SQL = {
     "op7_url_vocabulary": url_filter.ORACLE,
+    "op8_island_packing": packing.op8_island_packing,
     "op10_curriculum_mix": curriculum.ORACLE,
 }
