@@ -1,18 +1,19 @@
 """The queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from tallybook.llm import bagminhash, curriculum, language_crf, license_scan, line_dedup, packing, url_filter
+from tallybook.llm import anisotropic_search, bagminhash, curriculum, language_crf, lattice_dedup, license_scan, line_dedup, packing, url_filter
 
 QUERIES = {
     "op1_license_diagonals": license_scan.op1_license_diagonals,
     "op2_language_crf": language_crf.op2_language_crf,
     "op3_bag_minhash": bagminhash.op3_bag_minhash,
+    "op4_anisotropic_search": anisotropic_search.op4_anisotropic_search,
     "op5_line_hashing": line_dedup.op5_line_hashing,
+    "op6_lattice_dedup": lattice_dedup.op6_lattice_dedup,
     "op7_url_vocabulary": url_filter.op7_url_vocabulary,
     "op8_island_packing": packing.op8_island_packing,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 ORACLE_SQL = {
     "op7_url_vocabulary": url_filter.ORACLE,
-    "op8_island_packing": packing.op8_island_packing,
     "op10_curriculum_mix": curriculum.ORACLE,
 }
