@@ -1,6 +1,6 @@
 """The queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from tallybook.llm import anisotropic_search, bagminhash, curriculum, language_crf, lattice_dedup, license_scan, line_dedup, packing, url_filter
+from tallybook.llm import anisotropic_search, bagminhash, curriculum, language_crf, lattice_dedup, license_scan, line_dedup, packing, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_license_diagonals": license_scan.op1_license_diagonals,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_lattice_dedup": lattice_dedup.op6_lattice_dedup,
     "op7_url_vocabulary": url_filter.op7_url_vocabulary,
     "op8_island_packing": packing.op8_island_packing,
+    "op9_deep_shallow": suffix_dedup.op9_deep_shallow,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 ORACLE_SQL = {
