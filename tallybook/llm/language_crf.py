@@ -236,7 +236,9 @@ def train(docs: DataFrame, fit_docs: int = 1000) -> Model | None:
     if not langs:
         return None
     names = sorted(langs)
-    sample = rows.orderBy("h").limit(min(fit_docs, -(-sum(langs.values()) // 2))).collect()
+    most = min(fit_docs, -(-sum(langs.values()) // 2))
+    edge = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).collect()[0][0]
+    sample = rows.where(F.col("h") <= edge).orderBy("h", "lang", F.md5("text")).limit(2 * most).collect()  # more than ``most`` only where hashes tie
     last, number = max(r["h"] for r in sample), {x: i for i, x in enumerate(names)}
     size = len(names)
 
