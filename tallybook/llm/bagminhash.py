@@ -8,10 +8,10 @@ point, so two documents agree in a register with a probability that is their wei
 process stops once its time is past the latest register, so the work is near the number of shingles, not times registers.
 
 Registers are cut into bands. Documents of one exact text are one vertex. In every bucket (a band's value) that holds
-several vertices the smallest is the hub: the others are compared with it and joined to it if the multisets' similarity
-reaches the threshold. After ``star_rounds`` such rounds, vertices of one bucket that are still in different components
-are compared with each other, so no link between different texts of a bucket is lost, while large groups of near copies
-never make all their pairs. Components of the verified links are the classes.
+several vertices, the one that meets most others is the hub; the others are compared with it and linked to it if the
+multisets' similarity reaches the threshold. What is not in its hub's component after that is compared with all of its
+bucket in blocks of bounded size, of which only links that join components leave the task. So no link between different
+texts of a bucket is lost, while a large group of near copies never makes all its pairs. Components are the classes.
 
 With 32 bands of 6 registers a pair at similarity 0.8 is missed with a probability of 6e-5, at 0.85 with 5e-8.
 
@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.llm.common import keep, table, text_key
 from tallybook.llm.components import components
@@ -170,7 +171,7 @@ def profiles(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
     return found.mapInArrow(run, "v long, shingles array<long>, weights array<int>").dropDuplicates(["v"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def bag_similarity(a: pd.Series, aw: pd.Series, b: pd.Series, bw: pd.Series) -> pd.Series:
     """Weighted Jaccard similarity of bags given by distinct shingles and weights."""
     out = np.zeros(len(a))
@@ -188,7 +189,69 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", bag_similarity("sa", "wa", "sb", "wb").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 6, star_rounds: int = 3) -> DataFrame:
+def overlaps(bags: list[tuple[np.ndarray, np.ndarray]], n_left: int, width: int = 4096) -> np.ndarray:
+    """Weighted overlaps [n_left, n] of the first ``n_left`` bags (shingles, weights) with all, by products of 0/1 matrices."""
+    member = np.repeat(np.arange(len(bags)), [len(s) for s, _ in bags])
+    shingle, weight = np.concatenate([s for s, _ in bags]), np.concatenate([w for _, w in bags])
+    _, column, many = np.unique(shingle, return_inverse=True, return_counts=True)
+    both = np.zeros((n_left, len(bags)))
+    level = 1
+    while True:  # min(x, y) is the number of levels that both reach
+        use = np.flatnonzero((weight >= level) & (many[column] > 1))
+        if not len(use):
+            return both
+        _, dense = np.unique(column[use], return_inverse=True)
+        by = np.argsort(dense, kind="stable")
+        edges = np.searchsorted(dense[by], np.arange(0, dense.max() + width + 1, width))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            part = use[by[a:b]]
+            there = np.zeros((len(bags), width), np.float32)
+            there[member[part], dense[by[a:b]] % width] = 1
+            both += there[:n_left] @ there.T
+        level += 1
+
+
+def _compared(at: DataFrame, labels: DataFrame, bags: DataFrame, threshold: float, block: int = 400) -> DataFrame:
+    """Links (a, b) that tie the components within each bucket of ``at`` (bucket, v, hub): members that aren't in the hub's component meet all others.
+
+    Buckets are cut into blocks of about ``block`` members and each pair of blocks is one small group; only links that
+    join two components of the group leave it.
+    """
+    at = at.join(labels, "v", "left").select("bucket", "v", "hub", F.coalesce("component", "v").alias("component"))
+    own = labels.select(F.col("v").alias("__hub"), F.col("component").alias("hub_component"))
+    at = at.join(own, F.col("hub") == F.col("__hub"), "left").select("bucket", "v", "component", (F.col("component") != F.coalesce("hub_component", "hub")).alias("apart"))
+    at = keep(at, "bag-at")
+    counts = at.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("apart").alias("n_apart")).where("n_apart > 0 and n > 2")
+    counts = keep(counts.select(F.col("bucket").alias("__bucket"), F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("n_apart") / block).cast("int").alias("blocks_apart")), "bag-counts")
+    at = at.join(counts, F.col("bucket") == F.col("__bucket")).drop("__bucket")
+    own_block = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = at.where("apart").select("bucket", "v", "component", own_block("blocks_apart").alias("i"), every("blocks").alias("j"), F.lit(True).alias("left"))
+    right = at.select("bucket", "v", "component", every("blocks_apart").alias("i"), own_block("blocks").alias("j"), F.lit(False).alias("left"))
+    profiles_of = bags.select(F.col("v").alias("__v"), "shingles", "weights")
+    sides = left.unionAll(right).join(profiles_of, F.col("v") == F.col("__v")).drop("__v")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["left", "v"], ascending=[False, True], kind="stable")
+        n_left, v, label = int(pdf["left"].sum()), pdf["v"].to_numpy(), pdf["component"].to_numpy().copy()
+        if not n_left or (label == label[0]).all():
+            return pd.DataFrame({"a": [], "b": []})
+        held = [(np.asarray(s, np.int64), np.asarray(w, np.int64)) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
+        both = overlaps(held, n_left)
+        size = np.array([w.sum() for _, w in held])
+        near = both >= threshold * (size[:n_left, None] + size[None, :] - both) - 1e-9
+        out = []
+        for i in range(n_left):
+            for j in np.flatnonzero(near[i]):
+                if label[i] != label[j]:
+                    out.append((min(v[i], v[j]), max(v[i], v[j])))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return sides.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 6) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, key (of the text), class_id (the class's smallest doc_id), class_key.
 
     A row with a null key is a class of its own. Rows of one class share class_key, the key of the text that stays.
@@ -202,36 +265,18 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: in
     members = keep(members.join(keep(shared, "bag-shared"), F.col("bucket") == F.col("__bucket")).select("bucket", "v"), "bag-members")
     needed = texts.join(members.select(F.col("v").alias("__v")).distinct(), F.col("v") == F.col("__v")).select("v", "doc_id", "key")
     bags = keep(profiles(docs, needed, shingle), "bag-profiles")
-    links, labels, tried = None, None, None
-    for i in range(star_rounds + 1):
-        at = members if labels is None else members.join(labels, "v", "left").select("bucket", "v", F.coalesce("component", "v").alias("component"))
-        if labels is None:
-            at = at.withColumn("component", F.col("v"))
-        live = at.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min_by("component", "v").alias("hub_component"), F.min("v").alias("hub")).where("least < most")
-        live = keep(live.select(F.col("bucket").alias("__bucket"), "hub", "hub_component"), "bag-live")
-        if live.isEmpty():
-            break
-        at = at.join(live, F.col("bucket") == F.col("__bucket"))
-        if i < star_rounds:
-            pairs = at.where(F.col("component") != F.col("hub_component")).select(F.col("hub").alias("a"), F.col("v").alias("b"))
-        else:  # what is left: members of one bucket that are in different components
-            other = at.select(F.col("bucket").alias("__other"), F.col("v").alias("b"), F.col("component").alias("component_b"))
-            pairs = at.join(other, (F.col("bucket") == F.col("__other")) & (F.col("v") < F.col("b")) & (F.col("component") != F.col("component_b"))).select(F.col("v").alias("a"), "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "bag-pairs")
-        found = keep(_verified(pairs, bags, threshold).select("a", "b"), "bag-links")
-        links = found if links is None else links.unionAll(found)
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        labels = components(links)
-        # a hub has now met all others of its bucket
-        members = keep(at.where(F.col("v") != F.col("hub")).select("bucket", "v"), "bag-members")
+    # the member whose buckets are largest is the likeliest centre of a bucket's group
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).withColumnRenamed("bucket", "__bucket")
+    central = members.join(sizes, F.col("bucket") == F.col("__bucket")).groupBy(F.col("v").alias("__v")).agg(F.sum("n").alias("met"))
+    ranked = keep(members.join(central, F.col("v") == F.col("__v")).select("bucket", "v", "met"), "bag-ranked")
+    hubs = keep(ranked.groupBy(F.col("bucket").alias("__bucket")).agg(F.max(F.struct("met", "v")).alias("top")).select("__bucket", F.col("top.v").alias("hub")), "bag-hubs")
+    at = members.join(hubs, F.col("bucket") == F.col("__bucket")).drop("__bucket")
+    pairs = keep(at.where("v <> hub").select(F.least("hub", "v").alias("a"), F.greatest("hub", "v").alias("b")).distinct(), "bag-pairs")
+    links = keep(_verified(pairs, bags, threshold).select("a", "b"), "bag-links")
+    rest = keep(_compared(at, components(links), bags, threshold), "bag-links")
+    labels = components(links.unionAll(rest))
     named = texts.select("key", "doc_id", "v")
-    if labels is None:
-        named = named.withColumn("component", F.col("v"))
-    else:
-        named = named.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    named = named.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
     first = named.groupBy("component").agg(F.min(F.struct("doc_id", "v", "key")).alias("first"))
     first = keep(first.select(F.col("component").alias("__c"), F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key")), "bag-first")
     named = keep(named.join(first, F.col("component") == F.col("__c")).select(F.col("key").alias("__key"), "class_id", "class_key"), "bag-named")

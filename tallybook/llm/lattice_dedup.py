@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybook.llm.common import keep, table
 from tallybook.llm.components import components
@@ -103,7 +104,7 @@ def cells(vertices: DataFrame, tables: int, scale: float, probes: int, seed: int
     return vertices.select("v", "label", "vector").mapInArrow(run, f"v long, label {label_type}, cell long, own boolean")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     out = np.full(len(a), -2.0)
     same = np.array([len(x) == len(y) for x, y in zip(a, b, strict=True)], bool)
