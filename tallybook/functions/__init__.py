@@ -1 +1 @@
-"""Part of the reconciliation engine."""
+"""Parsers as column expressions: text, money, dates."""

@@ -1 +1 @@
-"""Part of the reconciliation engine."""
+"""DataFrame operators: first-wins merging, resolution, upserts, constraints, matching."""

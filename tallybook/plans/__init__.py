@@ -1 +1 @@
-"""Part of the reconciliation engine."""
+"""Whole plans: the load, the reports, the scores."""

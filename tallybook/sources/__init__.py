@@ -1 +1 @@
-"""Part of the reconciliation engine."""
+"""Reading workbooks and finding the tables in their sheets."""
