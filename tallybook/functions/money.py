@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import lookup
+from tallybook.functions.text import let, lookup
 from tallybook.vocabulary import CURRENCIES
 
 DECIMAL = "decimal(38,10)"
@@ -28,49 +28,64 @@ def to_decimal(c: Column) -> Column:
     ``( )`` and ``-`` mean negative. With commas and points, the one further right marks the fraction. Commas alone part
     groups of three or, once before one or two digits, a fraction. Several points part groups of three; one is a fraction's.
     """
-    s = trimmed(c)
-    bracketed = s.startswith("(") & s.endswith(")")
-    s = F.when(bracketed, trimmed(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
-    minus = s.startswith("-")
-    s = F.when(minus, trimmed(F.substring(s, F.lit(2), F.length(s)))).otherwise(s)
-    s = F.regexp_replace(s, r"(?U)(?<=\d)\s(?=\d)", "")
-    commas, points = s.contains(","), s.contains(".")
-    comma_last = F.length(F.substring_index(s, ",", -1)) < F.length(F.substring_index(s, ".", -1))
-    continental = F.regexp_replace(F.regexp_replace(s, r"\.", ""), r",(?=[^,]*$)", ".")
-    plain = (
-        F.when(commas & points & comma_last, continental)
-        .when(commas & points, F.concat(F.regexp_replace(F.regexp_replace(s, r"\.[^.]*$", ""), ",", ""), F.lit("."), F.substring_index(s, ".", -1)))
-        .when(commas & s.rlike(r"^\d{1,3}(,\d{3})+$"), F.regexp_replace(s, ",", ""))
-        .when(commas & s.rlike(r"^\d+,\d{1,2}$"), F.regexp_replace(s, ",", "."))
-        .when(commas, F.lit(None))
-        .when(s.rlike(r"\..*\."), F.when(s.rlike(r"^\d{1,3}(\.\d{3})+$"), F.regexp_replace(s, r"\.", "")))
-        .otherwise(s)
-    )
-    value = F.when(s.rlike(r"^\d[\d.,]*$") & plain.rlike(r"^\d+\.?\d*$"), plain.try_cast(DECIMAL))
-    return F.when(bracketed | minus, -value).otherwise(value)
+
+    def signed(s: Column) -> Column:
+        bracketed = s.startswith("(") & s.endswith(")")
+        inner = F.when(bracketed, trimmed(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
+        return let(inner, lambda t: unsigned(F.when(t.startswith("-"), trimmed(F.substring(t, F.lit(2), F.length(t)))).otherwise(t), bracketed | t.startswith("-")))
+
+    def unsigned(t: Column, negative: Column) -> Column:
+        joined = F.regexp_replace(t, r"(?U)(?<=\d)\s(?=\d)", "")
+        return let(joined, lambda s: let(F.when(s.rlike(r"^\d[\d.,]*$"), plain(s)), lambda p: number(p, negative)))
+
+    def plain(s: Column) -> Column:
+        commas, points = s.contains(","), s.contains(".")
+        comma_last = F.length(F.substring_index(s, ",", -1)) < F.length(F.substring_index(s, ".", -1))
+        continental = F.regexp_replace(F.regexp_replace(s, r"\.", ""), r",(?=[^,]*$)", ".")
+        pointed = F.concat(F.regexp_replace(F.regexp_replace(s, r"\.[^.]*$", ""), ",", ""), F.lit("."), F.substring_index(s, ".", -1))
+        return (
+            F.when(commas & points & comma_last, continental)
+            .when(commas & points, pointed)
+            .when(commas & s.rlike(r"^\d{1,3}(,\d{3})+$"), F.regexp_replace(s, ",", ""))
+            .when(commas & s.rlike(r"^\d+,\d{1,2}$"), F.regexp_replace(s, ",", "."))
+            .when(commas, F.lit(None))
+            .when(s.rlike(r"\..*\."), F.when(s.rlike(r"^\d{1,3}(\.\d{3})+$"), F.regexp_replace(s, r"\.", "")))
+            .otherwise(s)
+        )
+
+    def number(p: Column, negative: Column) -> Column:
+        value = F.when(p.rlike(r"^\d+\.?\d*$"), p.try_cast(DECIMAL))
+        return F.when(negative, -value).otherwise(value)
+
+    return let(trimmed(c), signed)
 
 
 def money(c: Column) -> Column:
     """Struct (amount, currency, reason) of a text cell such as ``Frw 125,000/=``."""
-    s = F.regexp_replace(trimmed(c), r"(?U)\s*/[=\-]$", "")
-    s = F.regexp_replace(s, " ", " ")
-    there = s.rlike(_SHAPE)
-    before, after = (lookup(F.regexp_extract(s, _SHAPE, i), CURRENCIES) for i in (1, 3))
-    amount = to_decimal(F.regexp_extract(s, _SHAPE, 2))
-    reason = (
-        F.when(c.isNull() | (trimmed(c) == ""), "MISSING_FIELD")
-        .when(~there, "BAD_AMOUNT")
-        .when(before != after, "CURRENCY_CONFLICT")
-        .when(amount.isNull(), "BAD_AMOUNT")
-    )
-    return F.struct(F.when(reason.isNull(), amount).alias("amount"), F.when(reason.isNull(), F.coalesce(before, after)).alias("currency"), reason.alias("reason"))
+
+    def read(s: Column) -> Column:
+        return let(F.when(s.rlike(_SHAPE), F.array(*[F.regexp_extract(s, _SHAPE, i) for i in (1, 2, 3)])), lambda g: known(s, g))
+
+    def known(s: Column, g: Column) -> Column:
+        marks = F.struct(lookup(g[0], CURRENCIES).alias("a"), lookup(g[2], CURRENCIES).alias("b"), to_decimal(g[1]).alias("n"))
+        return let(marks, lambda m: result(s, g, m))
+
+    def result(s: Column, g: Column, m: Column) -> Column:
+        reason = F.when(s == "", "MISSING_FIELD").when(g.isNull(), "BAD_AMOUNT").when(m["a"] != m["b"], "CURRENCY_CONFLICT").when(m["n"].isNull(), "BAD_AMOUNT")
+        return F.struct(F.when(reason.isNull(), m["n"]).alias("amount"), F.when(reason.isNull(), F.coalesce(m["a"], m["b"])).alias("currency"), reason.alias("reason"))
+
+    text = F.regexp_replace(trimmed(F.coalesce(c, F.lit(""))), r"(?U)\s*/[=\-]$", "")
+    return let(F.regexp_replace(text, "\u00a0", " "), read)
 
 
 def quantity(c: Column) -> Column:
     """Struct (quantity, reason) of a text cell such as ``1,100 pcs``; the sign is kept."""
-    value = to_decimal(F.regexp_replace(trimmed(c), _UNIT, ""))
-    reason = F.when(c.isNull() | (trimmed(c) == ""), "MISSING_FIELD").when(value.isNull(), "BAD_QUANTITY")
-    return F.struct(F.when(reason.isNull(), value).alias("quantity"), reason.alias("reason"))
+
+    def result(s: Column, value: Column) -> Column:
+        reason = F.when(s == "", "MISSING_FIELD").when(value.isNull(), "BAD_QUANTITY")
+        return F.struct(F.when(reason.isNull(), value).alias("quantity"), reason.alias("reason"))
+
+    return let(trimmed(F.coalesce(c, F.lit(""))), lambda s: let(to_decimal(F.regexp_replace(s, _UNIT, "")), lambda v: result(s, v)))
 
 
 def currency(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 from tallybook.vocabulary import CHANNELS, DOC_PREFIXES, MOVEMENT_TYPES
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(c)`` with ``c`` evaluated once, however often ``f`` uses it (nested expressions would be copied into the plan)."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def clean(c: Column) -> Column:
     """Trimmed, with single blanks (any Unicode white space); null becomes the empty string."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))

@@ -1,4 +1,4 @@
-"""Stock movements: running balances and the days on which they fall below zero."""
+"""Stock and reconciliation reports."""
 
 from __future__ import annotations
 
@@ -15,3 +15,23 @@ def negative_stock(movements: DataFrame, item: str = "item", day: str = "day", q
     running = Window.partitionBy(item).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     balance = daily.withColumn("balance", F.sum("net").over(running)).where("balance < 0")
     return balance.groupBy(item).agg(F.min(day).alias("first_negative"), F.min_by("balance", day).alias("balance"), F.count("*").alias("days_negative"))
+
+
+def receipts_vs_orders(ordered: DataFrame, received: DataFrame, key: list[str]) -> DataFrame:
+    """status and lines from ordered (key, ordered) and received (key, received) quantities."""
+    both = ordered.join(received, key, "full")
+    status = (
+        F.when(F.col("ordered").isNull(), "received without order")
+        .when(F.col("received").isNull(), "not received")
+        .when(F.col("received") < F.col("ordered"), "short")
+        .when(F.col("received") > F.col("ordered"), "over")
+        .otherwise("exact")
+    )
+    return both.groupBy(status.alias("status")).agg(F.count("*").alias("lines"))
+
+
+def two_books(left: DataFrame, right: DataFrame, key: list[str], a: str, b: str) -> DataFrame:
+    """status and n of keys by whether two books' quantities are equal, differ, or are in one only."""
+    both = left.join(right, key, "full")
+    status = F.when(F.col(a).isNull(), f"only {b}").when(F.col(b).isNull(), f"only {a}").when(F.col(a) == F.col(b), "equal").otherwise("different")
+    return both.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
