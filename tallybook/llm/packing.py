@@ -193,7 +193,7 @@ def _pack_round(items: DataFrame, problems: int, length: int, islands: int, epoc
     return keep(best.join(fills, F.col("bin") == F.col("__bin")).drop("__bin"), "pack-best")
 
 
-def pack(cut: DataFrame, length: int = 1024, problem: int = 2000, islands: int = 3, epochs: int = 2, population: int = 4, generations: int = 12, settled: float = 0.995) -> DataFrame:
+def pack(cut: DataFrame, length: int = 1024, problem: int = 2000, islands: int = 3, epochs: int = 2, population: int = 3, generations: int = 8, settled: float = 0.995) -> DataFrame:
     """``cut`` (length and others, each row at most ``length`` long) with sequence_id and offset."""
     cut = keep(cut.withColumn("__uid", F.monotonically_increasing_id()), "pack-pieces")
     full = cut.where(F.col("length") == length).withColumns({"sequence_id": -1 - F.col("__uid"), "offset": F.lit(0).cast("long")})
