@@ -109,11 +109,12 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
     row_blocks, query_blocks = (max(1, -(-x.count() // size)) for x, size in ((coded, row_block), (queries, query_block)))
     block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector")
-    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code")
+    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector", F.lit(None).cast("binary").alias("code"), F.lit(True).alias("asks"))
+    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code", F.lit(False).alias("asks"))
 
-    def scan(key: tuple, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    def scan(key: tuple, both: pd.DataFrame) -> pd.DataFrame:
         """The best ``k`` of one block of rows for each query of one block."""
+        q, c = both[both["asks"]], both[~both["asks"]]
         none = pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
         if not len(q) or not len(c):
             return none
@@ -151,7 +152,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
         return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"]) if out else none
 
     keys = ("dim", "q", "r")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(scan, "query long, query_id long, vec_id long, score double")
+    found = left.unionByName(right).groupBy(*keys).applyInPandas(scan, "query long, query_id long, vec_id long, score double")
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
