@@ -293,7 +293,8 @@ def tag(docs: DataFrame, model: Model | None, segments: bool = False) -> DataFra
     made = ["lang_pred", "score", "segments"][: 2 + segments]
     docs = docs.drop("lang_pred", "score", "segments")
     shared = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)  # of a size that FEATURE_BITS and LEXICON_BITS set
-    types = {"lang_pred": "string", "score": "double", "segments": "array<struct<first_word:int,n_words:int,lang:string>>"}
+    run = T.StructType([T.StructField("first_word", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("lang", T.StringType())])
+    types = {"lang_pred": T.StringType(), "score": T.DoubleType(), "segments": T.ArrayType(run)}
     schema = T.StructType(list(docs.schema))
     for c in made:
         schema = schema.add(c, types[c])
