@@ -64,3 +64,17 @@ def test_load(spark, books, tmp_path):
     assert moves == {"GRN-2019-00001": (10.0, "PO-2019-00001"), "ISS-2019-00001": (-4.0, None)}
     again = load.run_load(spark, books, out)
     assert set(again.changes.values()) == {(0, 0)}
+
+
+def test_report(spark, books, tmp_path):
+    from tallybook.plans import reports
+
+    out = str(tmp_path / "out")
+    load.run_load(spark, books, out)
+    pages = []
+    for i in range(2):
+        numbers = reports.build_report(spark, out, str(tmp_path / f"{i}.html"), str(tmp_path / f"{i}.json"))
+        pages.append((tmp_path / f"{i}.html").read_text() + (tmp_path / f"{i}.json").read_text())
+    assert pages[0] == pages[1] and numbers["core_products"] == 2 and numbers["rows_skipped"] == 3
+    t = {n: upsert.current(spark, out, n) for n in ("products", "po_lines", "sales", "movements", "payroll_lines", "row_outcomes")}
+    assert all(r["missing"] == 0 for r in reports.by_book(t["row_outcomes"], reports.loaded_rows(t)).collect())
