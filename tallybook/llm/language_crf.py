@@ -189,6 +189,7 @@ def fit(docs: list[tuple[list[str], int]], langs: list[str], counts: np.ndarray,
     vocabulary = Vocabulary()
     ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
     f, b = word_features(list(vocabulary)) if vocabulary else (np.zeros((0, 1), np.int64), np.zeros(0, np.int64))
+    f = f.astype(np.int32)
     model = Model(langs, np.zeros((1 << FEATURE_BITS, k)), log_shares(counts), np.eye(k) * 0.5, np.zeros(k), np.zeros((k, k)))
     if not len(ids) or k < 2:
         return model
@@ -202,15 +203,18 @@ def fit(docs: list[tuple[list[str], int]], langs: list[str], counts: np.ndarray,
     history = {x: np.full_like(getattr(model, x), 1e-8) for x in names}
     flat = f.ravel()
     for _ in range(rounds):
-        e = (model.weights[f].sum(axis=1) + lex @ model.lexicon_weights)[ids]
+        by_gram = np.concatenate([model.weights[f[i : i + 10_000]].sum(axis=1) for i in range(0, len(f), 10_000)])
+        e = (by_gram + lex @ model.lexicon_weights)[ids]
         gamma, alpha, beta = forward_backward(e, first, model.start, model.transitions)
         psi = np.exp(e - e.max(axis=1, keepdims=True))
-        pair = alpha[:-1][inner][:, :, None] * np.exp(model.transitions) * (psi * beta)[1:][inner][:, None, :]
-        pair = (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        ahead, t, pair = psi * beta, np.exp(model.transitions), np.zeros((k, k))
+        for at in np.array_split(np.flatnonzero(inner), max(1, n // 50_000)):
+            p = alpha[at][:, :, None] * t * ahead[at + 1][:, None, :]
+            pair += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         error = target - gamma
         by_word = np.stack([np.bincount(ids, error[:, j], len(vocabulary)) for j in range(k)], axis=1)
         grads = {
-            "weights": np.stack([np.bincount(flat, np.repeat(by_word[:, j], f.shape[1]), 1 << FEATURE_BITS) for j in range(k)], axis=1),
+            "weights": np.stack([np.bincount(flat, np.repeat(by_word[:, j].astype(np.float32), f.shape[1]), 1 << FEATURE_BITS) for j in range(k)], axis=1),
             "lexicon_weights": lex.T @ by_word,
             "start": error[first].sum(axis=0),
             "transitions": seen - pair,
@@ -228,7 +232,7 @@ def _fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def train(docs: DataFrame, fit_docs: int = 1000) -> Model | None:
+def train(docs: DataFrame, fit_docs: int = 600) -> Model | None:
     """Learns from the rows of ``docs`` (doc_id, text, lang) that are not held out."""
     spark = docs.sparkSession
     rows = docs.where((_fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull()).select(F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "text", "lang")
@@ -295,15 +299,13 @@ def tag(docs: DataFrame, model: Model | None, segments: bool = False) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)  # of a size that FEATURE_BITS and LEXICON_BITS set
     run = T.StructType([T.StructField("first_word", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("lang", T.StringType())])
     types = {"lang_pred": T.StringType(), "score": T.DoubleType(), "segments": T.ArrayType(run)}
-    schema = T.StructType(list(docs.schema))
-    for c in made:
-        schema = schema.add(c, types[c])
+    runs_type = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = Model(**shared.value) if shared.value else None
-        for batch in batches:
+        for texts in batches:
             out: dict[str, list] = {c: [] for c in made}
-            for vocabulary, ids, lengths, _ in _chunks(iter([batch.select(["text"]).add_column(0, "k", pa.nulls(batch.num_rows))]), "k") if m else ():
+            for vocabulary, ids, lengths, _ in _chunks(iter([pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], names=["k", "text"])]), "k") if m else ():
                 if len(ids):
                     e = m.emissions(list(vocabulary))[ids]
                     sizes = np.array(lengths)
@@ -324,15 +326,16 @@ def tag(docs: DataFrame, model: Model | None, segments: bool = False) -> DataFra
                         out["segments"].append([{"first_word": int(a), "n_words": int(b - a), "lang": m.langs[path[a]]} for a, b in zip(at, [*at[1:], size], strict=True)] if size else [])
                 vocabulary.clear()
             if not m:
-                n = batch.num_rows
+                n = len(texts)
                 out = {"lang_pred": ["und"] * n, "score": [0.0] * n, "segments": [[]] * n}
-            arrays = [pa.array(out[c], pa.string() if c == "lang_pred" else pa.float64() if c == "score" else pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]))) for c in made]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *made])
+            yield pa.StructArray.from_arrays([pa.array(out[c], runs_type if c == "segments" else pa.float64() if c == "score" else pa.string()) for c in made], names=made)
 
-    return docs.mapInArrow(label, schema)
+    # only texts go to Python; "nondeterministic" keeps a later filter from running it twice
+    udf = F.arrow_udf(label, T.StructType([T.StructField(c, types[c]) for c in made])).asNondeterministic()
+    return docs.withColumn("__tag", udf("text")).select(*docs.columns, *[F.col(f"__tag.{c}").alias(c) for c in made])
 
 
-def identify(docs: DataFrame, fit_docs: int = 1000) -> DataFrame:
+def identify(docs: DataFrame, fit_docs: int = 600) -> DataFrame:
     """Learns from ``docs`` (doc_id, text, lang) and labels all of them."""
     return tag(docs, train(docs, fit_docs))
 
