@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,12 +190,12 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", bag_similarity("sa", "wa", "sb", "wb").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def overlaps(bags: list[tuple[np.ndarray, np.ndarray]], n_left: int, width: int = 4096) -> np.ndarray:
-    """Weighted overlaps [n_left, n] of the first ``n_left`` bags (shingles, weights) with all, by products of 0/1 matrices."""
-    member = np.repeat(np.arange(len(bags)), [len(s) for s, _ in bags])
-    shingle, weight = np.concatenate([s for s, _ in bags]), np.concatenate([w for _, w in bags])
+def overlaps(offsets: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n_left: int, width: int = 2048) -> np.ndarray:
+    """Weighted overlaps [n_left, n] of the first ``n_left`` bags with all, by products of 0/1 matrices; bag i is ``offsets[i]`` to ``offsets[i + 1]``."""
+    n = len(offsets) - 1
+    member = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))
     _, column, many = np.unique(shingle, return_inverse=True, return_counts=True)
-    both = np.zeros((n_left, len(bags)))
+    both = np.zeros((n_left, n), np.float32)
     level = 1
     while True:  # min(x, y) is the number of levels that both reach
         use = np.flatnonzero((weight >= level) & (many[column] > 1))
@@ -205,13 +206,13 @@ def overlaps(bags: list[tuple[np.ndarray, np.ndarray]], n_left: int, width: int
         edges = np.searchsorted(dense[by], np.arange(0, dense.max() + width + 1, width))
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             part = use[by[a:b]]
-            there = np.zeros((len(bags), width), np.float32)
+            there = np.zeros((n, width), np.float32)
             there[member[part], dense[by[a:b]] % width] = 1
             both += there[:n_left] @ there.T
         level += 1
 
 
-def _compared(at: DataFrame, labels: DataFrame, bags: DataFrame, threshold: float, block: int = 400) -> DataFrame:
+def _compared(at: DataFrame, labels: DataFrame, bags: DataFrame, threshold: float, block: int = 100) -> DataFrame:
     """Links (a, b) that tie the components within each bucket of ``at`` (bucket, v, hub): members that aren't in the hub's component meet all others.
 
     Buckets are cut into blocks of about ``block`` members and each pair of blocks is one small group; only links that
@@ -231,24 +232,29 @@ def _compared(at: DataFrame, labels: DataFrame, bags: DataFrame, threshold: floa
     profiles_of = bags.select(F.col("v").alias("__v"), "shingles", "weights")
     sides = left.unionAll(right).join(profiles_of, F.col("v") == F.col("__v")).drop("__v")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["left", "v"], ascending=[False, True], kind="stable")
-        n_left, v, label = int(pdf["left"].sum()), pdf["v"].to_numpy(), pdf["component"].to_numpy().copy()
-        if not n_left or (label == label[0]).all():
-            return pd.DataFrame({"a": [], "b": []})
-        held = [(np.asarray(s, np.int64), np.asarray(w, np.int64)) for s, w in zip(pdf["shingles"], pdf["weights"], strict=True)]
-        both = overlaps(held, n_left)
-        size = np.array([w.sum() for _, w in held])
-        near = both >= threshold * (size[:n_left, None] + size[None, :] - both) - 1e-9
-        out = []
-        for i in range(n_left):
-            for j in np.flatnonzero(near[i]):
-                if label[i] != label[j]:
-                    out.append((min(v[i], v[j]), max(v[i], v[j])))
-                    label[label == label[j]] = label[i]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return sides.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    links = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, [("left", "descending"), ("v", "ascending")])).combine_chunks()
+        n_left, v, label = pc.sum(group["left"]).as_py(), group["v"].to_numpy(), group["component"].to_numpy().copy()
+        out: list[tuple[int, int]] = []
+        if n_left and not (label == label[0]).all():
+            bags_, weights = (group[c].combine_chunks() for c in ("shingles", "weights"))
+            bags_ = bags_.chunk(0) if isinstance(bags_, pa.ChunkedArray) else bags_
+            weights = weights.chunk(0) if isinstance(weights, pa.ChunkedArray) else weights
+            offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(bags_).to_numpy(zero_copy_only=False))])
+            weight = weights.flatten().to_numpy()
+            both = overlaps(offsets, bags_.flatten().to_numpy(), weight, n_left)
+            size = np.add.reduceat(weight, offsets[:-1]).astype(np.float64)
+            near = both >= threshold * (size[:n_left, None] + size[None, :] - both) - 1e-6
+            for i in range(n_left):
+                for j in np.flatnonzero(near[i]):
+                    if label[i] != label[j]:
+                        out.append((min(v[i], v[j]), max(v[i], v[j])))
+                        label[label == label[j]] = label[i]
+        return pa.table([pa.array([int(x[k]) for x in out], pa.int64()) for k in (0, 1)], schema=links)
+
+    return sides.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 6) -> DataFrame:
