@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import trimmed
+from tallybook.functions.text import let
 
 SERIAL = (32874, 73050)  # 1990-01-01 to 2099-12-31 in days since 1899-12-30
 REACH, SLACK, MARGIN = 15, 7, 62  # rows to look up and down; days around neighbours; days around a book's year
@@ -64,42 +65,55 @@ def serial(n: Column) -> Column:
     return _token(value, F.when(ok, "excel_serial").otherwise("invalid"))
 
 
+_TEXTS = (  # shapes with the groups of day, month and year
+    (r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$", (1, 2, 3)),
+    (r"^(\d{1,2})-([A-Za-z]{3})-(\d{2})$", (1, 2, 3)),
+    (r"^(\d{1,2})-([A-Za-z]+)-(\d{4})$", (1, 2, 3)),
+    (r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})$", (2, 1, 3)),
+    (r"^(\d{1,2})\s+([A-Za-z]{3})\s+(\d{2})$", (1, 2, 3)),
+)
+
+
 def tokenize(c: Column) -> Column:
     """The token of a text cell."""
-    s = trimmed(c)
-    part = lambda shape, i: F.regexp_extract(s, shape, i)
-    whole = lambda shape, i: part(shape, i).try_cast("int")
-    iso = day(whole(_ISO, 1), whole(_ISO, 2), whole(_ISO, 3))
-    a, b, y = whole(_SLASHED, 1), whole(_SLASHED, 2), full_year(part(_SLASHED, 3), 70)
-    dmy, mdy = day(y, b, a), day(y, a, b)
     read = lambda value, method: _token(value, F.when(value.isNotNull(), method).otherwise("invalid"))
-    slashed = (
-        F.when(a == b, read(mdy, "same_day_month"))
-        .when((a > 12) & (b <= 12), read(dmy, "day_first"))
-        .when((b > 12) & (a <= 12), read(mdy, "month_first"))
-        .when(dmy.isNotNull() & mdy.isNotNull(), _token(None, "ambiguous", dmy, mdy))
-        .otherwise(_token(None, "invalid"))
-    )
-    texts = []
-    # day, month and year are the groups of these numbers
-    for shape, (d, m, yr) in (
-        (r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$", (1, 2, 3)),
-        (r"^(\d{1,2})-([A-Za-z]{3})-(\d{2})$", (1, 2, 3)),
-        (r"^(\d{1,2})-([A-Za-z]+)-(\d{4})$", (1, 2, 3)),
-        (r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})$", (2, 1, 3)),
-        (r"^(\d{1,2})\s+([A-Za-z]{3})\s+(\d{2})$", (1, 2, 3)),
-    ):
-        value = day(full_year(part(shape, yr), 69), _exact_month(part(shape, m)), whole(shape, d))
-        texts.append(F.when(s.rlike(shape), value))
-    text = F.coalesce(*texts)
-    return (
-        F.when(c.isNull() | (s == ""), _token(None, "missing"))
-        .when(s.rlike(r"^\d+$"), serial(s.try_cast("double")))
-        .when(s.rlike(_ISO), read(iso, "iso"))
-        .when(s.rlike(_SLASHED), slashed)
-        .when(text.isNotNull(), _token(text, "text_month"))
-        .otherwise(_token(None, "invalid"))
-    )
+
+    def iso(s: Column) -> Column:
+        n = [F.regexp_extract(s, _ISO, i).try_cast("int") for i in (1, 2, 3)]
+        return let(day(*n), lambda d: read(d, "iso"))
+
+    def slashed(s: Column) -> Column:
+        part = lambda i: F.regexp_extract(s, _SLASHED, i)
+        numbers = F.array(part(1).try_cast("int"), part(2).try_cast("int"), full_year(part(3), 70))
+        return let(numbers, lambda n: let(F.array(day(n[2], n[1], n[0]), day(n[2], n[0], n[1])), lambda d: chosen(n[0], n[1], d[0], d[1])))
+
+    def chosen(a: Column, b: Column, dmy: Column, mdy: Column) -> Column:
+        return (
+            F.when(a == b, read(mdy, "same_day_month"))
+            .when((a > 12) & (b <= 12), read(dmy, "day_first"))
+            .when((b > 12) & (a <= 12), read(mdy, "month_first"))
+            .when(dmy.isNotNull() & mdy.isNotNull(), _token(None, "ambiguous", dmy, mdy))
+            .otherwise(_token(None, "invalid"))
+        )
+
+    def written(s: Column) -> Column:
+        found = []
+        for shape, (d, m, y) in _TEXTS:
+            group = lambda i, shape=shape: F.regexp_extract(s, shape, i)
+            value = let(F.struct(full_year(group(y), 69).alias("y"), _exact_month(group(m)).alias("m"), group(d).try_cast("int").alias("d")), lambda p: day(p["y"], p["m"], p["d"]))
+            found.append(F.when(s.rlike(shape), value))
+        return let(F.coalesce(*found), lambda d: read(d, "text_month"))
+
+    def token(s: Column) -> Column:
+        return (
+            F.when(s == "", _token(None, "missing"))
+            .when(s.rlike(r"^\d+$"), let(s.try_cast("double"), serial))
+            .when(s.rlike(_ISO), iso(s))
+            .when(s.rlike(_SLASHED), slashed(s))
+            .otherwise(written(s))
+        )
+
+    return let(trimmed(F.coalesce(c, F.lit(""))), token)
 
 
 def valid_range(year: Column) -> tuple[Column, Column]:

@@ -90,24 +90,25 @@ def quantity(c: Column) -> Column:
 
 def currency(c: Column) -> Column:
     """Struct (currency, reason) of a currency cell; a blank is neither."""
-    code = lookup(c, CURRENCIES)
     filled = c.isNotNull() & (trimmed(c) != "")
-    return F.struct(code.alias("currency"), F.when(filled & code.isNull(), "UNKNOWN_CURRENCY").alias("reason"))
+    return let(lookup(c, CURRENCIES), lambda code: F.struct(code.alias("currency"), F.when(filled & code.isNull(), "UNKNOWN_CURRENCY").alias("reason")))
 
 
 def resolve_currency(cell: Column, amount_marker: Column, price_marker: Column, header: Column) -> Column:
     """Struct (currency, source, reason): the column before the marker in the text before the header's hint."""
-    column = currency(cell)
-    marker = F.coalesce(amount_marker, price_marker)
-    reason = (
-        F.when(amount_marker != price_marker, "CURRENCY_CONFLICT")
-        .when(column["reason"].isNotNull(), column["reason"])
-        .when(column["currency"] != marker, "CURRENCY_CONFLICT")
-        .when(F.coalesce(column["currency"], marker, header).isNull(), "UNKNOWN_CURRENCY")
-    )
-    source = F.when(column["currency"].isNotNull(), "column").when(marker.isNotNull(), "embedded").when(header.isNotNull(), "header")
-    ok = reason.isNull()
-    return F.struct(F.when(ok, F.coalesce(column["currency"], marker, header)).alias("currency"), F.when(ok, source).alias("source"), reason.alias("reason"))
+
+    def chosen(x: Column) -> Column:
+        column, marker = x["c"]["currency"], F.coalesce(x["a"], x["p"])
+        reason = (
+            F.when(x["a"] != x["p"], "CURRENCY_CONFLICT")
+            .when(x["c"]["reason"].isNotNull(), x["c"]["reason"])
+            .when(column != marker, "CURRENCY_CONFLICT")
+            .when(F.coalesce(column, marker, x["h"]).isNull(), "UNKNOWN_CURRENCY")
+        )
+        source = F.when(column.isNotNull(), "column").when(marker.isNotNull(), "embedded").when(x["h"].isNotNull(), "header")
+        return let(reason, lambda r: F.struct(F.when(r.isNull(), F.coalesce(column, marker, x["h"])).alias("currency"), F.when(r.isNull(), source).alias("source"), r.alias("reason")))
+
+    return let(F.struct(currency(cell).alias("c"), amount_marker.alias("a"), price_marker.alias("p"), header.alias("h")), chosen)
 
 
 def within_tolerance(amount: Column, qty: Column, price: Column) -> Column:

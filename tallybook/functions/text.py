@@ -43,25 +43,24 @@ def _digits(c: Column, width: int) -> Column:
 
 def sku(c: Column) -> Column:
     """``fab cot 1`` -> ``FAB-COT-001``."""
-    s = F.upper(F.regexp_replace(clean(c), "[^A-Za-z0-9]", ""))
     shape = r"^([A-Z]{3})([A-Z]{3})(\d{1,3})$"
-    part = lambda i: F.regexp_extract(s, shape, i)
-    return F.when(s.rlike(shape), F.concat_ws("-", part(1), part(2), _digits(part(3), 3)))
+    part = lambda s, i: F.regexp_extract(s, shape, i)
+    whole = lambda s: F.when(s.rlike(shape), F.concat_ws("-", part(s, 1), part(s, 2), _digits(part(s, 3), 3)))
+    return let(F.upper(F.regexp_replace(clean(c), "[^A-Za-z0-9]", "")), whole)
 
 
 def document(c: Column, domain: str) -> Column:
     """``po 2019/42`` -> ``PO-2019-00042`` if the prefix belongs to the domain."""
-    s = F.upper(clean(c))
     shape = r"^([A-Z]{2,3})\W*(\d{4})\W*(\d{1,5})$"
-    part = lambda i: F.regexp_extract(s, shape, i)
-    return F.when(s.rlike(shape) & part(1).isin(*DOC_PREFIXES[domain]), F.concat_ws("-", part(1), part(2), _digits(part(3), 5)))
+    part = lambda s, i: F.regexp_extract(s, shape, i)
+    whole = lambda s: F.when(s.rlike(shape) & part(s, 1).isin(*DOC_PREFIXES[domain]), F.concat_ws("-", part(s, 1), part(s, 2), _digits(part(s, 3), 5)))
+    return let(F.upper(clean(c)), whole)
 
 
 def employee(c: Column) -> Column:
     """``EMP-14``, ``e14``, ``14`` -> ``E014``."""
     shape = r"^(?:EMP|E)?\W*(\d{1,4})$"
-    s = F.upper(clean(c))
-    return F.when(s.rlike(shape), F.concat(F.lit("E"), _digits(F.regexp_extract(s, shape, 1), 3)))
+    return let(F.upper(clean(c)), lambda s: F.when(s.rlike(shape), F.concat(F.lit("E"), _digits(F.regexp_extract(s, shape, 1), 3))))
 
 
 @F.pandas_udf(T.StringType())
