@@ -94,12 +94,13 @@ def scores(a: pd.Series, a_id: pd.Series, b: pd.Series, b_id: pd.Series) -> pd.S
 
 
 def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:
-    """(a, b, score) with a < b of keys that share a prefix of two letters of any word or a bigram-rich block, scored ``review`` or more.
+    """(a, b, score) with a < b of keys that share the first or last two letters of an identifying word, scored ``review`` or more.
 
-    Two names that score 73 or more share most letters in order; blocks by each word's first two letters and by the sorted
-    identity's first letter keep the join linear in what shares a block instead of comparing everything.
+    The score is the lower of the whole names' and the identifying parts', so both parts must be alike; the blocks keep the
+    join linear in what shares a block. A pair alike at 73 whose identifying words agree at neither end would be missed.
     """
-    words = F.array_distinct(F.concat(F.transform(F.split("match_key", " "), lambda w: F.substring(w, 1, 2)), F.transform(F.split("identity", " "), lambda w: F.concat(F.lit("="), F.substring(w, -2, 2)))))
+    ends = F.flatten(F.transform(F.split("identity", " "), lambda w: F.array(F.concat(F.lit("^"), F.substring(w, 1, 2)), F.concat(F.lit("$"), F.substring(w, -2, 2)))))
+    words = F.array_distinct(ends)
     blocks = keys.select("match_key", "identity", F.explode(words).alias("block"))
     other = blocks.select(F.col("match_key").alias("b"), F.col("identity").alias("b_id"), F.col("block").alias("__block"))
     pairs = blocks.join(other, (F.col("block") == F.col("__block")) & (F.col("match_key") < F.col("b"))).select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), "b", "b_id").distinct()
@@ -136,11 +137,12 @@ def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float =
     The sparse edges are split into connected parts (names in different parts never meet), and the greedy pass runs in each,
     so no task needs all of them. A name without any key (a legal form alone) is its own cluster by its spelling.
     """
-    from tallybook.operators.graph import connected
+    from tallybook.operators.graph import connected, settled
 
     keyed = counts.withColumn("k", keys_of("alias")).select("alias", "row_count", F.when(F.col("k.match_key") == "", F.lower("alias")).otherwise(F.col("k.match_key")).alias("match_key"), "k.identity")
-    keys = keyed.groupBy("match_key").agg(F.first("identity").alias("identity"), F.sum("row_count").alias("n"))
-    edges = candidate_pairs(keys, review)
+    keyed = settled(keyed)
+    keys = settled(keyed.groupBy("match_key").agg(F.first("identity").alias("identity"), F.sum("row_count").alias("n")))
+    edges = settled(candidate_pairs(keys, review))
     parts = connected(keys.select(F.col("match_key").alias("v")), edges.select("a", "b"))
     own = parts.join(keys, F.col("v") == F.col("match_key")).select("part", F.col("v").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(None).cast("double").alias("score"), "n")
     links = parts.join(edges, F.col("v") == F.col("a")).select("part", "a", "b", "score", F.lit(None).cast("long").alias("n"))

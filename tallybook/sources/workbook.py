@@ -17,7 +17,6 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CELL = "struct<kind:string,s:string>"
 SCHEMA = f"book string, sheet_index int, sheet string, row_num int, cells array<{CELL}>"
@@ -98,16 +97,20 @@ def read_book(raw: bytes) -> Iterator[tuple[int, str, list[list[tuple[str, str]
             yield index, sheet.get("name"), grid
 
 
+def book_frames(files: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Grid rows of each sheet of ``files`` (path, content); every sheet also has a row 0 without cells."""
+    for path, raw in zip(files["path"], files["content"], strict=True):
+        for index, name, grid in read_book(raw):
+            cells = [[], *[[None if c is None else {"kind": c[0], "s": c[1]} for c in row] for row in grid]]
+            yield pd.DataFrame({"book": path.rsplit("/", 1)[-1], "sheet_index": index, "sheet": name, "row_num": range(len(cells)), "cells": cells})
+
+
 def read_grids(spark: SparkSession, books_dir: str) -> DataFrame:
-    """book, sheet_index, sheet, row_num, cells of all ``*.xlsx`` in a folder. Every sheet also has a row 0 without cells."""
+    """book, sheet_index, sheet, row_num, cells of all ``*.xlsx`` in a folder."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
-            for path, raw in zip(files["path"], files["content"], strict=True):
-                book = path.rsplit("/", 1)[-1]
-                for index, name, grid in read_book(raw):
-                    cells = [[], *[[None if c is None else {"kind": c[0], "s": c[1]} for c in row] for row in grid]]
-                    yield pd.DataFrame({"book": book, "sheet_index": index, "sheet": name, "row_num": range(len(cells)), "cells": cells})
+            yield from book_frames(files)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(books_dir)
     return files.select("path", "content").mapInPandas(unpack, SCHEMA)

@@ -46,6 +46,15 @@ def test_layout_and_kinds(spark, books):
     assert [r["kind"] for r in rows] == ["data", "blank", "subtotal", "repeated_header", "data", "data", "data", "data"]
 
 
+def test_intake_takes_each_book_once(spark, books, tmp_path):
+    from tallybook.sources.workbook import SCHEMA
+    from tallybook.streaming.intake import stage_new_books
+
+    for _ in range(2):
+        stage_new_books(spark, books, str(tmp_path / "grids"), str(tmp_path / "state")).awaitTermination()
+    assert spark.read.schema(SCHEMA).parquet(str(tmp_path / "grids")).count() == read_grids(spark, books).count()
+
+
 def test_load(spark, books, tmp_path):
     out = str(tmp_path / "out")
     first = load.run_load(spark, books, out)
