@@ -1,7 +1,7 @@
 """The load: workbooks to a normalised, reconciled set of tables.
 
-Everything is a lazy DataFrame until ``publish`` writes the run's tables and switches to them, so a failed run leaves
-the last one in force. Rows are followed by (book, sheet_index, row_num) to one outcome: loaded, merged, rejected, skipped.
+Stages are written to the shared checkpoint folder, so plans stay small and a lost executor takes nothing with it. The run's
+tables take effect only when ``publish`` has written all of them and switches to them; a failed run leaves the last in force. Rows are followed by (book, sheet_index, row_num) to one outcome: loaded, merged, rejected, skipped.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import text
 from tallybook.operators import constraints, dedupe, matching, resolve, upsert
+from tallybook.operators.graph import settled
 from tallybook.plans import rows as parse
 from tallybook.sources.layout import classify_rows, find_layouts
 from tallybook.sources.workbook import read_grids
@@ -53,7 +54,7 @@ def _ref() -> F.Column:
 def _first_wins(rows: DataFrame, key: list[str], values: list[str], natural) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(loaded rows, merged pointers, conflict rejects)."""
     ranked = dedupe.rank_copies(rows.withColumn("print", dedupe.fingerprint(*[F.col(v) for v in values])), key, ID, "print", ID)
-    ranked = ranked.withColumns({"outcome": dedupe.outcome(), "natural_key": natural, "source_ref": _ref()})
+    ranked = settled(ranked.withColumns({"outcome": dedupe.outcome(), "natural_key": natural, "source_ref": _ref()}))
     merged = ranked.where("outcome = 'merged'").select(*ID, "kept_book", "kept_sheet_index", "kept_row_num", "natural_key")
     conflicts = ranked.where("outcome = 'rejected'").select(*ID, F.lit("CONFLICTING_DUPLICATE").alias("reason_code"), F.concat(F.lit("differs from the first copy of "), F.col("natural_key")).alias("detail"))
     return ranked.where("outcome = 'loaded'"), merged, conflicts
@@ -64,10 +65,10 @@ def _reject(rows: DataFrame, condition, code: str, detail) -> DataFrame:
 
 
 def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
-    """All staging, outcome and target tables of one load, lazily."""
+    """All staging, outcome and target tables of one load."""
     grids = read_grids(spark, books_dir)
-    layouts = find_layouts(grids).cache()
-    rows = classify_rows(grids, layouts).cache()
+    layouts = settled(find_layouts(grids))
+    rows = settled(classify_rows(grids, layouts))
     data = rows.where("kind = 'data'")
     dated = parse.with_dates(data.where(F.col("domain").isin("purchases", "sales", "inventory")))
     parsed = {
@@ -77,7 +78,7 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
         "movements": parse.movements(dated.where("domain = 'inventory'")),
         "payroll": parse.payroll(data.where("domain = 'payroll'")),
     }
-    parsed = {k: v.cache() for k, v in parsed.items()}
+    parsed = {k: settled(v) for k, v in parsed.items()}
     noise_code = text.lookup(F.col("kind"), NOISE)
     rejects = [rows.where("kind <> 'data'").select(*ID, noise_code.alias("reason_code"), F.lit(None).cast("string").alias("detail"))]
     rejects += [p.where("reason IS NOT NULL").select(*ID, F.col("reason").alias("reason_code"), F.lit(None).cast("string").alias("detail")) for p in parsed.values()]
@@ -88,17 +89,17 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     products, m, c = _first_wins(good["products"], ["sku"], ["description", "category", "uom"], F.col("sku"))
     merged.append(m)
     rejects.append(c)
-    products = products.withColumn("description_key", text.description_key(F.col("description"))).cache()
+    products = settled(products.withColumn("description_key", text.description_key(F.col("description"))))
     items = products.select(F.col("sku").alias("item"), F.col("sku").alias("item_code"), F.col("description_key").alias("item_key"))
 
     def with_item(df: DataFrame) -> DataFrame:
-        found = resolve.by_code_or_key(df, items, "sku", "description_key", "item", "item_code", "item_key").drop("sku", "description_key").withColumnRenamed("item", "sku").cache()
+        found = settled(resolve.by_code_or_key(df, items, "sku", "description_key", "item", "item_code", "item_key").drop("sku", "description_key").withColumnRenamed("item", "sku"))
         rejects.append(_reject(found, F.col("sku").isNull(), "UNKNOWN_PRODUCT", F.lit(None)))
         return found.where("sku IS NOT NULL")
 
     # suppliers, from the spellings of readable purchase rows
     spellings = good["purchases"].groupBy(F.col("supplier_raw").alias("alias")).agg(F.count("*").alias("row_count"))
-    matches = matching.match_suppliers(spellings).cache()
+    matches = settled(matching.match_suppliers(spellings))
     aliases = matches.select("alias", F.col("anchor").alias("match_key"), F.col("method").alias("match_method"), F.col("score").cast("decimal(5,2)").alias("score"), "row_count")
     suppliers = matches.groupBy(F.col("anchor").alias("match_key")).agg(F.first("canonical").alias("canonical_name"))
     review = matches.where("nearest IS NOT NULL").select("alias", "nearest", "nearest_score")
@@ -108,7 +109,7 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     rates = resolve.fx_rates(span, F.make_date("a", F.lit(1), F.lit(1)), F.make_date("b", F.lit(12), F.lit(1))).withColumn("source", F.lit("formula"))
 
     def with_rate(df: DataFrame, day: str) -> DataFrame:
-        found = df.withColumn("fx_month", F.trunc(day, "MM")).join(rates.select("currency", F.col("month").alias("fx_month"), "rate_to_rwf"), ["currency", "fx_month"], "left").cache()
+        found = settled(df.withColumn("fx_month", F.trunc(day, "MM")).join(rates.select("currency", F.col("month").alias("fx_month"), "rate_to_rwf"), ["currency", "fx_month"], "left"))
         rejects.append(_reject(found, F.col("rate_to_rwf").isNull(), "FX_RATE_MISSING", F.concat_ws(" ", "currency", "fx_month")))
         return found.where("rate_to_rwf IS NOT NULL")
 
@@ -117,7 +118,7 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     lines, m, c = _first_wins(lines, ["po_number", "sku"], ["match_key", "order_date", "quantity", "amount", "currency"], F.concat_ws(" ", "po_number", "sku"))
     merged.append(m)
     rejects.append(c)
-    lines = resolve.header_mismatches(lines, "po_number", ID, ["match_key", "order_date", "currency"]).cache()
+    lines = settled(resolve.header_mismatches(lines, "po_number", ID, ["match_key", "order_date", "currency"]))
     rejects.append(_reject(lines, ~F.col("header_ok"), "PO_HEADER_MISMATCH", F.col("po_number")))
     first = F.struct(*ID)
     orders = lines.groupBy("po_number").agg(F.min_by(F.struct("match_key", "order_date", "currency", "fx_month", "source_ref"), first).alias("h")).select("po_number", "h.*")
@@ -145,7 +146,7 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     keys = coded.groupBy("employee_code", "name_key").agg(F.count("*").alias("n")).groupBy("employee_code").agg(F.min(F.struct((-F.col("n")).alias("n"), "name_key"))["name_key"].alias("name_key"))
     spans = coded.groupBy("employee_code").agg(F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.max_by("position", F.struct("period", *ID)).alias("position"))
     employees = spans.join(shown, "employee_code").join(keys, "employee_code")
-    paid = resolve.by_unique_name(good["payroll"], employees.select("employee_code", "name_key"), "employee_code", "name_key").cache()
+    paid = settled(resolve.by_unique_name(good["payroll"], employees.select("employee_code", "name_key"), "employee_code", "name_key"))
     rejects.append(paid.where("reason IS NOT NULL").select(*ID, F.col("reason").alias("reason_code"), F.col("name_raw").alias("detail")))
     paid = paid.where("reason IS NULL").drop("employee_code").withColumnRenamed("resolved_code", "employee_code")
     paid, m, c = _first_wins(paid, ["period", "employee_code"], ["gross", "deductions", "net"], F.concat_ws(" ", "period", "employee_code"))
@@ -157,7 +158,7 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     runs = paid.groupBy("period").agg(F.count("*").cast("int").alias("employee_count"), total("gross"), total("deductions"), total("net"))
 
     union = lambda parts: reduce(DataFrame.unionByName, parts)
-    all_rejects, all_merged = union(rejects), union(merged)
+    all_rejects, all_merged = settled(union(rejects)), settled(union(merged))
     reasons = spark.createDataFrame([(k, *v) for k, v in REASONS.items()], "code string, category string, stage string, description string")
     outcomes = (
         rows.select(*ID, "sheet", "domain", "kind")
@@ -171,9 +172,9 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
         "fx_rates": rates, "products": products, "suppliers": suppliers, "supplier_aliases": aliases, "purchase_orders": orders, "po_lines": po_lines, "sales": sold, "movements": moved,
         "employees": employees, "payroll_runs": runs, "payroll_lines": paid,
     }
-    targets = {name: targets[name].select(*key, *values) for name, (key, values) in TABLES.items()}
+    targets = {name: settled(targets[name].select(*key, *values)) for name, (key, values) in TABLES.items()}
     sheets = layouts.select("book", "sheet_index", "sheet", "domain", "year", "header_row", "skipped_reason")
-    return targets | {"sheets": sheets, "row_outcomes": outcomes, "supplier_review": review, "reject_reasons": reasons}
+    return targets | {"sheets": sheets, "row_outcomes": settled(outcomes), "supplier_review": review, "reject_reasons": reasons}
 
 
 def violations(tables: dict[str, DataFrame]) -> DataFrame:

@@ -55,9 +55,14 @@ def test_intake_takes_each_book_once(spark, books, tmp_path):
     assert spark.read.schema(SCHEMA).parquet(str(tmp_path / "grids")).count() == read_grids(spark, books).count()
 
 
-def test_load(spark, books, tmp_path):
-    out = str(tmp_path / "out")
-    first = load.run_load(spark, books, out)
+@pytest.fixture(scope="module")
+def loaded(spark, books, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("out") / "tables")
+    return out, load.run_load(spark, books, out)
+
+
+def test_load(spark, books, loaded):
+    out, first = loaded
     got = {(r["book"], r["sheet_index"], r["row_num"]): (r["outcome"], r["reason_code"]) for r in upsert.current(spark, out, "row_outcomes").collect()}
     assert len(got) == first.rows_in
     p = {n: got["purchases_2019.xlsx", 0, n] for n in range(4, 12)}
@@ -75,11 +80,10 @@ def test_load(spark, books, tmp_path):
     assert set(again.changes.values()) == {(0, 0)}
 
 
-def test_report(spark, books, tmp_path):
+def test_report(spark, loaded, tmp_path):
     from tallybook.plans import reports
 
-    out = str(tmp_path / "out")
-    load.run_load(spark, books, out)
+    out, _ = loaded
     pages = []
     for i in range(2):
         numbers = reports.build_report(spark, out, str(tmp_path / f"{i}.html"), str(tmp_path / f"{i}.json"))
