@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import keep, table, text_key
+from tallybook.llm.common import keep, table, text_batches, text_key
 from tallybook.llm.components import components
 
 _WORD = re.compile(r"\w+")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -148,6 +148,7 @@ def sign(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                     hashes.clear()
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int64()))], names=["doc_id", "key", "bands"])
 
+    text_batches(docs.sparkSession)
     keyed = docs.select("doc_id", "text", F.when(F.col("text").rlike(r"\S"), text_key("text")).alias("key"))
     return keyed.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, bands array<long>")
 

@@ -34,6 +34,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python at most ``rows`` at a time: the default of 10,000 holds a whole file split in both processes at once."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def text_key(c: str | Column) -> Column:
     """128 bits of a text: equal for equal texts, null for null."""
     c = F.col(c) if isinstance(c, str) else c

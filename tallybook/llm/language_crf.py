@@ -9,7 +9,7 @@ word by word. A document's language is the one with the largest mean probability
 Fitting uses a bounded sample (``fit_docs`` rows in the order of a hash of doc_id, at most half of the training rows) on
 the driver. Only doc_id's hash, text and lang of training rows are read. Since labels are known by document, training
 sequences are cut from documents of all languages in turn, which is where transitions are learned from.
-The lexicon has ``2**LEXICON_BITS`` buckets whatever the input; all texts are read whole, in chunks of about a million
+The lexicon has ``2**LEXICON_BITS`` buckets whatever the input; all texts are read whole, in chunks of about half a million
 characters, by one Python task per partition. Nothing is shuffled but lexicon counts.
 
 Edge cases: null text, and text without a letter, is ``und`` with score 0; so is everything if no training row exists;
@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.common import table
+from tallybook.llm.common import table, text_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
-FEATURE_BITS, LEXICON_BITS, WIDTH, CHUNK = 16, 17, 32, 1_000_000
+FEATURE_BITS, LEXICON_BITS, WIDTH, CHUNK = 16, 17, 32, 500_000
 
 
 class Vocabulary(dict):
@@ -294,6 +294,7 @@ def tag(docs: DataFrame, model: Model | None, segments: bool = False) -> DataFra
 
     Columns of ``docs`` with the new names are replaced.
     """
+    text_batches(docs.sparkSession)
     made = ["lang_pred", "score", "segments"][: 2 + segments]
     docs = docs.drop("lang_pred", "score", "segments")
     shared = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)  # of a size that FEATURE_BITS and LEXICON_BITS set

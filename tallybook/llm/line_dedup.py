@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import keep, table
+from tallybook.llm.common import keep, table, text_batches
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*[^\S\n]*")
 
@@ -64,6 +64,7 @@ def dedup_lines(docs: DataFrame, min_line_words: int = 5, min_sentence_words: in
 
     Columns of ``docs`` with the new names are replaced.
     """
+    text_batches(docs.sparkSession)
     docs = keep(docs.drop("n_units", "n_removed", "removed").withColumn("__row", F.monotonically_increasing_id()), "line-docs")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import keep, table
+from tallybook.llm.common import keep, table, text_batches
 
 END = 2
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-ɏ‘-„]*")
@@ -77,6 +77,7 @@ def pieces(docs: DataFrame, length: int = 1024, tokenizer: str = "byte_bpe_50k")
             types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    text_batches(docs.sparkSession)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

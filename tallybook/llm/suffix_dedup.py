@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import keep, table, text_key
+from tallybook.llm.common import keep, table, text_batches, text_key
 
 CHUNK = 400_000
 SHALLOW = 32
@@ -228,6 +228,7 @@ def scan_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     )
                     texts, rows, size = [], [], 0
 
+    text_batches(docs.sparkSession)
     return docs.select(text_key("text").alias("id"), "text").mapInArrow(run, "id binary, start long, windows int, offset int, key long, content long")
 
 
