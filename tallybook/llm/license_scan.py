@@ -133,3 +133,31 @@ def spans(docs: DataFrame, base: Mapping[str, str] = BASE, templates: Mapping[st
 def op1_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def _values(rows: Mapping[str, str]) -> str:
+    return ", ".join("('" + a.replace("'", "''") + "', '" + b.replace("'", "''") + "')" for a, b in rows.items())
+
+
+_SQL_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce({0}, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+ORACLE = f"""
+WITH t0(label, body) AS (VALUES {_values(TEMPLATES)}),
+t1 AS (SELECT label, {_SQL_WORDS.format("body")} AS w FROM t0),
+t AS (SELECT label, len(w) - 2 AS n_grams, i AS t_pos, array_to_string(w[i + 1:i + 3], ' ') AS gram FROM t1, unnest(range(len(w) - 2)) AS u(i)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS.format("text")} AS w FROM documents),
+g AS (SELECT r, i AS pos, array_to_string(w[i + 1:i + 3], ' ') AS gram FROM d, unnest(range(len(w) - 2)) AS u(i)),
+h AS MATERIALIZED (SELECT r, label, n_grams, pos, t_pos, pos - t_pos AS diag FROM g JOIN t USING (gram)),
+v AS (SELECT r, label, diag, CASE WHEN diag - lag(diag) OVER (PARTITION BY r, label ORDER BY diag) > 2 THEN 1 ELSE 0 END AS new FROM (SELECT DISTINCT r, label, diag FROM h)),
+s AS (SELECT r, label, diag, sum(new) OVER (PARTITION BY r, label ORDER BY diag) AS span FROM v),
+m AS (SELECT r, label, n_grams, span, count(DISTINCT t_pos)::DOUBLE / n_grams AS cover, max(pos) + 3 - min(pos) AS length FROM h JOIN s USING (r, label, diag) GROUP BY r, label, n_grams, span),
+found AS (SELECT r, label, cover FROM m WHERE cover >= 0.6 AND length <= 1.5 * (n_grams + 2)),
+b0(phrase, label) AS (VALUES {_values(BASE)}),
+b1 AS (SELECT string_split(phrase, ' ') AS p, label FROM b0),
+b AS (SELECT r, label, i AS pos FROM d, b1, unnest(range(len(w) - len(p) + 1)) AS u(i) WHERE w[i + 1] = p[1] AND w[i + 1:i + len(p)] = p),
+bs AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY r),
+ls AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM b UNION ALL SELECT r, label FROM found) GROUP BY r),
+cs AS (SELECT r, max(cover) AS cover FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels,
+ coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(cover, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN bs USING (r) LEFT JOIN ls USING (r) LEFT JOIN cs USING (r)
+"""

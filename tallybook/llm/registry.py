@@ -15,6 +15,7 @@ QUERIES = {
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
 }
 ORACLE_SQL = {
+    "op1_license_diagonals": license_scan.ORACLE,
     "op7_url_vocabulary": url_filter.ORACLE,
     "op10_curriculum_mix": curriculum.ORACLE,
 }
