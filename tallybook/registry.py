@@ -391,3 +391,57 @@ def supplier_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("hand") == 2, F.concat(F.substring("name", 1, 4), F.substring("name", 6, 40))).otherwise(F.regexp_replace("name", "Textiles", "Tex."))
     )
     return matching.match_suppliers(orders.groupBy(alias.alias("alias")).agg(F.count("*").alias("row_count")))
+
+
+@query("""SELECT o_orderkey, date_trunc('month', o_orderdate)::DATE AS period FROM orders""")
+def parse_period_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months as payroll sheets are named."""
+    d = F.to_date("o_orderdate")
+    names = [F.date_format(d, "MMM yyyy"), F.upper(F.date_format(d, "MMM-yy")), F.date_format(d, "yyyy-MM"), F.date_format(d, "MM.yyyy"), F.date_format(d, "MMMM"), F.concat(F.date_format(d, "MMMM yyyy"), F.lit(" (2)"))]
+    name = F.element_at(F.array(*names), (F.col("o_orderkey") % len(names) + 1).cast("int"))
+    # two-digit years below 70 mean 20xx, so only orders before 1970 would be read wrongly
+    return read(spark, sf_dir, "orders").select("o_orderkey", dates.parse_period(name, F.year(d)).alias("period"))
+
+
+@query("""WITH r AS (SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'RWF' END AS col, CASE o_custkey % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'RWF' END AS emb, CASE WHEN o_orderkey % 7 < 5 THEN 'RWF' END AS head, o_orderkey % 4 = 2 AS odd FROM orders)
+ SELECT k AS o_orderkey, CASE WHEN reason IS NULL THEN coalesce(col, emb, head) END AS currency,
+ CASE WHEN reason IS NULL THEN CASE WHEN col IS NOT NULL THEN 'column' WHEN emb IS NOT NULL THEN 'embedded' ELSE 'header' END END AS source, reason
+ FROM (SELECT *, CASE WHEN odd THEN 'UNKNOWN_CURRENCY' WHEN col <> emb THEN 'CURRENCY_CONFLICT' WHEN coalesce(col, emb, head) IS NULL THEN 'UNKNOWN_CURRENCY' END AS reason FROM r)""")
+def currency_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, A5: the column before the marker in the text before the header; unknown words and conflicts are reasons."""
+    k = F.col("o_orderkey") % 4
+    cell = F.when(k == 0, "us$").when(k == 1, " Frw ").when(k == 2, "yen")
+    marker = F.when(F.col("o_custkey") % 3 == 0, "USD").when(F.col("o_custkey") % 3 == 1, "RWF")
+    header = F.when(F.col("o_orderkey") % 7 < 5, "RWF")
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", money.resolve_currency(cell, marker, F.lit(None).cast("string"), header).alias("c"))
+    return rows.select("o_orderkey", "c.currency", "c.source", "c.reason")
+
+
+@query("""SELECT c_custkey, array_to_string(list_sort(list_filter(regexp_split_to_array(lower(c_name || ' ' || c_mktsegment), '[^a-z]+'), lambda x: x <> '')), ' ') AS name_key,
+ nullif(trim(regexp_replace(lower(c_name), '[^a-z0-9]+', ' ', 'g')), '') AS description_key FROM customer""")
+def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order-free name keys and description keys; names come upper-case, reversed and with commas."""
+    c = read(spark, sf_dir, "customer")
+    typed = F.when(F.col("c_custkey") % 2 == 0, F.upper(F.concat_ws(" ", "c_name", "c_mktsegment"))).otherwise(F.concat_ws(",  ", "c_mktsegment", "c_name"))
+    return c.select("c_custkey", text.name_key(typed).alias("name_key"), text.description_key(F.upper("c_name")).alias("description_key"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 4 = 0 THEN 'BAD_QUANTITY' WHEN l_linenumber % 4 = 1 THEN 'BAD_AMOUNT' WHEN l_linenumber % 4 = 2 THEN 'AMOUNT_MISMATCH' END AS reason,
+ (l_quantity::DECIMAL(12,2))::DECIMAL(38,10) AS quantity FROM lineitem WHERE l_quantity >= 1 AND l_extendedprice > 10""")
+def first_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase lines through the row parser; each bad row has the first failed check as its reason."""
+    from tallybook.plans import rows as parse
+
+    i = F.col("l_linenumber") % 4
+    cell = lambda s: F.struct(F.lit("t").alias("kind"), s.cast("string").alias("s"))
+    q, a = F.col("l_quantity").cast("decimal(12,2)"), F.col("l_extendedprice").cast("decimal(14,2)")
+    price = F.when(i == 2, (a / q + 900).cast("decimal(14,4)")).when(i == 1, F.lit("7"))
+    fields = {"po_number": F.lit("po 2019/1"), "supplier": F.lit("x"), "sku": F.lit("FAB COT 1"), "quantity": F.when(i == 0, F.concat(F.lit("-"), q)).otherwise(q.cast("string")), "amount": F.when(i == 1, "TBC").otherwise(a.cast("string")), "unit_price": price, "currency": F.lit("Frw")}
+    cells = F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.array(*[cell(v) for v in fields.values()]))
+    lines = read(spark, sf_dir, "lineitem").where("l_quantity >= 1 AND l_extendedprice > 10")
+    given = lines.select(
+        F.col("l_orderkey").alias("book"), F.col("l_linenumber").alias("sheet_index"), F.col("l_partkey").alias("row_num"), cells.alias("cells"), F.create_map().cast("map<string,string>").alias("hints"),
+        F.to_date("l_shipdate").alias("date"), F.lit("iso").alias("date_method"), F.lit(None).cast("string").alias("date_reason"), q.alias("q0"),
+    )
+    out = parse.purchases(given)
+    return out.select(F.col("book").alias("l_orderkey"), F.col("sheet_index").alias("l_linenumber"), F.col("row_num").alias("l_partkey"), "reason", F.abs("quantity").alias("quantity"))
