@@ -51,13 +51,8 @@ def source_targets(sums: DataFrame, demand: float = 1.5, cap: float = 2.0, weigh
     return s.select("source", "source_size", target.alias("target"), "ramp")
 
 
-def mix(docs: DataFrame, demand: float = 1.5, cap: float = 2.0, weights=WEIGHTS, ramps=RAMPS) -> DataFrame:
-    """``docs`` (doc_id, text, source and others) with size, source_size, target, copies, taken, position and positions.
-
-    Columns of ``docs`` with one of these names are replaced. ``copies`` is how often the mix takes the document,
-    ``positions`` its places in training; ``position`` is the first, null if it is not taken. Columns that the caller
-    does not use afterwards (the text, say) are not shuffled.
-    """
+def place(docs: DataFrame, demand: float = 1.5, cap: float = 2.0, weights=WEIGHTS, ramps=RAMPS) -> DataFrame:
+    """``mix`` before the range sort, with the hash that orders a source as ``__key``."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.withColumns(
         {
@@ -89,13 +84,26 @@ def mix(docs: DataFrame, demand: float = 1.5, cap: float = 2.0, weights=WEIGHTS,
 
     rows = rows.withColumn("__places", places).withColumns({"copies": F.size("__places"), "taken": F.size("__places") * F.col("size"), "positions": F.transform("__places", position)})
     rows = rows.withColumn("position", F.get("positions", F.lit(0)))
-    rows = rows.orderBy(F.col("position").asc_nulls_last(), "__key")  # the key parts what isn't taken into ranges too
-    return rows.drop("__key", "__bucket", "__s", "__b", "__start", "__ramp", "__middle", "__places")
+    return rows.drop("__bucket", "__s", "__b", "__start", "__ramp", "__middle", "__places")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, text, source and others) with size, source_size, target, copies, taken, position and positions, by position.
+
+    Columns of ``docs`` with one of these names are replaced. ``copies`` is how often the mix takes the document,
+    ``positions`` its places in training; ``position`` is the first, null if it is not taken. Columns that the caller
+    does not use afterwards (the text, say) are not shuffled.
+    """
+    rows = place(docs, **options)
+    return rows.orderBy(F.col("position").asc_nulls_last(), "__key").drop("__key")  # the key parts what isn't taken into ranges too
 
 
 def stream(docs: DataFrame, **options) -> DataFrame:
     """The mixed training stream itself: the columns of ``docs``, one row per taken pass, in training order."""
-    out = mix(docs, **options).select(*docs.columns, F.explode("positions").alias("__position"))
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken", "position", "positions")]
+    clashing = {c: f"__own_{c}" for c in docs.columns if c not in names}
+    out = place(docs.withColumnsRenamed(clashing), **options).where("copies > 0")
+    out = out.select(*[F.col(clashing.get(c, c)).alias(c) for c in docs.columns], F.explode("positions").alias("__position"))
     return out.orderBy("__position").drop("__position")
 
 
