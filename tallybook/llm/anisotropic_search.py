@@ -7,11 +7,14 @@ answers, weighs ``eta`` times the orthogonal part, with ``eta = (d - 1) T^2 / (1
 the parts and all centroids together by one least-squares system, in turns, on a bounded sample.
 
 Queries and rows are dealt into blocks of bounded size, and every block of queries meets every block of rows once (the
-stated query set against all rows). In a pair of blocks each query sums its table entries by the rows' codes, the ``rerank``
-best distinct vectors by that sum are scored exactly on the original vectors, and the best ``k`` go on; a window with a
-partial limit takes the best of all blocks. Equal vectors are scored once and stand in the order of their ids.
+stated query set against all rows). In a pair of blocks each query sums its table entries by the rows' codes, and the
+``rerank`` best distinct vectors by that sum are scored exactly on the original vectors. A row's score is at most its sum plus
+the length of its residual, so all others whose bound reaches the last score needed are scored exactly too, ``rerank`` at a
+time in the order of their bounds, until none is left; so the search loses nothing to the codes, also among near copies. The best
+``k`` go on; a window with a partial limit takes the best of all blocks. Equal vectors are scored once and stand in the
+order of their ids.
 
-Recall against brute force is measured in the tests (above 0.9 with these parameters).
+Recall against brute force is measured in the tests (1 but for ties in the last digits).
 
 Edge cases: vectors that are null, empty, all zeros, or hold null or non-finite components take no part, nor do rows with
 a null vec_id; vectors of another length than a query's are no candidates for it; repeated rows are candidates of their
@@ -32,6 +35,7 @@ from tallybook.llm.common import keep, table
 from tallybook.llm.vectors import as_matrix, cosine, sample_of, unit, usable
 
 PART, CENTROIDS = 2, 16
+SLACK = 1e-4  # above the rounding of the tables and sums in single precision
 
 
 def parts(x: np.ndarray) -> np.ndarray:
@@ -94,23 +98,25 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["code"] = None
+            pdf["code"], pdf["off"] = None, 0.0
             for dim, at in pdf.groupby("dim").indices.items():
                 b, eta = books[int(dim)]
-                codes = encode(parts(unit(as_matrix(pdf["vector"].iloc[at]))), b, eta).astype(np.uint8)
+                x = parts(unit(as_matrix(pdf["vector"].iloc[at])))
+                codes = encode(x, b, eta).astype(np.uint8)
+                pdf.iloc[at, pdf.columns.get_loc("off")] = np.linalg.norm((x - b[np.arange(len(b)), codes]).reshape(len(x), -1), axis=1)
                 codes = np.pad(codes, ((0, 0), (0, codes.shape[1] % 2)))
                 packed = codes[:, 0::2] | codes[:, 1::2] << 4
                 for i, c in zip(at, packed, strict=True):
                     pdf.iat[i, pdf.columns.get_loc("code")] = c.tobytes()
             yield pdf
 
-    coded = keep(clean.mapInPandas(code, "vec_id long, vector array<double>, dim int, code binary").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
+    coded = keep(clean.mapInPandas(code, "vec_id long, vector array<double>, dim int, code binary, off double").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
     queries = coded.where(is_query)
     row_blocks, query_blocks = (max(1, -(-x.count() // size)) for x, size in ((coded, row_block), (queries, query_block)))
     block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector", F.lit(None).cast("binary").alias("code"), F.lit(True).alias("asks"))
-    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code", F.lit(False).alias("asks"))
+    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("off"), F.lit(True).alias("asks"))
+    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code", "off", F.lit(False).alias("asks"))
 
     def scan(key: tuple, both: pd.DataFrame) -> pd.DataFrame:
         """The best ``k`` of one block of rows for each query of one block."""
@@ -127,9 +133,11 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
         packed = np.frombuffer(b"".join(c["code"]), np.uint8).reshape(len(c), -1)[first]
         codes = np.empty((len(first), packed.shape[1] * 2), np.uint8)
         codes[:, 0::2], codes[:, 1::2] = packed & 15, packed >> 4
+        off = c["off"].to_numpy()[first] + SLACK
         y = as_matrix(q["vector"])
         tables = np.einsum("qpi,pki->qpk", parts(unit(y)), b).astype(np.float32)
-        n = min(rerank, len(first))
+        n = min(max(rerank, k + 1), len(first))
+        last = min(k + 1, n)  # one of them may be the query itself
         out = []
         for s in range(0, len(q), 64):
             t = tables[s : s + 64]
@@ -138,14 +146,24 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
                 approx += t[:, p][:, codes[:, p]]
             best = np.argpartition(-approx, n - 1, axis=1)[:, :n]
             exact = cosine(y[s : s + 64][:, None, :], x[first[best]])
+            bound = approx + off
+            np.put_along_axis(bound, best, -np.inf, axis=1)
             for i in range(len(t)):
-                order = np.argsort(-exact[i], kind="stable")
-                least = exact[i][order[min(k, n - 1)]]
+                at, scored = best[i], exact[i]
+                least = np.partition(scored, -last)[-last]
+                rest = np.flatnonzero(bound[i] >= least)
+                rest = rest[np.argsort(-bound[i][rest], kind="stable")]
+                for more in np.split(rest, range(n, len(rest), n)):
+                    more = more[bound[i][more] >= least]
+                    if not len(more):
+                        break
+                    at, scored = np.concatenate([at, more]), np.concatenate([scored, cosine(y[s + i], x[first[more]])])
+                    least = np.partition(scored, -last)[-last]
                 found = []
-                for j in order[exact[i][order] >= least]:  # at least k + 1 distinct vectors, and all that tie with the last
-                    v = best[i, j]
+                for j in np.flatnonzero(scored >= least):  # at least k + 1 distinct vectors, and all that tie with the last
+                    v = at[j]
                     group = by_vector[begins[v] : min(begins[v + 1], begins[v] + k + 1)]
-                    found += [(-exact[i, j], ids[g], uids[g]) for g in group]
+                    found += [(-scored[j], ids[g], uids[g]) for g in group]
                 me = q["uid"].iloc[s + i]
                 found = sorted(f for f in found if f[2] != me)[:k]
                 out += [(me, q["vec_id"].iloc[s + i], f[1], -f[0]) for f in found]

@@ -51,6 +51,25 @@ def test_search(spark, vectors):
     assert anisotropic_search.search(few.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_search_among_near_copies(spark):
+    """A third of the rows are distinct near copies of one centre: their codes are nearly alike, and the search is exact all the same."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1500, 64))
+    x[::3] = x[0] + 0.03 * rng.normal(size=(500, 64))
+    x = x.astype(np.float32).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in anisotropic_search.search(rows, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = {True: [], False: []}
+    for q in range(0, 1500, 50):
+        s = unit @ unit[q]
+        s[q] = -2
+        hits[q % 3 == 0].append(len(set(np.argsort(-s, kind="stable")[:5]) & got[q]) / 5)
+    assert np.mean(hits[True]) == 1 and np.mean(hits[False]) == 1
+
+
 def test_lattice(spark, vectors):
     rng = np.random.default_rng(6)
     y = rng.normal(size=(200, 8)) * 2
