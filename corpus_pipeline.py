@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines and sentences are cut out; a document of which nothing is left goes."""
-    out = line_dedup.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    out = line_dedup.dedup_lines(docs, line_dedup.LINE_WORDS, line_dedup.SENTENCE_WORDS).where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -1,7 +1,8 @@
 """Substring dedup by line hashing.
 
 Units are lines of at least ``min_line_words`` words and, inside lines that hold several, sentences of at least
-``min_sentence_words`` words (so that a passage pasted into the middle of a line is found too). A unit is normalised
+``min_sentence_words`` words (so that a passage pasted into the middle of a line is found too). The query and the pipeline hash every line that isn't
+blank, and sentences of at least four words: shorter ones inside running text repeat by chance. A unit is normalised
 (case folded, white space collapsed) and hashed to 128 bits. Of all units with one digest the earliest stays: the one in
 the smallest (doc_id, row), null ids first, and inside a document the one that starts first. All others are removed;
 their offsets in the original text are returned.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import keep, table, text_batches
 
+LINE_WORDS, SENTENCE_WORDS = 1, 4
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*[^\S\n]*")
 
 
@@ -107,4 +109,4 @@ def dedup_lines(docs: DataFrame, min_line_words: int = 5, min_sentence_words: in
 
 
 def op5_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_units", "n_removed", "removed", "text")
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), LINE_WORDS, SENTENCE_WORDS).select("doc_id", "n_units", "n_removed", "removed", "text")

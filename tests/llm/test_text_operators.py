@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallybook.llm import bagminhash, language_crf, license_scan, line_dedup, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
@@ -145,6 +146,16 @@ def test_lines(spark, real, odd):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_short_lines(spark, tmp_path):
+    """The query and the pipeline's stage hash lines of one word and more, and sentences of four words and more."""
+    docs = [(1, "All rights reserved.\nOne.\nfirst text of its own\n\n"), (2, "One.\nall  rights RESERVED.\nHead of it. Yes. Four words stand here. Tail one\n\n"), (3, "Begin. Yes. Four words stand here. Tail two")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {1: docs.first()["text"], 2: "Head of it. Yes. Four words stand here. Tail one\n\n", 3: "Begin. Yes. Tail two"}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.op5_line_hashing(spark, str(tmp_path)).collect()} == want
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_lines(spark, docs, str(tmp_path)).collect()} == want
+
+
 def removed_by_brute_force(raws, window):
     seen = Counter(r[i : i + window] for r in raws for i in range(len(r) - window + 1))
     out = []
