@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,7 +85,7 @@ def similarity(a: str, b: str, identity_a: str | None = None, identity_b: str |
 def keys_of(names: pd.Series) -> pd.DataFrame:
     folded = names.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
     keys = [supplier_key(x) for x in folded]
-    return pd.DataFrame({"match_key": keys, "identity": [identity(k) for k in keys]})
+    return pd.DataFrame({"match_key": keys, "identity": [identity(k or x.lower()) for k, x in zip(keys, names, strict=True)]})
 
 
 @F.pandas_udf(T.DoubleType())
@@ -93,17 +93,38 @@ def scores(a: pd.Series, a_id: pd.Series, b: pd.Series, b_id: pd.Series) -> pd.S
     return pd.Series([similarity(*x) for x in zip(a, b, a_id, b_id, strict=True)], dtype=float)
 
 
+def _tokens(text: str) -> Column:
+    """The characters of a text that isn't empty, each with the number of its occurrence: shared tokens are the shared multiset."""
+    chars = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(F.col(text), i, F.lit(1)))
+    return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)).cast("string")))
+
+
 def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:
-    """(a, b, score) with a < b of keys that share the first or last two letters of an identifying word, scored ``review`` or more.
+    """(a, b, score) with a < b of all keys scored ``review`` (above 0) or more.
 
-    The score is the lower of the whole names' and the identifying parts', so both parts must be alike; the blocks keep the
-    join linear in what shares a block. A pair alike at 73 whose identifying words agree at neither end would be missed.
+    The score is the lower of the whole names' and the identifying parts', so both parts must be alike. A common subsequence, in
+    either order of the words, is no longer than the shared multiset of characters, so a score of ``review`` between lengths l and m needs
+    ``review * (l + m) / 200`` shared (character, occurrence) tokens. Two keys with that many share one of the first
+    ``l - needed + 1`` and ``m - needed + 1`` in one order of all tokens, rare ones first: keys are joined on both lengths and these,
+    and those that share enough tokens are scored. No pair is lost.
     """
-    ends = F.flatten(F.transform(F.split("identity", " "), lambda w: F.array(F.concat(F.lit("^"), F.substring(w, 1, 2)), F.concat(F.lit("$"), F.substring(w, -2, 2)))))
-    words = F.array_distinct(ends)
-    blocks = keys.select("match_key", "identity", F.explode(words).alias("block"))
-    other = blocks.select(F.col("match_key").alias("b"), F.col("identity").alias("b_id"), F.col("block").alias("__block"))
-    pairs = blocks.join(other, (F.col("block") == F.col("__block")) & (F.col("match_key") < F.col("b"))).select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), "b", "b_id").distinct()
+    needed = lambda l, m: F.ceil((l + m) * F.lit(review / 200) - F.lit(1e-9)).cast("int")
+    spelled = keys.where((F.length("identity") > 0) & (F.length("match_key") > 0)).select("match_key", "identity", _tokens("match_key").alias("whole"), F.explode(_tokens("identity")).alias("token"))
+    often = spelled.groupBy(F.col("token").alias("__token")).agg(F.count("*").alias("n"))
+    ranked = spelled.join(often, F.col("token") == F.col("__token")).groupBy("match_key", "identity", "whole").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+    ranked = ranked.withColumn("tokens", F.col("tokens.token")).withColumn("l", F.size("tokens"))
+    reach = (200 - review) / review  # the longer of two alike keys is at most so many times as long
+    ranked = ranked.withColumn("m", F.explode(F.sequence(F.floor(F.col("l") / reach).cast("int"), F.ceil(F.col("l") * reach).cast("int"))))
+    ranked = ranked.where(needed(F.col("l"), F.col("m")) <= F.least("l", "m"))
+    blocks = ranked.withColumn("block", F.explode(F.slice("tokens", F.lit(1), F.col("l") - needed(F.col("l"), F.col("m")) + 1)))
+    spread = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't merged: few bytes are much work here
+    blocks = blocks.repartition(spread, "block", "l", "m")
+    other = blocks.select(*[F.col(c).alias(f"b_{c}") for c in blocks.columns])
+    pairs = blocks.join(other, (F.col("block") == F.col("b_block")) & (F.col("l") == F.col("b_m")) & (F.col("m") == F.col("b_l")) & (F.col("match_key") < F.col("b_match_key")))
+    common = F.array_intersect("tokens", "b_tokens")
+    pairs = pairs.where((F.element_at(common, 1) == F.col("block")) & (F.size(common) >= needed(F.col("l"), F.col("m"))))  # each pair once, at its first common token
+    pairs = pairs.where(F.size(F.array_intersect("whole", "b_whole")) >= needed(F.size("whole"), F.size("b_whole")))
+    pairs = pairs.select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), F.col("b_match_key").alias("b"), F.col("b_identity").alias("b_id")).repartition(spread)
     return pairs.withColumn("score", scores("a", "a_id", "b", "b_id")).where(F.col("score") >= review).select("a", "b", "score")
 
 

@@ -1,3 +1,6 @@
+import random
+from itertools import combinations
+
 from tallybook.operators import matching
 from tallybook.plans import synthetic
 
@@ -32,3 +35,20 @@ def test_match_suppliers(spark):
     truth = spark.createDataFrame([("a", 1, "X"), ("b", 1, "X"), ("c", 1, "Y"), ("d", 2, "Y")], "n string, p int, t string")
     r = matching.pair_scores(truth, "p", "t").first()
     assert (r["true_pairs"], r["predicted"], r["correct"]) == (2, 3, 1)
+
+
+def test_candidates_are_all_pairs(spark):
+    """supplier_match: against a comparison of all names, of which some differ at both ends of their identifying words."""
+    rng = random.Random(5)
+    names = ["Hendersen Textiles", "Benderson Textiles", "Xaviersonmanni", "Yaviersonmannu", "Ltd", "Limited", "Co", "Rose Cloth Merchants"]
+    for _ in range(60):
+        word = "".join(rng.choice("aeionrst") for _ in range(rng.randint(3, 12)))
+        second = "".join(rng.choice("lmnaeo") for _ in range(rng.randint(2, 5)))
+        names += [f"{word} {second} Textiles", f"{second} {rng.choice('bdk')}{word[1:-1]}{rng.choice('xyz')} Fabrics", f"{word[1:]}"]
+    counts = spark.createDataFrame([(n, 1) for n in sorted(set(names))], "alias string, row_count long")
+    keys = counts.select(matching.keys_of("alias").alias("k"), "alias").selectExpr("coalesce(nullif(k.match_key, ''), lower(alias)) AS match_key", "k.identity").distinct()
+    want = {(a, b): round(s, 9) for a, b in combinations(sorted(r["match_key"] for r in keys.collect()), 2) if (s := matching.similarity(a, b)) >= 73}
+    got = [((r["a"], r["b"]), round(r["score"], 9)) for r in matching.candidate_pairs(keys).collect()]
+    assert dict(got) == want and len(got) == len(want) and ("benderson textiles", "hendersen textiles") in want
+    queued = {r["alias"]: r["nearest"] for r in matching.match_suppliers(counts.where("alias LIKE '%enders%'")).collect()}
+    assert queued == {"Benderson Textiles": None, "Hendersen Textiles": "benderson textiles"}
