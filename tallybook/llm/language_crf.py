@@ -14,6 +14,7 @@ characters, by one Python task per partition. Nothing is shuffled but lexicon co
 
 Edge cases: null text, and text without a letter, is ``und`` with score 0; so is everything if no training row exists;
 a null doc_id is neither held out nor learned from; null lang is not learned from; very long texts are labelled whole;
+a run of more than 30 letters is taken as several words of 30, and one in a script without blanks as words of two letters;
 ties go to the smaller language name; repeated rows are judged alike; an empty table gives no rows.
 """
 
@@ -31,8 +32,10 @@ from pyspark.sql import types as T
 
 from tallybook.llm.common import table, text_batches
 
-_WORD = re.compile(r"[^\W\d_]+")
 FEATURE_BITS, LEXICON_BITS, WIDTH, CHUNK = 16, 17, 32, 500_000
+#: Thai, Lao, Burmese, Khmer, Kana, Bopomofo and Han are written without blanks.
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W\d_{_UNSPACED}]{{1,{WIDTH - 2}}}|(?:(?![\W\d_])[{_UNSPACED}]){{1,2}}")
 
 
 class Vocabulary(dict):
@@ -44,6 +47,7 @@ class Vocabulary(dict):
 
 
 def tokens(text: str | None) -> list[str]:
+    """Runs of letters, longer ones in pieces of WIDTH - 2, in scripts without blanks of two; no letter is left out."""
     return _WORD.findall(text.lower()) if text else []
 
 
@@ -52,9 +56,8 @@ def has_letter(words: list[str]) -> bool:
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature numbers [n, k], lexicon buckets [n]) of distinct words; feature 0 means none."""
-    half = WIDTH // 2 - 1
-    marked = ["^" + (w if len(w) <= 2 * half else w[:half] + w[-half:]) + "$" for w in words]
+    """(feature numbers [n, k], lexicon buckets [n]) of distinct words of at most WIDTH - 2 letters; feature 0 means none."""
+    marked = ["^" + w + "$" for w in words]
     chars = np.array(marked, dtype=f"U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH).astype(np.uint64)
     length = (chars != 0).sum(axis=1)
     mix = np.uint64(0x9E3779B97F4A7C15)

@@ -82,6 +82,19 @@ def test_language(spark, odd):
     assert {x["lang_pred"] for x in language_crf.tag(odd, None).collect()} == {"und"}
 
 
+def test_language_without_blanks(spark):
+    """One run of letters that changes language in the middle, and a long run in a script with blanks."""
+    assert "".join(language_crf.tokens("b" * 100 + " 漢字かな1")) == "b" * 100 + "漢字かな" and max(map(len, language_crf.tokens("b" * 100 + "漢" * 50))) <= 30
+    rng = np.random.default_rng(8)
+    run = lambda lang, n: "".join(chr(c) for c in rng.integers(*{"zh": (0x4E00, 0x4E60), "ja": (0x3042, 0x3090)}[lang], n))
+    docs = [(i, run(lang, 300), lang) for i, lang in enumerate(["zh", "ja"] * 30)]
+    model = language_crf.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    mixed = spark.createDataFrame([(1, run("zh", 2000) + run("ja", 2000))], "doc_id long, text string")
+    got = language_crf.tag(mixed, model, segments=True).first()["segments"]
+    path = np.repeat([s["lang"] for s in got], [s["n_words"] for s in got])
+    assert len(path) == 2000 and (path[:1000] == "zh").mean() > 0.98 and (path[1000:] == "ja").mean() > 0.98
+
+
 def bags_of(texts):
     out = {}
     for i, t in texts.items():
