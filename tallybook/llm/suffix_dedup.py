@@ -8,7 +8,7 @@ A byte is removed if it lies in a ``window``-byte string that also starts anywhe
 2. Minimisers that occur once are dropped by a count. Runs whose bytes occur several times are wholly repeated.
 3. For minimisers with different runs, one run of each content is fetched. All of these are suffixes to sort: from the
    minimiser to the right, and from it to the left. Deep-shallow sorting orders them: multikey quicksort on eight bytes
-   at a time down to a shallow depth, then a blind trie for each group that still agrees. It leaves common-prefix
+   at a time (three-way splits of all groups of a task at once) down to a shallow depth, then a blind trie for each group that still agrees. It leaves common-prefix
    lengths, and a window that reaches ``d`` bytes left is repeated if another run agrees with it ``d`` bytes to the left
    and ``window - d`` to the right.
 4. A minimiser with very many different runs is sorted in blocks of bounded size; what its blocks can't settle alone is
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.common import keep, table, text_batches, text_key
 
 CHUNK = 400_000
+BATCH = 5_000
 SHALLOW = 32
 
 
@@ -55,17 +56,20 @@ def runs_of(data: np.ndarray, doc_starts: np.ndarray, window: int, gram: int) ->
     if len(data) < window:
         return none, none, none, none.astype(np.uint64)
     h = gram_hashes(data, gram)
-    bits = np.uint64(int(len(h)).bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    ranked = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     wide = window - gram + 1
+    # a hash keeps all bits but those that hold a place inside a block of ``wide``: the choice is the same in every chunk
+    low = (np.uint64(1) << np.uint64(int(wide).bit_length())) - np.uint64(1)
+    ranked = (h & ~low) | (np.arange(len(h), dtype=np.uint64) % np.uint64(wide))
     padded = np.full(-(-len(ranked) // wide) * wide, np.iinfo(np.uint64).max, np.uint64)
     padded[: len(ranked)] = ranked
     blocks = padded.reshape(-1, wide)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     count = len(data) - window + 1
-    place = (np.minimum(behind[:count], ahead[wide - 1 : wide - 1 + count]) & low).astype(np.int64)
+    # a window covers the end of its block and the start of the next one; of equal hashes the left one counts
+    near, far = behind[:count], ahead[wide - 1 : wide - 1 + count]
+    begin = np.arange(count) // wide * wide
+    place = np.where((near & ~low) <= (far & ~low), begin + (near & low).astype(np.int64), np.arange(wide - 1, wide - 1 + count) // wide * wide + (far & low).astype(np.int64))
     inside = np.zeros(count + 1, bool)
     ends = np.append(doc_starts[1:], len(data))
     for a, b in zip(doc_starts.tolist(), (ends - window + 1).tolist(), strict=True):
@@ -149,33 +153,67 @@ def blind_trie(group: list[int], strings: list[bytes], depth: int) -> tuple[list
     return order, common
 
 
+def multikey_quicksort(order: np.ndarray, group: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the places of ``order`` inside each ``group`` by rows of ``words``, in place; returns the depth (in words) at which each place
+    parts from the one before it (the number of columns where it doesn't, or where a new group begins) and the final groups.
+
+    Multikey quicksort on all segments at once: each takes the median of three of its words at its depth as pivot and is split into
+    smaller, equal and larger ones by counting; the equal ones go on at the next depth, the others at the same. Segments of one
+    place, or that have used up the words, rest.
+    """
+    n, depths = words.shape
+    parts_at = np.full(n, depths, np.int64)
+    depth = np.zeros(n, np.int64)  # of the segment of each place
+    segment = group.copy()  # the number of each place's segment, rising
+    live = np.arange(n)
+    while len(live):
+        seg = segment[live]
+        fresh = np.r_[True, seg[1:] != seg[:-1]]
+        first = np.flatnonzero(fresh)
+        size = np.diff(np.append(first, len(live)))
+        of = np.repeat(np.arange(len(first)), size)
+        many = size[of] > 1
+        if not many.all():
+            live = live[many]
+            continue
+        value = words[order[live], depth[live]]
+        pivot = np.sort(np.stack([value[first], value[first + size // 2], value[first + size - 1]]), axis=0)[1]
+        side = (value > pivot[of]).astype(np.int64) + (value >= pivot[of])  # 0 smaller, 1 equal, 2 larger
+        counts = np.stack([np.bincount(of[side == k], minlength=len(first)) for k in range(3)], axis=1)
+        begins = first[:, None] + np.concatenate([np.zeros((len(first), 1), np.int64), np.cumsum(counts, axis=1)[:, :2]], axis=1)
+        target = np.empty(len(live), np.int64)
+        for k in range(3):  # a place goes behind those of its side that stood before it
+            mine = np.flatnonzero(side == k)
+            rank = np.arange(len(mine)) - np.repeat(np.cumsum(counts[:, k]) - counts[:, k], counts[:, k])
+            target[mine] = begins[of[mine], k] + rank
+        moved, moved_side = np.empty_like(live), np.empty_like(side)
+        moved[target], moved_side[target] = order[live], side
+        order[live] = moved
+        edge = np.flatnonzero((moved_side[1:] != moved_side[:-1]) & (of[1:] == of[:-1])) + 1
+        parts_at[live[edge]] = depth[live[edge]]
+        step = np.zeros(n, np.int64)
+        step[live[edge]] = 1
+        segment = segment + np.cumsum(step)
+        depth[live[moved_side == 1]] += 1
+        live = live[depth[live] < depths]
+    return parts_at, segment
+
+
 def deep_shallow(keys: np.ndarray, strings: list[bytes], shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """Order of ``strings`` within equal ``keys``, and the common-prefix length with the one before (-1: another key)."""
+    """Order of ``strings`` within equal ``keys``, and the common-prefix length with the one before (-1: another key).
+
+    Multikey quicksort on eight bytes at a time down to ``shallow`` bytes, then a blind trie for each group that still agrees.
+    """
     n = len(strings)
-    words = np.frombuffer(b"".join(s[:shallow].ljust(shallow, b"\0") for s in strings), ">u8").reshape(n, shallow // 8)
+    words = np.frombuffer(b"".join(s[:shallow].ljust(shallow, b"\0") for s in strings), ">u8").astype(np.uint64).reshape(n, shallow // 8)
     order = np.argsort(keys, kind="stable")
     group = np.zeros(n, np.int64)  # of each place in the order
     group[1:] = np.cumsum(keys[order][1:] != keys[order][:-1])
-    common = np.where(np.diff(group, prepend=-1) > 0, -1, shallow)
-    for w in range(shallow // 8):  # multikey quicksort, all groups of a level at once: only tied places go on
-        tied = np.zeros(n, bool)
-        tied[1:] |= group[1:] == group[:-1]
-        tied[:-1] |= group[1:] == group[:-1]
-        at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        value = words[order[at], w]
-        by = np.lexsort((value, group[at]))
-        order[at] = order[at][by]
-        value = value[by]
-        parts = np.zeros(n, bool)
-        parts[at[1:]] = (value[1:] != value[:-1]) & (group[at[1:]] == group[at[:-1]])
-        differs = np.flatnonzero(parts)
-        common[differs] = 8 * w
-        group = group + np.cumsum(parts)
-    exact = common.copy()
-    for p in np.flatnonzero((common >= 0) & (common < shallow)):  # the word says where they part at the earliest
-        exact[p] = agree(strings[order[p - 1]], strings[order[p]], int(common[p]))
+    new_key = np.diff(group, prepend=-1) > 0
+    parts_at, group = multikey_quicksort(order, group, words)
+    exact = np.where(new_key, -1, np.minimum(8 * parts_at, shallow))
+    for p in np.flatnonzero((exact >= 0) & (exact < shallow)):  # the word says where they part at the earliest
+        exact[p] = agree(strings[order[p - 1]], strings[order[p]], int(exact[p]))
     edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         if b - a > 1:
@@ -250,36 +288,66 @@ def _fetch(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 
 def _sort_blocks(members: DataFrame, window: int) -> DataFrame:
-    """Windows of single runs: id, start, settled (repeated inside the block), h1, h2; digests only for minimisers of several blocks (and ``n`` places)."""
+    """Windows of single runs: id, start, windows, settled (repeated inside the block), several, h1, h2, n.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = pa.Table.from_batches(list(batches), schema=schema)  # a shuffle partition; hot minimisers come in blocks
-        if not len(got):
-            return
-        keys = got["key"].to_numpy()
-        _, keys = np.unique(np.stack([keys, got["block"].to_numpy().astype(np.int64)], axis=1), axis=0, return_inverse=True)
+    Settled ones are ranges of window starts. For minimisers of several blocks, each window that isn't settled comes alone, with its digest
+    and a number of places (2 for one whose content is known to occur several times).
+    A task works through its sorted rows a few groups at a time; it never holds more than BATCH rows and one block.
+    """
+
+    def one(got: pa.Table) -> Iterator[pa.RecordBatch]:
+        _, keys = np.unique(np.stack([got["key"].to_numpy(), got["block"].to_numpy().astype(np.int64)], axis=1), axis=0, return_inverse=True)
         offsets, counts, start = got["offset"].to_numpy().astype(np.int64), got["windows"].to_numpy().astype(np.int64), got["start"].to_numpy()
         strings, single, several = got["bytes"].to_pylist(), got["single"].to_numpy(zero_copy_only=False), got["blocks"].to_numpy() > 1
         ids = got["id"].combine_chunks()
-        for d, have, classes in repeated_windows(keys, offsets, counts, strings, window):
+        hit_run, hit_begin = [], []
+        for d, have, classes in repeated_windows(keys.ravel(), offsets, counts, strings, window):
             _, first, same, many = np.unique(classes, return_index=True, return_inverse=True, return_counts=True)
             again = many[same] > 1
-            show = (again & single[have]) | several[have]
-            show[first] |= several[have[first]]
-            show &= ~(several[have] & again & ~single[have] & ~np.isin(np.arange(len(have)), first))
+            settled = have[again & single[have]]
+            hit_run.append(settled)
+            hit_begin.append(offsets[settled] - d)
+            show = first[several[have[first]]]  # one of each class stands for it in the other blocks
             at = have[show]
-            if not len(at):
-                continue
-            begin = offsets[at] - d
-            digests = b"".join(xxhash.xxh3_128_digest(strings[i][b : b + window]) if several[i] else bytes(16) for i, b in zip(at.tolist(), begin.tolist(), strict=True))
-            halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at)), pa.array(start[at] + begin), pa.array((again[show] & single[at])), pa.array(several[at]), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(np.where(single[at], 1, 2).astype(np.int32))],
-                names=["id", "start", "settled", "several", "h1", "h2", "n"],
-            )
+            if len(at):
+                begin = offsets[at] - d
+                digests = b"".join(xxhash.xxh3_128_digest(strings[i][b : b + window]) for i, b in zip(at.tolist(), begin.tolist(), strict=True))
+                halves = np.frombuffer(digests, ">i8").astype(np.int64).reshape(-1, 2)
+                done, twice = again[show] & single[at], again[show] | ~single[at]
+                yield batch_of(ids.take(pa.array(at)), start[at] + begin, np.ones(len(at)), done, np.ones(len(at), bool), halves[:, 0], halves[:, 1], np.where(twice, 2, 1))
+        run, begin = np.concatenate(hit_run or [np.zeros(0, np.int64)]), np.concatenate(hit_begin or [np.zeros(0, np.int64)])
+        if len(run):  # windows that follow each other become one range
+            by = np.lexsort((begin, run))
+            run, begin = run[by], begin[by]
+            fresh = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (begin[1:] != begin[:-1] + 1)])
+            long, zero = np.diff(np.append(fresh, len(run))), np.zeros(len(fresh), np.int64)
+            yield batch_of(ids.take(pa.array(run[fresh])), start[run[fresh]] + begin[fresh], long, zero == 0, zero != 0, zero, zero, zero)
+
+    def batch_of(ids, start, windows, settled, several, h1, h2, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(start, pa.int64()), pa.array(windows.astype(np.int32)), pa.array(settled), pa.array(several), pa.array(h1), pa.array(h2), pa.array(np.asarray(n).astype(np.int32))], names=["id", "start", "windows", "settled", "several", "h1", "h2", "n"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:  # sorted by key and block
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BATCH:
+                got = pa.Table.from_batches(held, schema=schema)
+                key, block = got["key"].to_numpy(), got["block"].to_numpy()
+                ends = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]))
+                if len(ends):  # all but the last group are whole
+                    cut = int(ends[-1]) + 1
+                    yield from one(got.slice(0, cut))
+                    got = got.slice(cut)
+                held, rows = got.combine_chunks().to_batches(), len(got)
+        if rows:
+            yield from one(pa.Table.from_batches(held, schema=schema))
 
     schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("blocks", pa.int32()), ("offset", pa.int32()), ("windows", pa.int32()), ("start", pa.int64()), ("single", pa.bool_()), ("id", pa.binary()), ("bytes", pa.binary())])
-    return members.select(*schema.names).repartition("key", "block").mapInArrow(run, "id binary, start long, settled boolean, several boolean, h1 long, h2 long, n int")
+    dealt = members.select(*schema.names).repartition("key", "block").sortWithinPartitions("key", "block")
+    return dealt.mapInArrow(run, "id binary, start long, windows int, settled boolean, several boolean, h1 long, h2 long, n int")
 
 
 def repeated_ranges(docs: DataFrame, window: int = 200, gram: int = 32, block: int = 2000) -> DataFrame:
@@ -299,12 +367,11 @@ def repeated_ranges(docs: DataFrame, window: int = 200, gram: int = 32, block: i
     wanted = per_content.join(blocks, F.col("key") == F.col("__key")).withColumns({"block": F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"), "single": F.col("n") == 1})
     members = keep(_fetch(docs, wanted.select("id", "start", "windows", "offset", "key", "block", "blocks", "single"), window), "suffix-members")
     windows = keep(_sort_blocks(members, window), "suffix-windows")
-    one = F.lit(1).cast("int")
-    parts = windows.where("settled").select("id", "start", one.alias("windows"))
+    parts = windows.where("settled").select("id", "start", "windows")
     across = windows.where("several").groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n > 1")
     across = keep(across.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2")), "suffix-across")
     open_ = windows.where(F.col("several") & ~F.col("settled") & (F.col("n") == 1))
-    found = open_.join(across, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2"))).select("id", "start", one.alias("windows"))
+    found = open_.join(across, (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2"))).select("id", "start", "windows")
     return whole.unionAll(parts).unionAll(found).groupBy("id", "start").agg(F.max("windows").alias("windows"))
 
 

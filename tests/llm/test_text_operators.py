@@ -195,6 +195,31 @@ def test_deep_shallow_sorts():
         assert common[p] == want
 
 
+def test_minimisers_do_not_depend_on_the_chunk():
+    """The same bytes choose the same places alone, later in a long chunk, and beside other documents; of equal grams the left one."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 101, 900).astype(np.uint8)
+    text[300:640] = 97  # equal grams side by side
+    alone = suffix_dedup.runs_of(text, np.array([0]), 200, 32)
+    for before in (1, 7, 1000, 5_003, 300_000):
+        joined = np.concatenate([rng.integers(0, 256, before).astype(np.uint8), text])
+        got = suffix_dedup.runs_of(joined, np.array([0, before]), 200, 32)
+        mine = got[0] >= before
+        assert [tuple(x[mine] - (before if k == 0 else 0)) for k, x in enumerate(got[:3])] == [tuple(x) for x in alone[:3]] and (got[3][mine] == alone[3]).all()
+    assert (alone[3] == suffix_dedup.gram_hashes(text, 32)[alone[0] + alone[2]]).all()
+
+
+@pytest.mark.parametrize("chunk", [1_000, 7_777, 400_000])
+def test_substrings_with_small_chunks(spark, real, chunk, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 50 if chunk < 5000 else 5_000)
+    docs = real.select("doc_id", "text").limit(120)
+    rows = docs.collect()
+    expected = removed_by_brute_force([(r["text"] or "").encode() for r in rows], 200)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.dedup_substrings(docs).collect()}
+    assert got == dict(zip([r["doc_id"] for r in rows], expected, strict=True))
+
+
 @pytest.mark.parametrize("block", [2000, 3])
 def test_substrings(spark, real, odd, block):
     rng = np.random.default_rng(3)
