@@ -26,6 +26,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -82,82 +83,84 @@ def pieces(docs: DataFrame, length: int = 1024, tokenizer: str = "byte_bpe_50k")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-class Bins:
-    """Best fit with a bit per amount of free room, so that the tightest bin is found by a bit scan."""
-
-    def __init__(self, length: int):
-        self.length, self.bins, self.rooms, self.mask = length, [], [[] for _ in range(length + 1)], 0
-
-    def add(self, items: list[int], used: int) -> None:
-        room = self.length - used
-        self.rooms[room].append(len(self.bins))
-        self.mask |= 1 << room
-        self.bins.append(items)
-
-    def put(self, item: int, size: int) -> None:
-        fits = self.mask >> size
-        if not fits:
-            self.add([item], size)
-            return
-        room = size + (fits & -fits).bit_length() - 1
-        b = self.rooms[room].pop()
-        if not self.rooms[room]:
-            self.mask ^= 1 << room
-        self.bins[b].append(item)
-        self.rooms[room - size].append(b)
-        self.mask |= 1 << (room - size)
-
-
-def best_fit(items: list[int], sizes: list[int], length: int, start: list[list[int]] = ()) -> list[list[int]]:
-    """Bins of item numbers: those in ``start``, with ``items`` put in by best fit in the given order."""
-    bins = Bins(length)
-    for b in start:
-        bins.add(list(b), sum(map(sizes.__getitem__, b)))
-    for i in items:
-        bins.put(i, sizes[i])
-    return bins.bins
-
-
-def fitness(bins: list[list[int]], sizes: list[int], length: int) -> tuple[int, float]:
-    """Fewer bins first, then fuller ones (mean square fill)."""
-    return -len(bins), sum((sum(map(sizes.__getitem__, b)) / length) ** 2 for b in bins)
-
-
-def crossover(mine: list[list[int]], other: list[list[int]], sizes: list[int], length: int, rng: np.random.Generator) -> list[list[int]]:
-    """Injects well-filled bins of ``other`` into ``mine``, drops bins that would double a piece, best-fits what they held."""
-    fill = np.array([sum(map(sizes.__getitem__, b)) for b in other]) / length
-    chosen = [other[i] for i in np.flatnonzero((fill >= np.quantile(fill, 0.5)) & (rng.random(len(other)) < 0.5))]
-    taken = {i for b in chosen for i in b}
-    whole, displaced = [], []
-    for b in mine:
-        if taken.isdisjoint(b):
-            whole.append(b)
+@dataclass
+class Packing:
+    """Each piece's bin, and how much of each bin is used."""
+
+    bin_of: np.ndarray
+    used: np.ndarray
+
+    def fitness(self, length: int) -> tuple[int, float]:
+        """Fewer bins first, then fuller ones (mean square fill)."""
+        return -len(self.used), float(((self.used / length) ** 2).sum())
+
+
+def best_fit(order: np.ndarray, sizes: np.ndarray, length: int, start: Packing | None = None) -> Packing:
+    """``start`` with the pieces ``order`` put in one by one, each into the bin that it leaves the least room in.
+
+    A bit per amount of free room tells which amounts there are, so the tightest bin is found by a bit scan.
+    """
+    bin_of = np.full(len(sizes), -1) if start is None else start.bin_of.copy()
+    used = [] if start is None else start.used.tolist()
+    rooms: list[list[int]] = [[] for _ in range(length + 1)]
+    mask = 0
+    for b, u in enumerate(used):
+        rooms[length - u].append(b)
+    for room, there in enumerate(rooms):
+        if there:
+            mask |= 1 << room
+    into = []
+    for size in sizes[order].tolist():
+        fits = mask >> size
+        if fits:
+            room = size + (fits & -fits).bit_length() - 1
+            b = rooms[room].pop()
+            if not rooms[room]:
+                mask ^= 1 << room
+            used[b] += size
         else:
-            displaced += [i for i in b if i not in taken]
-    poor = [k for k, b in enumerate(whole) if sum(map(sizes.__getitem__, b)) < 0.9 * length]
-    drop = {k for k in poor if rng.random() < 0.5}  # mutation: ill-filled bins are opened again
-    displaced += [i for k in drop for i in whole[k]]
-    whole = [b for k, b in enumerate(whole) if k not in drop]
-    displaced.sort(key=sizes.__getitem__, reverse=True)
-    return best_fit(displaced, sizes, length, [*chosen, *whole])
+            b, room = len(used), length
+            used.append(size)
+        rooms[room - size].append(b)
+        mask |= 1 << (room - size)
+        into.append(b)
+    bin_of[order] = into
+    return Packing(bin_of, np.array(used, np.int64))
 
 
-def evolve(sizes: list[int], length: int, seeds: list[list[list[int]]], population: int, generations: int, rng: np.random.Generator) -> list[list[int]]:
+def crossover(mine: Packing, other: Packing, sizes: np.ndarray, length: int, rng: np.random.Generator) -> Packing:
+    """Injects well-filled bins of ``other`` into ``mine``, drops bins that would double a piece, best-fits what they held."""
+    chosen = (other.used >= np.quantile(other.used, 0.5)) & (rng.random(len(other.used)) < 0.5)
+    taken = chosen[other.bin_of]
+    whole = np.ones(len(mine.used), bool)
+    whole[mine.bin_of[taken]] = False
+    whole &= (mine.used >= 0.9 * length) | (rng.random(len(mine.used)) >= 0.5)  # mutation: ill-filled bins are opened again
+    stays = whole[mine.bin_of] & ~taken
+    bin_of = np.full(len(sizes), -1)
+    bin_of[taken] = (np.cumsum(chosen) - 1)[other.bin_of[taken]]
+    bin_of[stays] = chosen.sum() + (np.cumsum(whole) - 1)[mine.bin_of[stays]]
+    displaced = np.flatnonzero(bin_of < 0)
+    falling = displaced[np.argsort(-sizes[displaced], kind="stable")]
+    return best_fit(falling, sizes, length, Packing(bin_of, np.concatenate([other.used[chosen], mine.used[whole]])))
+
+
+def evolve(sizes: np.ndarray, length: int, seed: Packing | None, population: int, generations: int, rng: np.random.Generator) -> Packing:
     """The best packing after ``generations`` crossovers; a packing at the lower bound ends it."""
-    bound = -(-sum(sizes) // length)
-    falling = sorted(range(len(sizes)), key=sizes.__getitem__, reverse=True)
-    people = list(seeds) or [best_fit(falling, sizes, length)]
+    bound = -(-int(sizes.sum()) // length)
+    people = [seed or best_fit(np.argsort(-sizes, kind="stable"), sizes, length)]
+    if len(people[0].used) <= bound:
+        return people[0]
     while len(people) < population:
-        jitter = np.asarray(sizes) * (1 + 0.3 * rng.random(len(sizes)))
-        people.append(best_fit(np.argsort(-jitter).tolist(), sizes, length))
-    scored = sorted(((fitness(p, sizes, length), k, p) for k, p in enumerate(people)), reverse=True)
+        jitter = sizes * (1 + 0.3 * rng.random(len(sizes)))
+        people.append(best_fit(np.argsort(-jitter), sizes, length))
+    scored = sorted(((p.fitness(length), k, p) for k, p in enumerate(people)), key=lambda x: x[:2], reverse=True)
     for g in range(generations):
         if -scored[0][0][0] <= bound:
             break
         i, j = rng.choice(len(scored), 2, replace=False)
         child = crossover(scored[i][2], scored[j][2], sizes, length, rng)
-        scored[-1] = (fitness(child, sizes, length), population + g, child)
-        scored.sort(reverse=True)
+        scored[-1] = (child.fitness(length), population + g, child)
+        scored.sort(key=lambda x: x[:2], reverse=True)
     return scored[0][2]
 
 
@@ -170,14 +173,12 @@ def _pack_round(items: DataFrame, problems: int, length: int, islands: int, epoc
         def island(pdf: pd.DataFrame) -> pd.DataFrame:
             """Rows of one island: its pieces, each with its bin in the packing that came in (-1: none)."""
             pdf = pdf.sort_values("uid", kind="stable").reset_index(drop=True)
-            sizes, problem, number = pdf["length"].tolist(), int(pdf["problem"].iloc[0]), int(pdf["island"].iloc[0])
-            seeds = [] if (pdf["elite"] < 0).any() else [[g.tolist() for g in pdf.groupby("elite").indices.values()]]
+            sizes, problem, number = pdf["length"].to_numpy(), int(pdf["problem"].iloc[0]), int(pdf["island"].iloc[0])
+            elite = pdf["elite"].to_numpy()
+            seed = None if (elite < 0).any() else Packing(elite, np.bincount(elite, sizes).astype(np.int64))
             rng = np.random.default_rng([problem, number, epoch, round_no])
-            best = evolve(sizes, length, seeds, population, generations, rng)
-            elite = np.empty(len(pdf), np.int64)
-            for b, group in enumerate(best):
-                elite[group] = b
-            return pdf.assign(elite=elite, bins=len(best), square=fitness(best, sizes, length)[1])
+            best = evolve(sizes, length, seed, population, generations, rng)
+            return pdf.assign(elite=best.bin_of, bins=len(best.used), square=best.fitness(length)[1])
 
         return island
 
@@ -194,7 +195,7 @@ def _pack_round(items: DataFrame, problems: int, length: int, islands: int, epoc
     return keep(best.join(fills, F.col("bin") == F.col("__bin")).drop("__bin"), "pack-best")
 
 
-def pack(cut: DataFrame, length: int = 1024, problem: int = 2000, islands: int = 3, epochs: int = 2, population: int = 3, generations: int = 8, settled: float = 0.995) -> DataFrame:
+def pack(cut: DataFrame, length: int = 1024, problem: int = 2000, islands: int = 3, epochs: int = 2, population: int = 4, generations: int = 12, settled: float = 0.995) -> DataFrame:
     """``cut`` (length and others, each row at most ``length`` long) with sequence_id and offset."""
     cut = keep(cut.withColumn("__uid", F.monotonically_increasing_id()), "pack-pieces")
     full = cut.where(F.col("length") == length).withColumns({"sequence_id": -1 - F.col("__uid"), "offset": F.lit(0).cast("long")})

@@ -137,11 +137,13 @@ def test_packing(spark):
 
 def test_crossover_keeps_every_piece():
     rng = np.random.default_rng(0)
-    sizes = rng.integers(1, 1024, 300).tolist()
-    a = packing.best_fit(list(range(300)), sizes, 1024)
-    b = packing.best_fit(list(range(299, -1, -1)), sizes, 1024)
+    sizes = rng.integers(1, 1024, 300)
+    a, b = packing.best_fit(np.arange(300), sizes, 1024), packing.best_fit(np.arange(299, -1, -1), sizes, 1024)
     child = packing.crossover(a, b, sizes, 1024, rng)
-    assert sorted(i for group in child for i in group) == list(range(300)) and all(sum(sizes[i] for i in group) <= 1024 for group in child)
+    for p in (a, b, child):
+        assert (p.bin_of >= 0).all() and (np.bincount(p.bin_of, sizes) == p.used).all() and p.used.max() <= 1024
+    best = packing.evolve(sizes, 1024, None, 4, 12, rng)
+    assert len(best.used) <= min(len(a.used), len(b.used)) and (np.bincount(best.bin_of, sizes) == best.used).all()
 
 
 def test_mix(spark):
