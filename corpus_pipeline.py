@@ -13,11 +13,15 @@ from tallybook.llm.common import keep, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those in which no language reaches three words in ten, go."""
+    """Documents without a letter go, and those of whose words less than half (by mean probability) are of a learned language.
+
+    Without any row to learn from, every document that has a letter stays. Null and empty texts go; repeated rows are judged alike.
+    """
     model = language_crf.train(docs)
-    tagged = language_crf.tag(docs.withColumnsRenamed({"score": "__score", "lang_pred": "__lang_pred"}), model)
-    stays = (F.col("lang_pred") != "und") & (F.col("score") >= 0.3) if model else F.col("text").rlike(r"\p{L}")
-    return tagged.where(stays).drop("lang_pred", "score").withColumnsRenamed({"__score": "score", "__lang_pred": "lang_pred"}).select(*docs.columns)
+    made = {c: f"__{c}" for c in ("lang_pred", "score", "support")}
+    tagged = language_crf.tag(docs.withColumnsRenamed(made), model)
+    stays = (F.col("lang_pred") != "und") & (F.col("support") >= 0.5) if model else F.col("text").rlike(r"\p{L}")
+    return tagged.where(stays).drop(*made).withColumnsRenamed({v: k for k, v in made.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
