@@ -2,9 +2,11 @@
 
 A document is the multiset of its five-word shingles (lower-cased words; a shorter text is one shingle of all its words).
 For every shingle, a Poisson process runs in the plane of time and weight, the same in all documents that hold it. The
-weight axis is discretised into [0, 1), [1, 2), [2, 4), [4, 8) and so on, one process per cell; a document with weight
-``w`` sees the points below ``w``. Each point falls into one of ``registers`` registers, and a register keeps its earliest
-point, so two documents agree in a register with a probability that is their weighted Jaccard similarity. A shingle's
+weight axis is discretised to whole numbers and cut into [0, 1), [1, 2), [2, 4), [4, 8) and so on. Each of these is the root of
+a hierarchy: a process gives its first point, whose bits tell the unit of weight where it lies, and then splits into two
+processes of half the width and half the rate, which go on from that time; a unit wide process isn't split. A document with weight ``w``
+sees the points below ``w`` and never enters a half that lies above. Each point falls into one of ``registers`` registers, and a register keeps its earliest
+point, so two documents agree in a register with a probability that is their weighted Jaccard similarity. A
 process stops once its time is past the latest register, so the work is near the number of shingles, not times registers.
 
 Registers are cut into bands. Documents of one exact text are one vertex. In every bucket (a band's value) that holds
@@ -16,8 +18,8 @@ texts of a bucket is lost, while a large group of near copies never makes all it
 With 32 bands of 6 registers a pair at similarity 0.8 is missed with a probability of 6e-5, at 0.85 with 5e-8.
 
 Edge cases: null and blank texts are classes of their own; a text of fewer than five words equals only texts of the same
-words; repeated rows are copies, of which the first (by doc_id, nulls first) stays; very long texts are taken whole; an
-empty table gives no rows; other columns are carried along by ``dedup``.
+words; repeated rows are copies, of which the first (by doc_id, nulls first) stays, and of rows that tie in id and text one; very long texts
+are taken whole; an empty table gives no rows; other columns are carried along by ``dedup``, whatever their names.
 """
 
 from __future__ import annotations
@@ -81,36 +83,52 @@ def shingle_bags(texts: list[str], hashes: dict[str, int], n: int) -> tuple[np.n
 
 def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
     """[n_docs, registers] identities of the winning points; documents without shingles keep zeros."""
-    top = 1 + np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64)  # cells that begin below the weight
+    top = 1 + np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64)  # roots that begin below the weight
     item = np.repeat(np.arange(len(doc)), top)
-    cell = np.arange(len(item)) - np.repeat(np.cumsum(top) - top, top)
-    low = np.where(cell == 0, 0, 2.0 ** (cell - 1))
-    rate = np.where(cell == 0, 1, 2.0 ** (cell - 1))
-    d, w = doc[item], weight[item].astype(float)
-    seed = mix(shingle[item] ^ (cell.astype(np.uint64) * _MIX[2]))
+    root = np.arange(len(item)) - np.repeat(np.cumsum(top) - top, top)
+    # live processes: document, weight, where they begin, width (and rate), seed, time, number of points
+    d, w = doc[item], weight[item]
+    low, size = np.where(root == 0, 0, 1 << np.maximum(root - 1, 0)), 1 << np.maximum(root - 1, 0)
+    seed = mix(shingle[item] ^ (root.astype(np.uint64) * _MIX[2]))
     time, count = np.zeros(len(item)), np.zeros(len(item), np.uint64)
     best = np.full(n_docs * registers, np.inf)
     winner = np.zeros(n_docs * registers, np.uint64)
     latest = np.full(n_docs, np.inf)
-    live = np.arange(len(item))
-    while len(live):
-        many = int(np.clip(30_000 // len(live), 1, 64))
-        number = count[live][:, None] + np.arange(1, many + 1, dtype=np.uint64)
-        r = mix(seed[live][:, None] ^ (number * _MIX[0]))
-        gap = -np.log1p(-(r >> np.uint64(11)).astype(float) * 2.0**-53) / rate[live][:, None]
-        t = time[live][:, None] + np.cumsum(gap, axis=1)
+
+    def points(at: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+        """The next ``many`` points of the processes ``at`` go to their registers; returns the times and random bits of all."""
+        number = count[at][:, None] + np.arange(1, many + 1, dtype=np.uint64)
+        r = mix(seed[at][:, None] ^ (number * _MIX[0]))
+        gap = -np.log1p(-(r >> np.uint64(11)).astype(float) * 2.0**-53) / size[at][:, None]
+        t = time[at][:, None] + np.cumsum(gap, axis=1)
         r2 = mix(r ^ _MIX[1])
-        height = low[live][:, None] + (r2 >> np.uint64(40)).astype(float) * 2.0**-24 * rate[live][:, None]
-        register = d[live][:, None] * registers + ((r2 & np.uint64(0xFFFFFFFF)) % np.uint64(registers)).astype(np.int64)
-        use = (height < w[live][:, None]) & (t <= latest[d[live]][:, None])
-        register, points, identity = register[use], t[use], r[use]
-        np.minimum.at(best, register, points)
-        won = points == best[register]
+        unit = low[at][:, None] + (r2 >> np.uint64(33)).astype(np.int64) % size[at][:, None]
+        register = d[at][:, None] * registers + ((r2 & np.uint64(0xFFFFFFFF)) % np.uint64(registers)).astype(np.int64)
+        use = (unit < w[at][:, None]) & (t <= latest[d[at]][:, None])
+        register, when, identity = register[use], t[use], r[use]
+        np.minimum.at(best, register, when)
+        won = when == best[register]
         winner[register[won]] = identity[won]
-        time[live], count[live] = t[:, -1], number[:, -1]
-        if many > 1 or len(live) > n_docs:
+        return t, r
+
+    while len(d):
+        many = int(np.clip(30_000 // len(d), 1, 64))
+        wide = np.flatnonzero(size > 1)
+        units = np.flatnonzero(size == 1)
+        t, _ = points(units, many)
+        time[units], count[units] = t[:, -1], count[units] + np.uint64(many)
+        if len(wide):
+            t = points(wide, 1)[0][:, 0]
+            half = size[wide] >> 1
+            upper = np.flatnonzero(low[wide] + half < w[wide])
+            halves = [(wide, low[wide], half, mix(seed[wide] ^ _MIX[1]), t), (wide[upper], (low[wide] + half)[upper], half[upper], mix(seed[wide] ^ _MIX[2])[upper], t[upper])]
+            d, w = (np.concatenate([x[units], *[x[h[0]] for h in halves]]) for x in (d, w))
+            low, size, seed, time = (np.concatenate([x[units], *[h[k] for h in halves]]) for k, x in ((1, low), (2, size), (3, seed), (4, time)))
+            count = np.concatenate([count[units], np.zeros(len(d) - len(units), np.uint64)])
+        if many > 1 or len(d) > n_docs:
             latest = best.reshape(n_docs, registers).max(axis=1)
-        live = live[time[live] <= latest[d[live]]]
+        stay = np.flatnonzero(time <= latest[d])
+        d, w, low, size, seed, time, count = (x[stay] for x in (d, w, low, size, seed, time, count))
     return winner.reshape(n_docs, registers)
 
 
@@ -295,9 +313,9 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without all but the first document of each class."""
     found = classes(docs.select("doc_id", "text"), **options)
     stay = keep(found.where((F.col("key") == F.col("class_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k")).distinct(), "bag-stay")
-    keyed = docs.withColumn("__key", F.when(F.col("text").rlike(r"\S"), text_key("text")))
-    once = keyed.join(stay, (F.col("__key") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__d"))).dropDuplicates(["doc_id", "__key"])
-    return once.select(*docs.columns).unionByName(keyed.where(F.col("__key").isNull()).select(*docs.columns))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"), F.col("doc_id").alias("__doc"), F.when(F.col("text").rlike(r"\S"), text_key("text")).alias("__key"))
+    once = keyed.join(stay, (F.col("__key") == F.col("__k")) & F.col("__doc").eqNullSafe(F.col("__d"))).dropDuplicates(["__doc", "__key"])
+    return once.select("__own").unionByName(keyed.where(F.col("__key").isNull()).select("__own")).select("__own.*")
 
 
 def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
