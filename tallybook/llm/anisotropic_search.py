@@ -16,8 +16,10 @@ order of their ids.
 
 Recall against brute force is measured in the tests (1 but for ties in the last digits).
 
-Edge cases: vectors that are null, empty, all zeros, or hold null or non-finite components take no part, nor do rows with
-a null vec_id; vectors of another length than a query's are no candidates for it; repeated rows are candidates of their
+Vectors travel in their own type (four bytes a component for floats) and are widened to doubles in the task.
+
+Edge cases: vectors that are null, empty, all zeros, or hold null or non-finite components take no part; a row with a null vec_id
+is a candidate like any other (ties put it last) and asks only if ``is_query`` holds for it; other columns are left out; vectors of another length than a query's are no candidates for it; repeated rows are candidates of their
 own; fewer than ``k`` candidates give as many rows; ties go to the smaller vec_id; an empty table gives no rows.
 """
 
@@ -88,7 +90,7 @@ def train(x: np.ndarray, eta: float, rounds: int = 6, seed: int = 3) -> np.ndarr
 
 def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sample: int = 4096, threshold: float = 0.2, row_block: int = 4096, query_block: int = 4096) -> DataFrame:
     """``rows`` (vec_id, embedding) -> query_id, rank, vec_id, score for the rows that ``is_query`` holds for."""
-    clean = rows.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    clean = rows.where(usable(F.col("embedding"))).select("vec_id", F.col("embedding").alias("vector"))
     clean = clean.withColumn("dim", F.size("vector"))
     books: dict[int, tuple[np.ndarray, float]] = {}
     for dim in [r[0] for r in clean.select("dim").distinct().collect()]:
@@ -110,7 +112,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
                     pdf.iat[i, pdf.columns.get_loc("code")] = c.tobytes()
             yield pdf
 
-    coded = keep(clean.mapInPandas(code, "vec_id long, vector array<double>, dim int, code binary, off double").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
+    own = clean.schema["vector"].dataType.simpleString()
+    coded = keep(clean.mapInPandas(code, f"vec_id long, vector {own}, dim int, code binary, off double").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
     queries = coded.where(is_query)
     row_blocks, query_blocks = (max(1, -(-x.count() // size)) for x, size in ((coded, row_block), (queries, query_block)))
     block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
@@ -125,8 +128,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
         if not len(q) or not len(c):
             return none
         b = books[int(key[0])][0]
-        c = c.sort_values(["vec_id", "uid"], kind="stable")
-        x, ids, uids = as_matrix(c["vector"]), c["vec_id"].to_numpy(), c["uid"].to_numpy()
+        c = c.sort_values(["vec_id", "uid"], kind="stable", na_position="last")
+        x, uids = as_matrix(c["vector"]), c["uid"].to_numpy()
+        ids = [None if pd.isna(i) else int(i) for i in c["vec_id"]]
         _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
         by_vector = np.argsort(same, kind="stable")  # rows of equal vectors side by side, smaller ids first
         begins = np.searchsorted(same[by_vector], np.arange(len(first) + 1))
@@ -134,7 +138,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
         codes = np.empty((len(first), packed.shape[1] * 2), np.uint8)
         codes[:, 0::2], codes[:, 1::2] = packed & 15, packed >> 4
         off = c["off"].to_numpy()[first] + SLACK
-        y = as_matrix(q["vector"])
+        y, asked = as_matrix(q["vector"]), [None if pd.isna(i) else int(i) for i in q["vec_id"]]
         tables = np.einsum("qpi,pki->qpk", parts(unit(y)), b).astype(np.float32)
         n = min(max(rerank, k + 1), len(first))
         last = min(k + 1, n)  # one of them may be the query itself
@@ -163,15 +167,15 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
                 for j in np.flatnonzero(scored >= least):  # at least k + 1 distinct vectors, and all that tie with the last
                     v = at[j]
                     group = by_vector[begins[v] : min(begins[v + 1], begins[v] + k + 1)]
-                    found += [(-scored[j], ids[g], uids[g]) for g in group]
+                    found += [(-scored[j], ids[g] is None, ids[g] or 0, uids[g], ids[g]) for g in group]
                 me = q["uid"].iloc[s + i]
-                found = sorted(f for f in found if f[2] != me)[:k]
-                out += [(me, q["vec_id"].iloc[s + i], f[1], -f[0]) for f in found]
-        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"]) if out else none
+                found = sorted(f[:4] + (f[4] is not None,) for f in found if f[3] != me)[:k]
+                out += [(me, asked[s + i], f[2] if f[4] else None, -f[0]) for f in found]
+        return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"]).astype({"query_id": "Int64", "vec_id": "Int64"}) if out else none
 
     keys = ("dim", "q", "r")
     found = left.unionByName(right).groupBy(*keys).applyInPandas(scan, "query long, query_id long, vec_id long, score double")
-    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
