@@ -1,8 +1,8 @@
 """License scan by diagonal voting over word k-grams.
 
 1. Words: A-Z lower-cased, then maximal runs of digits, a-z and non-ASCII characters.
-2. The hashes of all rolling k-grams of all documents are joined to the templates' k-gram positions (a bounded table, so it
-   is broadcast); the join also compares the words, so no hash collision survives. Only hits, and one narrow row per
+2. The hashes of all rolling k-grams of all documents are joined to the templates' k-gram positions (broadcast only while the
+   templates are at most SMALL characters long); the join also compares the words, so no hash collision survives. Only hits, and one narrow row per
    document that carries its counts, go on.
 3. Votes are counted by (document, template, diagonal), where the diagonal is document position minus template position.
 4. Neighbouring diagonals (at most ``gap`` apart: words put in or left out) are merged into one span.
@@ -16,11 +16,12 @@ hit and one narrow row per document, never a text.
 
 Edge cases: null text is an empty text (no words, no labels, score 0); very long texts are scanned whole; repeated rows
 are documents of their own (rows are told apart by position, not by doc_id); a null doc_id is kept; an empty table gives
-no rows; other columns are left alone.
+no rows; other columns are carried along, whatever their names, but for those that are named like a result.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,12 +46,13 @@ TEMPLATES = {
 }
 
 
+SMALL = 1_000_000
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    """Lower-case, then cut at all ASCII characters but digits and a-z (case beyond A-Z moves no cut and no ASCII word)."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAPS), "")
+    """A-Z lower-cased, then cut at all ASCII characters but digits and a-z."""
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase), GAPS), "")
 
 
 def _grams(tokens: Column, k: int) -> Column:
@@ -97,18 +99,19 @@ def spans(docs: DataFrame, base: Mapping[str, str] = BASE, templates: Mapping[st
     grams = template_grams(docs.sparkSession, templates, k)
     made = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
     rest = [c for c in docs.columns if c != "text" and c not in made]
-    d = docs.select(*rest, words(F.col("text")).alias("__w"), F.monotonically_increasing_id().alias("__row"))
+    d = docs.select(F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in rest]).alias("__rest"), words(F.col("text")).alias("__w"), F.monotonically_increasing_id().alias("__row"))
     some = F.arrays_overlap("__w", F.array(*[F.lit(max(p.split(), key=len)) for p in base]))  # else no phrase can stand there
     flat = F.when(some, F.concat(F.lit(" "), F.array_join("__w", "  "), F.lit(" "))).otherwise("")
     d = d.withColumns({"n_words": F.size("__w").cast("long"), "__flat": flat}).withColumns(_phrase_columns(base)).drop("__flat")
-    kept = [*rest, "n_words", "n_base", "first_word", "last_word", "__base"]
-    h = d.select("__row", *kept, F.posexplode_outer(_grams(F.col("__w"), k)).alias("pos", "g")).select("__row", *kept, "pos", *_gram_words(k))
+    info = F.struct("__rest", "n_words", "n_base", "first_word", "last_word", "__base").alias("__info")
+    h = d.select("__row", info, F.posexplode_outer(_grams(F.col("__w"), k)).alias("pos", "g")).select("__row", "__info", "pos", *_gram_words(k))
     h = h.withColumn("hash", F.xxhash64(*[f"w{j}" for j in range(k)]))
     same = F.col("hash") == F.col("t_hash")
     for j in range(k):
         same = same & (F.col(f"w{j}") == F.col(f"t{j}"))
-    h = h.join(F.broadcast(grams), same, "left").where(F.col("label").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))  # a document's first row stays
-    h = h.select("__row", F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__info"), "label", "n_grams", "pos", "t_pos", (F.col("pos") - F.col("t_pos")).alias("diag"))
+    grams = F.broadcast(grams) if sum(map(len, templates.values())) <= SMALL else grams
+    h = h.join(grams, same, "left").where(F.col("label").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))  # a document's first row stays
+    h = h.select("__row", "__info", "label", "n_grams", "pos", "t_pos", (F.col("pos") - F.col("t_pos")).alias("diag"))
     votes = h.groupBy("__row", "label", "n_grams", "diag").agg(F.first("__info").alias("__info"), F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_set("t_pos").alias("seen"))
     along = Window.partitionBy("__row", "label").orderBy("diag", "lo")
     votes = votes.withColumn("new", (F.col("diag") - F.lag("diag").over(along) > gap).cast("int"))
@@ -120,13 +123,14 @@ def spans(docs: DataFrame, base: Mapping[str, str] = BASE, templates: Mapping[st
     good = F.col("label").isNotNull() & (cover >= min_cover) & (F.col("length") <= max_stretch * (F.col("n_grams") + k - 1))
     span = F.when(good, F.struct(F.col("label"), F.col("start").cast("long"), F.col("length").cast("long"), cover.alias("cover")))
     out = merged.groupBy("__row").agg(F.first("__info").alias("__info"), F.sort_array(F.collect_list(span)).alias("spans"))
-    found = F.array_distinct(F.concat(F.col("__base"), F.transform("spans", lambda s: s["label"])))
+    base_labels = F.col("__info.__base")
+    found = F.array_distinct(F.concat(base_labels, F.transform("spans", lambda s: s["label"])))
     best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["cover"])), F.lit(0.0))
-    return out.select("__info.*", "spans").select(
-        *rest, "n_words", "n_base", "first_word", "last_word",
-        F.array_join(F.array_sort(F.array_distinct("__base")), ",").alias("base_labels"),
+    return out.select(
+        *[F.col("__info.__rest").getField(c).alias(c) for c in rest], *[F.col(f"__info.{c}").alias(c) for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join(F.array_sort(F.array_distinct(base_labels)), ",").alias("base_labels"),
         F.array_join(F.array_sort(found), ",").alias("labels"),
-        F.when(F.size("__base") > 0, 1.0).otherwise(best).alias("score"), "spans",
+        F.when(F.size(base_labels) > 0, 1.0).otherwise(best).alias("score"), "spans",
     )
 
 
@@ -139,7 +143,7 @@ def _values(rows: Mapping[str, str]) -> str:
     return ", ".join("('" + a.replace("'", "''") + "', '" + b.replace("'", "''") + "')" for a, b in rows.items())
 
 
-_SQL_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce({0}, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+_SQL_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 ORACLE = f"""
 WITH t0(label, body) AS (VALUES {_values(TEMPLATES)}),
 t1 AS (SELECT label, {_SQL_WORDS.format("body")} AS w FROM t0),
