@@ -16,6 +16,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_license_diagonals": license_scan.ORACLE,
+    "op5_line_hashing": line_dedup.ORACLE,
     "op6_lattice_dedup": lattice_dedup.ORACLE,
     "op7_url_vocabulary": url_filter.ORACLE,
     "op10_curriculum_mix": curriculum.ORACLE,
