@@ -1,20 +1,22 @@
 """URL filter: host/path rules first, then a weighted vocabulary matched by Aho-Corasick.
 
 A rule fits its host and all subdomains where the path starts with the rule's path; the longest fitting rule decides.
-Where none fits, the automaton scans the whole lower-cased url once for all terms. A hit counts only where the characters
-before and after it are not ASCII letters or digits. One strict term, or ``soft_limit`` distinct soft terms, blocks the url.
+The automaton scans every lower-cased url once for all terms. A hit counts only where the characters before and after it are
+not ASCII letters or digits. Each distinct term found adds its weight, and a weight of ``limit`` blocks the url where no rule fits:
+one strict term (whose weight is the limit) or several distinct soft ones.
 
-Rules are plain expressions. Urls without a fitting rule pass through an Arrow batch UDF; the automaton is built once per
-task from the vocabulary (a bounded parameter).
+Rules are plain expressions. Urls pass through an Arrow batch UDF; the automaton is built once per task. The vocabulary is a
+mapping or a table (term, weight) of at most MOST_TERMS rows, which is checked.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed unless its text
-holds the terms; repeated rows are judged alike; an empty table gives no rows; other columns are left alone.
+holds the terms; very long urls are scanned whole; repeated rows are judged alike; an empty table gives no rows; an empty vocabulary
+blocks nothing; other columns are left alone, but for those that are named like a result.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import ahocorasick
 import pandas as pd
@@ -25,29 +27,62 @@ from tallybook.llm.common import table
 
 #: (action, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-STRICT = ("adult-x", "cheap-pills", "spam-farm", "casino-win", "porn", "xxx", "viagra", "warez")
-SOFT = ("ads-track", "free-bets", "casino", "pills", "bets", "bonus", "jackpot", "escort", "torrent", "crack", "loan")
+#: Terms that block alone, by theme: adult, drugs sold without prescription, gambling, piracy, deceit.
+STRICT = (
+    "adult-x", "porn", "porno", "xxx", "hentai", "camgirls", "sexcam", "milf", "nudes", "onlynudes",
+    "cheap-pills", "viagra", "cialis", "levitra", "no-prescription", "tramadol-online",
+    "casino-win", "online-casino", "casino-bonus", "slot-machines",
+    "warez", "keygen", "serialz", "nulled", "crackz",
+    "spam-farm", "link-farm", "phishing", "ddos-for-hire", "get-rich-quick", "buy-followers",
+)
+#: Terms that also stand in decent urls, so that two distinct ones are needed.
+SOFT = (
+    "adult", "sex", "nude", "escort", "dating", "webcam", "fetish", "erotic", "singles",
+    "pills", "pharmacy", "diet", "supplements", "cbd", "vape", "cannabis",
+    "casino", "bets", "betting", "free-bets", "poker", "roulette", "slots", "jackpot", "bingo", "lottery", "bonus",
+    "torrent", "crack", "serial", "mp3", "rapidshare", "download-free", "stream-free",
+    "ads-track", "popunder", "clickbait", "affiliate", "loan", "payday", "credit-repair", "replica", "giveaway", "forex", "binary-options", "crypto-doubler",
+)
+LIMIT = 1.0
+#: One strict term or two distinct soft ones reach the limit.
+VOCABULARY = {t: LIMIT for t in STRICT} | {t: LIMIT / 2 for t in SOFT}
+MOST_TERMS = 1_000_000
 _WORD = frozenset(string.ascii_letters + string.digits)
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
-def _automaton(strict: tuple[str, ...], soft: tuple[str, ...]) -> ahocorasick.Automaton:
+def _automaton(weights: Mapping[str, float]) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for term in soft:
-        a.add_word(term.lower(), (term.lower(), False))
-    for term in strict:
-        a.add_word(term.lower(), (term.lower(), True))
+    for term, weight in weights.items():
+        a.add_word(term, (term, weight))
     a.make_automaton()
     return a
 
 
-def count_terms(url: str, automaton: ahocorasick.Automaton) -> tuple[int, int]:
-    """Distinct strict and soft terms that stand in ``url`` between boundaries."""
-    found: tuple[set[str], set[str]] = (set(), set())
-    for end, (term, hard) in automaton.iter(url):
+def found_terms(url: str, automaton: ahocorasick.Automaton) -> dict[str, float]:
+    """Distinct terms that stand in ``url`` between boundaries, with their weights."""
+    found = {}
+    for end, (term, weight) in automaton.iter(url):
         start = end - len(term) + 1
         if (start == 0 or url[start - 1] not in _WORD) and (end + 1 == len(url) or url[end + 1] not in _WORD):
-            found[0 if hard else 1].add(term)
-    return len(found[0]), len(found[1])
+            found[term] = weight
+    return found
+
+
+def vocabulary_of(terms: Mapping[str, float] | DataFrame) -> dict[str, float]:
+    """Lower-cased terms with their largest weight; a table (term, weight) of more than MOST_TERMS rows is refused, blank terms are left out."""
+    if isinstance(terms, DataFrame):
+        rows = terms.select("term", "weight").where("term IS NOT NULL AND weight IS NOT NULL").limit(MOST_TERMS + 1).collect()
+        if len(rows) > MOST_TERMS:
+            raise ValueError(f"a vocabulary of more than {MOST_TERMS} terms")
+    else:
+        rows = terms.items()
+    out: dict[str, float] = {}
+    for term, weight in rows:
+        term = term.translate(_LOWER)
+        if term:
+            out[term] = max(float(weight), out.get(term, float(weight)))
+    return out
 
 
 def _lower(url: Column) -> Column:
@@ -63,9 +98,9 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.when(there, host).otherwise(""), F.when(there, path).otherwise("")
 
 
-def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, strict: Iterable[str] = STRICT, soft: Iterable[str] = SOFT, soft_limit: int = 2) -> DataFrame:
-    """``pages`` with host, path, rule, n_strict, n_soft and verdict (columns of these names are replaced)."""
-    strict, soft = tuple(strict), tuple(soft)
+def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, vocabulary: Mapping[str, float] | DataFrame = VOCABULARY, limit: float = LIMIT) -> DataFrame:
+    """``pages`` with host, path, rule, n_strict, n_soft (distinct terms that block alone, and others), weight and verdict (columns of these names are replaced)."""
+    weights = vocabulary_of(vocabulary)
     host, path = split_url(F.col("url"))
     out = pages.withColumns({"host": host, "path": path})
     rule, action = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -74,15 +109,16 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, stric
         rule, action = F.when(fits, rule_host + rule_path).otherwise(rule), F.when(fits, does).otherwise(action)
     out = out.withColumns({"rule": rule, "__action": action})
 
-    @F.pandas_udf("n_strict int, n_soft int")
+    @F.pandas_udf("n_strict int, n_soft int, weight double")
     def terms(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = _automaton(strict, soft)
+        automaton = _automaton(weights)
         for urls in batches:
-            yield pd.DataFrame([(0, 0) if u is None else count_terms(u, automaton) for u in urls], columns=["n_strict", "n_soft"])
+            found = [list(found_terms(u, automaton).values()) if u and weights else [] for u in urls]
+            yield pd.DataFrame([(sum(w >= limit for w in f), sum(w < limit for w in f), float(sum(f))) for f in found], columns=["n_strict", "n_soft", "weight"])
 
     counts = terms(_lower(F.col("url")))
-    out = out.withColumn("__n", counts).withColumns({"n_strict": F.col("__n.n_strict"), "n_soft": F.col("__n.n_soft")})
-    by_terms = F.when((F.col("n_strict") >= 1) | (F.col("n_soft") >= soft_limit), "block").otherwise("allow")
+    out = out.withColumn("__n", counts).withColumns({c: F.col(f"__n.{c}") for c in ("n_strict", "n_soft", "weight")})
+    by_terms = F.when(F.col("weight") >= limit, "block").otherwise("allow")
     return out.withColumn("verdict", F.coalesce(F.col("__action"), by_terms)).drop("__action", "__n")
 
 
