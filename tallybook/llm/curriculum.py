@@ -56,23 +56,26 @@ def place(docs: DataFrame, demand: float = 1.5, cap: float = 2.0, weights=WEIGHT
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.withColumns(
         {
+            "__source": F.coalesce("source", F.lit("")),
+            "__none": F.col("source").isNull(),
             "size": F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), BLANKS), "")).cast("long"),
             "__key": key,
             "__bucket": F.conv(F.substring(key, 1, 3), 16, 10).cast("int"),
         }
     )
-    by_bucket = keep(sized.groupBy("source", "__bucket").agg(F.sum("size").alias("words")), "mix-buckets")
-    targets = source_targets(by_bucket.groupBy("source").agg(F.sum("words").alias("source_size")), demand, cap, weights, ramps)
-    before = F.sum("words").over(Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = by_bucket.select(F.col("source").alias("__s"), F.col("__bucket").alias("__b"), F.coalesce(before, F.lit(0)).alias("__start"))
-    starts = keep(
-        starts.join(targets, F.col("__s").eqNullSafe(F.col("source"))).select("__s", "__b", "__start", "source_size", "target", F.col("ramp").alias("__ramp")),
-        "mix-starts",
-    )
+    by_bucket = keep(sized.groupBy("__source", "__none", "__bucket").agg(F.sum("size").alias("words")), "mix-buckets")
+    per_source = by_bucket.groupBy("__source", "__none").agg(F.sum("words").alias("source_size"))
+    targets = source_targets(per_source.select(F.when(~F.col("__none"), F.col("__source")).alias("source"), "source_size"), demand, cap, weights, ramps)
+    targets = targets.select(F.coalesce("source", F.lit("")).alias("__t"), F.col("source").isNull().alias("__tn"), "source_size", "target", F.col("ramp").alias("__ramp"))
+    before = F.sum("words").over(Window.partitionBy("__source", "__none").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = by_bucket.select(F.col("__source").alias("__s"), F.col("__none").alias("__n"), F.col("__bucket").alias("__b"), F.coalesce(before, F.lit(0)).alias("__start"))
+    starts = keep(starts.join(targets, (F.col("__s") == F.col("__t")) & (F.col("__n") == F.col("__tn"))).select("__s", "__n", "__b", "__start", "source_size", "target", "__ramp"), "mix-starts")
     rows = sized.drop("source_size", "target", "copies", "taken", "position", "positions")
-    rows = rows.join(starts, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")), "left")
-    inside = Window.partitionBy("source", "__bucket").orderBy("__key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("__start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
+    inside = Window.partitionBy("__source", "__none", "__bucket").orderBy("__key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    # up to 4,096 rows a source: merged on the window's own partitioning, never broadcast
+    rows = rows.join(starts.hint("merge"), (F.col("__source") == F.col("__s")) & (F.col("__none") == F.col("__n")) & (F.col("__bucket") == F.col("__b")), "left")
+    middle = F.col("__start") + F.col("__inside") + F.col("size") / 2
     rows = rows.withColumn("__middle", middle)
     passes = int(-(-cap // 1))
     places = F.filter(F.array(*[F.col("__middle") + k * F.col("source_size") for k in range(passes)]), lambda x: x <= F.col("target"))
@@ -84,7 +87,7 @@ def place(docs: DataFrame, demand: float = 1.5, cap: float = 2.0, weights=WEIGHT
 
     rows = rows.withColumn("__places", places).withColumns({"copies": F.size("__places"), "taken": F.size("__places") * F.col("size"), "positions": F.transform("__places", position)})
     rows = rows.withColumn("position", F.get("positions", F.lit(0)))
-    return rows.drop("__bucket", "__s", "__b", "__start", "__ramp", "__middle", "__places")
+    return rows.drop("__source", "__none", "__bucket", "__s", "__n", "__b", "__start", "__inside", "__ramp", "__middle", "__places")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
