@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local: list[str] = []
+_kept: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +31,28 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and no lost executor takes the rows with it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _kept.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, since: int, but: int = 0) -> int:
+    """Deletes what ``keep`` has written after the first ``since`` tables, but the last ``but``; returns how many are left.
+
+    Only for one who knows that no later query reads them, such as a pipeline whose stage is written.
+    """
+    hadoop, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old = _kept[since : len(_kept) - but]
+    for p in old:
+        path(p).getFileSystem(hadoop).delete(path(p), True)
+    del _kept[since : since + len(old)]
+    return len(_kept)
+
+
+def kept_tables() -> int:
+    return len(_kept)
+
+
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Whole texts go to Python at most ``rows`` at a time: the default of 10,000 holds a whole file split in both processes at once."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:

@@ -25,6 +25,7 @@ ties go to the smaller language name; repeated rows are judged alike; an empty t
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -209,19 +210,25 @@ def training_sequence(docs: list[tuple[list[str], int]], seed: int = 7) -> tuple
 
 
 def made_words(docs: list[tuple[list[str], int]], none: int, seed: int = 11) -> list[tuple[list[str], int]]:
-    """Documents of words of no language, about one for each language's share: letters in random order, and letters of random scripts."""
+    """Documents of words of no language, about one for each language's share: letters in random order, and letters of random scripts.
+
+    Scripts without blanks have words of two letters, which look alike in any order, so those that the languages use are left out.
+    """
     rng = np.random.default_rng(seed)
-    letters = np.array([c for words, _ in docs for w in words[:200] for c in w])
+    used = Counter(c for words, _ in docs for w in words[:200] for c in w)
+    spaced = [c for c in used if not re.match(f"[{_UNSPACED}]", c)]
+    letters, share = np.array(spaced), np.array([used[c] for c in spaced], float)
     lengths = np.array([len(w) for words, _ in docs for w in words[:200]])
     scripts = [(0x61, 26), (0xE0, 90), (0x3B1, 25), (0x430, 60), (0x5D0, 27), (0x627, 36), (0x905, 50), (0xE01, 46), (0x3041, 86), (0x4E00, 6000), (0xAC00, 9000)]
+    scripts = [(a, n) for a, n in scripts if a == 0x61 or not any(a <= ord(c) < a + n and re.match(f"[{_UNSPACED}]", c) for c in used)]
     out = []
     for i in range(-(-len(docs) // max(none, 1)) if len(lengths) else 0):
         n = rng.choice(lengths, 150)
-        if i % 3:
+        if i % 3 or not len(letters):
             begin, many = scripts[int(rng.integers(len(scripts)))]
             chars = np.array([chr(c) for c in begin + rng.integers(0, many, int(n.sum()))])
         else:
-            chars = rng.choice(letters, int(n.sum()))
+            chars = rng.choice(letters, int(n.sum()), p=share / share.sum())
         ends = np.cumsum(n)
         words = [w for a, b in zip(ends - n, ends, strict=True) for w in tokens("".join(chars[a:b]))]
         out.append((words, none))
@@ -289,7 +296,7 @@ def train(docs: DataFrame, fit_docs: int = 600) -> Model | None:
     number, size = {x: i for i, x in enumerate(names)}, len(names)
     most = {x: min(-(-fit_docs // size), -(-n // 2)) for x, n in many.items()}
     # a little more than is needed by a share of the hash values, so that no sort sees all rows
-    edge = {x: int(min(1.0, (1.2 * most[x] + 40) / n) * (2**64 - 1)) - 2**63 for x, n in many.items()}
+    edge = {x: min(int(min(1.0, (1.2 * most[x] + 40) / n) * 2**64) - 2**63, 2**63 - 1) for x, n in many.items()}
     of_lang = lambda values: F.create_map(*[F.lit(v) for x in names for v in (x, values[x])])[F.col("lang")]
     some = rows.where(F.col("at.h") <= of_lang(edge)).dropDuplicates(["at", "lang"]).collect()
     sample, last = [], {}

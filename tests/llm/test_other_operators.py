@@ -1,6 +1,8 @@
 """Vectors, urls, packing, mixing and the pipeline on small fixtures."""
 
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybook.llm import anisotropic_search, curriculum, lattice_dedup, packing, url_filter
+from tallybook.llm import anisotropic_search, curriculum, lattice_dedup, line_dedup, packing, url_filter
 
 SF = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, label int, kept string"
@@ -49,6 +51,9 @@ def test_search(spark, vectors):
     few = vectors.where("vec_id IN (0, 1, 2)").select("vec_id", "embedding")
     assert anisotropic_search.search(few, F.col("vec_id") == 0).count() == 2
     assert anisotropic_search.search(few.limit(0), F.col("vec_id") == 0).count() == 0
+    odd = few.unionByName(few.withColumn("vec_id", F.lit(None).cast("long"))).withColumn("score", F.lit(1))
+    found = anisotropic_search.search(odd, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert len(found) == 5 and found[0]["vec_id"] is None and found[0]["score"] == pytest.approx(1) and {r["vec_id"] for r in found} == {None, 1, 2}
 
 
 def test_search_among_near_copies(spark):
@@ -85,6 +90,8 @@ def test_lattice(spark, vectors):
     near = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
     np.fill_diagonal(near, False)
     got = lattice_dedup.near_duplicates(vectors).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(got, key=key) == sorted(lattice_dedup.near_duplicates(vectors, block=7).collect(), key=key)
     assert len(got) == vectors.count()
     found, all_links = sum(r["n_links"] for r in got), near.sum()
     assert 0.99 * all_links <= found <= all_links
@@ -103,6 +110,10 @@ def test_urls(spark):
     ]
     assert (got[0]["host"], got[0]["path"], got[1]["path"], got[6]["host"]) == ("a.example.net", "/en/1", "/", "")
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    pages = spark.createDataFrame([(1, "http://a.com/Foo/bar"), (2, "http://a.com/bar?foo2"), (3, "http://a.com/" + "x/" * 50_000 + "evil"), (3, None)], "page_id long, url string").withColumn("weight", F.lit("w")).withColumn("__n", F.lit(1))
+    words = spark.createDataFrame([("FOO", 0.6), ("bar", 0.4), ("evil", 1.0), ("bar", 0.1), (None, 1.0), ("", 1.0)], "term string, weight double")
+    assert [r["verdict"] for r in url_filter.judge(pages, vocabulary=words).collect()] == ["block", "allow", "block", "allow"]
+    assert {r["verdict"] for r in url_filter.judge(pages, vocabulary={}).collect()} == {"allow"}
 
 
 def test_packing(spark):
@@ -178,11 +189,90 @@ def test_against_sql(spark, module, query):
     assert plain(got.collect()) == plain(want.fetchall())
 
 
+def duck(docs):
+    c = duckdb.connect()
+    c.register("documents", docs.toArrow())
+    return c
+
+
 def test_pipeline(spark):
+    """Each stage against another way to its result, on what the one before it has kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    columns = docs.columns
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+    foreign = spark.createDataFrame([(90001, "Привет мир это обычный русский текст о погоде", "en", "src0", 45), (90002, "これは日本語の文章です", "en", "src0", 11), (90003, "12 !! 34", "en", "src0", 8), (90004, None, "en", "src0", None)], docs.schema)
+    spoken = stages["language"](spark, docs.unionByName(foreign), SF).select(*columns).cache()
+    assert spoken.columns == columns and ids(spoken) == ids(docs.where(F.col("text").rlike(r"\p{L}")))
+
+    apart = stages["near_duplicates"](spark, spoken, SF).cache()
+    texts = {r["doc_id"]: r["text"] for r in spoken.collect()}
+    words = {i: re.findall(r"\w+", t.lower()) for i, t in texts.items()}
+    bags = {i: Counter(" ".join(w[j : j + 5]) for j in range(max(len(w) - 4, 1))) for i, w in words.items()}
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    order = sorted(texts)
+    for n, a in enumerate(order):
+        for b in order[:n]:
+            if sum((bags[a] & bags[b]).values()) >= 0.8 * sum((bags[a] | bags[b]).values()):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert apart.columns == columns and ids(apart) == [i for i in order if find(i) == i]
+
+    cut = stages["repeated_lines"](spark, apart, SF).cache()
+    want = duck(apart).sql(f"SELECT doc_id, text FROM ({line_dedup.ORACLE}) WHERE n_removed = 0 OR regexp_matches(text, '\\S')").fetchall()
+    assert cut.columns == columns and sorted((r["doc_id"], r["text"]) for r in cut.collect()) == sorted(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
+
+    stream = stages["curriculum_mix"](spark, cut, SF).cache()
+    want = duck(cut).sql(f"SELECT doc_id, taken // greatest(size, 1) FROM ({curriculum.ORACLE}) WHERE taken > 0").fetchall()
+    assert stream.columns == columns and Counter(ids(stream)) == Counter(dict(want))
+
+    out = stages["packed"](spark, stream, SF).collect()
+    many = Counter((r["doc_id"], r["piece"]) for r in out)
+    taken = Counter(ids(stream))
+    assert all(many[i, 0] == n for i, n in taken.items()) and {i for i, _ in many} == set(taken)
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        assert [o for o, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 1024
+    assert len(sequences) <= 1.02 * -(-sum(r["length"] for r in out) // 1024) + 1
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in every column, blank and long texts, repeated rows, an empty table, and extra columns named like the operators' own."""
+    line = "these words are the same in all of the rows. "
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n ", None, None, 3), (None, "a text without an id but with several words in it", "en", "a", 49), (5, line * 9, "en", "a", 405), (5, line * 9, "en", "a", 405), (6, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(17000)), None, None, 1), (7, "12 34 !!", "en", None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("score", "support", "lang_pred", "n_removed", "removed", "row", "key", "size", "taken", "position", "label", "piece"):
+        docs = docs.withColumn(c, F.lit(c))
+    kept = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF).cache()
-        assert docs.columns == columns and docs.count() > 100, name
-    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+        out = stage(spark, docs, SF)
+        found = out.collect()
+        assert out.columns == docs.columns and all(r["row"] == "row" and r["removed"] == "removed" and r["score"] == "score" and r["size"] == "size" for r in found), name
+        kept[name] = sorted((r["doc_id"] for r in found), key=str)
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert {1, 2, 3, 7}.isdisjoint(kept["language"]) and {5, None} <= set(kept["language"])
+    assert kept["near_duplicates"] == [1, 2, 3, 5, 6, 7, None]
+    assert kept["repeated_lines"] == [1, 2, 3, 5, 6, 7, None]
+    assert set(kept["curriculum_mix"]) <= {1, 2, 3, 5, 6, 7, None}
+    packed = corpus_pipeline.packed(spark, docs, SF)
+    pieces = packed.collect()
+    assert Counter(r["doc_id"] for r in pieces if r["piece"] == 0) == Counter(r[0] for r in rows)
+    assert corpus_pipeline.packed(spark, docs.limit(0), SF).count() == 0
+
+
+def test_run_leaves_only_what_it_needs(spark, tmp_path):
+    from tallybook.llm import common
+
+    before = common.kept_tables()
+    assert corpus_pipeline.run(spark, SF).count() > 100
+    left = common._kept[before:]
+    assert not any("/bag-" in p or "/line-" in p or "stage-language" in p for p in left) and any("stage-curriculum_mix" in p for p in left)

@@ -35,7 +35,10 @@ def empty(spark):
 def test_license_scan(spark, real, odd):
     text = "GNU General Public License, gnu general-public LICENSE! CC BY cc by. Apache  License; MIT\nlicense and mit licensed"
     extra = spark.createDataFrame([(100, text, None, None, None), (101, "xx This work is licensed under the GNU General Public License, version 3. yy", None, None, None), (102, "licensed under the apache", None, None, None)], DOCS)
-    got = {r["doc_id"]: r for r in license_scan.spans(extra.unionByName(odd.where("doc_id <> 5 OR doc_id IS NULL"))).collect()}
+    got = {r["doc_id"]: r for r in license_scan.spans(extra.unionByName(odd)).collect()}
+    assert [r["n_words"] for r in license_scan.spans(odd.where("doc_id = 5")).collect()] == [72, 72]
+    kelvin = license_scan.spans(spark.createDataFrame([(1, "wor\u212a M\u0130T mit license")], "doc_id long, text string")).first()
+    assert (kelvin["n_words"], kelvin["first_word"], kelvin["n_base"]) == (4, 2, 1)
     a = got[100]
     assert (a["n_words"], a["n_base"], a["first_word"], a["last_word"], a["base_labels"]) == (19, 6, 0, 14, "apache,cc-by,gpl,mit")
     assert set(got[101]["labels"].split(",")) >= {"gpl", "gpl-notice"} and got[101]["score"] == 1.0
@@ -74,6 +77,11 @@ def test_language(spark, odd):
     got = {x["doc_id"]: x for x in language_crf.tag(odd, model, segments=True).collect()}
     assert [got[i]["lang_pred"] for i in (1, 2, 3, 7)] == ["und"] * 4 and got[1]["score"] == 0
     assert sum(s["n_words"] for s in got[6]["segments"]) == 30000
+    junk = ["Привет мир это обычный русский текст о погоде и людях", "Tämä on suomenkielinen teksti joka kertoo säästä ja ihmisistä kaupungissa", "xqzv kkwpt zzrtq bbvnm qwrtp lkjhg fdsqz wrtpq", "これは日本語の文章です"]
+    assert all(r["support"] < 0.5 for r in language_crf.tag(spark.createDataFrame(list(enumerate(junk)), "doc_id long, text string"), model).collect())
+    assert language_crf.tag(real, model).where("support < 0.5").count() == 0
+    same = spark.createDataFrame([(1, f"same id other words {i}", "en") for i in range(300)] + [(1, "same row", "fr")] * 300, "doc_id long, text string, lang string")
+    assert language_crf.train(same, 20).langs == ["en", "fr"]
     mixed = spark.createDataFrame([(1, real.where("lang = 'fr'").first()["text"][:400] + " " + real.where("lang = 'de'").first()["text"][:400])], "doc_id long, text string")
     langs = {s["lang"] for s in language_crf.tag(mixed, model, segments=True).first()["segments"] if s["n_words"] > 20}
     assert {"fr", "de"} <= langs
@@ -112,6 +120,38 @@ def test_signature_estimates_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum()) < 0.03
 
 
+def test_signature_estimates_large_weights():
+    """Weights over 100 in both, in one, and in neither: split processes see the same points whatever the weight."""
+    rng = np.random.default_rng(2)
+    s = rng.integers(0, 2**63, 40, dtype=np.int64).astype(np.uint64)
+    for high in ((1, 3), (100, 400), (1, 1000), (600, 700)):
+        wa, wb = rng.integers(*high, 40), rng.integers(*high, 40)
+        sig = bagminhash.signatures(np.repeat([0, 1], 40), np.concatenate([s, s]), np.concatenate([wa, wb]), 2, 4096)
+        assert abs((sig[0] == sig[1]).mean() - np.minimum(wa, wb).sum() / np.maximum(wa, wb).sum()) < 0.03
+    subset = bagminhash.signatures(np.repeat([0, 1], [1, 1]), s[[0, 0]], np.array([130, 520]), 2, 4096)
+    assert abs((subset[0] == subset[1]).mean() - 0.25) < 0.03
+
+
+def clashing(df):
+    """Columns with the operators' inner names."""
+    for c in ("pos", "row", "hash", "label", "g", "w0", "diag", "h1", "key", "v", "__key", "__d", "__k", "__w", "__row", "start", "end", "doc", "n"):
+        df = df.withColumn(c, F.lit(c))
+    return df
+
+
+def test_clashing_columns(spark, odd):
+    d = clashing(odd.drop("score"))
+    n = odd.count()
+    out = license_scan.spans(d)
+    assert out.count() == n and {r["pos"] for r in out.collect()} == {"pos"} and "__w" in out.columns
+    out = line_dedup.dedup_lines(d.drop("__row"))
+    assert out.count() == n and {(r["row"], r["h1"]) for r in out.collect()} == {("row", "h1")}
+    out = bagminhash.dedup(d)
+    assert out.columns == d.columns and {(r["__key"], r["v"]) for r in out.collect()} == {("__key", "v")}
+    assert suffix_dedup.dedup_substrings(d).count() == n
+    assert language_crf.tag(d, None).count() == n
+
+
 def test_near_duplicates(spark, real, odd):
     base = " ".join(f"term{i * i % 97}x{i}" for i in range(200))
     copies = [(900 + k, base.replace(f"x{k * 11} ", f"y{k} ").replace(f"x{k * 7 + 90} ", f"z{k} "), None, None, None) for k in range(15)]
