@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from tallybook.llm.common import table, text_batches
 
-FEATURE_BITS, LEXICON_BITS, WIDTH, CHUNK, KNOWN = 16, 17, 32, 500_000, 200_000
+FEATURE_BITS, LEXICON_BITS, WIDTH, CHUNK, KNOWN, BLOCK = 16, 17, 32, 500_000, 200_000, 40_000
 #: Thai, Lao, Burmese, Khmer, Kana, Bopomofo and Han are written without blanks.
 _UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[^\W\d_{_UNSPACED}]{{1,{WIDTH - 2}}}|(?:(?![\W\d_])[{_UNSPACED}]){{1,2}}")
@@ -247,33 +247,41 @@ def fit(docs: list[tuple[list[str], int]], langs: list[str], counts: np.ndarray,
         return model
     f, b = gram_features(list(vocabulary)).astype(np.int32), lexicon_buckets(list(vocabulary))
     lex, n = model.lexicon[b].astype(float), len(ids)
-    target = np.zeros((n, k))
-    target[np.arange(n), y] = 1
     inner = ~first[1:]
     seen = np.zeros((k, k))
     np.add.at(seen, (y[:-1][inner], y[1:][inner]), 1)
+    # whole sequences, about BLOCK words at a time, so that memory doesn't follow the length of the sampled texts
+    starts = np.append(np.flatnonzero(first), n)
+    edges = [0]
+    for at in starts[1:]:
+        if at - edges[-1] >= BLOCK or at == n:
+            edges.append(int(at))
     names = ("weights", "lexicon_weights", "bias", "start", "transitions")
     history = {x: np.full_like(getattr(model, x), 1e-8) for x in names}
-    flat = f.ravel()
     for _ in range(rounds):
-        by_gram = np.concatenate([model.weights[f[i : i + 10_000]].sum(axis=1) for i in range(0, len(f), 10_000)])
-        e = (by_gram + lex @ model.lexicon_weights + model.bias)[ids]
-        gamma, alpha, beta = forward_backward(e, first, model.start, model.transitions)
-        psi = np.exp(e - e.max(axis=1, keepdims=True))
-        ahead, t, pair = psi * beta, np.exp(model.transitions), np.zeros((k, k))
-        for at in np.array_split(np.flatnonzero(inner), max(1, n // 50_000)):
-            p = alpha[at][:, :, None] * t * ahead[at + 1][:, None, :]
-            pair += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        error = target - gamma
-        by_word = np.stack([np.bincount(ids, error[:, j], len(vocabulary)) for j in range(k)], axis=1)
-        grads = {
-            "weights": np.stack([np.bincount(flat, np.repeat(by_word[:, j].astype(np.float32), f.shape[1]), 1 << FEATURE_BITS) for j in range(k)], axis=1),
-            "lexicon_weights": lex.T @ by_word,
-            "bias": error.sum(axis=0),
-            "start": error[first].sum(axis=0),
-            "transitions": seen - pair,
-        }
-        grads["weights"][0] = 0
+        by_gram = np.concatenate([model.weights[f[i : i + 4_000]].sum(axis=1) for i in range(0, len(f), 4_000)])
+        by_word = by_gram + lex @ model.lexicon_weights + model.bias
+        error, pair, begun, t = np.zeros((len(vocabulary), k)), np.zeros((k, k)), np.zeros(k), np.exp(model.transitions)
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            e, here = by_word[ids[i:j]], first[i:j]
+            gamma, alpha, beta = forward_backward(e, here, model.start, model.transitions)
+            ahead = np.exp(e - e.max(axis=1, keepdims=True)) * beta
+            at = np.flatnonzero(~here[1:])
+            for some in np.array_split(at, max(1, len(at) // 20_000)):
+                p = alpha[some][:, :, None] * t * ahead[some + 1][:, None, :]
+                pair += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            gamma *= -1
+            gamma[np.arange(j - i), y[i:j]] += 1
+            begun += gamma[here].sum(axis=0)
+            for label in range(k):
+                error[:, label] += np.bincount(ids[i:j], gamma[:, label], len(vocabulary))
+        weights = np.zeros_like(model.weights)
+        for i in range(0, len(f), 4_000):
+            some = f[i : i + 4_000]
+            for label in range(k):
+                weights[:, label] += np.bincount(some.ravel(), np.repeat(error[i : i + 4_000, label], some.shape[1]), len(weights))
+        weights[0] = 0
+        grads = {"weights": weights, "lexicon_weights": lex.T @ error, "bias": error.sum(axis=0), "start": begun, "transitions": seen - pair}
         for x in names:
             g = grads[x] / n - ridge * getattr(model, x) / 100
             history[x] += g * g
