@@ -1,11 +1,10 @@
-"""Connected parts of a graph with text vertices."""
+"""Tables that are computed once."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -14,21 +13,3 @@ def settled(df: DataFrame) -> DataFrame:
     if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
-
-
-def connected(vertices: DataFrame, edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """``vertices`` (v), ``edges`` (a, b) -> v, part (the smallest vertex reachable).
-
-    Rounds are cut with a checkpoint.
-    """
-    both = settled(edges.select("a", "b").unionAll(edges.select("b", "a")).distinct())
-    labels = settled(vertices.select("v", F.col("v").alias("part")))
-    for _ in range(rounds):
-        near = both.join(labels, F.col("b") == F.col("v")).groupBy("a").agg(F.min("part").alias("near"))
-        moved = labels.join(near, F.col("v") == F.col("a"), "left").select("v", F.col("part").alias("old"), F.least("part", F.coalesce("near", "part")).alias("part"))
-        up = labels.select(F.col("v").alias("w"), F.col("part").alias("above"))
-        moved = settled(moved.join(up, F.col("part") == F.col("w")).select("v", "old", F.least("part", "above").alias("part")))
-        labels = moved.select("v", "part")
-        if moved.where("old <> part").isEmpty():
-            break
-    return labels

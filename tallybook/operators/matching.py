@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.operators.graph import settled
 from tallybook.vocabulary import ABBREVIATIONS, AUTO_MERGE, LEGAL_FORMS, LONG_LEGAL_FORMS, REVIEW, TRADE_WORDS
 
 
@@ -152,32 +153,46 @@ def greedy(keys: list[tuple[str, int]], edges: Iterable[tuple[str, str, float]],
     return found, queue
 
 
+def greedy_rounds(keys: DataFrame, edges: DataFrame, auto: float = AUTO_MERGE) -> DataFrame:
+    """``greedy`` by joins: ``keys`` (match_key, n), ``edges`` (a, b, score) -> key, anchor, score, nearest, nearest_score.
+
+    A key is decided in the round in which all its earlier neighbours are, so the rounds are as many as the longest chain of alike names
+    of falling counts. Rounds are written out; a task sees a key's own edges at most, combined before the shuffle.
+    """
+    order = lambda n, k: F.struct((-F.col(n)).alias("n"), F.col(k).alias("k"))
+    place = keys.select(F.col("match_key").alias("__k"), order("n", "match_key").alias("at"))
+    both = edges.select("a", "b", "score").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    both = both.join(place.withColumnRenamed("at", "at_a"), F.col("a") == F.col("__k")).drop("__k").join(place.withColumnRenamed("at", "at_b"), F.col("b") == F.col("__k")).drop("__k")
+    earlier = settled(both.where(F.col("at_b") < F.col("at_a")).select(F.col("a").alias("key"), "b", "at_b", "score"))
+    decided = keys.select(F.col("match_key").alias("key")).join(earlier.select("key"), "key", "left_anti")
+    decided = settled(decided.select("key", F.col("key").alias("anchor"), F.lit(100.0).alias("score"), F.lit(None).cast("string").alias("nearest"), F.lit(None).cast("double").alias("nearest_score")))
+    left = earlier
+    while not left.isEmpty():
+        known = decided.select(F.col("key").alias("__b"), (F.col("anchor") == F.col("key")).alias("anchors"))
+        seen = left.join(known, F.col("b") == F.col("__b"), "left")
+        best = F.min(F.when(F.col("anchors"), F.struct((-F.col("score")).alias("s"), "at_b", "b"))).alias("best")
+        ready = seen.groupBy("key").agg(F.count_if(F.col("anchors").isNull()).alias("open"), best).where("open = 0")
+        score = -F.col("best.s")
+        joins = score >= auto
+        ready = settled(ready.select("key", F.when(joins, F.col("best.b")).otherwise(F.col("key")).alias("anchor"), F.when(joins, score).otherwise(100.0).alias("score"), F.when(~joins, F.col("best.b")).alias("nearest"), F.when(~joins, score).alias("nearest_score")))
+        decided = settled(decided.unionAll(ready))
+        left = settled(left.join(ready.select("key"), "key", "left_anti"))
+    return decided
+
+
 def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float = REVIEW) -> DataFrame:
     """``counts`` (alias, row_count) -> alias, match_key, anchor, canonical, method, score, nearest, nearest_score, row_count.
 
-    The sparse edges are split into connected parts (names in different parts never meet), and the greedy pass runs in each,
-    so no task needs all of them. A name without any key (a legal form alone) is its own cluster by its spelling.
+    The canonical spelling is the most frequent of the cluster. A name without any key (a legal form alone) is its own cluster by its spelling.
     """
-    from tallybook.operators.graph import connected, settled
-
     keyed = counts.withColumn("k", keys_of("alias")).select("alias", "row_count", F.when(F.col("k.match_key") == "", F.lower("alias")).otherwise(F.col("k.match_key")).alias("match_key"), "k.identity")
     keyed = settled(keyed)
     keys = settled(keyed.groupBy("match_key").agg(F.first("identity").alias("identity"), F.sum("row_count").alias("n")))
-    edges = settled(candidate_pairs(keys, review))
-    parts = connected(keys.select(F.col("match_key").alias("v")), edges.select("a", "b"))
-    own = parts.join(keys, F.col("v") == F.col("match_key")).select("part", F.col("v").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(None).cast("double").alias("score"), "n")
-    links = parts.join(edges, F.col("v") == F.col("a")).select("part", "a", "b", "score", F.lit(None).cast("long").alias("n"))
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        nodes, links = pdf[pdf["b"].isna()], pdf[pdf["b"].notna()]
-        found, queue = greedy(list(zip(nodes["a"], nodes["n"], strict=True)), zip(links["a"], links["b"], links["score"], strict=True), auto)
-        return pd.DataFrame([(k, a, s, *queue.get(k, (None, None))) for k, (a, s) in found.items()], columns=["key", "anchor", "score", "nearest", "nearest_score"])
-
-    clusters = own.unionByName(links).groupBy("part").applyInPandas(cluster, "key string, anchor string, score double, nearest string, nearest_score double")
+    clusters = greedy_rounds(keys, settled(candidate_pairs(keys, review)), auto)
     out = keyed.join(clusters, F.col("match_key") == F.col("key"))
-    canonical = out.groupBy(F.col("anchor").alias("__a")).agg(F.min(F.struct((-F.col("row_count")).alias("n"), "alias")).alias("first"))
+    canonical = out.groupBy(F.col("anchor").alias("__a")).agg(F.min(F.struct((-F.col("row_count")).alias("n"), "alias", "match_key")).alias("first"))
     out = out.join(canonical, F.col("anchor") == F.col("__a")).withColumn("canonical", F.col("first.alias"))
-    method = F.when(F.col("alias") == F.col("canonical"), "exact").when(F.col("match_key") == F.col("anchor"), "normalized").otherwise("fuzzy")
+    method = F.when(F.col("alias") == F.col("canonical"), "exact").when(F.col("match_key") == F.col("first.match_key"), "normalized").otherwise("fuzzy")
     return out.select("alias", "match_key", "anchor", "canonical", method.alias("method"), F.round("score", 2).alias("score"), "nearest", F.round("nearest_score", 2).alias("nearest_score"), "row_count")
 
 

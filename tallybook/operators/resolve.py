@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def by_code_or_key(rows: DataFrame, items: DataFrame, code: str, key: str, item_id: str, item_code: str, item_key: str) -> DataFrame:
-    """``rows`` with the item's id: by code, or by description key where the row has no code; null if unknown."""
-    by_code = items.select(F.col(item_code).alias("__code"), F.col(item_id).alias("__by_code"))
-    by_key = items.select(F.col(item_key).alias("__key"), F.col(item_id).alias("__by_key"))
+    """``rows`` with the item's id: by code, or by description key where the row has no code; null if unknown.
+
+    A code or key of several items is no answer, so a row never comes back twice.
+    """
+    one = lambda c, as_: items.groupBy(F.col(c).alias(as_)).agg(F.min(item_id).alias("least"), F.max(item_id).alias("most")).where("least = most")
+    by_code = one(item_code, "__code").select("__code", F.col("least").alias("__by_code"))
+    by_key = one(item_key, "__key").select("__key", F.col("least").alias("__by_key"))
     out = rows.join(by_code, F.col(code) == F.col("__code"), "left").join(by_key, F.col(code).isNull() & (F.col(key) == F.col("__key")), "left")
     return out.withColumn(item_id, F.coalesce("__by_code", "__by_key")).drop("__code", "__key", "__by_code", "__by_key")
 
@@ -36,8 +40,8 @@ def header_mismatches(lines: DataFrame, key: str, order: list[str], fields: list
 
 def by_unique_name(rows: DataFrame, people: DataFrame, code: str, key: str) -> DataFrame:
     """``rows`` with resolved_code and reason: the code if there is one, else that of the only person with the name key."""
-    names = people.groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_set(code)).alias("__codes"))
+    names = people.groupBy(F.col(key).alias("__key")).agg(F.min(code).alias("__least"), F.max(code).alias("__most"))
     out = rows.join(names, F.col(code).isNull() & (F.col(key) == F.col("__key")), "left")
-    n = F.coalesce(F.size("__codes"), F.lit(0))
-    reason = F.when(F.col(code).isNotNull() | (n == 1), None).when(n == 0, "UNKNOWN_EMPLOYEE").otherwise("AMBIGUOUS_EMPLOYEE")
-    return out.withColumns({"resolved_code": F.coalesce(code, F.when(n == 1, F.element_at("__codes", 1))), "reason": reason}).drop("__key", "__codes")
+    only = F.col("__least") == F.col("__most")
+    reason = F.when(F.col(code).isNotNull() | only, None).when(F.col("__least").isNull(), "UNKNOWN_EMPLOYEE").otherwise("AMBIGUOUS_EMPLOYEE")
+    return out.withColumns({"resolved_code": F.coalesce(code, F.when(only, F.col("__least"))), "reason": reason}).drop("__key", "__least", "__most")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallybook.operators.graph import settled
+
 
 def diff(old: DataFrame, new: DataFrame, key: list[str], values: list[str]) -> DataFrame:
     """key, new (or kept) values, and action: insert, update, unchanged, or keep for what the new load hasn't got.
@@ -26,11 +29,11 @@ def change_counts(table: str, changes: DataFrame) -> DataFrame:
 def assign_ids(rows: DataFrame, known: DataFrame, key: list[str], id_column: str) -> DataFrame:
     """``rows`` with their id from ``known`` (key, id); new keys go on after the largest known id, in key order.
 
-    Numbers are dealt per key range: counts of the ranges are accumulated, so no task sees all new keys.
+    New keys are sorted into ranges and kept; counts of the ranges are accumulated, so no task sees all new keys.
     """
     joined = rows.join(known.select(*key, id_column), key, "left")
-    fresh = joined.where(F.col(id_column).isNull()).select(*key).distinct().sortWithinPartitions(*key)
-    fresh = fresh.withColumn("__part", F.spark_partition_id())
+    fresh = joined.where(F.col(id_column).isNull()).select(*key).distinct()
+    fresh = settled(fresh.repartitionByRange(*key).withColumn("__part", F.spark_partition_id()))
     sizes = fresh.groupBy("__part").agg(F.count("*").alias("n"))
     base = sizes.select("__part", (F.sum("n").over(Window.orderBy("__part")) - F.col("n")).alias("__base"))
     top = known.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("__top"))
@@ -40,12 +43,30 @@ def assign_ids(rows: DataFrame, known: DataFrame, key: list[str], id_column: str
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str, run_id: str) -> None:
-    """Writes every table under ``out_dir``/run=<run_id>, then names the run in ``out_dir``/_current: a reader sees all of it or none."""
+    """Writes every table under ``out_dir``/run=<run_id>, then appends a numbered pointer to it: a reader sees all of it or none.
+
+    Pointers are only ever added, so a switch that is cut short leaves the last one in force.
+    """
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{out_dir}/run={run_id}/{name}")
-    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/_current")
+    last = pointer(spark, out_dir)
+    spark.createDataFrame([((last[0] if last else 0) + 1, run_id)], "number long, run_id string").coalesce(1).write.mode("append").parquet(f"{out_dir}/_pointers")
+
+
+def pointer(spark: SparkSession, out_dir: str) -> tuple[int, str] | None:
+    """(number, run_id) of the run in force; None before the first."""
+    try:
+        rows = spark.read.schema("number long, run_id string").parquet(f"{out_dir}/_pointers")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    last = rows.orderBy(F.desc("number"), "run_id").first()
+    return (last["number"], last["run_id"]) if last else None
 
 
 def current(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    run_id = spark.read.parquet(f"{out_dir}/_current").first()["run_id"]
-    return spark.read.parquet(f"{out_dir}/run={run_id}/{table}")
+    found = pointer(spark, out_dir)
+    if not found:
+        raise FileNotFoundError(f"no load in {out_dir}")
+    return spark.read.parquet(f"{out_dir}/run={found[1]}/{table}")

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.functions import text
+from tallybook.functions import money, text
 from tallybook.operators import constraints, dedupe, matching, resolve, upsert
 from tallybook.operators.graph import settled
 from tallybook.plans import rows as parse
@@ -64,9 +64,12 @@ def _reject(rows: DataFrame, condition, code: str, detail) -> DataFrame:
     return rows.where(condition).select(*ID, F.lit(code).alias("reason_code"), detail.cast("string").alias("detail"))
 
 
-def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
-    """All staging, outcome and target tables of one load."""
-    grids = read_grids(spark, books_dir)
+def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All staging, outcome and target tables of one load.
+
+    Rows refer to this load's products and orders, and to those of earlier loads in ``published`` that it doesn't bring anew.
+    """
+    spark, published = grids.sparkSession, published or {}
     layouts = settled(find_layouts(grids))
     rows = settled(classify_rows(grids, layouts))
     data = rows.where("kind = 'data'")
@@ -81,7 +84,9 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     parsed = {k: settled(v) for k, v in parsed.items()}
     noise_code = text.lookup(F.col("kind"), NOISE)
     rejects = [rows.where("kind <> 'data'").select(*ID, noise_code.alias("reason_code"), F.lit(None).cast("string").alias("detail"))]
-    rejects += [p.where("reason IS NOT NULL").select(*ID, F.col("reason").alias("reason_code"), F.lit(None).cast("string").alias("detail")) for p in parsed.values()]
+    shown = rows.select(*ID, parse.preview(F.col("cells"), F.col("fields")).alias("detail"))  # what stood in the row, for the review of rejects
+    bad = [p.where("reason IS NOT NULL").select(*ID, F.col("reason").alias("reason_code")) for p in parsed.values()]
+    rejects += [reduce(DataFrame.unionByName, bad).join(shown, ID, "left")]
     good = {k: v.where("reason IS NULL").drop("reason") for k, v in parsed.items()}
     merged = []
 
@@ -91,11 +96,15 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     rejects.append(c)
     products = settled(products.withColumn("description_key", text.description_key(F.col("description"))))
     items = products.select(F.col("sku").alias("item"), F.col("sku").alias("item_code"), F.col("description_key").alias("item_key"))
+    if "products" in published:
+        before = published["products"].select(F.col("sku").alias("item"), F.col("sku").alias("item_code"), F.col("description_key").alias("item_key"))
+        items = settled(items.unionByName(before.join(items.select("item"), "item", "left_anti")))
 
     def with_item(df: DataFrame) -> DataFrame:
-        found = settled(resolve.by_code_or_key(df, items, "sku", "description_key", "item", "item_code", "item_key").drop("sku", "description_key").withColumnRenamed("item", "sku"))
-        rejects.append(_reject(found, F.col("sku").isNull(), "UNKNOWN_PRODUCT", F.lit(None)))
-        return found.where("sku IS NOT NULL")
+        asked = F.coalesce("sku", "description_key").alias("asked")
+        found = settled(resolve.by_code_or_key(df, items, "sku", "description_key", "item", "item_code", "item_key").withColumn("asked", asked).drop("sku", "description_key").withColumnRenamed("item", "sku"))
+        rejects.append(_reject(found, F.col("sku").isNull(), "UNKNOWN_PRODUCT", F.col("asked")))
+        return found.where("sku IS NOT NULL").drop("asked")
 
     # suppliers, from the spellings of readable purchase rows
     spellings = good["purchases"].groupBy(F.col("supplier_raw").alias("alias")).agg(F.count("*").alias("row_count"))
@@ -137,6 +146,8 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     merged.append(m)
     rejects.append(c)
     known = orders.select(F.col("po_number").alias("__po"))
+    if "purchase_orders" in published:
+        known = known.unionByName(published["purchase_orders"].select(F.col("po_number").alias("__po"))).distinct()
     moved = moved.join(known, F.col("po_number") == F.col("__po"), "left").withColumns({"po_number": F.col("__po"), "quantity": F.col("quantity").cast("decimal(12,2)")})
 
     # payroll
@@ -174,26 +185,28 @@ def build(spark: SparkSession, books_dir: str) -> dict[str, DataFrame]:
     }
     targets = {name: settled(targets[name].select(*key, *values)) for name, (key, values) in TABLES.items()}
     sheets = layouts.select("book", "sheet_index", "sheet", "domain", "year", "header_row", "skipped_reason")
-    return targets | {"sheets": sheets, "row_outcomes": settled(outcomes), "supplier_review": review, "reject_reasons": reasons}
+    values = {f"parsed_{name}": parsed[name] for name in parsed}
+    return targets | values | {"sheets": sheets, "row_outcomes": settled(outcomes), "supplier_review": review, "reject_reasons": reasons}
 
 
 def violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """(rule, violations) of the target tables."""
+    """(rule, violations) of the target tables and, where they are given, of sheets, outcomes and reasons."""
     t, col = tables, F.col
+    fits = lambda: money.within_tolerance(col("amount"), col("quantity"), col("unit_price"))
     rules = {
         "products": {"product code": col("sku").rlike(r"^[A-Z]{3}-[A-Z]{3}-\d{3}$"), "product category": col("category").isin("fabric", "trims", "packaging", "services", "finished"), "product unit": col("uom").isin("m", "pc", "job")},
         "suppliers": {"supplier key": col("match_key") != "", "supplier name": col("canonical_name") != ""},
         "supplier_aliases": {"alias method": col("match_method").isin("exact", "normalized", "fuzzy"), "alias score": col("score").between(0, 100), "alias rows": col("row_count") > 0},
-        "fx_rates": {"rate month": F.dayofmonth("month") == 1, "rate positive": col("rate_to_rwf") > 0, "rwf is 1": (col("currency") != "RWF") | (col("rate_to_rwf") == 1)},
+        "fx_rates": {"rate month": F.dayofmonth("month") == 1, "rate currency": col("currency").rlike("^[A-Z]{3}$"), "rate positive": col("rate_to_rwf") > 0, "rwf is 1": (col("currency") != "RWF") | (col("rate_to_rwf") == 1)},
         "purchase_orders": {"order number": col("po_number").rlike(r"^PO-\d{4}-\d{5}$"), "order currency": col("currency").isin("RWF", "USD")},
-        "po_lines": {"line positive": (col("quantity") > 0) & (col("amount") > 0) & (col("amount_rwf") > 0) & (col("unit_price") >= 0)},
-        "sales": {"receipt number": col("receipt_no").rlike(r"^RCT-\d{4}-\d{5}$"), "channel": col("channel").isin("showroom", "wholesale", "export"), "sale positive": (col("quantity") > 0) & (col("amount") > 0)},
+        "po_lines": {"line positive": (col("quantity") > 0) & (col("amount") > 0) & (col("amount_rwf") > 0) & (col("unit_price") >= 0), "line amount": fits()},
+        "sales": {"receipt number": col("receipt_no").rlike(r"^RCT-\d{4}-\d{5}$"), "channel": col("channel").isin("showroom", "wholesale", "export"), "sale positive": (col("quantity") > 0) & (col("amount") > 0) & (col("amount_rwf") > 0) & (col("unit_price") >= 0), "sale amount": fits(), "sale currency": col("currency").isin("RWF", "USD")},
         "movements": {
             "voucher number": col("voucher_no").rlike(r"^(GRN|ISS|PRD|SIV|ADJ)-\d{4}-\d{5}$"), "movement sign": F.when(col("movement_type").isin("receipt", "production"), col("quantity") > 0).when(col("movement_type").isin("issue", "sale"), col("quantity") < 0).otherwise(col("quantity") != 0),
             "order only on receipts": col("po_number").isNull() | (col("movement_type") == "receipt"),
         },
         "employees": {"employee number": col("employee_code").rlike(r"^E\d{3,4}$"), "periods in order": col("first_period") <= col("last_period")},
-        "payroll_runs": {"run month": F.dayofmonth("period") == 1, "run net": col("total_net") == col("total_gross") - col("total_deductions")},
+        "payroll_runs": {"run month": F.dayofmonth("period") == 1, "run employees": col("employee_count") > 0, "run net": col("total_net") == col("total_gross") - col("total_deductions")},
         "payroll_lines": {"pay positive": (col("gross") > 0) & (col("deductions") >= 0), "pay net": col("net") == col("gross") - col("deductions")},
     }
     found = [constraints.check(t[name], r) for name, r in rules.items()]
@@ -207,34 +220,60 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
         constraints.foreign_key(t["payroll_lines"], "pay to employee", ["employee_code"], t["employees"], ["employee_code"]),
         constraints.foreign_key(t["supplier_aliases"], "alias to supplier", ["match_key"], t["suppliers"], ["match_key"]),
     ]
+    found.append(constraints.unique(t["products"].where("description_key IS NOT NULL"), "products description", ["description_key"]))
+    month = t["sales"].withColumn("fx_month", F.trunc("sale_date", "MM"))
+    found += [
+        constraints.foreign_key(month, "sale to rate", ["currency", "fx_month"], t["fx_rates"], ["currency", "month"]),
+        constraints.foreign_key(t["movements"], "movement to order", ["po_number"], t["purchase_orders"], ["po_number"]),
+        constraints.foreign_key(t["payroll_lines"], "pay to run", ["period"], t["payroll_runs"], ["period"]),
+        constraints.foreign_key(t["purchase_orders"], "order to supplier", ["match_key"], t["suppliers"], ["match_key"]),
+    ]
+    if "row_outcomes" in t:
+        found += staging_violations(t["sheets"], t["row_outcomes"], t["reject_reasons"])
     return reduce(DataFrame.unionByName, found).where("violations > 0")
 
 
+def staging_violations(sheets: DataFrame, outcomes: DataFrame, reasons: DataFrame) -> list[DataFrame]:
+    """A sheet has a header or a reason, row kinds and reasons are of the vocabulary, a merged row isn't its own kept row."""
+    col = F.col
+    kept = F.struct("kept_book", "kept_sheet_index", "kept_row_num")
+    return [
+        constraints.check(sheets, {"sheet header or reason": col("header_row").isNull() == col("skipped_reason").isNotNull(), "sheet domain": col("domain").isin("purchases", "sales", "inventory", "payroll", "products")}),
+        constraints.check(outcomes, {
+            "row kind": col("kind").isin("data", "blank", "subtotal", "repeated_header"), "outcome": col("outcome").isin("loaded", "merged", "rejected", "skipped"),
+            "kept row is another": col("kept_book").isNull() | (F.struct(col("book"), col("sheet_index"), col("row_num")) != kept), "reject has a reason": (col("outcome") != "rejected") | col("reason_code").isNotNull(),
+        }),
+        constraints.check(reasons, {"reason category": col("category").isin("noise", "data", "duplicate"), "reason stage": col("stage").isin("extract", "parse", "load")}),
+        constraints.unique(outcomes, "row outcome key", ID),
+        constraints.unique(sheets, "sheet key", ["book", "sheet_index"]),
+        constraints.foreign_key(outcomes, "outcome to reason", ["reason_code"], reasons, ["code"]),
+        constraints.foreign_key(outcomes, "row to sheet", ["book", "sheet_index"], sheets, ["book", "sheet_index"]),
+        constraints.foreign_key(outcomes, "kept row to row", ["kept_book", "kept_sheet_index", "kept_row_num"], outcomes, ID),
+    ]
+
+
 def run_load(spark: SparkSession, books_dir: str, out_dir: str) -> LoadResult:
     """Loads a folder of workbooks over what ``out_dir`` holds; the same books again change nothing."""
     started = dt.datetime.now(dt.UTC)
-    tables = build(spark, books_dir)
-    broken = violations(tables).collect()  # a row per broken rule
-    if broken:
-        raise ValueError(f"constraints broken: {[(r['rule'], r['violations']) for r in broken]}")
+    published = {} if upsert.pointer(spark, out_dir) is None else {name: upsert.current(spark, out_dir, name) for name in TABLES}
+    tables = build_from(read_grids(spark, books_dir), published)
     workbooks, rows_in = tables["sheets"].select("book").distinct().count(), tables["row_outcomes"].count()
     if not workbooks:
         raise FileNotFoundError(f"no workbooks in {books_dir}")
-    try:
-        last = {name: upsert.current(spark, out_dir, name) for name in TABLES}
-    except Exception as e:  # the first load
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        last = {}
+    first = upsert.pointer(spark, out_dir) is None
     changes, counts = {}, {}
     for name, (key, values) in TABLES.items():
-        old = last.get(name, tables[name].limit(0))
-        diff = upsert.diff(old, tables[name], key, values).cache()
+        old = tables[name].limit(0) if first else upsert.current(spark, out_dir, name)
+        diff = settled(upsert.diff(old, tables[name], key, values))
         n = upsert.change_counts(name, diff).first()
         counts[name], changes[name] = (n["inserted"], n["updated"]), diff.drop("action")
+    staged = {k: tables[k] for k in ("sheets", "row_outcomes", "reject_reasons")}
+    broken = violations(changes | staged).collect()  # of what would be published; a row per broken rule
+    if broken:
+        raise ValueError(f"constraints broken: {[(r['rule'], r['violations']) for r in broken]}")
     run_id = uuid.uuid4().hex
+    upsert.publish(spark, changes | {k: v for k, v in tables.items() if k not in TABLES}, out_dir, run_id)
     log = [(run_id, started, dt.datetime.now(dt.UTC), workbooks, rows_in, {k: {"inserted": a, "updated": b} for k, (a, b) in counts.items()})]
     runs = spark.createDataFrame(log, "run_id string, started_at timestamp, finished_at timestamp, workbooks int, rows_in int, changes map<string,map<string,long>>")
-    runs.write.mode("append").parquet(f"{out_dir}/load_runs")
-    upsert.publish(spark, changes | {k: v for k, v in tables.items() if k not in TABLES}, out_dir, run_id)
+    runs.write.mode("append").parquet(f"{out_dir}/load_runs")  # only a run that is in force is logged
     return LoadResult(run_id, workbooks, rows_in, counts)

@@ -28,6 +28,13 @@ def _filled(field: str) -> Column:
     return text.clean(_s(field)) != ""
 
 
+def preview(cells: Column, fields: Column, most: int = 140) -> Column:
+    """The cells of a row as ``field: text; ...`` in the order of the columns, blanks left out, cut to ``most`` characters."""
+    texts = F.transform(fields, lambda f: F.struct(f.alias("f"), text.clean(F.try_element_at(cells, f)["s"]).alias("s")))
+    shown = F.array_join(F.transform(F.filter(texts, lambda x: x["s"] != ""), lambda x: F.concat(x["f"], F.lit(": "), x["s"])), "; ")
+    return text.let(shown, lambda s: F.when(F.length(s) > most, F.concat(F.substring(s, 1, most - 3), F.lit("..."))).otherwise(s))
+
+
 def date_token() -> Column:
     kind, s = _cell("date")["kind"], _s("date")
     return (

@@ -12,6 +12,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -22,6 +23,7 @@ CELL = "struct<kind:string,s:string>"
 SCHEMA = f"book string, sheet_index int, sheet string, row_num int, cells array<{CELL}>"
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+_KNOWN = re.compile(r"(?i)item_master|(purchases|sales|inventory|payroll)_")
 _DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
 
@@ -39,7 +41,8 @@ def _is_date_format(code: str) -> bool:
 
 
 def number_text(x: float) -> str:
-    return str(int(x)) if x == int(x) and abs(x) < 1e15 else repr(x)
+    """Plain digits, also for very small and very large numbers; what isn't finite stays a word."""
+    return format(Decimal(repr(x)), "f") if x - x == 0 and x != int(x) else str(int(x)) if x - x == 0 else repr(x)
 
 
 def read_book(raw: bytes) -> Iterator[tuple[int, str, list[list[tuple[str, str] | None]]]]:
@@ -98,8 +101,14 @@ def read_book(raw: bytes) -> Iterator[tuple[int, str, list[list[tuple[str, str]
 
 
 def book_frames(files: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Grid rows of each sheet of ``files`` (path, content); every sheet also has a row 0 without cells."""
+    """Grid rows of each sheet of ``files`` (path, content); every sheet also has a row 0 without cells.
+
+    A file whose name stands for no domain isn't opened: it is one sheet ``*`` without rows.
+    """
     for path, raw in zip(files["path"], files["content"], strict=True):
+        if not _KNOWN.match(path.rsplit("/", 1)[-1]):
+            yield pd.DataFrame({"book": path.rsplit("/", 1)[-1], "sheet_index": 0, "sheet": "*", "row_num": [0], "cells": [[]]})
+            continue
         for index, name, grid in read_book(raw):
             cells = [[], *[[None if c is None else {"kind": c[0], "s": c[1]} for c in row] for row in grid]]
             yield pd.DataFrame({"book": path.rsplit("/", 1)[-1], "sheet_index": index, "sheet": name, "row_num": range(len(cells)), "cells": cells})
