@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("etl")
     r = sub.add_parser("report")
     r.add_argument("--out", default="report.html")
+    r.add_argument("--truth", help="a folder of ground truth to score the load against")
     sub.add_parser("calibrate")
     a = p.parse_args(argv)
     if a.command == "generate":
@@ -33,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "report":
         from tallybook.plans.reports import build_report
 
-        print(build_report(spark, f"{a.data_dir}/tables", a.out, a.out.rsplit(".", 1)[0] + ".json"))
+        print(build_report(spark, f"{a.data_dir}/tables", a.out, a.out.rsplit(".", 1)[0] + ".json", a.truth))
     else:
         from tallybook.plans.calibrate import calibrate, sweep
 

@@ -118,4 +118,4 @@ def within_tolerance(amount: Column, qty: Column, price: Column) -> Column:
 
 def implied_price(amount: Column, qty: Column) -> Column:
     """Amount per unit to four places, half to even; null if the quantity is zero or either is too large to divide."""
-    return F.bround(F.try_divide(amount.try_cast("decimal(16,4)"), qty.try_cast("decimal(14,6)")), 4).cast("decimal(18,4)")
+    return F.bround(F.try_divide(amount.try_cast("decimal(18,6)"), qty.try_cast("decimal(13,5)")), 4).cast("decimal(18,4)")

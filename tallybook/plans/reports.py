@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators import upsert
-from tallybook.plans import stock
+from tallybook.plans import scoring, stock
 from tallybook.plans.load import TABLES
 from tallybook.plans.rows import ID
 
@@ -89,18 +89,63 @@ def bar_chart(bars: list[tuple[str, float]], width: int = 640) -> str:
     return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{22 * len(bars) + 4}">{"".join(rows)}</svg>'
 
 
-def build_report(spark: SparkSession, out_dir: str, page: str, metrics: str) -> dict:
-    """Writes an HTML page and a metrics file of the current run; the same run gives the same bytes. Only report-sized results are collected."""
-    names = [*TABLES, "sheets", "row_outcomes", "supplier_review", "reject_reasons"]
+def reading(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """How dates were read and where currencies came from, of the rows that could be read."""
+    fine = {d: tables[f"parsed_{d}"].where("reason IS NULL") for d in ("purchases", "sales", "movements")}
+    dated = reduce(DataFrame.unionByName, [df.select(F.lit(d).alias("domain"), "date_method") for d, df in fine.items()])
+    priced = reduce(DataFrame.unionByName, [fine[d].select(F.lit(d).alias("domain"), "currency_source", "currency") for d in ("purchases", "sales")])
+    count = F.count("*").alias("n")
+    return {"Dates by method": dated.groupBy("domain", "date_method").agg(count).orderBy("domain", "date_method"), "Currencies by source": priced.groupBy("domain", "currency_source", "currency").agg(count).orderBy("domain", "currency_source", "currency")}
+
+
+def against_truth(spark: SparkSession, tables: dict[str, DataFrame], truth_dir: str) -> dict[str, DataFrame]:
+    """Scores of the load against the ground truth in a folder."""
+    truth = scoring.read_truth(spark, truth_dir)
+    fine = {d: tables[f"parsed_{d}"].where("reason IS NULL") for d in ("purchases", "sales", "movements")}
+    dated = reduce(DataFrame.unionByName, [df.select(*ID, F.col(c).alias("date"), "date_method") for (_, df), c in zip(fine.items(), ("order_date", "sale_date", "movement_date"), strict=True)])
+    priced = reduce(DataFrame.unionByName, [fine[d].select(*ID, F.col("amount").cast("decimal(18,2)").alias("amount"), "currency", "currency_source") for d in ("purchases", "sales")])
+    known = truth["rows"].where("true_date IS NOT NULL")
+    named = scoring.supplier_score(tables["supplier_aliases"], truth["supplier_aliases"], tables["supplier_review"])
+    # several source rows of one record are loaded once
+    loaded = tables["row_outcomes"].where("outcome = 'loaded'").groupBy("domain").agg(F.count("*").alias("loaded"))
+    text = lambda df: df.withColumn("examples", F.array_join(F.transform("examples", lambda e: F.concat_ws("!", *[e[c].cast("string") for c in ID])), ", "))
+    return {
+        "Outcomes against truth": scoring.outcome_score(truth["rows"], tables["row_outcomes"]).withColumn("example", F.concat_ws("!", *[F.col(f"example.{c}").cast("string") for c in ID])).orderBy("expected", "actual"),
+        "Records by domain": scoring.expected_records(truth["rows"]).join(loaded, "domain", "full").orderBy("domain"),
+        "Supplier pairs": named["pairs"], "False merges": named["false_merges"].orderBy("cluster"), "Split suppliers": named["split"].orderBy("supplier_code"), "Review hits": named["review"],
+        "Dates against truth": text(scoring.value_score(dated, known, "date", "true_date", "date_method")).orderBy("by"),
+        "Amounts against truth": text(scoring.value_score(priced, truth["rows"].where("true_amount IS NOT NULL"), "amount", "true_amount", "currency_source")).orderBy("by"),
+        "Currencies against truth": text(scoring.value_score(priced, truth["rows"].where("true_currency IS NOT NULL"), "currency", "true_currency", "currency_source")).orderBy("by"),
+    }
+
+
+def build_report(spark: SparkSession, out_dir: str, page: str, metrics: str, truth_dir: str | None = None) -> dict:
+    """Writes an HTML page and a metrics file of the current run; the same run gives the same bytes. Only report-sized results are collected.
+
+    With a ground truth, the load is scored against it too.
+    """
+    parsed = [f"parsed_{d}" for d in ("purchases", "sales", "movements")]
+    names = [*TABLES, *parsed, "sheets", "row_outcomes", "supplier_review", "reject_reasons"]
     t = {n: upsert.current(spark, out_dir, n) for n in names}
     outcomes = t["row_outcomes"]
+    place = lambda e: F.concat_ws("!", *[e[c].cast("string") for c in ID])
+    reasons = reasons_with_examples(outcomes, t["reject_reasons"]).withColumn("examples", F.array_join(F.transform("examples", lambda e: F.concat_ws(" ", place(e), e["detail"])), " | "))
+    merged = merged_locations(outcomes).withColumn("example", place(F.col("example")))
     tables = {
-        "Books": by_book(outcomes, loaded_rows(t)), "Reasons": reasons_with_examples(outcomes, t["reject_reasons"]).drop("examples"), "Merged rows": merged_locations(outcomes).drop("example"),
-        "Spellings": suppliers_by_spellings(t["supplier_aliases"], t["suppliers"]), "Matches": t["supplier_aliases"].groupBy("match_method").agg(F.count("*").alias("n")).orderBy("match_method"), **reconciliation(t),
+        "Books": by_book(outcomes, loaded_rows(t)), "Domains": outcomes.groupBy("domain", "outcome").agg(F.count("*").alias("n")).orderBy("domain", "outcome"), "Reasons": reasons, "Merged rows": merged, **reading(t),
+        "Spellings": suppliers_by_spellings(t["supplier_aliases"], t["suppliers"]), "Matches": t["supplier_aliases"].groupBy("match_method").agg(F.count("*").alias("n")).orderBy("match_method"),
+        "Review": t["supplier_review"].orderBy(F.desc("nearest_score"), "alias"), **reconciliation(t), "Loads": load_history(spark.read.parquet(f"{out_dir}/load_runs")).drop("run_id", "started_at"),
     }
+    if truth_dir:
+        tables |= against_truth(spark, t, truth_dir)
     got = {name: [r.asDict(recursive=True) for r in df.collect()] for name, df in tables.items()}
     counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
     numbers = {f"rows_{k}": v for k, v in counts.items()} | {f"core_{n}": t[n].count() for n in TABLES} | {"rows_in": sum(counts.values()), "workbooks": len(got["Books"])}
+    numbers |= {f"dates_{r['domain']}_{r['date_method']}": r["n"] for r in got["Dates by method"]} | {f"matches_{r['match_method']}": r["n"] for r in got["Matches"]} | {"review_queue": len(got["Review"])}
+    if truth_dir:
+        pairs, scored = got["Supplier pairs"][0], got["Outcomes against truth"]
+        numbers |= {"outcomes_checked": sum(r["n"] for r in scored), "outcomes_right": sum(r["n"] for r in scored if r["agree"]), "supplier_precision": round(pairs["precision"], 4), "supplier_recall": round(pairs["recall"], 4), "false_merges": len(got["False merges"])}
+        numbers |= {f"{what}_{k}": sum(r[k] for r in got[f"{what.capitalize()} against truth"]) for what in ("dates", "amounts", "currencies") for k in ("checked", "right")}
     body = [f"<h1>Load report</h1>{bar_chart(sorted(counts.items()))}"]
     for name, rows in got.items():
         head = "".join(f"<th>{html.escape(c)}</th>" for c in (rows[0] if rows else {}))

@@ -78,3 +78,20 @@ def test_period(evaluate):
     got = evaluate(lambda c: dates.parse_period(c, F.lit(2019)), names)
     assert got == [date(2019, 1, 1)] * 6 + [date(2019, 9, 1), date(2018, 12, 1), None, None]
     assert evaluate(lambda c: dates.parse_period(c, F.lit(None).cast("int")), ["January"]) == [None]
+
+
+def test_implied_price_and_small_numbers(spark):
+    from tallybook.sources.workbook import number_text
+
+    rows = spark.createDataFrame([("100", "0.333"), ("100", "0.004"), ("1", "0"), ("10", "3"), ("0.00005", "1"), ("0.00015", "1")], "a string, q string")
+    got = [str(r[0]) for r in rows.select(money.implied_price(F.col("a").cast(money.DECIMAL), F.col("q").cast(money.DECIMAL))).collect()]
+    assert got == ["300.3003", "25000.0000", "None", "3.3333", "0.0000", "0.0002"]
+    assert [number_text(x) for x in (0.00001, 5.0, 1e20, 0.1, -2.5)] == ["0.00001", "5", "100000000000000000000", "0.1", "-2.5"]
+
+
+def test_repeated_descriptions_and_names(spark):
+    from tallybook.operators import resolve
+
+    items = spark.createDataFrame([("A", "cotton"), ("B", "cotton"), ("C", "silk")], "code string, key string").withColumn("id", F.col("code"))
+    rows = spark.createDataFrame([(1, None, "cotton"), (2, None, "silk"), (3, "A", None), (4, "Z", None)], "n int, c string, d string")
+    assert [(r["n"], r["id"]) for r in resolve.by_code_or_key(rows, items, "c", "d", "id", "code", "key").orderBy("n").collect()] == [(1, None), (2, "C"), (3, "A"), (4, None)]

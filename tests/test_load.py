@@ -91,3 +91,41 @@ def test_report(spark, loaded, tmp_path):
     assert pages[0] == pages[1] and numbers["core_products"] == 2 and numbers["rows_skipped"] == 3
     t = {n: upsert.current(spark, out, n) for n in ("products", "po_lines", "sales", "movements", "payroll_lines", "row_outcomes")}
     assert all(r["missing"] == 0 for r in reports.by_book(t["row_outcomes"], reports.loaded_rows(t)).collect())
+
+
+def test_generated_books_are_scored(spark, tmp_path):
+    """Generate, load, score: outcomes agree with the truth, and so do dates, amounts and currencies; no suppliers are merged wrongly."""
+    from tallybook.plans import reports, synthetic
+
+    synthetic.generate(str(tmp_path), 42, 2018, 2018, 25)
+    load.run_load(spark, str(tmp_path / "books"), str(tmp_path / "tables"))
+    n = reports.build_report(spark, str(tmp_path / "tables"), str(tmp_path / "r.html"), str(tmp_path / "r.json"), str(tmp_path / "truth"))
+    assert n["outcomes_checked"] > 400 and n["outcomes_right"] / n["outcomes_checked"] > 0.995
+    assert n["dates_right"] == n["dates_checked"] > 100 and n["amounts_right"] == n["amounts_checked"] > 50 and n["currencies_right"] == n["currencies_checked"] > 50
+    assert n["false_merges"] == 0
+    details = upsert.current(spark, str(tmp_path / "tables"), "row_outcomes").where("outcome = 'rejected'")
+    assert details.where("detail IS NULL").count() == 0
+
+
+def test_later_load_knows_what_is_published(spark, books, loaded, tmp_path):
+    """Only sales and stock in the second load: their products and orders are those of the first. A load that is cut short changes nothing."""
+    import shutil
+
+    out, _ = loaded
+    mine = str(tmp_path / "tables")
+    shutil.copytree(out, mine)
+    (tmp_path / "books").mkdir()
+    for name in ("sales_2019.xlsx", "inventory_2019.xlsx"):
+        shutil.copy(f"{books}/{name}", tmp_path / "books" / name)
+    (tmp_path / "books" / "stray.xlsx").write_bytes(b"no workbook at all")
+    before = {t: upsert.current(spark, mine, t).count() for t in load.TABLES}
+    second = load.run_load(spark, str(tmp_path / "books"), mine)
+    assert all(changed == (0, 0) for t, changed in second.changes.items() if t != "fx_rates")
+    assert {t: upsert.current(spark, mine, t).count() for t in load.TABLES if t != "fx_rates"} == {t: n for t, n in before.items() if t != "fx_rates"}
+    outcomes = upsert.current(spark, mine, "row_outcomes")
+    assert outcomes.where("reason_code = 'UNKNOWN_PRODUCT'").count() == 0
+    assert {r["po_number"] for r in upsert.current(spark, mine, "movements").collect()} == {"PO-2019-00001", None}
+    assert upsert.current(spark, mine, "sheets").where("book = 'stray.xlsx'").first()["skipped_reason"] == "file name does not identify a domain"
+    number, run_id = upsert.pointer(spark, mine)
+    spark.range(1).write.parquet(f"{mine}/run=half/products")  # written, but never switched to
+    assert upsert.pointer(spark, mine) == (number, run_id) and upsert.pointer(spark, str(tmp_path / "none")) is None

@@ -52,3 +52,20 @@ def test_candidates_are_all_pairs(spark):
     assert dict(got) == want and len(got) == len(want) and ("benderson textiles", "hendersen textiles") in want
     queued = {r["alias"]: r["nearest"] for r in matching.match_suppliers(counts.where("alias LIKE '%enders%'")).collect()}
     assert queued == {"Benderson Textiles": None, "Hendersen Textiles": "benderson textiles"}
+
+
+def test_method_follows_the_canonical_spelling(spark):
+    """The canonical spelling may have another key than the anchor: what shares its key is normalized, the rest is fuzzy."""
+    rows = [("Walker Textiles", 5), ("WALKER TEXTILES LTD", 5), ("Walkers Textiles", 6)]
+    got = {r["alias"]: (r["canonical"], r["method"]) for r in matching.match_suppliers(spark.createDataFrame(rows, "alias string, row_count long")).collect()}
+    assert got == {"Walkers Textiles": ("Walkers Textiles", "exact"), "Walker Textiles": ("Walkers Textiles", "fuzzy"), "WALKER TEXTILES LTD": ("Walkers Textiles", "fuzzy")}
+
+
+def test_rounds_are_greedy(spark):
+    """The rounds of joins give what the sequential pass gives, on a graph with chains and ties."""
+    rng = random.Random(3)
+    keys = [(f"k{i:03d}", rng.randint(1, 6)) for i in range(120)]
+    edges = [(a, b, rng.choice([75.0, 80.0, 88.0, 90.0, 95.0])) for (a, _), (b, _) in combinations(sorted(keys), 2) if rng.random() < 0.04]
+    found, queue = matching.greedy(keys, edges)
+    got = matching.greedy_rounds(spark.createDataFrame(keys, "match_key string, n long"), spark.createDataFrame(edges, "a string, b string, score double")).collect()
+    assert {r["key"]: (r["anchor"], r["score"]) for r in got} == found and {r["key"]: (r["nearest"], r["nearest_score"]) for r in got if r["nearest"]} == queue
