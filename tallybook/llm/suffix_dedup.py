@@ -11,8 +11,8 @@ A byte is removed if it lies in a ``window``-byte string that also starts anywhe
    at a time (three-way splits of all groups of a task at once) down to a shallow depth, then a blind trie for each group that still agrees. It leaves common-prefix
    lengths, and a window that reaches ``d`` bytes left is repeated if another run agrees with it ``d`` bytes to the left
    and ``window - d`` to the right.
-4. A minimiser with very many different runs is sorted in blocks of bounded size; what its blocks can't settle alone is
-   counted by the windows' digests with map-side combining.
+4. A minimiser with very many different runs is sorted in blocks of about ``block`` runs (some 400 bytes each, so a task holds a few
+   megabytes); only where it has several blocks, what these can't settle alone is counted by the windows' digests with map-side combining.
 5. Repeated runs come together by document; their union is cut.
 
 Documents are identified by 128 bits of their text, so that copies share one entry, whatever their number.
@@ -350,7 +350,7 @@ def _sort_blocks(members: DataFrame, window: int) -> DataFrame:
     return dealt.mapInArrow(run, "id binary, start long, windows int, settled boolean, several boolean, h1 long, h2 long, n int")
 
 
-def repeated_ranges(docs: DataFrame, window: int = 200, gram: int = 32, block: int = 2000) -> DataFrame:
+def repeated_ranges(docs: DataFrame, window: int = 200, gram: int = 32, block: int = 20_000) -> DataFrame:
     """id, start, windows: ranges of window starts that are repeated, for the texts of ``docs`` (text)."""
     runs = keep(scan_runs(docs, window, gram), "suffix-runs")
     per_key = runs.groupBy("key").agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")).where("n > 1")

@@ -272,7 +272,7 @@ def test_substrings(spark, real, odd, block):
     expected = removed_by_brute_force([(r["text"] or "").encode() for r in rows], 200)
     ranges = suffix_dedup.repeated_ranges(docs.select("text"), 200, block=block)
     assert ranges.count() >= 0
-    got = suffix_dedup.dedup_substrings(docs).collect() if block == 2000 else None
+    got = suffix_dedup.dedup_substrings(docs).collect() if block == 2000 else None  # the production block is larger still
     if got:
         key = lambda x: tuple(map(str, x))
         assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got), key=key) == sorted(((r["doc_id"], *e) for r, e in zip(rows, expected, strict=True)), key=key)
