@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,9 @@ from tallybook.llm.components import components
 from tallybook.llm.vectors import as_matrix, cosine, unit, usable
 
 
+BATCH = 20_000
+
+
 def roots() -> np.ndarray:
     """The 240 shortest vectors of E8: two entries of +-1, or eight of +-1/2 with an even number of minus signs."""
     out = []
@@ -100,45 +104,99 @@ def cells(vertices: DataFrame, tables: int, scale: float, probes: int, seed: int
 
 
 def _linked(groups: DataFrame, tables: int, probes: int, threshold: float) -> DataFrame:
-    """``groups`` (label, cell, t, i, j, left, v, vector, at, copies) -> v, n (links found, with copies), and a, b (links that tie parts)."""
-    many = 1 + probes
-
-    def compare(group: pa.Table) -> pa.Table:
-        left = group["left"].to_numpy()
-        v, copies, table_ = group["v"].to_numpy(), group["copies"].to_numpy(), int(group["t"][0].as_py())
-        rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
-        counts = np.zeros(len(v), np.int64)
-        ties: list[tuple[int, int]] = []
-        if len(rows) and len(cols):
-            vectors = group["vector"].to_pylist()
-            at = group["at"].combine_chunks().flatten().to_numpy().reshape(len(v), tables, many)
-            lengths = np.array([len(x) for x in vectors])
-            cell = group["cell"][0].as_py()
-            for d in np.unique(lengths[rows]):
-                r, c = rows[lengths[rows] == d], cols[lengths[cols] == d]
-                if not len(c):
-                    continue
-                x, y = as_matrix(vectors[k] for k in r), as_matrix(vectors[k] for k in c)
-                about = unit(x) @ unit(y).T
-                own = at[c, table_, 0] == cell  # lookers that are owners here too: each such pair once
-                near = (about >= threshold - 1e-9) & (v[r][:, None] != v[c][None, :]) & (~own[None, :] | (v[r][:, None] < v[c][None, :]))
-                pairs = np.argwhere(near)
-                for p in range(0, len(pairs), 20_000):
-                    a, b = pairs[p : p + 20_000].T
-                    sure = about[a, b] >= threshold + 1e-9
-                    sure[~sure] = cosine(x[a[~sure]], y[b[~sure]]) >= threshold
-                    a, b = a[sure], b[sure]
-                    # not where they have met in an earlier table, or in this one in the smaller one's cell
-                    one, two = at[r[a]], at[c[b]]
-                    met = (one[:, :table_, :1] == two[:, :table_, :]).any(axis=(1, 2)) | (two[:, :table_, :1] == one[:, :table_, :]).any(axis=(1, 2))
-                    met |= ~own[b] & (one[:, table_, :] == two[:, table_, :1]).any(axis=1) & (v[r[a]] > v[c[b]])
-                    a, b = r[a[~met]], c[b[~met]]
-                    counts += np.bincount(a, copies[b], len(v)).astype(np.int64) + np.bincount(b, copies[a], len(v)).astype(np.int64)
-                    ties += spanning(v[a], v[b])
-        out = [(int(v[k]), int(counts[k]), None, None) for k in np.flatnonzero(counts)] + [(None, None, int(a), int(b)) for a, b in ties]
-        return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], names=["v", "n", "a", "b"])
-
-    return groups.groupBy("label", "cell", "t", "i", "j").applyInArrow(compare, "v long, n long, a long, b long")
+    """``groups`` (key, cell, t, i, j, left, v, vector, at, copies) -> v, n (links found, with copies), and a, b (links that tie parts).
+
+    A task works through its sorted rows some groups at a time: small groups all at once, pair by pair, larger ones by a product each.
+    """
+    many, small = 1 + probes, 4096
+
+    def one(got: pa.Table) -> Iterator[pa.RecordBatch]:
+        v, copies, t, cell, left = (got[c].to_numpy() for c in ("v", "copies", "t", "cell", "left"))
+        number = np.zeros(len(v), np.int64)
+        number[1:] = np.cumsum(changes(got))
+        at = got["at"].combine_chunks().flatten().to_numpy().reshape(len(v), tables, many)
+        own = at[np.arange(len(v)), t, 0] == cell
+        vectors = got["vector"].combine_chunks()
+        lengths, values = pc.list_value_length(vectors).to_numpy(), vectors.flatten().to_numpy().astype(np.float64)
+        begins = np.cumsum(lengths) - lengths
+        counts, ties = np.zeros(len(v), np.int64), []
+
+        def count(a: np.ndarray, b: np.ndarray, x: np.ndarray, about: np.ndarray, place: np.ndarray) -> None:
+            """Counts the pairs (a owns the cell, b looks into it) that are alike and have not met elsewhere."""
+            near = (about >= threshold - 1e-9) & (v[a] != v[b]) & (~own[b] | (v[a] < v[b]))  # two owners stand in both orders
+            a, b, about = a[near], b[near], about[near]
+            sure = about >= threshold + 1e-9
+            sure[~sure] = cosine(x[place[a[~sure]]], x[place[b[~sure]]]) >= threshold
+            a, b = a[sure], b[sure]
+            # not where they have met in an earlier table, or in this one in the smaller one's cell
+            one, two, now = at[a], at[b], t[a]
+            met = ((one[:, :, :1] == two).any(axis=2) | (two[:, :, :1] == one).any(axis=2)) & (np.arange(tables) < now[:, None])
+            rows = np.arange(len(a))
+            back = ~own[b] & (one[rows, now, :] == two[rows, now, :1]).any(axis=1) & (v[a] > v[b])
+            fresh = ~met.any(axis=1) & ~back
+            a, b = a[fresh], b[fresh]
+            counts[:] += (np.bincount(a, copies[b], len(v)) + np.bincount(b, copies[a], len(v))).astype(np.int64)
+            ties.extend(spanning(v[a], v[b]))
+
+        for d in np.unique(lengths):
+            mine = np.flatnonzero(lengths == d)
+            x = values[begins[mine][:, None] + np.arange(d)]
+            place = np.zeros(len(v), np.int64)
+            place[mine] = np.arange(len(mine))
+            u = unit(x)
+            owners, lookers = mine[left[mine]], mine[~left[mine]]
+            size = number[-1] + 1
+            n_own, n_look = np.bincount(number[owners], minlength=size), np.bincount(number[lookers], minlength=size)
+            first_own, first_look = np.cumsum(n_own) - n_own, np.cumsum(n_look) - n_look
+            pairs = n_own * n_look
+            few = np.flatnonzero((pairs > 0) & (pairs <= small))
+            ends = np.cumsum(pairs[few])
+            for p in range(0, int(ends[-1]) if len(few) else 0, 20_000):
+                k = np.arange(p, min(p + 20_000, int(ends[-1])))
+                g = np.searchsorted(ends, k, side="right")
+                inside, g = k - (ends[g] - pairs[few[g]]), few[g]
+                a, b = owners[first_own[g] + inside // n_look[g]], lookers[first_look[g] + inside % n_look[g]]
+                count(a, b, x, np.einsum("ij,ij->i", u[place[a]], u[place[b]]), place)
+            for g in np.flatnonzero(pairs > small):
+                r, c = owners[first_own[g] : first_own[g] + n_own[g]], lookers[first_look[g] : first_look[g] + n_look[g]]
+                about = u[place[r]] @ u[place[c]].T
+                near = np.argwhere(about >= threshold - 1e-9)
+                for p in range(0, len(near), 20_000):
+                    i, j = near[p : p + 20_000].T
+                    count(r[i], c[j], x, about[i, j], place)
+        ids, same = np.unique(v, return_inverse=True)
+        total = np.bincount(same, counts).astype(np.int64)
+        found, tied = np.flatnonzero(total), np.array(sorted(set(ties)), np.int64).reshape(-1, 2)
+        tied = np.array(spanning(tied[:, 0], tied[:, 1]), np.int64).reshape(-1, 2)
+        none = lambda n: pa.nulls(n, pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(total[found]), none(len(found)), none(len(found))], names=["v", "n", "a", "b"])
+        yield pa.RecordBatch.from_arrays([none(len(tied)), none(len(tied)), pa.array(tied[:, 0]), pa.array(tied[:, 1])], names=["v", "n", "a", "b"])
+
+    def changes(got: pa.Table) -> np.ndarray:
+        new = np.zeros(max(len(got) - 1, 0), bool)
+        for c in order:
+            x = got[c].to_numpy()
+            new |= x[1:] != x[:-1]
+        return new
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:  # sorted, so that only the last group of what is held may go on
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BATCH:
+                got = pa.Table.from_batches(held).combine_chunks()
+                ends = np.flatnonzero(changes(got))
+                if len(ends):
+                    yield from one(got.slice(0, int(ends[-1]) + 1).combine_chunks())
+                    got = got.slice(int(ends[-1]) + 1)
+                held, rows = got.combine_chunks().to_batches(), len(got)
+        if rows:
+            yield from one(pa.Table.from_batches(held).combine_chunks())
+
+    order = ["key", "cell", "t", "i", "j"]
+    dealt = groups.select(*order, "left", "v", "vector", "at", "copies").repartition(*order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, "v long, n long, a long, b long")
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -169,11 +227,11 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98, tables: int = 8, s
     looks = looks.select("v", "label", F.floor(F.col("p") / (1 + probes)).cast("int").alias("t"), (F.col("p") % (1 + probes) == 0).alias("own"), "cell")
     full = looks.groupBy("t", "cell", "label").agg(F.count_if("own").alias("owners"), F.count("*").alias("lookers")).where("owners > 0 and lookers > 1")
     full = keep(full.select(F.col("t").alias("__t"), F.col("cell").alias("__cell"), F.col("label").alias("__label"), F.ceil(F.col("owners") / block).cast("int").alias("ni"), F.ceil(F.col("lookers") / block).cast("int").alias("nj")), "lattice-full")
-    here = keep(looks.join(full, (F.col("t") == F.col("__t")) & (F.col("cell") == F.col("__cell")) & (F.col("label") == F.col("__label"))).select("v", "label", "t", "own", "cell", "ni", "nj"), "lattice-here")
+    here = keep(looks.join(full, (F.col("t") == F.col("__t")) & (F.col("cell") == F.col("__cell")) & (F.col("label") == F.col("__label"))).select("v", F.xxhash64("label", "cell", "t").alias("key"), "t", "own", "cell", "ni", "nj"), "lattice-here")
     mine = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = here.where("own").select("v", "label", "t", "cell", mine("ni").alias("i"), every("nj").alias("j"), F.lit(True).alias("left"))
-    right = here.select("v", "label", "t", "cell", every("ni").alias("i"), mine("nj").alias("j"), F.lit(False).alias("left"))
+    left = here.where("own").select("v", "key", "t", "cell", mine("ni").alias("i"), every("nj").alias("j"), F.lit(True).alias("left"))
+    right = here.select("v", "key", "t", "cell", every("ni").alias("i"), mine("nj").alias("j"), F.lit(False).alias("left"))
     groups = left.unionAll(right).join(at.select(F.col("v").alias("__v"), "vector", "at", "copies"), F.col("v") == F.col("__v")).drop("__v")
     found = keep(_linked(groups, tables, probes, threshold), "lattice-links")
     others = found.where("v IS NOT NULL").groupBy(F.col("v").alias("o")).agg(F.sum("n").alias("others"))
