@@ -9,12 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import let, lookup
-from tallybook.vocabulary import CURRENCIES
+from tallybook.vocabulary import CURRENCIES, MONEY_SHAPE, QUANTITY_UNIT
 
 DECIMAL = "decimal(38,10)"
-_TOKEN = r"US\$|USD|RWF|FRW|RF|\$"
-_SHAPE = rf"(?i)^({_TOKEN})?\s*([(\-]?\d[\d.,\s]*\)?)\s*({_TOKEN})?$"
-_UNIT = r"(?i)\s*(m|mtrs?|meters?|metres?|pcs?|pieces?|units?|rolls?)\.?$"
 _TRIM = r"(?U)^\s+|\s+$"
 
 
@@ -64,7 +61,7 @@ def money(c: Column) -> Column:
     """Struct (amount, currency, reason) of a text cell such as ``Frw 125,000/=``."""
 
     def read(s: Column) -> Column:
-        return let(F.when(s.rlike(_SHAPE), F.array(*[F.regexp_extract(s, _SHAPE, i) for i in (1, 2, 3)])), lambda g: known(s, g))
+        return let(F.when(s.rlike(MONEY_SHAPE), F.array(*[F.regexp_extract(s, MONEY_SHAPE, i) for i in (1, 2, 3)])), lambda g: known(s, g))
 
     def known(s: Column, g: Column) -> Column:
         marks = F.struct(lookup(g[0], CURRENCIES).alias("a"), lookup(g[2], CURRENCIES).alias("b"), to_decimal(g[1]).alias("n"))
@@ -85,7 +82,7 @@ def quantity(c: Column) -> Column:
         reason = F.when(s == "", "MISSING_FIELD").when(value.isNull(), "BAD_QUANTITY")
         return F.struct(F.when(reason.isNull(), value).alias("quantity"), reason.alias("reason"))
 
-    return let(trimmed(F.coalesce(c, F.lit(""))), lambda s: let(to_decimal(F.regexp_replace(s, _UNIT, "")), lambda v: result(s, v)))
+    return let(trimmed(F.coalesce(c, F.lit(""))), lambda s: let(to_decimal(F.regexp_replace(s, QUANTITY_UNIT, "")), lambda v: result(s, v)))
 
 
 def currency(c: Column) -> Column:

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import text
-from tallybook.vocabulary import CURRENCIES, KEY_FIELD, REQUIRED, SUBTOTAL, SYNONYMS
+from tallybook.vocabulary import CURRENCIES, HEADER_HINT, KEY_FIELD, REQUIRED, SUBTOTAL, SYNONYMS
 
 SEARCH_ROWS = 12
-_HINT = r"\(\s*([^)]*)\s*\)"
 _SHEET = ["book", "sheet_index"]
 
 
@@ -29,9 +28,9 @@ def year_of(book: Column) -> Column:
 def label_of(cell: Column) -> tuple[Column, Column]:
     """(label, currency hint) of a header cell: ``Amount (Frw)`` -> amount, RWF."""
     raw = F.lower(text.clean(cell))
-    hints = F.transform(F.regexp_extract_all(raw, F.lit(_HINT), F.lit(1)), lambda x: text.lookup(x, CURRENCIES))
+    hints = F.transform(F.regexp_extract_all(raw, F.lit(HEADER_HINT), F.lit(1)), lambda x: text.lookup(x, CURRENCIES))
     hint = F.get(F.filter(hints, lambda x: x.isNotNull()), F.lit(0))
-    label = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, _HINT, " "), "[.:]", " "), r"(?U)\s+", " "))
+    label = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, HEADER_HINT, " "), "[.:]", " "), r"(?U)\s+", " "))
     return label, hint
 
 
