@@ -13,7 +13,8 @@ from tallybook.plans import rows as parse
 from tallybook.registry import query, read
 from tallybook.sources.layout import classify_rows, find_layouts
 
-_NULL = F.lit(None).cast("string")
+def _null() -> Column:
+    return F.lit(None).cast("string")
 
 
 def cell(s: Column | str, kind: str = "t") -> Column:
@@ -23,7 +24,7 @@ def cell(s: Column | str, kind: str = "t") -> Column:
 
 def pick(number: Column, *values: Column | str | None) -> Column:
     """The value at ``number`` modulo their count."""
-    given = [_NULL if v is None else F.lit(v) if isinstance(v, str) else v for v in values]
+    given = [_null() if v is None else F.lit(v) if isinstance(v, str) else v for v in values]
     return F.get(F.array(*given), F.pmod(number, F.lit(len(given))).cast("int"))
 
 
@@ -43,7 +44,7 @@ def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", F.col("l_returnflag").alias("f"))
     book = pick(k, "purchases_2019.xlsx", "Sales_2020_b.xlsx", "payroll_1998.xlsx", "item_master.xlsx", "inventory_2021.xlsx", "notes_2019.xlsx", "purchases_2018.xlsx")
     sheets = lines.select("l_suppkey").distinct().select(k, book.alias("book"), k.cast("int").alias("sheet_index"), F.concat(F.lit("S"), k.cast("string")).alias("sheet"))
-    row = lambda *cells: F.array(*[cell(c) if c is not None else cell(_NULL) for c in cells])
+    row = lambda *cells: F.array(*[cell(c) if c is not None else cell(_null()) for c in cells])
     blank, title = row(None, None, None, None, None, None), row("Ledger", None, None, None, None, None)
     heads = [
         [row("DATE", "PO  No.", "Supplier Name", "Item Code", "Qty", "Amount (Frw)")],
@@ -110,7 +111,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _given(rows: DataFrame, cells: Column, hints: Column | None = None, names: tuple[str, ...] = (), **more: Column) -> DataFrame:
     return rows.withColumns({
         "cells": cells, "hints": F.create_map().cast("map<string,string>") if hints is None else hints, "fields": F.array(*[F.lit(x) for x in names]),
-        "date": F.to_date("l_shipdate") if "l_shipdate" in rows.columns else F.lit(None).cast("date"), "date_method": F.lit("iso"), "date_reason": _NULL, **more,
+        "date": F.to_date("l_shipdate") if "l_shipdate" in rows.columns else F.lit(None).cast("date"), "date_method": F.lit("iso"), "date_reason": _null(), **more,
     })
 
 
@@ -160,7 +161,7 @@ def parse_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     signed = F.when(F.col("l_suppkey") % 2 == 0, F.concat(F.lit("-"), q)).otherwise(q)
     cells = fields(
         voucher_no=F.when(o % 17 == 0, "RCT-1995-1").otherwise(F.concat(pick(p, "grn ", "ISS-", "adj/"), F.col("y"), F.lit(" - "), (o % 100000).cast("string"))),
-        sku=F.when(p % 29 == 0, "12").otherwise("trm-zip-7"), description=_NULL, movement_type=pick(F.col("l_linenumber"), "GRN", " Issued to Production", "FG in", "sales issue", "stock count ADJ", "weird", "Goods  received"),
+        sku=F.when(p % 29 == 0, "12").otherwise("trm-zip-7"), description=_null(), movement_type=pick(F.col("l_linenumber"), "GRN", " Issued to Production", "FG in", "sales issue", "stock count ADJ", "weird", "Goods  received"),
         qty_in=F.when(pair & ((F.col("l_returnflag") == "R") | both), q), qty_out=F.when(pair & ((F.col("l_returnflag") != "R") | both), F.concat(q, F.lit(" m"))), quantity=F.when(~pair & ~both, signed), reference=pick(o, "po 1995/77", " by  hand", " "),
     )
     columns = F.when(pair, F.array(F.lit("qty_in"), F.lit("qty_out"))).otherwise(F.array(F.lit("quantity")))
@@ -318,7 +319,7 @@ def row_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     reasons = spark.createDataFrame([(k, v[0]) for k, v in load.REASONS.items()], "reason_code string, category string")
     rows = lines.withColumn("reason_code", F.when(F.col("m") == 0, "BLANK_ROW").when(F.col("m") == 1, "BAD_DATE").when(F.col("m") == 2, "CONFLICTING_DUPLICATE"))
     rows = rows.join(reasons, "reason_code", "left")
-    outcome = dedupe.row_outcome(_NULL, F.col("reason_code"), F.col("category"), F.when(F.col("m") == 3, F.lit("book")))
+    outcome = dedupe.row_outcome(_null(), F.col("reason_code"), F.col("category"), F.when(F.col("m") == 3, F.lit("book")))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "reason_code", "category", outcome.alias("outcome"))
 
 
@@ -367,7 +368,7 @@ def staging_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets, row kinds, outcomes, reasons and kept rows against their rules."""
     m = F.col("l_suppkey") % 97
     c = F.col("o_custkey") % 10
-    sheets = read(spark, sf_dir, "orders").where(c != 0).select(F.col("o_orderkey").alias("book"), F.lit(0).alias("sheet_index"), F.when(c == 2, "other").otherwise("sales").alias("domain"), F.when(c != 1, 3).alias("header_row"), _NULL.alias("skipped_reason"))
+    sheets = read(spark, sf_dir, "orders").where(c != 0).select(F.col("o_orderkey").alias("book"), F.lit(0).alias("sheet_index"), F.when(c == 2, "other").otherwise("sales").alias("domain"), F.when(c != 1, 3).alias("header_row"), _null().alias("skipped_reason"))
     bad = read(spark, sf_dir, "orders").where(c.isin(1, 2)).select(F.col("o_orderkey").alias("book"))
     rows = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("book"), F.lit(0).alias("sheet_index"), F.struct("l_linenumber", "l_partkey").alias("row_num"), m.alias("m"))
     rows = rows.withColumns({
