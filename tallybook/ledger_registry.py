@@ -383,13 +383,13 @@ def staging_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("violations > 0")
 
 
-@query("""SELECT * FROM (SELECT o_orderkey::VARCHAR AS run_id, o_orderdate AS started_at, (o_custkey % 7)::INT AS workbooks, 5 AS rows_in, (o_custkey % 5 + 2)::BIGINT AS inserted, (o_custkey % 3 + 1)::BIGINT AS updated FROM orders)""")
+@query("""SELECT * FROM (SELECT o_orderkey::VARCHAR AS run_id, o_orderdate::DATE AS started_at, (o_custkey % 7)::INT AS workbooks, 5 AS rows_in, (o_custkey % 5 + 2)::BIGINT AS inserted, (o_custkey % 3 + 1)::BIGINT AS updated FROM orders)""")
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of loads with the changes of all tables added up."""
     c = F.col("o_custkey")
     change = lambda a, b: F.create_map(F.lit("inserted"), a.cast("long"), F.lit("updated"), b.cast("long"))
     changes = F.create_map(F.lit("sales"), change(c % 5, c % 3), F.lit("products"), change(F.lit(2), F.lit(1)))
-    runs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderdate").alias("started_at"), (c % 7).cast("int").alias("workbooks"), F.lit(5).alias("rows_in"), changes.alias("changes"))
+    runs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("run_id"), F.to_date("o_orderdate").alias("started_at"), (c % 7).cast("int").alias("workbooks"), F.lit(5).alias("rows_in"), changes.alias("changes"))
     return reports.load_history(runs)
 
 
