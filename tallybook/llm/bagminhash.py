@@ -276,11 +276,8 @@ def _compared(at: DataFrame, labels: DataFrame, bags: DataFrame, threshold: floa
     return sides.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 6) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, key (of the text), class_id (the class's smallest doc_id), class_key.
-
-    A row with a null key is a class of its own. Rows of one class share class_key, the key of the text that stays.
-    """
+def _grouped(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 6) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, key), distinct texts (key, component), and one row per component: the class_id and class_key that stay."""
     signed = keep(sign(docs, shingle, bands, rows), "bag-signed")
     texts = signed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max(F.col("doc_id").isNull()).alias("no_id"), F.first("bands").alias("bands"))
     texts = texts.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id")))
@@ -304,15 +301,23 @@ def classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, bands: in
     named = named.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
     first = named.groupBy("component").agg(F.min(F.struct("doc_id", "v", "key")).alias("first"))
     first = keep(first.select(F.col("component").alias("__c"), F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key")), "bag-first")
+    return signed.select("doc_id", "key"), named.select("key", "component"), first
+
+
+def classes(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, key (of the text), class_id (the class's smallest doc_id), class_key.
+
+    A row with a null key is a class of its own. Rows of one class share class_key, the key of the text that stays.
+    """
+    signed, named, first = _grouped(docs, **options)
     named = keep(named.join(first, F.col("component") == F.col("__c")).select(F.col("key").alias("__key"), "class_id", "class_key"), "bag-named")
-    out = signed.select("doc_id", "key").join(named, F.col("key") == F.col("__key"), "left")
+    out = signed.join(named, F.col("key") == F.col("__key"), "left")
     return out.select("doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_key")
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without all but the first document of each class."""
-    found = classes(docs.select("doc_id", "text"), **options)
-    stay = keep(found.where((F.col("key") == F.col("class_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__d"), F.col("key").alias("__k")).distinct(), "bag-stay")
+    stay = _grouped(docs.select("doc_id", "text"), **options)[2].select(F.col("class_id").alias("__d"), F.col("class_key").alias("__k"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__own"), F.col("doc_id").alias("__doc"), F.when(F.col("text").rlike(r"\S"), text_key("text")).alias("__key"))
     once = keyed.join(stay, (F.col("__key") == F.col("__k")) & F.col("__doc").eqNullSafe(F.col("__d"))).dropDuplicates(["__doc", "__key"])
     return once.select("__own").unionByName(keyed.where(F.col("__key").isNull()).select("__own")).select("__own.*")
