@@ -1,6 +1,6 @@
 """The queries of this package and, where SQL can express them, their DuckDB counterparts."""
 
-from tallybook.llm import anisotropic_search, bagminhash, curriculum, language_crf, lattice_dedup, license_scan, line_dedup, packing, suffix_dedup, url_filter
+from tallybook.llm import anisotropic_search, bagminhash, curriculum, drift_clustering, fill_in_middle, language_crf, lattice_dedup, license_scan, line_dedup, packing, sentencepieces, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_license_diagonals": license_scan.op1_license_diagonals,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_island_packing": packing.op8_island_packing,
     "op9_deep_shallow": suffix_dedup.op9_deep_shallow,
     "op10_curriculum_mix": curriculum.op10_curriculum_mix,
+    "op11_drift_clustering": drift_clustering.op11_drift_clustering,
+    "op12_piece_agenda": sentencepieces.op12_piece_agenda,
+    "op13_chunk_middle": fill_in_middle.op13_chunk_middle,
 }
 ORACLE_SQL = {
     "op1_license_diagonals": license_scan.ORACLE,
@@ -20,4 +23,6 @@ ORACLE_SQL = {
     "op6_lattice_dedup": lattice_dedup.ORACLE,
     "op7_url_vocabulary": url_filter.ORACLE,
     "op10_curriculum_mix": curriculum.ORACLE,
+    "op11_drift_clustering": drift_clustering.ORACLE,
+    "op13_chunk_middle": fill_in_middle.ORACLE,
 }
