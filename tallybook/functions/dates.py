@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions.money import trimmed
-from tallybook.functions.text import let
+from tallybook.functions.text import let, trimmed
 
 SERIAL = (32874, 73050)  # 1990-01-01 to 2099-12-31 in days since 1899-12-30
 REACH, SLACK, MARGIN = 15, 7, 62  # rows to look up and down; days around neighbours; days around a book's year

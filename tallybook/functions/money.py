@@ -8,15 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import let, lookup
+from tallybook.functions.text import let, lookup, trimmed
 from tallybook.vocabulary import CURRENCIES, MONEY_SHAPE, QUANTITY_UNIT
 
 DECIMAL = "decimal(38,10)"
-_TRIM = r"(?U)^\s+|\s+$"
-
-
-def trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, _TRIM, "")
+_PLAIN = r"^\d+(\.\d+)?$"
 
 
 def to_decimal(c: Column) -> Column:
@@ -54,7 +50,11 @@ def to_decimal(c: Column) -> Column:
         value = F.when(p.rlike(r"^\d+\.?\d*$"), p.try_cast(DECIMAL))
         return F.when(negative, -value).otherwise(value)
 
-    return let(trimmed(c), signed)
+    def any_shape(s: Column) -> Column:
+        rest = let(F.when(~s.rlike(_PLAIN), s), signed)  # plain numbers need no more looking at
+        return F.when(s.rlike(_PLAIN), s.try_cast(DECIMAL)).otherwise(rest)
+
+    return let(trimmed(c), any_shape)
 
 
 def money(c: Column) -> Column:

@@ -103,9 +103,14 @@ def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- row parsers ----------------------------------------------------------------------------------
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt out by a key: a given table is one row group, thus one task, and parsing is work for all cores."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their whole numbers: quantity, and the price in cents."""
-    return read(spark, sf_dir, "lineitem").withColumns({"q": F.col("l_quantity").cast("long"), "a": F.col("l_extendedprice").cast("decimal(14,2)"), "y": F.year("l_shipdate").cast("string")})
+    return _spread(read(spark, sf_dir, "lineitem"), "l_orderkey").withColumns({"q": F.col("l_quantity").cast("long"), "a": F.col("l_extendedprice").cast("decimal(14,2)"), "y": F.year("l_shipdate").cast("string")})
 
 
 def _given(rows: DataFrame, cells: Column, hints: Column | None = None, names: tuple[str, ...] = (), **more: Column) -> DataFrame:
@@ -177,7 +182,7 @@ def parse_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN k % 2 = 0 THEN 'Tailor' END AS position FROM r""")
 def parse_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pay lines; the period comes from the sheet's name, the code may be missing, the net must agree."""
-    orders = read(spark, sf_dir, "orders").withColumns({"c": (F.col("o_totalprice").cast("decimal(14,2)") * 100).cast("long"), "k": F.col("o_orderkey")})
+    orders = _spread(read(spark, sf_dir, "orders"), "o_orderkey").withColumns({"c": (F.col("o_totalprice").cast("decimal(14,2)") * 100).cast("long"), "k": F.col("o_orderkey")})
     k, c = F.col("k"), F.col("c")
     d = F.floor(c / 10).cast("long")
     cash = lambda x: (x.cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")
@@ -286,7 +291,8 @@ pairs AS MATERIALIZED (SELECT a, b, ar, br, score FROM c2 WHERE score >= 73)"""
 @query(f"WITH {_NAMES} SELECT a, b, round(score, 6) AS score FROM pairs")
 def supplier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of keys that scores 73 or more, from names spelled by four hands."""
-    keys = settled(_spellings(spark, sf_dir).select(matching.keys_of("alias").alias("k")).select("k.match_key", "k.identity").distinct())
+    aliases = settled(_spellings(spark, sf_dir).select("alias"))  # the rules run once for each spelling, not for each line
+    keys = settled(aliases.select(matching.keys_of("alias").alias("k")).select("k.match_key", "k.identity").distinct())
     return matching.candidate_pairs(keys).select("a", "b", F.round("score", 6).alias("score"))
 
 

@@ -89,15 +89,21 @@ def keys_of(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"match_key": keys, "identity": [identity(k or x.lower()) for k, x in zip(keys, names, strict=True)]})
 
 
+keys_of = keys_of.asNondeterministic()  # costly: not to be moved below a grouping or written out twice
+
+
 @F.pandas_udf(T.DoubleType())
 def scores(a: pd.Series, a_id: pd.Series, b: pd.Series, b_id: pd.Series) -> pd.Series:
     return pd.Series([similarity(*x) for x in zip(a, b, a_id, b_id, strict=True)], dtype=float)
 
 
+scores = scores.asNondeterministic()  # a filter on it stays above the exchange that spreads the pairs
+
+
 def _tokens(text: str) -> Column:
     """The characters of a text that isn't empty, each with the number of its occurrence: shared tokens are the shared multiset."""
-    chars = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(F.col(text), i, F.lit(1)))
-    return F.transform(chars, lambda c, i: F.concat(c, F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)).cast("string")))
+    times = lambda c: F.length(text) - F.length(F.replace(F.col(text), c, F.lit("")))
+    return F.flatten(F.transform(F.array_distinct(F.split(text, "")), lambda c: F.transform(F.sequence(F.lit(1), times(c)), lambda i: F.concat(c, i.cast("string")))))
 
 
 def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:

@@ -11,21 +11,46 @@ from tallybook.vocabulary import CATEGORIES, UNITS
 ID = ["book", "sheet_index", "row_num"]
 
 
-def _cell(field: str) -> Column:
-    return F.try_element_at(F.col("cells"), F.lit(field))
+class Cells(text.Stage):
+    """A stage with the cells of a row: each text is taken from the row once."""
 
+    def __init__(self, rows: DataFrame):
+        super().__init__(rows)
+        self._texts: dict[str, Column] = {}
 
-def _s(field: str) -> Column:
-    return _cell(field)["s"]
+    def cell(self, field: str) -> Column:
+        return F.try_element_at(F.col("cells"), F.lit(field))
 
+    def text(self, field: str) -> Column:
+        """The cell's text, trimmed and with single blanks; empty where there is none."""
+        if field not in self._texts:
+            self._texts[field] = self.bind(text.clean(self.cell(field)["s"]))
+        return self._texts[field]
 
-def _amount(field: str, parser=money.money) -> Column:
-    """A money or quantity struct; a truth value in the cell is bad whatever its text."""
-    return parser(F.when(_cell(field)["kind"] == "b", "?").otherwise(_s(field)))
+    def filled(self, field: str) -> Column:
+        return self.text(field) != ""
 
+    def amount(self, field: str, parser=money.money) -> Column:
+        """A money or quantity struct; a truth value in the cell is bad whatever its text."""
+        cell = self.bind(self.cell(field))
+        return self.bind(parser(F.when(cell["kind"] == "b", "?").otherwise(cell["s"])))
 
-def _filled(field: str) -> Column:
-    return text.clean(_s(field)) != ""
+    def optional(self, field: str, parser=money.money) -> Column:
+        return F.when(self.filled(field), self.amount(field, parser))
+
+    def document(self, field: str, domain: str) -> tuple[Column, Column]:
+        """The number and why it can't be read."""
+        number = self.bind(text.document(self.text(field), domain))
+        return number, F.when(~self.filled(field), "MISSING_FIELD").when(number.isNull(), "BAD_CODE")
+
+    def product(self) -> tuple[dict[str, Column], Column]:
+        """Code and description key, and why there is neither."""
+        code, key = self.bind(text.sku(self.text("sku"))), self.bind(text.description_key(self.cell("description")["s"]))
+        reason = F.when(self.filled("sku"), F.when(code.isNull(), "BAD_CODE")).when(key.isNull(), "MISSING_FIELD")
+        return {"sku": code, "description_key": F.when(~self.filled("sku"), key)}, reason
+
+    def finish(self, reasons: list[Column], values: dict[str, Column]) -> DataFrame:
+        return self.rows().select(*ID, F.coalesce(*reasons).alias("reason"), *[v.alias(k) for k, v in values.items()])
 
 
 def preview(cells: Column, fields: Column, most: int = 140) -> Column:
@@ -36,7 +61,8 @@ def preview(cells: Column, fields: Column, most: int = 140) -> Column:
 
 
 def date_token() -> Column:
-    kind, s = _cell("date")["kind"], _s("date")
+    cell = F.try_element_at(F.col("cells"), F.lit("date"))
+    kind, s = cell["kind"], cell["s"]
     return (
         F.when(kind == "d", F.struct(s.try_cast("date").alias("value"), F.lit("excel_date").alias("method"), F.lit(None).cast("date").alias("day_first"), F.lit(None).cast("date").alias("month_first")))
         .when(kind == "b", dates.tokenize(F.lit("?")))
@@ -48,96 +74,91 @@ def date_token() -> Column:
 def with_dates(rows: DataFrame) -> DataFrame:
     """Data rows of dated domains with date, date_method and date_reason; conventions count data rows of the sheet and the book."""
     start, end = dates.valid_range(F.col("year"))
-    return dates.resolve_dates(rows.withColumns({"__token": date_token(), "range_start": start, "range_end": end}), "__token", sheet="sheet_index").drop("__token", "range_start", "range_end")
-
-
-def _document(field: str, domain: str) -> Column:
-    return F.when(~_filled(field), "MISSING_FIELD").when(text.document(_s(field), domain).isNull(), "BAD_CODE")
-
-
-def _product_reason() -> Column:
-    return F.when(_filled("sku"), F.when(text.sku(_s("sku")).isNull(), "BAD_CODE")).when(text.description_key(_s("description")).isNull(), "MISSING_FIELD")
-
+    read = text.staged(rows.withColumns({"range_start": start, "range_end": end}), __token=date_token)
+    return dates.resolve_dates(read, "__token", sheet="sheet_index").drop("__token", "range_start", "range_end")
 
-def _product() -> dict[str, Column]:
-    return {"sku": text.sku(_s("sku")), "description_key": F.when(~_filled("sku"), text.description_key(_s("description")))}
 
-
-def _money_line(rows: DataFrame) -> tuple[DataFrame, list[Column], dict[str, Column]]:
-    price = F.when(_filled("unit_price"), _amount("unit_price"))
-    rows = rows.withColumns({"__q": _amount("quantity", money.quantity), "__a": _amount("amount"), "__p": price})
+def _money_line(row: Cells) -> tuple[list[Column], dict[str, Column]]:
+    quantity, amount, price = row.amount("quantity", money.quantity), row.amount("amount"), row.bind(row.optional("unit_price"))
     hint = F.coalesce(F.try_element_at("hints", F.lit("amount")), F.try_element_at("hints", F.lit("unit_price")))
-    rows = rows.withColumn("__c", money.resolve_currency(_s("currency"), F.col("__a.currency"), F.col("__p.currency"), hint))
-    q, a, p = F.col("__q.quantity"), F.col("__a.amount"), F.col("__p.amount")
+    currency = row.bind(money.resolve_currency(row.text("currency"), amount["currency"], price["currency"], hint))
+    q, a, p = quantity["quantity"], amount["amount"], price["amount"]
     reasons = [
-        F.col("__q.reason"), F.when(q <= 0, "BAD_QUANTITY"), F.col("__a.reason"), F.when(a <= 0, "BAD_AMOUNT"), F.col("__p.reason"), F.col("__c.reason"),
+        quantity["reason"], F.when(q <= 0, "BAD_QUANTITY"), amount["reason"], F.when(a <= 0, "BAD_AMOUNT"), price["reason"], currency["reason"],
         F.when(~money.within_tolerance(a, q.cast("decimal(18,4)"), p.cast("decimal(18,4)")), "AMOUNT_MISMATCH"),
     ]
     values = {
         "quantity": q, "unit_price": F.coalesce(p.cast("decimal(18,4)"), F.when(q > 0, money.implied_price(a, q))), "amount": a,
-        "currency": F.col("__c.currency"), "currency_source": F.col("__c.source"),
+        "currency": currency["currency"], "currency_source": currency["source"],
     }
-    return rows, reasons, values
-
-
-def _finish(rows: DataFrame, reasons: list[Column], values: dict[str, Column]) -> DataFrame:
-    return rows.select(*ID, F.coalesce(*reasons).alias("reason"), *[v.alias(k) for k, v in values.items()])
+    return reasons, values
 
 
 def purchases(rows: DataFrame) -> DataFrame:
-    rows, reasons, values = _money_line(rows)
-    before = [_document("po_number", "purchases"), F.when(~_filled("supplier"), "MISSING_FIELD"), _product_reason(), F.col("date_reason")]
-    head = {"po_number": text.document(_s("po_number"), "purchases"), "supplier_raw": text.clean(_s("supplier")), "order_date": F.col("date"), "date_method": F.col("date_method")}
-    return _finish(rows, before + reasons, head | _product() | values)
+    with Cells(rows) as row:
+        number, bad_number = row.document("po_number", "purchases")
+        product, bad_product = row.product()
+        reasons, values = _money_line(row)
+        before = [bad_number, F.when(~row.filled("supplier"), "MISSING_FIELD"), bad_product, F.col("date_reason")]
+        head = {"po_number": number, "supplier_raw": row.text("supplier"), "order_date": F.col("date"), "date_method": F.col("date_method")}
+    return row.finish(before + reasons, head | product | values)
 
 
 def sales(rows: DataFrame) -> DataFrame:
-    rows, reasons, values = _money_line(rows)
-    before = [_document("receipt_no", "sales"), F.when(~_filled("channel"), "MISSING_FIELD").when(text.channel(_s("channel")).isNull(), "UNKNOWN_CHANNEL"), _product_reason(), F.col("date_reason")]
-    head = {"receipt_no": text.document(_s("receipt_no"), "sales"), "sale_date": F.col("date"), "date_method": F.col("date_method"), "channel": text.channel(_s("channel"))}
-    return _finish(rows, before + reasons, head | _product() | values)
+    with Cells(rows) as row:
+        number, bad_number = row.document("receipt_no", "sales")
+        channel = row.bind(text.channel(row.text("channel")))
+        product, bad_product = row.product()
+        reasons, values = _money_line(row)
+        before = [bad_number, F.when(~row.filled("channel"), "MISSING_FIELD").when(channel.isNull(), "UNKNOWN_CHANNEL"), bad_product, F.col("date_reason")]
+        head = {"receipt_no": number, "sale_date": F.col("date"), "date_method": F.col("date_method"), "channel": channel}
+    return row.finish(before + reasons, head | product | values)
 
 
 def movements(rows: DataFrame) -> DataFrame:
-    kind = text.movement_type(_s("movement_type"))
-    optional = lambda f: F.when(_filled(f), _amount(f, money.quantity))
-    rows = rows.withColumns({"__in": optional("qty_in"), "__out": optional("qty_out"), "__one": _amount("quantity", money.quantity)})
-    got_in, got_out = (F.coalesce(F.col(f"{c}.quantity"), F.lit(0).cast(money.DECIMAL)) for c in ("__in", "__out"))
-    pair = F.array_contains("fields", "qty_in")
-    two = F.coalesce(F.col("__in.reason"), F.col("__out.reason"), F.when(((got_in != 0) & (got_out != 0)) | ((got_in == 0) & (got_out == 0)) | (got_in < 0) | (got_out < 0), "BAD_QUANTITY"))
-    typed = F.when(pair, F.when(got_in != 0, got_in).otherwise(-got_out)).otherwise(F.col("__one.quantity"))
-    quantity = F.when(kind.isin("receipt", "production"), F.abs(typed)).when(kind.isin("issue", "sale"), -F.abs(typed)).otherwise(typed)
-    reference = F.nullif(text.clean(_s("reference")), F.lit(""))
-    reasons = [
-        _document("voucher_no", "inventory"), _product_reason(), F.when(kind.isNull(), "UNKNOWN_MOVEMENT_TYPE"), F.col("date_reason"),
-        F.when(pair, two).otherwise(F.col("__one.reason")), F.when(typed == 0, "BAD_QUANTITY"),
-    ]
+    with Cells(rows) as row:
+        number, bad_number = row.document("voucher_no", "inventory")
+        product, bad_product = row.product()
+        kind = row.bind(text.movement_type(row.text("movement_type")))
+        into, out_of, one = row.bind(row.optional("qty_in", money.quantity)), row.bind(row.optional("qty_out", money.quantity)), row.amount("quantity", money.quantity)
+        got_in, got_out = (F.coalesce(x["quantity"], F.lit(0).cast(money.DECIMAL)) for x in (into, out_of))
+        pair = F.array_contains("fields", "qty_in")
+        two = F.coalesce(into["reason"], out_of["reason"], F.when(((got_in != 0) & (got_out != 0)) | ((got_in == 0) & (got_out == 0)) | (got_in < 0) | (got_out < 0), "BAD_QUANTITY"))
+        typed = row.bind(F.when(pair, F.when(got_in != 0, got_in).otherwise(-got_out)).otherwise(one["quantity"]))
+        quantity = F.when(kind.isin("receipt", "production"), F.abs(typed)).when(kind.isin("issue", "sale"), -F.abs(typed)).otherwise(typed)
+        reference = F.nullif(row.text("reference"), F.lit(""))
+        order = row.bind(text.document(reference, "purchases"))
+    reasons = [bad_number, bad_product, F.when(kind.isNull(), "UNKNOWN_MOVEMENT_TYPE"), F.col("date_reason"), F.when(pair, two).otherwise(one["reason"]), F.when(typed == 0, "BAD_QUANTITY")]
     values = {
-        "voucher_no": text.document(_s("voucher_no"), "inventory"), "movement_date": F.col("date"), "date_method": F.col("date_method"), **_product(), "movement_type": kind,
-        "quantity": quantity, "reference": reference, "po_number": F.when(kind == "receipt", text.document(reference, "purchases")),
+        "voucher_no": number, "movement_date": F.col("date"), "date_method": F.col("date_method"), **product, "movement_type": kind, "quantity": quantity, "reference": reference,
+        "po_number": F.when(kind == "receipt", order),
     }
-    return _finish(rows, reasons, values)
+    return row.finish(reasons, values)
 
 
 def payroll(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumns({f"__{f}": _amount(f) for f in ("gross", "deductions", "net")}).withColumn("__period", dates.parse_period(F.col("sheet"), F.col("year")))
-    code = text.employee(_s("employee_code"))
-    gross, deductions, net = (F.col(f"__{f}.amount") for f in ("gross", "deductions", "net"))
+    with Cells(rows) as row:
+        period = row.bind(dates.parse_period(F.col("sheet"), F.col("year")))
+        code = row.bind(text.employee(row.text("employee_code")))
+        cash = {f: row.amount(f) for f in ("gross", "deductions", "net")}
+        key = row.bind(text.name_key(row.text("name")))
+        filled, named, position = row.filled("employee_code"), row.filled("name"), F.nullif(row.text("position"), F.lit(""))
+    gross, deductions, net = (c["amount"] for c in cash.values())
     each = []
-    for f in ("gross", "deductions", "net"):
-        each += [F.col(f"__{f}.reason"), F.when(F.col(f"__{f}.currency") != "RWF", "CURRENCY_CONFLICT")]
+    for c in cash.values():
+        each += [c["reason"], F.when(c["currency"] != "RWF", "CURRENCY_CONFLICT")]
     reasons = [
-        F.when(F.col("__period").isNull(), "BAD_PERIOD"), F.when(_filled("employee_code") & code.isNull(), "BAD_CODE"), F.when(~_filled("name"), "MISSING_FIELD"), *each,
+        F.when(period.isNull(), "BAD_PERIOD"), F.when(filled & code.isNull(), "BAD_CODE"), F.when(~named, "MISSING_FIELD"), *each,
         F.when((gross <= 0) | (deductions < 0), "BAD_AMOUNT"), F.when(net != gross - deductions, "NET_MISMATCH"),
     ]
-    values = {
-        "period": F.col("__period"), "employee_code": F.when(_filled("employee_code"), code), "name_raw": text.clean(_s("name")), "name_key": text.name_key(_s("name")),
-        "position": F.nullif(text.clean(_s("position")), F.lit("")), "gross": gross, "deductions": deductions, "net": net,
-    }
-    return _finish(rows, reasons, values)
+    values = {"period": period, "employee_code": F.when(filled, code), "name_raw": row.text("name"), "name_key": key, "position": position, "gross": gross, "deductions": deductions, "net": net}
+    return row.finish(reasons, values)
 
 
 def products(rows: DataFrame) -> DataFrame:
-    category, uom = text.lookup(_s("category"), CATEGORIES), text.lookup(_s("uom"), UNITS)
-    reasons = [F.when(~_filled("sku"), "MISSING_FIELD").when(text.sku(_s("sku")).isNull(), "BAD_CODE"), F.when(~_filled("description"), "MISSING_FIELD"), F.when(category.isNull() | uom.isNull(), "MISSING_FIELD")]
-    return _finish(rows, reasons, {"sku": text.sku(_s("sku")), "description": text.clean(_s("description")), "category": category, "uom": uom})
+    with Cells(rows) as row:
+        code = row.bind(text.sku(row.text("sku")))
+        category, uom = row.bind(text.lookup(row.text("category"), CATEGORIES)), row.bind(text.lookup(row.text("uom"), UNITS))
+        coded, described, description = row.filled("sku"), row.filled("description"), row.text("description")
+    reasons = [F.when(~coded, "MISSING_FIELD").when(code.isNull(), "BAD_CODE"), F.when(~described, "MISSING_FIELD"), F.when(category.isNull() | uom.isNull(), "MISSING_FIELD")]
+    return row.finish(reasons, {"sku": code, "description": description, "category": category, "uom": uom})
