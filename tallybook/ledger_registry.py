@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import dates, text
 from tallybook.operators import dedupe, matching, upsert
-from tallybook.operators.graph import settled
+from tallybook.operators.graph import scratch, settled
 from tallybook.plans import load, reports, scoring
 from tallybook.plans import rows as parse
 from tallybook.registry import query, read
@@ -338,6 +340,20 @@ def keys_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.assign_ids(orders, known, ["k"], "id").select("k", "id")
 
 
+@query("""WITH a AS (SELECT o_orderkey AS k, o_custkey AS c, o_totalprice::DECIMAL(14,2) AS p, row_number() OVER (ORDER BY o_orderkey) AS id FROM orders WHERE o_orderkey % 3 <> 0),
+ b AS (SELECT o_orderkey AS k, o_custkey AS c, (o_totalprice::DECIMAL(14,2) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END)::DECIMAL(14,2) AS p FROM orders WHERE o_custkey % 4 = 1),
+ f AS (SELECT k, row_number() OVER (ORDER BY k) + (SELECT max(id) FROM a) AS id FROM b WHERE k NOT IN (SELECT k FROM a))
+ SELECT coalesce(a.id, f.id) AS order_id, coalesce(b.k, a.k) AS k, coalesce(b.c, a.c) AS c, coalesce(b.p, a.p) AS p FROM a FULL JOIN b ON a.k = b.k LEFT JOIN f ON f.k = b.k""")
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into a store of key buckets: known keys keep their numbers, new ones go on after the last, nothing is lost."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_totalprice").cast("decimal(14,2)").alias("p"))
+    later = orders.where("c % 4 = 1").withColumn("p", (F.col("p") + F.when(F.col("k") % 7 == 0, 1).otherwise(0)).cast("decimal(14,2)"))
+    now = upsert.Snapshot(spark, f"{scratch(spark)}/store-{uuid.uuid4().hex}")
+    for run_id, rows in (("first", orders.where("k % 3 <> 0")), ("second", later)):
+        now = upsert.publish(now, run_id, {"orders": upsert.stage(now, run_id, "orders", rows, ["k"], ["c", "p"], "order_id")}, {})
+    return now.read("orders")
+
+
 @query("""WITH t AS (SELECT l_orderkey::VARCHAR AS book, l_linenumber::INT AS sheet_index, l_partkey::INT AS row_num, CASE WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS e, CASE WHEN l_suppkey % 7 = 0 THEN 'merged' WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS g, l_suppkey % 11 = 0 AS gone FROM lineitem),
  u AS (SELECT book, sheet_index, row_num, min(e) AS e, min(g) AS g, bool_or(gone) AS gone FROM t GROUP BY ALL HAVING count(*) = 1)
  SELECT CASE WHEN e = 'rejected' THEN 'rejected:BAD_DATE' ELSE e END AS expected, CASE WHEN gone THEN 'missing' WHEN g = 'rejected' THEN 'rejected:BAD_DATE' ELSE g END AS actual, count(*)::BIGINT AS n FROM u GROUP BY ALL""")

@@ -37,6 +37,10 @@ TABLES = {
     "payroll_runs": (["period"], ["employee_count", "total_gross", "total_deductions", "total_net"]),
     "payroll_lines": (["period", "employee_code"], ["gross", "deductions", "net", "source_ref"]),
 }
+#: Tables whose rows get a number that stays with their key.
+IDS = {
+    "products": "product_id", "suppliers": "supplier_id", "purchase_orders": "po_id", "sales": "sale_id", "movements": "movement_id", "employees": "employee_id", "payroll_runs": "payroll_run_id",
+}
 
 
 @dataclass
@@ -255,24 +259,18 @@ def staging_violations(sheets: DataFrame, outcomes: DataFrame, reasons: DataFram
 def run_load(spark: SparkSession, books_dir: str, out_dir: str) -> LoadResult:
     """Loads a folder of workbooks over what ``out_dir`` holds; the same books again change nothing."""
     started = dt.datetime.now(dt.UTC)
-    published = {} if upsert.pointer(spark, out_dir) is None else {name: upsert.current(spark, out_dir, name) for name in TABLES}
-    tables = build_from(read_grids(spark, books_dir), published)
+    before, run_id = upsert.snapshot(spark, out_dir), uuid.uuid4().hex
+    tables = build_from(read_grids(spark, books_dir), {name: before.read(name) for name in TABLES if name in before})
     workbooks, rows_in = tables["sheets"].select("book").distinct().count(), tables["row_outcomes"].count()
     if not workbooks:
         raise FileNotFoundError(f"no workbooks in {books_dir}")
-    first = upsert.pointer(spark, out_dir) is None
-    changes, counts = {}, {}
-    for name, (key, values) in TABLES.items():
-        old = tables[name].limit(0) if first else upsert.current(spark, out_dir, name)
-        diff = settled(upsert.diff(old, tables[name], key, values))
-        n = upsert.change_counts(name, diff).first()
-        counts[name], changes[name] = (n["inserted"], n["updated"]), diff.drop("action")
-    staged = {k: tables[k] for k in ("sheets", "row_outcomes", "reject_reasons")}
-    broken = violations(changes | staged).collect()  # of what would be published; a row per broken rule
+    staged = {name: upsert.stage(before, run_id, name, tables[name], key, values, IDS.get(name)) for name, (key, values) in TABLES.items()}
+    checked = {name: s.full for name, s in staged.items()} | {k: tables[k] for k in ("sheets", "row_outcomes", "reject_reasons")}
+    broken = violations(checked).collect()  # of what would be published; a row per broken rule
     if broken:
         raise ValueError(f"constraints broken: {[(r['rule'], r['violations']) for r in broken]}")
-    run_id = uuid.uuid4().hex
-    upsert.publish(spark, changes | {k: v for k, v in tables.items() if k not in TABLES}, out_dir, run_id)
+    upsert.publish(before, run_id, staged, {k: v for k, v in tables.items() if k not in TABLES})
+    counts = {name: (s.inserted, s.updated) for name, s in staged.items()}
     log = [(run_id, started, dt.datetime.now(dt.UTC), workbooks, rows_in, {k: {"inserted": a, "updated": b} for k, (a, b) in counts.items()})]
     runs = spark.createDataFrame(log, "run_id string, started_at timestamp, finished_at timestamp, workbooks int, rows_in int, changes map<string,map<string,long>>")
     runs.write.mode("append").parquet(f"{out_dir}/load_runs")  # only a run that is in force is logged

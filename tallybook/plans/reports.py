@@ -1,4 +1,4 @@
-"""The quality report of a load: tables as DataFrames, rendered to a page, a metrics file and a text block."""
+"""The quality report of a load: tables as DataFrames, rendered to a page and a metrics file."""
 
 from __future__ import annotations
 
@@ -126,7 +126,8 @@ def build_report(spark: SparkSession, out_dir: str, page: str, metrics: str, tru
     """
     parsed = [f"parsed_{d}" for d in ("purchases", "sales", "movements")]
     names = [*TABLES, *parsed, "sheets", "row_outcomes", "supplier_review", "reject_reasons"]
-    t = {n: upsert.current(spark, out_dir, n) for n in names}
+    now = upsert.snapshot(spark, out_dir)  # one run's tables, whatever is loaded meanwhile
+    t = {n: now.read(n) for n in names}
     outcomes = t["row_outcomes"]
     place = lambda e: F.concat_ws("!", *[e[c].cast("string") for c in ID])
     reasons = reasons_with_examples(outcomes, t["reject_reasons"]).withColumn("examples", F.array_join(F.transform("examples", lambda e: F.concat_ws(" ", place(e), e["detail"])), " | "))
