@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybook.sources.workbook import SCHEMA, book_frames
+from tallybook.sources.workbook import SCHEMA, unpack
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -16,10 +13,6 @@ _FILES = "path string, modificationTime timestamp, length long, content binary"
 def stage_new_books(spark: SparkSession, books_dir: str, out_dir: str, checkpoint_dir: str) -> StreamingQuery:
     """Starts a run over the files that have come since the last one; it ends by itself. Read ``out_dir`` as parquet with the grid schema."""
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for files in batches:
-            yield from book_frames(files)
-
     files = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.xlsx").load(books_dir)
-    grids = files.select("path", "content").mapInPandas(unpack, SCHEMA)
+    grids = files.select("path", "content").mapInArrow(unpack, SCHEMA)
     return grids.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start(out_dir)
