@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import let, trimmed
+from tallybook.operators.graph import settled
 
 SERIAL = (32874, 73050)  # 1990-01-01 to 2099-12-31 in days since 1899-12-30
 REACH, SLACK, MARGIN = 15, 7, 62  # rows to look up and down; days around neighbours; days around a book's year
@@ -121,29 +122,54 @@ def valid_range(year: Column) -> tuple[Column, Column]:
     return F.coalesce(F.date_sub(first, MARGIN), F.lit("2000-01-01").cast("date")), F.coalesce(F.date_add(last, MARGIN), F.lit("2030-12-31").cast("date"))
 
 
-def _convention(method: Column, window) -> Column:
-    days, months = (F.max((method == m).cast("int")).over(window) for m in ("day_first", "month_first"))
-    return F.when((days == 1) & (months == 1), "MIXED").when(days == 1, "DMY").when(months == 1, "MDY").otherwise("NONE")
+def _convention(days: Column, months: Column) -> Column:
+    return F.when(days & months, "MIXED").when(days, "DMY").when(months, "MDY").otherwise("NONE")
 
 
-def resolve_dates(rows: DataFrame, token: str, book: str = "book", sheet: str = "sheet", order: str = "row_num", start: str = "range_start", end: str = "range_end") -> DataFrame:
+def conventions(rows: DataFrame, method: Column, book: str, sheet: str) -> DataFrame:
+    """(book, sheet, __sheet, __book): which order of day and month the clear dates of each sheet and book show. A row a sheet, counted map-side."""
+    seen = [F.bool_or(F.coalesce(method == m, F.lit(False))).alias(m) for m in ("day_first", "month_first")]
+    sheets = rows.groupBy(book, sheet).agg(*seen)
+    books = sheets.groupBy(F.col(book).alias("__b")).agg(F.bool_or("day_first").alias("days"), F.bool_or("month_first").alias("months"))
+    both = sheets.join(books, F.col(book).eqNullSafe(F.col("__b")))
+    return both.select(F.col(book).alias("__b"), F.col(sheet).alias("__s"), _convention(F.col("day_first"), F.col("month_first")).alias("__sheet"), _convention(F.col("days"), F.col("months")).alias("__book"))
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` sorted by ``order`` over all tasks, with their place ``__g`` from 0. Ranges are sorted apart; only their sizes are added up."""
+    low = (1 << 33) - 1  # an id holds the task's number above its row's
+    placed = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit(low))
+    sizes = placed.groupBy(part.alias("__p")).agg(F.count("*").alias("n"))
+    base = sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__base"))
+    return placed.join(base, part == F.col("__p")).withColumn("__g", F.col("__base") + within).drop("__id", "__p", "__base")
+
+
+def along(rows: DataFrame, block: int, reach: int) -> DataFrame:
+    """``rows`` (with ``__g``) dealt into blocks of ``block`` places, those within ``reach`` of an edge also into the next block: ``__block`` and ``__own``."""
+    own, at = F.floor(F.col("__g") / block), F.pmod("__g", F.lit(block))
+    into = F.array(own, F.when(at < reach, own - 1), F.when(at >= block - reach, own + 1))
+    return rows.withColumn("__own_block", own).withColumn("__block", F.explode(F.array_compact(into))).withColumn("__own", F.col("__block") == F.col("__own_block")).drop("__own_block")
+
+
+def resolve_dates(rows: DataFrame, token: str, book: str = "book", sheet: str = "sheet", order: str = "row_num", start: str = "range_start", end: str = "range_end", block: int = 4096) -> DataFrame:
     """``rows`` with date, date_method and date_reason from its ``token`` column.
 
     Ambiguous readings: the sheet's convention if its clear dates agree; the book's if the sheet has no evidence at all;
     else the one reading that lies within a week of the nearest clear dates up to 15 rows above and below.
+
+    Neither a sheet nor a book is one task's: conventions are joined back, and neighbours are looked up in blocks of ``block`` rows.
     """
-    by_sheet, by_book = Window.partitionBy(book, sheet), Window.partitionBy(book)
     t = F.col(token)
     inside = lambda c: c.between(F.col(start), F.col(end))
     clear = F.when(inside(t["value"]), t["value"])
-    along = by_sheet.orderBy(order)
-    rows = rows.withColumns(
-        {
-            "__sheet": _convention(t["method"], by_sheet),
-            "__above": F.last(clear, ignorenulls=True).over(along.rowsBetween(-REACH, -1)),
-            "__below": F.first(clear, ignorenulls=True).over(along.rowsBetween(1, REACH)),
-        }
-    ).withColumn("__book", _convention(t["method"], by_book))
+    placed = along(numbered(rows, book, sheet, order), block, REACH)
+    near_rows = Window.partitionBy("__block", book, sheet).orderBy("__g")
+    placed = placed.withColumns(
+        {"__above": F.last(clear, ignorenulls=True).over(near_rows.rowsBetween(-REACH, -1)), "__below": F.first(clear, ignorenulls=True).over(near_rows.rowsBetween(1, REACH))}
+    ).where("__own")
+    shown = conventions(rows, t["method"], book, sheet)
+    rows = placed.join(shown, F.col(book).eqNullSafe(F.col("__b")) & F.col(sheet).eqNullSafe(F.col("__s")))
     sheet_says, book_says = F.col("__sheet"), F.col("__book")
     decided = F.when(sheet_says.isin("DMY", "MDY"), sheet_says).when((sheet_says == "NONE") & book_says.isin("DMY", "MDY"), book_says)
     by = F.when(sheet_says.isin("DMY", "MDY"), "sheet_convention").otherwise("book_convention")
@@ -164,7 +190,7 @@ def resolve_dates(rows: DataFrame, token: str, book: str = "book", sheet: str =
         .otherwise(result(none, F.lit("ambiguous"), F.lit("AMBIGUOUS_DATE")))
     )
     rows = rows.withColumn("__d", found)
-    return rows.withColumns({"date": F.col("__d.v"), "date_method": F.col("__d.m"), "date_reason": F.col("__d.r")}).drop("__sheet", "__book", "__above", "__below", "__d")
+    return rows.withColumns({"date": F.col("__d.v"), "date_method": F.col("__d.m"), "date_reason": F.col("__d.r")}).drop("__sheet", "__book", "__above", "__below", "__d", "__g", "__block", "__own", "__b", "__s")
 
 
 def parse_period(name: Column, default_year: Column) -> Column:
