@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -405,6 +406,90 @@ def staging_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("violations > 0")
 
 
+#: Target tables made of the given ones, in which some rows break each rule; Spark and DuckDB read the same text.
+_MONTHS = "(SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)"
+_PO = "CASE WHEN {k} % 53 = 1 THEN 'P-' || CAST({k} AS STRING) ELSE 'PO-' || CAST(1000 + CAST(floor({k} / 100000) AS INT) AS STRING) || '-' || lpad(CAST({k} % 100000 AS STRING), 5, '0') END"
+_SKU = "CASE WHEN {k} % 97 = 1 THEN 'bad' || CAST({k} AS STRING) ELSE 'FA' || chr(65 + CAST(floor({k} / 1000) AS INT) % 26) || '-COT-' || lpad(CAST({k} % 1000 AS STRING), 3, '0') END"
+_LINES = f"""(SELECT *, (l_orderkey + l_linenumber + l_partkey) % 59 AS h, CAST(l_quantity AS DECIMAL(12,2)) AS q, {_PO.format(k="l_orderkey")} AS po, {_SKU.format(k="l_partkey")} AS item FROM lineitem)"""
+_BROKEN = {
+    "products": f"""SELECT {_SKU.format(k="k")} AS sku, CASE WHEN k % 97 = 5 THEN 'same' ELSE 'item ' || CAST(k AS STRING) END AS description_key, CASE WHEN k % 97 = 2 THEN 'other' ELSE 'fabric' END AS category, CASE WHEN k % 97 = 3 THEN 'kg' ELSE 'm' END AS uom
+      FROM (SELECT p_partkey AS k FROM part UNION ALL SELECT p_partkey FROM part WHERE p_partkey % 97 = 4) p""",
+    "suppliers": """SELECT CASE WHEN s_suppkey % 11 = 1 THEN '' ELSE 's' || CAST(s_suppkey AS STRING) END AS match_key, CASE WHEN s_suppkey % 11 = 2 THEN '' ELSE s_name END AS canonical_name FROM supplier""",
+    "supplier_aliases": """SELECT CASE WHEN s_suppkey % 11 = 7 THEN 'one' ELSE s_name END AS alias, CASE WHEN s_suppkey % 11 = 3 THEN 'none' ELSE 's' || CAST(s_suppkey AS STRING) END AS match_key, CASE WHEN s_suppkey % 11 = 4 THEN 'guess' ELSE 'exact' END AS match_method,
+      CAST(CASE WHEN s_suppkey % 11 = 5 THEN 101 ELSE 90 END AS DECIMAL(5,2)) AS score, CASE WHEN s_suppkey % 11 = 6 THEN 0 ELSE 1 END AS row_count FROM supplier""",
+    "fx_rates": f"""SELECT c AS currency, CASE WHEN month(m) = 3 AND c = 'USD' THEN m + INTERVAL 1 DAY ELSE m END AS month, CAST(CASE WHEN c = 'RWF' THEN CASE WHEN month(m) = 1 THEN 2 ELSE 1 END WHEN month(m) = 2 THEN 0 ELSE 1000 END AS DECIMAL(12,4)) AS rate_to_rwf
+      FROM (SELECT 'RWF' AS c, m FROM {_MONTHS} a UNION ALL SELECT 'USD', m FROM {_MONTHS} b UNION ALL SELECT 'eur', m FROM {_MONTHS} d WHERE month(m) = 4 UNION ALL SELECT 'USD', m FROM {_MONTHS} e WHERE month(m) = 8) x""",
+    "purchase_orders": f"""SELECT {_PO.format(k="k")} AS po_number, 's' || CAST(1 + k % 10 AS STRING) AS match_key, CASE WHEN k % 53 = 2 THEN 'EUR' WHEN k % 2 = 0 THEN 'RWF' ELSE 'USD' END AS currency, CAST(date_trunc('month', d) AS DATE) AS fx_month
+      FROM (SELECT o_orderkey AS k, o_orderdate AS d FROM orders UNION ALL SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 53 = 4) o""",
+    "po_lines": f"""SELECT po AS po_number, CASE WHEN h = 4 THEN 'ZZZ-ZZZ-999' ELSE item END AS sku, CASE WHEN (l_orderkey % 2 = 0) = (h <> 3) THEN 'RWF' ELSE 'USD' END AS currency, CASE WHEN h = 1 THEN CAST(0 AS DECIMAL(12,2)) ELSE q END AS quantity,
+      CAST(10 AS DECIMAL(14,4)) AS unit_price, CAST(CASE WHEN h = 1 THEN 0 WHEN h = 2 THEN q * 10 + 5 ELSE q * 10 END AS DECIMAL(14,2)) AS amount, CAST(CASE WHEN h = 5 THEN 0 ELSE q END AS DECIMAL(18,2)) AS amount_rwf FROM {_LINES} l""",
+    "sales": f"""SELECT CASE WHEN h = 6 THEN 'R' || CAST(l_orderkey AS STRING) ELSE 'RCT-1995-' || lpad(CAST(l_orderkey % 100000 AS STRING), 5, '0') END AS receipt_no, CASE WHEN h = 11 THEN 'ZZZ-ZZZ-998' ELSE item END AS sku, CAST(l_shipdate AS DATE) AS sale_date,
+      CASE WHEN h = 7 THEN 'moon' ELSE 'export' END AS channel, q AS quantity, CAST(CASE WHEN h = 8 THEN -10 ELSE 10 END AS DECIMAL(14,4)) AS unit_price, CAST(CASE WHEN h = 9 THEN q * 10 + 5 ELSE q * 10 END AS DECIMAL(14,2)) AS amount,
+      CASE WHEN h = 10 THEN 'EUR' ELSE 'RWF' END AS currency, CAST(q AS DECIMAL(18,2)) AS amount_rwf FROM {_LINES} l""",
+    "movements": f"""SELECT CASE WHEN h = 12 THEN 'GRN' ELSE 'GRN-1995-' || lpad(CAST(l_orderkey % 100000 AS STRING), 5, '0') END AS voucher_no, CASE WHEN h = 16 THEN 'ZZZ-ZZZ-997' ELSE item END AS sku, t AS movement_type,
+      CAST(CASE WHEN h = 13 THEN CASE WHEN t = 'adjustment' THEN 0 WHEN t = 'receipt' THEN -q ELSE q END WHEN t = 'issue' THEN -q ELSE q END AS DECIMAL(12,2)) AS quantity, CASE WHEN h = 15 AND t = 'receipt' THEN 'PO-0000-00000' WHEN t = 'receipt' OR h = 14 THEN po END AS po_number
+      FROM (SELECT *, CASE WHEN l_linenumber % 3 = 0 THEN 'receipt' WHEN l_linenumber % 3 = 1 THEN 'issue' ELSE 'adjustment' END AS t FROM {_LINES} l) x""",
+    "employees": """SELECT CASE WHEN k % 61 = 1 THEN 'X' ELSE 'E' END || lpad(CAST(k % 10000 AS STRING), 4, '0') AS employee_code, DATE '2019-02-01' AS first_period, CASE WHEN k % 61 = 2 THEN DATE '2019-01-01' ELSE DATE '2019-03-01' END AS last_period
+      FROM (SELECT c_custkey AS k FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 61 = 3) c""",
+    "payroll_runs": f"""SELECT CASE WHEN month(m) = 5 THEN m + INTERVAL 1 DAY ELSE m END AS period, CASE WHEN month(m) = 6 THEN 0 ELSE 3 END AS employee_count, CAST(100 AS DECIMAL(16,2)) AS total_gross, CAST(10 AS DECIMAL(16,2)) AS total_deductions, CAST(CASE WHEN month(m) = 7 THEN 91 ELSE 90 END AS DECIMAL(16,2)) AS total_net
+      FROM (SELECT m FROM {_MONTHS} a UNION ALL SELECT m FROM {_MONTHS} b WHERE month(m) = 9) x""",
+    "payroll_lines": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, 'E' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') AS employee_code, CAST(CASE WHEN o_orderkey % 67 = 1 THEN 0 ELSE 100 END AS DECIMAL(14,2)) AS gross, CAST(5 AS DECIMAL(14,2)) AS deductions,
+      CAST(CASE WHEN o_orderkey % 67 = 1 THEN -5 WHEN o_orderkey % 67 = 2 THEN 96 ELSE 95 END AS DECIMAL(14,2)) AS net FROM orders""",
+}
+_FITS = "abs(amount - quantity * unit_price) <= greatest(0.01, amount * 0.001)"
+_POSITIVE = "quantity > 0 AND amount > 0 AND amount_rwf > 0 AND unit_price >= 0"
+#: The rules once more as SQL conditions, unique keys and references, for DuckDB.
+_RULES = {
+    "products": {"product code": "regexp_matches(sku, '^[A-Z]{3}-[A-Z]{3}-[0-9]{3}$')", "product category": "category IN ('fabric', 'trims', 'packaging', 'services', 'finished')", "product unit": "uom IN ('m', 'pc', 'job')"},
+    "suppliers": {"supplier key": "match_key <> ''", "supplier name": "canonical_name <> ''"},
+    "supplier_aliases": {"alias method": "match_method IN ('exact', 'normalized', 'fuzzy')", "alias score": "score BETWEEN 0 AND 100", "alias rows": "row_count > 0"},
+    "fx_rates": {"rate month": "day(month) = 1", "rate currency": "regexp_matches(currency, '^[A-Z]{3}$')", "rate positive": "rate_to_rwf > 0", "rwf is 1": "currency <> 'RWF' OR rate_to_rwf = 1"},
+    "purchase_orders": {"order number": "regexp_matches(po_number, '^PO-[0-9]{4}-[0-9]{5}$')", "order currency": "currency IN ('RWF', 'USD')"},
+    "po_lines": {"line positive": _POSITIVE, "line amount": _FITS},
+    "sales": {"receipt number": "regexp_matches(receipt_no, '^RCT-[0-9]{4}-[0-9]{5}$')", "channel": "channel IN ('showroom', 'wholesale', 'export')", "sale positive": _POSITIVE, "sale amount": _FITS, "sale currency": "currency IN ('RWF', 'USD')"},
+    "movements": {
+        "voucher number": "regexp_matches(voucher_no, '^(GRN|ISS|PRD|SIV|ADJ)-[0-9]{4}-[0-9]{5}$')", "movement sign": "CASE WHEN movement_type IN ('receipt', 'production') THEN quantity > 0 WHEN movement_type IN ('issue', 'sale') THEN quantity < 0 ELSE quantity <> 0 END",
+        "order only on receipts": "po_number IS NULL OR movement_type = 'receipt'",
+    },
+    "employees": {"employee number": "regexp_matches(employee_code, '^E[0-9]{3,4}$')", "periods in order": "first_period <= last_period"},
+    "payroll_runs": {"run month": "day(period) = 1", "run employees": "employee_count > 0", "run net": "total_net = total_gross - total_deductions"},
+    "payroll_lines": {"pay positive": "gross > 0 AND deductions >= 0", "pay net": "net = gross - deductions"},
+}
+_KEYS = {
+    "fx_rates": "currency, month", "products": "sku", "suppliers": "match_key", "supplier_aliases": "alias", "purchase_orders": "po_number", "po_lines": "po_number, sku", "sales": "receipt_no, sku", "movements": "voucher_no", "employees": "employee_code",
+    "payroll_runs": "period", "payroll_lines": "period, employee_code",
+}
+_REFERENCES = [
+    ("line to order", "po_lines", "a.po_number = b.po_number AND a.currency = b.currency", "purchase_orders"), ("line to product", "po_lines", "a.sku = b.sku", "products"), ("sale to product", "sales", "a.sku = b.sku", "products"),
+    ("movement to product", "movements", "a.sku = b.sku", "products"), ("order to rate", "purchase_orders", "a.currency = b.currency AND a.fx_month = b.month", "fx_rates"), ("pay to employee", "payroll_lines", "a.employee_code = b.employee_code", "employees"),
+    ("alias to supplier", "supplier_aliases", "a.match_key = b.match_key", "suppliers"), ("sale to rate", "sales", "a.currency = b.currency AND date_trunc('month', a.sale_date) = b.month", "fx_rates"),
+    ("movement to order", "movements", "a.po_number IS NULL OR a.po_number = b.po_number", "purchase_orders"), ("pay to run", "payroll_lines", "a.period = b.period", "payroll_runs"), ("order to supplier", "purchase_orders", "a.match_key = b.match_key", "suppliers"),
+]
+
+
+def _target_oracle() -> str:
+    found = [f"SELECT '{name}' AS rule, count(*) FILTER (WHERE NOT ({rule})) AS n FROM {table}" for table, rules in _RULES.items() for name, rule in rules.items()]
+    found += [f"SELECT '{table} key', count(*) FROM (SELECT 1 FROM {table} GROUP BY {key} HAVING count(*) > 1)" for table, key in _KEYS.items()]
+    found.append("SELECT 'products description', count(*) FROM (SELECT 1 FROM products GROUP BY description_key HAVING count(*) > 1)")
+    for name, table, on, parent in _REFERENCES:
+        there = "WHERE a.po_number IS NOT NULL" if name == "movement to order" else ""
+        found.append(f"SELECT '{name}', count(*) FROM {table} a ANTI JOIN {parent} b ON {on.replace('a.po_number IS NULL OR ', '')} {there}")
+    tables = ", ".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in _BROKEN.items())
+    return f"WITH {tables} SELECT rule, n::BIGINT AS violations FROM ({' UNION ALL '.join(found)}) WHERE n > 0"
+
+
+@query(_target_oracle())
+def target_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the target tables on tables in which some rows break it: codes, vocabularies, signs, sums, keys and references."""
+    given = {t: read(spark, sf_dir, t) for t in ("part", "supplier", "orders", "lineitem", "customer")}
+    tables = {}
+    for name, text in _BROKEN.items():
+        for t in given:
+            text = re.sub(rf"\bFROM {t}\b", f"FROM {{{t}}}", text)
+        tables[name] = settled(spark.sql(text, **{t: df for t, df in given.items() if f"{{{t}}}" in text}))
+    return load.violations(tables)
+
+
 @query("""SELECT * FROM (SELECT o_orderkey::VARCHAR AS run_id, o_orderdate::DATE AS started_at, (o_custkey % 7)::INT AS workbooks, 5 AS rows_in, (o_custkey % 5 + 2)::BIGINT AS inserted, (o_custkey % 3 + 1)::BIGINT AS updated FROM orders)""")
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of loads with the changes of all tables added up."""

@@ -234,6 +234,9 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
     ]
     if "row_outcomes" in t:
         found += staging_violations(t["sheets"], t["row_outcomes"], t["reject_reasons"])
+        parsed = [t[name].select(*ID) for name in t if name.startswith("parsed_")]
+        if parsed:
+            found.append(constraints.foreign_key(reduce(DataFrame.unionByName, parsed), "parsed row to row", ID, t["row_outcomes"], ID))
     return reduce(DataFrame.unionByName, found).where("violations > 0")
 
 
@@ -265,7 +268,7 @@ def run_load(spark: SparkSession, books_dir: str, out_dir: str) -> LoadResult:
     if not workbooks:
         raise FileNotFoundError(f"no workbooks in {books_dir}")
     staged = {name: upsert.stage(before, run_id, name, tables[name], key, values, IDS.get(name)) for name, (key, values) in TABLES.items()}
-    checked = {name: s.full for name, s in staged.items()} | {k: tables[k] for k in ("sheets", "row_outcomes", "reject_reasons")}
+    checked = {name: s.full for name, s in staged.items()} | {k: v for k, v in tables.items() if k not in TABLES}
     broken = violations(checked).collect()  # of what would be published; a row per broken rule
     if broken:
         raise ValueError(f"constraints broken: {[(r['rule'], r['violations']) for r in broken]}")

@@ -59,3 +59,20 @@ def test_names_are_keyed_once_a_spelling(spark):
     counts = spark.range(5000).select(F.concat(F.lit("Shop "), (F.col("id") % 7).cast("string")).alias("alias")).groupBy("alias").agg(F.count("*").alias("n"))
     shown = plan(counts.select(matching.keys_of("alias").alias("k")).select("k.match_key").distinct())
     assert shown.index("ArrowEvalPython") < shown.rindex("HashAggregate(keys=[alias")  # plans are shown from the top
+
+
+def test_every_rule_of_the_targets_fires(spark):
+    """The query's tables break each rule; tables that keep all of them break none."""
+    from tallybook import ledger_registry as ledger
+
+    rules = {name for table in ledger._RULES.values() for name in table} | {f"{t} key" for t in ledger._KEYS} | {r[0] for r in ledger._REFERENCES} | {"products description"}
+    found = {r["rule"]: r["violations"] for r in QUERIES["target_constraints"](spark, "/root/testdata/sf0.01").collect()}
+    assert set(found) == rules and min(found.values()) > 0
+
+
+def test_parsed_rows_that_no_source_row_has(spark):
+    from tallybook.operators import constraints
+
+    rows = spark.createDataFrame([("b", 0, 1), ("b", 0, 2)], "book string, sheet_index int, row_num int")
+    parsed = spark.createDataFrame([("b", 0, 2), ("b", 0, 3), ("c", 0, 1)], "book string, sheet_index int, row_num int")
+    assert constraints.foreign_key(parsed, "parsed row to row", parse.ID, rows, parse.ID).first()["violations"] == 2
