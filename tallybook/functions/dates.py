@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import let, trimmed
-from tallybook.operators.graph import settled
+from tallybook.operators.ordering import numbered
 
 SERIAL = (32874, 73050)  # 1990-01-01 to 2099-12-31 in days since 1899-12-30
 REACH, SLACK, MARGIN = 15, 7, 62  # rows to look up and down; days around neighbours; days around a book's year
@@ -135,16 +135,6 @@ def conventions(rows: DataFrame, method: Column, book: str, sheet: str) -> DataF
     return both.select(F.col(book).alias("__b"), F.col(sheet).alias("__s"), _convention(F.col("day_first"), F.col("month_first")).alias("__sheet"), _convention(F.col("days"), F.col("months")).alias("__book"))
 
 
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """``rows`` sorted by ``order`` over all tasks, with their place ``__g`` from 0. Ranges are sorted apart; only their sizes are added up."""
-    low = (1 << 33) - 1  # an id holds the task's number above its row's
-    placed = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
-    part, within = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit(low))
-    sizes = placed.groupBy(part.alias("__p")).agg(F.count("*").alias("n"))
-    base = sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__base"))
-    return placed.join(base, part == F.col("__p")).withColumn("__g", F.col("__base") + within).drop("__id", "__p", "__base")
-
-
 def along(rows: DataFrame, block: int, reach: int) -> DataFrame:
     """``rows`` (with ``__g``) dealt into blocks of ``block`` places, those within ``reach`` of an edge also into the next block: ``__block`` and ``__own``."""
     own, at = F.floor(F.col("__g") / block), F.pmod("__g", F.lit(block))

@@ -2,26 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.operators.ordering import numbered
+
 
 def fingerprint(*values: Column) -> Column:
     """One text of the business values; null ones are skipped, decimals must have one scale."""
     return F.concat_ws("|", *[v.cast("string") for v in values])
 
 
+def first_copies(rows: DataFrame, key: list[str], order: list[str], print_column: str, keep: list[str]) -> DataFrame:
+    """``rows`` with kept_print and, for each column of ``keep``, kept_<column> of the first copy, and whether they are it (``is_first``).
+
+    ``order`` must tell all copies of a key apart. The first copy is a minimum, combined before the shuffle, and joined back: rows of a
+    frequent key are spread by the join's skew handling and never sorted in one task.
+    """
+    first = F.min_by(F.struct(F.col(print_column).alias("print"), *[F.col(c).alias(f"kept_{c}") for c in keep], F.struct(*order).alias("at")), F.struct(*order))
+    firsts = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(first.alias("__first"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+    found = {"kept_print": F.col("__first.print"), "is_first": F.struct(*order) == F.col("__first.at")} | {f"kept_{c}": F.col(f"__first.kept_{c}") for c in keep}
+    return rows.join(firsts, same).withColumns(found).drop("__first", *[f"__{k}" for k in key])
+
+
 def rank_copies(rows: DataFrame, key: list[str], order: list[str], print_column: str, keep: list[str]) -> DataFrame:
-    """``rows`` with copy_no, kept_print and, for each column of ``keep``, kept_<column> of the first copy. One shuffle and one sort."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    firsts = {f"kept_{c}": F.first(c).over(w) for c in keep}
-    return rows.withColumns({"copy_no": F.row_number().over(w), "kept_print": F.first(print_column).over(w)} | firsts)
+    """``rows`` with copy_no, and kept_print and kept_<column> of the first copy.
+
+    All rows are sorted by key and order in ranges, so copies of a frequent key are sorted by several tasks; a copy's number is its place less
+    that of the key's first.
+    """
+    out = first_copies(numbered(rows, *key, *order), key, ["__g"], print_column, ["__g", *keep])
+    return out.withColumn("copy_no", (F.col("__g") - F.col("kept___g") + 1).cast("int")).drop("__g", "kept___g", "is_first")
 
 
-def outcome(print_column: str = "print") -> Column:
+def outcome(print_column: str = "print", first: Column | None = None) -> Column:
     """loaded for the first copy, merged for one with the same values, rejected for one with others."""
     same = F.col(print_column) == F.col("kept_print")
-    return F.when(F.col("copy_no") == 1, "loaded").when(same, "merged").otherwise("rejected")
+    return F.when(F.col("copy_no") == 1 if first is None else first, "loaded").when(same, "merged").otherwise("rejected")
 
 
 def row_outcome(kind: Column, reason: Column, reason_category: Column, kept: Column) -> Column:

@@ -57,8 +57,8 @@ def _ref() -> F.Column:
 
 def _first_wins(rows: DataFrame, key: list[str], values: list[str], natural) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(loaded rows, merged pointers, conflict rejects)."""
-    ranked = dedupe.rank_copies(rows.withColumn("print", dedupe.fingerprint(*[F.col(v) for v in values])), key, ID, "print", ID)
-    ranked = settled(ranked.withColumns({"outcome": dedupe.outcome(), "natural_key": natural, "source_ref": _ref()}))
+    ranked = dedupe.first_copies(rows.withColumn("print", dedupe.fingerprint(*[F.col(v) for v in values])), key, ID, "print", ID)
+    ranked = settled(ranked.withColumns({"outcome": dedupe.outcome(first=F.col("is_first")), "natural_key": natural, "source_ref": _ref()}))
     merged = ranked.where("outcome = 'merged'").select(*ID, "kept_book", "kept_sheet_index", "kept_row_num", "natural_key")
     conflicts = ranked.where("outcome = 'rejected'").select(*ID, F.lit("CONFLICTING_DUPLICATE").alias("reason_code"), F.concat(F.lit("differs from the first copy of "), F.col("natural_key")).alias("detail"))
     return ranked.where("outcome = 'loaded'"), merged, conflicts

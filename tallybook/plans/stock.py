@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 def negative_stock(movements: DataFrame, item: str = "item", day: str = "day", quantity: str = "quantity") -> DataFrame:
     """``movements`` -> one row per item that was ever below zero: first_negative, balance (that evening), days_negative.
 
-    Movements of one day are summed first, so only evening balances count; the running sum goes over days in order.
+    Movements of one day are summed first, so only evening balances count. The running sum has two levels: what all earlier months of an
+    item add up to, and the days of its month, so a task holds an item's months or one month's days.
     """
-    daily = movements.groupBy(item, day).agg(F.sum(quantity).alias("net"))
-    running = Window.partitionBy(item).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
-    balance = daily.withColumn("balance", F.sum("net").over(running)).where("balance < 0")
+    daily = movements.groupBy(item, day).agg(F.sum(quantity).alias("net")).withColumn("__month", F.trunc(day, "MM"))
+    earlier = Window.partitionBy("__item").orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)
+    months = daily.groupBy(F.col(item).alias("__item"), F.col("__month").alias("__m")).agg(F.sum("net").alias("__net"))
+    months = months.withColumn("__before", F.coalesce(F.sum("__net").over(earlier), F.lit(0))).drop("__net")
+    within = Window.partitionBy(item, "__month").orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
+    both = daily.join(months, F.col(item).eqNullSafe(F.col("__item")) & F.col("__month").eqNullSafe(F.col("__m")))
+    balance = both.withColumn("balance", F.col("__before") + F.sum("net").over(within)).where("balance < 0")
     return balance.groupBy(item).agg(F.min(day).alias("first_negative"), F.min_by("balance", day).alias("balance"), F.count("*").alias("days_negative"))
 
 

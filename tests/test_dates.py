@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.functions import dates
+from tallybook.operators.ordering import numbered
 
 
 def one_pass(rows):
@@ -56,7 +57,7 @@ def test_long_sheets_are_split(spark, block):
 
 def test_one_sheet_goes_to_several_tasks(spark):
     rows = spark.range(30_000).select(F.lit("b").alias("book"), F.lit(0).alias("sheet"), F.col("id").alias("row_num"))
-    placed = dates.along(dates.numbered(rows, "book", "sheet", "row_num"), 4096, 15)
+    placed = dates.along(numbered(rows, "book", "sheet", "row_num"), 4096, 15)
     sizes = [r["n"] for r in placed.groupBy("__block").agg(F.count("*").alias("n")).collect()]
     assert max(sizes) <= 4096 + 30 and len(sizes) >= 8 and placed.where("__own").count() == 30_000
-    assert dates.numbered(rows, "book", "sheet", "row_num").where("__g <> row_num").count() == 0
+    assert numbered(rows, "book", "sheet", "row_num").where("__g <> row_num").count() == 0
