@@ -34,6 +34,9 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # kinds of pieces in the vocabulary's file
 #: Stretches whose ids a task remembers at most, twice over (those met since the table was last full, and those before), and their longest text.
 REMEMBERED, LONGEST = 250_000, 64
+#: Characters up to which a plain list is the quicker agenda.
+SHORT = 40
+_NONE = float("-inf")
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Ways to cut a text, finest first, each with the places that no piece may reach across.
 STRETCHES = (
@@ -84,7 +87,23 @@ class Pieces:
         return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
 
     def merged(self, text: str) -> list[int]:
-        """The ids of one stretch by its agenda."""
+        """The ids of one stretch by its agenda: a heap, or for a short one a list that is searched for its first best."""
+        if len(text) > SHORT:
+            return self.ids_of(self.merged_long(text))
+        score = self.score.get
+        parts = list(text)
+        agenda = [score(text[a : a + 2], _NONE) for a in range(len(text) - 1)]
+        while agenda and (best := max(agenda)) != _NONE:
+            a = agenda.index(best)
+            parts[a] += parts.pop(a + 1)
+            del agenda[a]
+            if a < len(agenda):
+                agenda[a] = score(parts[a] + parts[a + 1], _NONE)
+            if a:
+                agenda[a - 1] = score(parts[a - 1] + parts[a], _NONE)
+        return self.ids_of(parts)
+
+    def merged_long(self, text: str) -> list[str]:
         n, score = len(text), self.score.get
         # the symbol that begins at a ends at end[a], where the next one begins; one that was merged away has end n
         end, before = [*range(1, n + 1), -1], list(range(-1, n))
@@ -102,18 +121,22 @@ class Pieces:
                     heapq.heappush(agenda, (-s, a, f))
             if (p := before[a]) >= 0 and (s := score(text[p:e])) is not None:
                 heapq.heappush(agenda, (-s, p, e))
-        out: list[int] = []
-        a = 0
+        parts, a = [], 0
         while a < n:
-            e = end[a]
-            known = self.id.get(text[a:e])
+            parts.append(text[a : end[a]])
+            a = end[a]
+        return parts
+
+    def ids_of(self, parts: list[str]) -> list[int]:
+        out: list[int] = []
+        for part in parts:
+            known = self.id.get(part)
             if known is not None:
                 out.append(known)
             elif self.byte_id:
-                out += [self.byte_id[x] for x in text[a:e].encode()]
+                out += [self.byte_id[x] for x in part.encode()]
             else:
                 out.append(self.unknown)
-            a = e
         return out
 
     def stretch(self, text: str) -> list[int]:
