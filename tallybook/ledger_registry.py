@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import dates, text
-from tallybook.operators import dedupe, matching, upsert
+from tallybook.operators import dedupe, matching, resolve, upsert
 from tallybook.operators.graph import scratch, settled
+from tallybook.operators.ordering import numbered
 from tallybook.plans import load, reports, scoring
 from tallybook.plans import rows as parse
-from tallybook.registry import query, read
+from tallybook.registry import ORACLE_SQL, query, read
 from tallybook.sources.layout import classify_rows, find_layouts
 
 def _null() -> Column:
@@ -257,8 +258,8 @@ def resolve_ambiguous_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- supplier names -------------------------------------------------------------------------------
 
 
-def _spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four spellings of a made name per supplier, with the number of lines that have each."""
+def _spelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alias of every line: four spellings of a made name per supplier."""
     word = F.translate(F.substring(F.md5(F.col("s_suppkey").cast("string")), 1, 9), "0123456789", "ghijklmnop")
     names = read(spark, sf_dir, "supplier").select("s_suppkey", F.concat(word, F.lit(" Textiles")).alias("name"))
     orders = read(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_linenumber") % 4).alias("hand")).join(names, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -266,7 +267,11 @@ def _spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("hand") == 0, F.concat("name", F.lit(" Ltd"))).when(F.col("hand") == 1, F.upper("name"))
         .when(F.col("hand") == 2, F.concat(F.substring("name", 1, 4), F.substring("name", 6, 40))).otherwise(F.regexp_replace("name", "Textiles", "Tex."))
     )
-    return orders.groupBy(alias.alias("alias")).agg(F.count("*").alias("row_count"))
+    return orders.select(alias.alias("alias"))
+
+
+def _spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spelled_lines(spark, sf_dir).groupBy("alias").agg(F.count("*").alias("row_count"))
 
 
 def _lcs(a: str, b: str) -> str:
@@ -312,7 +317,7 @@ ca AS (SELECT anchor, arg_min(alias, (-row_count, alias)) AS canonical, arg_min(
 SELECT alias, match_key, anchor, canonical, CASE WHEN alias = canonical THEN 'exact' WHEN match_key = ckey THEN 'normalized' ELSE 'fuzzy' END AS method, round(score, 2)::DOUBLE AS score, nearest, round(nearest_score, 2)::DOUBLE AS nearest_score, row_count::BIGINT AS row_count
 FROM al2 JOIN ca USING (anchor)""")
 def supplier_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The spellings clustered greedily by falling counts, with canonical names, methods and the review queue."""
+    """The spellings clustered greedily by falling counts, with canonical names, methods and the review queue."""
     return matching.match_suppliers(_spellings(spark, sf_dir))
 
 
@@ -355,14 +360,13 @@ def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return now.read("orders")
 
 
-@query("""WITH t AS (SELECT l_orderkey::VARCHAR AS book, l_linenumber::INT AS sheet_index, l_partkey::INT AS row_num, CASE WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS e, CASE WHEN l_suppkey % 7 = 0 THEN 'merged' WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS g, l_suppkey % 11 = 0 AS gone FROM lineitem),
- u AS (SELECT book, sheet_index, row_num, min(e) AS e, min(g) AS g, bool_or(gone) AS gone FROM t GROUP BY ALL HAVING count(*) = 1)
+@query("""WITH u AS (SELECT CASE WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS e, CASE WHEN l_suppkey % 7 = 0 THEN 'merged' WHEN l_suppkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS g, l_suppkey % 11 = 0 AS gone FROM lineitem)
  SELECT CASE WHEN e = 'rejected' THEN 'rejected:BAD_DATE' ELSE e END AS expected, CASE WHEN gone THEN 'missing' WHEN g = 'rejected' THEN 'rejected:BAD_DATE' ELSE g END AS actual, count(*)::BIGINT AS n FROM u GROUP BY ALL""")
 def outcome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes against the truth, with rows that the load doesn't have as missing."""
     s = F.col("l_suppkey")
-    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("book"), F.col("l_linenumber").alias("sheet_index"), F.col("l_partkey").cast("int").alias("row_num"), "l_suppkey")
-    lines = lines.groupBy(*parse.ID).agg(F.count("*").alias("n"), F.min("l_suppkey").alias("l_suppkey")).where("n = 1")
+    every = read(spark, sf_dir, "lineitem")
+    lines = numbered(every, *every.columns).select(F.col("l_orderkey").cast("string").alias("book"), F.col("l_linenumber").alias("sheet_index"), F.col("__g").alias("row_num"), "l_suppkey")
     reason = lambda o: F.when(o == "rejected", "BAD_DATE")
     expected = F.when(s % 5 == 0, "rejected").otherwise("loaded")
     got = F.when(s % 7 == 0, "merged").when(s % 5 == 0, "rejected").otherwise("loaded")
@@ -374,7 +378,7 @@ def outcome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH p AS (SELECT o_orderkey AS k, ['iso', 'text_month', 'neighbours'][(o_custkey % 3 + 1)::INT] AS by_, o_orderdate::DATE AS t, CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 20 = 0 THEN o_orderdate::DATE + 1 ELSE o_orderdate::DATE END AS v FROM orders)
  SELECT by_ AS "by", count(*)::BIGINT AS checked, (count(*) FILTER (WHERE v IS NOT DISTINCT FROM t))::BIGINT AS "right", array_to_string(list_sort(list(k) FILTER (WHERE v IS DISTINCT FROM t))[:5], ',') AS examples FROM p GROUP BY by_""")
 def value_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed dates against the truth by the method that read them, with the first wrong rows."""
+    """Q3, Q4: parsed dates against the truth by the method that read them, with the first wrong rows."""
     d, k = F.to_date("o_orderdate"), F.col("o_orderkey")
     rows = read(spark, sf_dir, "orders").select(F.lit("b").alias("book"), F.lit(0).alias("sheet_index"), k.alias("row_num"), d.alias("t"), F.when(k % 50 == 0, None).when(k % 20 == 0, F.date_add(d, 1)).otherwise(d).alias("v"), pick(F.col("o_custkey"), "iso", "text_month", "neighbours").alias("m"))
     out = scoring.value_score(rows, rows, "v", "t", "m")
@@ -516,5 +520,77 @@ def rows_by_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("book"), "l_orderkey", "l_linenumber", pick(F.col("l_partkey"), "loaded", "merged", "rejected", "skipped").alias("outcome"), (F.col("l_quantity") < 40).alias("there"))
     rows = lines.groupBy("book", "l_orderkey", "l_linenumber").agg(F.min("outcome").alias("outcome"), F.bool_and("there").alias("there"))
     rows = rows.select("book", (F.col("l_orderkey") % 3).cast("int").alias("sheet_index"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("row_num"), F.lit("sales").alias("domain"), "outcome", "there")
-    loaded = rows.where("outcome = 'loaded' AND there").select(F.lit("sales").alias("target"), F.concat_ws("|", "book", F.col("sheet_index").cast("string"), "row_num").alias("source_ref"))
-    return reports.by_book(rows, loaded).drop("domain")
+    there = rows.where("outcome = 'loaded' AND there").select("sheet_index", F.concat_ws("|", "book", F.col("sheet_index").cast("string"), "row_num").alias("source_ref"))
+    kept = {t: there.where(F.pmod(F.xxhash64("source_ref"), F.lit(5)) == i) for i, t in enumerate(("products", "po_lines", "sales", "movements", "payroll_lines"))}
+    return reports.by_book(rows, reports.loaded_rows(kept)).drop("domain")
+
+
+@query("""WITH t AS (SELECT l_orderkey AS o, l_partkey AS p, ['purchases', 'sales', 'inventory', 'payroll', 'products'][(l_suppkey % 5 + 1)::INT] AS domain, l_orderkey % 7 AS b, l_linenumber % 3 AS sheet, ['loaded', 'merged', 'rejected', 'skipped'][(l_partkey % 4 + 1)::INT] AS outcome, l_partkey % 10 <> 0 AS data, l_quantity < 40 AS there FROM lineitem),
+ e AS (SELECT domain, count(DISTINCT o) AS expected FROM t WHERE p % 3 = 0 GROUP BY 1),
+ g AS (SELECT grouping(domain, b) AS g, domain, CASE WHEN grouping(b) = 0 THEN domain || '-' || b::VARCHAR END AS book, count(DISTINCT domain || '|' || b::VARCHAR || '|' || sheet::VARCHAR)::BIGINT AS sheets, count(*)::BIGINT AS n_rows, (count(*) FILTER (WHERE data))::BIGINT AS data_rows,
+  (count(*) FILTER (WHERE outcome = 'loaded'))::BIGINT AS loaded, (count(*) FILTER (WHERE outcome = 'merged'))::BIGINT AS merged, (count(*) FILTER (WHERE outcome = 'rejected'))::BIGINT AS rejected, (count(*) FILTER (WHERE outcome = 'skipped'))::BIGINT AS skipped,
+  (count(*) FILTER (WHERE outcome = 'loaded' AND NOT there))::BIGINT AS missing FROM t GROUP BY GROUPING SETS ((domain, b), (domain), ()))
+ SELECT CASE g WHEN 0 THEN 'book' WHEN 1 THEN 'domain' ELSE 'all' END AS level, g.domain, book, sheets, n_rows, data_rows, loaded, merged, rejected, skipped, missing,
+  (CASE g WHEN 1 THEN e.expected WHEN 3 THEN (SELECT sum(expected) FROM e) END)::BIGINT AS expected FROM g LEFT JOIN e ON e.domain = g.domain""")
+def totals_by_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each book, domain and the whole: rows in, data rows, outcomes, rows that no table has, and records that should be loaded."""
+    every = read(spark, sf_dir, "lineitem")
+    lines = numbered(every, *every.columns).select(
+        "l_orderkey", "l_partkey", pick(F.col("l_suppkey"), "purchases", "sales", "inventory", "payroll", "products").alias("domain"), (F.col("l_linenumber") % 3).cast("int").alias("sheet_index"), F.col("__g").alias("row_num"),
+        pick(F.col("l_partkey"), "loaded", "merged", "rejected", "skipped").alias("outcome"), F.when(F.col("l_partkey") % 10 != 0, "data").otherwise("blank").alias("kind"), (F.col("l_quantity") < 40).alias("there"),
+    )
+    lines = settled(lines.withColumn("book", F.concat_ws("-", "domain", (F.col("l_orderkey") % 7).cast("string"))))
+    loaded = lines.where("outcome = 'loaded' AND there").select(F.lit("sales").alias("target"), F.concat_ws("|", "book", F.col("sheet_index").cast("string"), F.col("row_num").cast("string")).alias("source_ref"))
+    truth = lines.select("domain", F.when(F.col("l_partkey") % 3 == 0, "loaded").otherwise("rejected").alias("expected_outcome"), F.col("l_orderkey").alias("record_id"))
+    return reports.with_totals(lines, loaded, scoring.expected_records(truth))
+
+
+@query("""WITH n AS (SELECT s_suppkey AS k, translate(substr(md5(s_suppkey::VARCHAR), 1, 9), '0123456789', 'ghijklmnop') AS w, l_linenumber % 4 AS hand FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
+ SELECT CASE hand WHEN 0 THEN 'J. K. ' || w || ' Textiles Limited' WHEN 1 THEN upper(w) || 'textiles Co' WHEN 2 THEN 'É' || w || ' & Sons Mfg' ELSE 'Intl. ' || w || ' Bros' END AS alias,
+  CASE hand WHEN 0 THEN 'jk ' || w || ' textiles' WHEN 1 THEN w || ' textiles' WHEN 2 THEN 'e' || w || ' sons manufacturing' ELSE 'int ernational ' || w || ' brothers' END AS match_key,
+  CASE hand WHEN 0 THEN 'jk ' || w WHEN 1 THEN w WHEN 2 THEN 'e' || w || ' manufacturing' ELSE w END AS identity, count(*)::BIGINT AS n FROM n GROUP BY ALL""")
+def supplier_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M6: keys and identifying parts of names with initials, glued trade words, accents, abbreviations, "and" and legal forms ("ernational" counts as glued: it is close enough to the trade word)."""
+    word = F.translate(F.substring(F.md5(F.col("s_suppkey").cast("string")), 1, 9), "0123456789", "ghijklmnop")
+    hand = F.col("l_linenumber") % 4
+    alias = (
+        F.when(hand == 0, F.concat(F.lit("J. K. "), word, F.lit(" Textiles Limited"))).when(hand == 1, F.concat(F.upper(word), F.lit("textiles Co")))
+        .when(hand == 2, F.concat(F.lit("É"), word, F.lit(" & Sons Mfg"))).otherwise(F.concat(F.lit("Intl. "), word, F.lit(" Bros")))
+    )
+    lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    names = settled(lines.groupBy(alias.alias("alias")).agg(F.count("*").alias("n")))
+    return names.select("alias", "n", matching.keys_of("alias").alias("k")).select("alias", "k.match_key", "k.identity", "n")
+
+
+@query(f"SELECT anchor AS match_key, min(canonical) AS canonical_name, count(*)::BIGINT AS spellings, sum(row_count)::BIGINT AS n_lines FROM ({ORACLE_SQL['supplier_match']}) GROUP BY anchor")
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to the supplier of their spelling, and each supplier's spellings and lines."""
+    lines = _spelled_lines(spark, sf_dir)
+    aliases, suppliers = matching.alias_tables(settled(matching.match_suppliers(lines.groupBy("alias").agg(F.count("*").alias("row_count")))))
+    known = lines.join(aliases.select("alias", "match_key"), "alias").groupBy("match_key").agg(F.countDistinct("alias").alias("spellings"), F.count("*").alias("n_lines"))
+    return known.join(suppliers, "match_key").select("match_key", "canonical_name", "spellings", "n_lines")
+
+
+@query("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'RWF' WHEN o_orderkey % 17 = 0 THEN 'EUR' ELSE 'USD' END AS currency, date_trunc('month', o_orderdate)::DATE AS fx_month FROM orders)
+ SELECT o_orderkey, currency, fx_month, (CASE WHEN year(fx_month) BETWEEN 1993 AND 1996 THEN CASE currency WHEN 'RWF' THEN 1 WHEN 'USD' THEN 1000 + 5 * ((year(fx_month) - 2015) * 12 + month(fx_month) - 1) END END)::DECIMAL(12,4) AS rate_to_rwf,
+  CASE WHEN currency = 'EUR' OR year(fx_month) NOT BETWEEN 1993 AND 1996 THEN 'FX_RATE_MISSING' END AS reason FROM o""")
+def fx_rate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates by currency and month; a currency or month without one is a reject."""
+    k = F.col("o_orderkey")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), F.when(k % 3 == 0, "RWF").when(k % 17 == 0, "EUR").otherwise("USD").alias("currency"))
+    rates = resolve.fx_rates(spark.range(1), F.lit("1993-01-01").cast("date"), F.lit("1996-12-01").cast("date"))
+    return resolve.with_rates(orders, rates, "d").select("o_orderkey", "currency", "fx_month", "rate_to_rwf", F.when(F.col("rate_to_rwf").isNull(), "FX_RATE_MISSING").alias("reason"))
+
+
+@query("""WITH p AS (SELECT ['purchases', 'sales', 'movements'][(l_partkey % 3 + 1)::INT] AS domain, ['iso', 'excel_date', 'neighbours'][(l_linenumber % 3 + 1)::INT] AS m, ['column', 'embedded', 'header'][(l_suppkey % 3 + 1)::INT] AS s, CASE WHEN l_orderkey % 2 = 0 THEN 'RWF' ELSE 'USD' END AS c FROM lineitem WHERE l_orderkey % 5 <> 0)
+ SELECT 'dates' AS what, domain, m AS how, NULL::VARCHAR AS currency, count(*)::BIGINT AS n FROM p GROUP BY ALL UNION ALL SELECT 'currencies', domain, s, c, count(*)::BIGINT FROM p WHERE domain <> 'movements' GROUP BY ALL""")
+def reading_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How dates were read and where currencies came from, of the rows that could be read."""
+    o = F.col("l_orderkey")
+    rows = read(spark, sf_dir, "lineitem").select(
+        pick(F.col("l_partkey"), "purchases", "sales", "movements").alias("domain"), pick(F.col("l_linenumber"), "iso", "excel_date", "neighbours").alias("date_method"),
+        pick(F.col("l_suppkey"), "column", "embedded", "header").alias("currency_source"), F.when(o % 2 == 0, "RWF").otherwise("USD").alias("currency"), F.when(o % 5 == 0, "BAD_AMOUNT").alias("reason"),
+    )
+    dated, priced = reports.reading({f"parsed_{d}": rows.where(F.col("domain") == d).drop("domain") for d in ("purchases", "sales", "movements")}).values()
+    first = dated.select(F.lit("dates").alias("what"), "domain", F.col("date_method").alias("how"), _null().alias("currency"), "n")
+    return first.unionByName(priced.select(F.lit("currencies").alias("what"), "domain", F.col("currency_source").alias("how"), "currency", "n"))

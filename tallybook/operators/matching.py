@@ -202,6 +202,12 @@ def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float =
     return out.select("alias", "match_key", "anchor", "canonical", method.alias("method"), F.round("score", 2).alias("score"), "nearest", F.round("nearest_score", 2).alias("nearest_score"), "row_count")
 
 
+def alias_tables(matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The spellings with their supplier's key, and the suppliers, of ``match_suppliers``."""
+    aliases = matches.select("alias", F.col("anchor").alias("match_key"), F.col("method").alias("match_method"), F.col("score").cast("decimal(5,2)").alias("score"), "row_count")
+    return aliases, matches.groupBy(F.col("anchor").alias("match_key")).agg(F.first("canonical").alias("canonical_name"))
+
+
 def pair_scores(rows: DataFrame, predicted: str, truth: str) -> DataFrame:
     """correct, predicted and true pairs with precision, recall and f1 of a clustering."""
 

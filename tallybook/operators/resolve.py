@@ -26,6 +26,12 @@ def fx_rates(rows: DataFrame, first: Column, last: Column) -> DataFrame:
     return usd.unionByName(months.select(F.lit("RWF").alias("currency"), "month", F.lit(1).cast("decimal(12,4)").alias("rate_to_rwf")))
 
 
+def with_rates(rows: DataFrame, rates: DataFrame, day: str) -> DataFrame:
+    """``rows`` with fx_month and rate_to_rwf of their currency in the month of ``day``; the rate is null where there is none."""
+    known = rates.select("currency", F.col("month").alias("fx_month"), "rate_to_rwf")
+    return rows.withColumn("fx_month", F.trunc(day, "MM")).join(known, ["currency", "fx_month"], "left")
+
+
 def convert(amount: Column, rate: Column) -> Column:
     """To two places, half up."""
     return F.round(amount * rate, 2).cast("decimal(18,2)")

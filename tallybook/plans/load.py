@@ -113,8 +113,7 @@ def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None)
     # suppliers, from the spellings of readable purchase rows
     spellings = good["purchases"].groupBy(F.col("supplier_raw").alias("alias")).agg(F.count("*").alias("row_count"))
     matches = settled(matching.match_suppliers(spellings))
-    aliases = matches.select("alias", F.col("anchor").alias("match_key"), F.col("method").alias("match_method"), F.col("score").cast("decimal(5,2)").alias("score"), "row_count")
-    suppliers = matches.groupBy(F.col("anchor").alias("match_key")).agg(F.first("canonical").alias("canonical_name"))
+    aliases, suppliers = matching.alias_tables(matches)
     review = matches.where("nearest IS NOT NULL").select("alias", "nearest", "nearest_score")
 
     # rates for all years of the books and one on either side
@@ -122,7 +121,7 @@ def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None)
     rates = resolve.fx_rates(span, F.make_date("a", F.lit(1), F.lit(1)), F.make_date("b", F.lit(12), F.lit(1))).withColumn("source", F.lit("formula"))
 
     def with_rate(df: DataFrame, day: str) -> DataFrame:
-        found = settled(df.withColumn("fx_month", F.trunc(day, "MM")).join(rates.select("currency", F.col("month").alias("fx_month"), "rate_to_rwf"), ["currency", "fx_month"], "left"))
+        found = settled(resolve.with_rates(df, rates, day))
         rejects.append(_reject(found, F.col("rate_to_rwf").isNull(), "FX_RATE_MISSING", F.concat_ws(" ", "currency", "fx_month")))
         return found.where("rate_to_rwf IS NOT NULL")
 

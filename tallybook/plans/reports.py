@@ -30,6 +30,28 @@ def by_book(outcomes: DataFrame, loaded: DataFrame) -> DataFrame:
     return both.groupBy("book").agg(F.min("domain").alias("domain"), F.countDistinct("sheet_index").alias("sheets"), F.count("*").alias("n_rows"), *count.values(), F.count_if((o == "loaded") & F.col("target").isNull()).alias("missing")).orderBy("book")
 
 
+def with_totals(outcomes: DataFrame, loaded: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """level (book, domain or all), domain, book, and their sheets, rows, data rows, rows by outcome, and loaded rows that no table has; with ``expected``
+    (domain, expected) also the records that should be loaded. One pass: books, domains and all are grouping sets."""
+    key = F.concat_ws("|", "book", F.col("sheet_index").cast("string"), F.col("row_num").cast("string"))
+    both = outcomes.withColumn("__ref", key).join(loaded.select(F.col("source_ref").alias("__ref"), "target"), "__ref", "left")
+    o = F.col("outcome")
+    counts = [F.count_if(o == x).alias(x) for x in ("loaded", "merged", "rejected", "skipped")]
+    sums = both.groupingSets([["domain", "book"], ["domain"], []], "domain", "book").agg(
+        F.grouping_id().alias("__level"), F.countDistinct(F.struct("book", "sheet_index")).alias("sheets"), F.count("*").alias("n_rows"), F.count_if(F.col("kind") == "data").alias("data_rows"), *counts,
+        F.count_if((o == "loaded") & F.col("target").isNull()).alias("missing"),
+    )
+    level = F.when(F.col("__level") == 0, "book").when(F.col("__level") == 1, "domain").otherwise("all")
+    out = sums.withColumn("level", level)
+    columns = ["level", "domain", "book", "sheets", "n_rows", "data_rows", "loaded", "merged", "rejected", "skipped", "missing"]
+    if expected is not None:
+        wanted = expected.groupingSets([["domain"], []], "domain").agg(F.grouping_id().alias("__g"), F.sum("expected").alias("expected"))
+        wanted = wanted.select(F.when(F.col("__g") == 0, "domain").otherwise("all").alias("__l"), F.col("domain").alias("__d"), "expected")
+        out = out.join(wanted, (F.col("level") == F.col("__l")) & F.col("domain").eqNullSafe(F.col("__d")), "left")
+        columns.append("expected")
+    return out.select(*columns)
+
+
 def reasons_with_examples(outcomes: DataFrame, reasons: DataFrame, examples: int = 3) -> DataFrame:
     """Every used reason with its count and its first rows."""
     used = outcomes.where("reason_code IS NOT NULL")
@@ -129,11 +151,12 @@ def build_report(spark: SparkSession, out_dir: str, page: str, metrics: str, tru
     now = upsert.snapshot(spark, out_dir)  # one run's tables, whatever is loaded meanwhile
     t = {n: now.read(n) for n in names}
     outcomes = t["row_outcomes"]
+    expected = scoring.expected_records(scoring.read_truth(spark, truth_dir)["rows"]) if truth_dir else None
     place = lambda e: F.concat_ws("!", *[e[c].cast("string") for c in ID])
     reasons = reasons_with_examples(outcomes, t["reject_reasons"]).withColumn("examples", F.array_join(F.transform("examples", lambda e: F.concat_ws(" ", place(e), e["detail"])), " | "))
     merged = merged_locations(outcomes).withColumn("example", place(F.col("example")))
     tables = {
-        "Books": by_book(outcomes, loaded_rows(t)), "Domains": outcomes.groupBy("domain", "outcome").agg(F.count("*").alias("n")).orderBy("domain", "outcome"), "Reasons": reasons, "Merged rows": merged, **reading(t),
+        "Books": by_book(outcomes, loaded_rows(t)), "Domains": with_totals(outcomes, loaded_rows(t), expected).where("level <> 'book'").drop("book").orderBy("level", "domain"), "Reasons": reasons, "Merged rows": merged, **reading(t),
         "Spellings": suppliers_by_spellings(t["supplier_aliases"], t["suppliers"]), "Matches": t["supplier_aliases"].groupBy("match_method").agg(F.count("*").alias("n")).orderBy("match_method"),
         "Review": t["supplier_review"].orderBy(F.desc("nearest_score"), "alias"), **reconciliation(t), "Loads": load_history(spark.read.parquet(f"{out_dir}/load_runs")).drop("run_id", "started_at"),
     }
