@@ -13,7 +13,8 @@ Prefix sums need no group in one task: words are summed by (source, 12 bits of t
 and only inside such a bucket does a window run over rows. Everything is DataFrame expressions.
 
 Edge cases: null or empty text has size 0 and is never counted (``taken`` 0); a null source is a source of its own, last;
-repeated rows are documents of their own; a null doc_id is hashed like the empty string; an empty table gives no rows.
+repeated rows are documents of their own; a null doc_id is hashed like the empty string; very long texts are counted whole; documents that agree
+in id and size stand in either order; an empty table gives no rows.
 """
 
 from __future__ import annotations

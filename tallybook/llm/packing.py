@@ -17,7 +17,8 @@ script, punctuation and blanks go through the faster of two libraries that read
 that spell a special token, through the other; on the former they give the same ids.
 
 Edge cases: null text is empty (the end id alone); repeated rows and equal ids are documents of their own; very long
-texts are tokenised whole; an empty table gives no rows; other columns are left out.
+texts are tokenised whole; of islands with equally good packings the one of the smaller number stays; an empty table gives no rows; other
+columns are left out.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ mapping or a table (term, weight) of at most MOST_TERMS rows, which is checked.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed unless its text
 holds the terms; very long urls are scanned whole; repeated rows are judged alike; an empty table gives no rows; an empty vocabulary
-blocks nothing; other columns are left alone, but for those that are named like a result.
+blocks nothing; of rules of one length that fit, the one listed last decides; other columns are left alone, but for those that are named like a result.
 """
 
 from __future__ import annotations

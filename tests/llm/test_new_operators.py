@@ -191,3 +191,128 @@ def test_words_as_units():
     begins = [i for i in range(len(text)) if not text[i : i + 1].isspace() and (i == 0 or text[i - 1 : i].isspace())]
     assert index.n == len(begins) == len(text.split())
     assert [index.place(u) for u in range(1, index.n)] == begins[1:] and index.place(index.n) == len(text) and index.place(0) == 0
+
+
+def test_few_vectors_are_scored_exactly():
+    """Of random directions, the worst case for bounds, the second codes leave under a twentieth; the first bound alone nearly half."""
+    from tallybook.llm import anisotropic_search as search
+
+    rng = np.random.default_rng(2)
+    x = search.parts(search.unit(rng.normal(size=(2000, 64))))
+    eta = 63 * 0.04 / 0.96
+    books = search.train(x, eta)
+    codes = search.encode(x, books, eta)
+    left = search.residual(x, books, codes)
+    second = search.train(left, 1.0)
+    codes2 = search.encode(left, second, 1.0, 0)
+    flat, left, last = (v.reshape(len(x), -1) for v in (x, left, search.residual(left, second, codes2)))
+    queries = flat[::50]
+    sixth = np.sort(queries @ flat.T, axis=1)[:, -6, None]
+    share = [((queries @ (flat - e).T + np.linalg.norm(e, axis=1)) >= sixth).mean() for e in (left, last)]
+    assert share[0] > 0.2 and share[1] < 0.05
+    table, table2 = (np.einsum("pi,pki->pk", x[0], b).astype(np.float32) for b in (books, second))
+    assert np.allclose(search.sums(table, codes) + search.sums(table2, codes2), (flat - last) @ flat[0], atol=1e-4)
+    assert np.array_equal(search.unpack(search.pack(codes))[:, : codes.shape[1]], codes)
+
+
+def test_centroids_are_refitted_to_a_smaller_loss():
+    from tallybook.llm import anisotropic_search as search
+
+    rng = np.random.default_rng(3)
+    x = search.parts(search.unit(rng.normal(size=(600, 12))))
+    eta = 5.0
+    books = search.train(x, eta, rounds=0)
+    codes = search.encode(x, books, eta)
+
+    def loss():
+        e = search.residual(x, books, codes)
+        return (e**2).sum() + (eta - 1) * ((e * x).sum(axis=(1, 2)) ** 2).sum()
+
+    before = loss()
+    search.refit(x, books, codes, eta)
+    least = loss()
+    assert least < before
+    for _ in range(60):
+        search.refit(x, books, codes, eta)
+    best = loss()
+    for _ in range(30):  # at the least loss no small step helps
+        step = 1e-3 * rng.normal(size=books.shape)
+        books += step
+        assert loss() >= best - 1e-9
+        books -= step
+
+
+def crf_log_likelihood(model, words, labels, first):
+    """By loops over the words, in logarithms."""
+    from tallybook.llm import language_crf as crf
+
+    e = np.asarray(model.weights, float)[crf.gram_features(words)].sum(axis=1) + model.lexicon[crf.lexicon_buckets(words)].astype(float) @ model.lexicon_weights + model.bias
+    total, before = 0.0, None
+    for i, y in enumerate(labels):
+        if first[i]:
+            total -= np.logaddexp.reduce(before) if before is not None else 0.0
+            before = model.start + e[i]
+            total += model.start[y] + e[i, y]
+        else:
+            total += model.transitions[labels[i - 1], y] + e[i, y]
+            before = np.array([np.logaddexp.reduce(before + model.transitions[:, j]) for j in range(len(before))]) + e[i]
+    return total - np.logaddexp.reduce(before)
+
+
+def test_language_gradient_is_that_of_finite_differences():
+    """The first step of the fit tells its gradient; it is the slope of the regularised likelihood."""
+    from tallybook.llm import language_crf as crf
+
+    docs = [(["the", "house", "of", "the", "river"] * 4, 0), (["la", "maison", "de", "la", "riviere"] * 4, 1), (["a", "river", "house"] * 5, 0)]
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 4, (1 << crf.LEXICON_BITS, 2)).astype(float)
+    begun, moved = crf.fit(docs, ["en", "fr"], counts, rounds=0), crf.fit(docs, ["en", "fr"], counts, rounds=1)
+    words, labels, first = crf.training_sequence(docs + crf.made_words(docs, 2))
+    grams = np.unique(crf.gram_features(words))
+    cells = [("bias", (j,)) for j in range(3)] + [("start", (j,)) for j in range(3)] + [("transitions", (i, j)) for i in range(3) for j in range(3)] + [("lexicon_weights", (i, j)) for i in range(begun.lexicon_weights.shape[0]) for j in range(3)]
+    cells += [("weights", (int(g), j)) for g in rng.choice(grams[grams > 0], 12, replace=False) for j in range(3)]
+    begun.weights = begun.weights.astype(float)
+    for name, at in cells:
+        values = getattr(begun, name)
+        step = float(getattr(moved, name)[at]) - float(values[at])
+        told = step * 1e-4 / np.sqrt(0.09 - step**2)  # the step is 0.3 g / sqrt(g^2 + 1e-8)
+        old, slopes = float(values[at]), []
+        for h in (1e-4, -1e-4):
+            values[at] = old + h
+            slopes.append(crf_log_likelihood(begun, words, labels, first) / len(words) - 1e-4 / 200 * (old + h) ** 2)
+        values[at] = old
+        assert told == pytest.approx((slopes[0] - slopes[1]) / 2e-4, rel=0.02, abs=2e-6), (name, at)
+
+
+def test_language_of_one_document_by_loops(spark):
+    """Means of all words' label probabilities, each from sums over all ways to label the words before and behind."""
+    from tallybook.llm import language_crf as crf
+
+    model = crf.train(spark.read.parquet(f"{SF}/documents.parquet"), 100)
+    text = "The house and la maison, und das haus 123 x " * 3
+    words = crf.tokens(text)
+    e = model.weights[crf.gram_features(words)].astype(float).sum(axis=1) + model.lexicon[crf.lexicon_buckets(words)].astype(float) @ model.lexicon_weights + model.bias
+    n, k = e.shape
+    ahead, behind = [model.start + e[0]], [np.zeros(k)]
+    for i in range(1, n):
+        ahead.append(np.array([np.logaddexp.reduce(ahead[-1] + model.transitions[:, j]) for j in range(k)]) + e[i])
+        behind.append(np.array([np.logaddexp.reduce(model.transitions[j] + e[n - i] + behind[-1]) for j in range(k)]))
+    both = np.array(ahead) + np.array(behind[::-1])
+    mean = np.exp(both - np.logaddexp.reduce(both, axis=1)[:, None]).mean(axis=0)
+    got = crf.tag(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert got["lang_pred"] == model.langs[int(mean[:-1].argmax())] and got["score"] == pytest.approx(mean[:-1].max(), abs=1e-4) and got["support"] == pytest.approx(1 - mean[-1], abs=1e-4)
+
+
+def test_both_tokenisers_agree_on_plain_texts():
+    from tokenizers import Tokenizer
+
+    from tallybook.llm.packing import Ids
+
+    ids = Ids(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(7)
+    letters = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(0xA1, 0xAD), *range(0xAE, 0x250), *range(0x2018, 0x201F)]))
+    for _ in range(6000):
+        some = rng.choice((letters, "abcde  \n'’.12", "aàbß '"))
+        text = "".join(rng.choice(some) for _ in range(rng.randrange(60)))
+        assert ids(text).tolist() == other.encode(text, add_special_tokens=False).ids, text
