@@ -3,13 +3,15 @@
 Vectors are scaled to length one, so the largest inner product is the largest cosine. Each is coded by a product
 quantiser of two-dimensional parts with 16 centroids each (four bits a part). Codebooks and codes minimise the
 anisotropic loss: the part of the residual that is parallel to the vector, which moves its score for the queries it
-answers, weighs ``eta`` times the orthogonal part, with ``eta = (d - 1) T^2 / (1 - T^2)``. Codes are set by coordinate descent over
-the parts and all centroids together by one least-squares system, in turns, on a bounded sample.
+answers, weighs ``eta`` times the orthogonal part, with ``eta = (d - 1) T^2 / (1 - T^2)``. Codes and centroids are set in turns by coordinate
+descent over the parts, on a bounded sample; memory goes with the sample, whatever the length of the vectors. What the codes leave
+is coded once more in the same way, by its plain distance.
 
 Queries and rows are dealt into blocks of bounded size, and every block of queries meets every block of rows once (the
 stated query set against all rows). In a pair of blocks each query sums its table entries by the rows' codes, and the
 ``rerank`` best distinct vectors by that sum are scored exactly on the original vectors. A row's score is at most its sum plus
-the length of its residual, so all others whose bound reaches the last score needed are scored exactly too, ``rerank`` at a
+the length of its residual; all others whose bound reaches the last score needed get the sum of their second codes, which leaves a
+residual of about a third, and those whose new bound still reaches it are scored exactly too, ``rerank`` at a
 time in the order of their bounds, until none is left; so the search loses nothing to the codes, also among near copies. The best
 ``k`` go on; a window with a partial limit takes the best of all blocks. Equal vectors are scored once and stand in the
 order of their ids.
@@ -62,6 +64,46 @@ def encode(x: np.ndarray, books: np.ndarray, eta: float, sweeps: int = 2) -> np.
     return codes
 
 
+def refit(x: np.ndarray, books: np.ndarray, codes: np.ndarray, eta: float) -> None:
+    """Moves the centroids of one part after the other to where the anisotropic loss is least, the others and all codes as they are: a small system for each."""
+    n, m, width = x.shape
+    share = lambda p: (x[:, p] * (x[:, p] - books[p, codes[:, p]])).sum(axis=1)
+    total = sum(share(p) for p in range(m))
+    for p in range(m):
+        k, xp = codes[:, p], x[:, p]
+        other = total - share(p)
+        left, right = np.zeros((CENTROIDS, width, width)), np.zeros((CENTROIDS, width))
+        np.add.at(left, k, np.eye(width) + (eta - 1) * xp[:, :, None] * xp[:, None, :])
+        np.add.at(right, k, xp * (1 + (eta - 1) * (other + (xp * xp).sum(axis=1)))[:, None])
+        used = np.bincount(k, minlength=CENTROIDS) > 0
+        books[p, used] = np.linalg.solve(left[used], right[used][:, :, None])[:, :, 0]
+        total = other + share(p)
+
+
+def residual(x: np.ndarray, books: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return x - books[np.arange(len(books)), codes]
+
+
+def pack(codes: np.ndarray) -> np.ndarray:
+    """Two codes a byte."""
+    codes = np.pad(codes.astype(np.uint8), ((0, 0), (0, codes.shape[1] % 2)))
+    return codes[:, 0::2] | codes[:, 1::2] << 4
+
+
+def unpack(packed: np.ndarray) -> np.ndarray:
+    codes = np.empty((len(packed), packed.shape[1] * 2), np.uint8)
+    codes[:, 0::2], codes[:, 1::2] = packed & 15, packed >> 4
+    return codes
+
+
+def sums(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Each row's entries of a query's ``table`` [parts, CENTROIDS] added up."""
+    out = np.zeros(len(codes), np.float32)
+    for p in range(len(table)):
+        out += table[p][codes[:, p]]
+    return out
+
+
 def train(x: np.ndarray, eta: float, rounds: int = 6, seed: int = 3) -> np.ndarray:
     """Codebooks for unit vectors ``x`` [n, parts, PART]."""
     n, m, _ = x.shape
@@ -77,14 +119,7 @@ def train(x: np.ndarray, eta: float, rounds: int = 6, seed: int = 3) -> np.ndarr
                     if mine.any():
                         books[p, k] = x[mine, p].mean(axis=0)
             continue
-        # minimise sum |x - Ac|^2 + (eta - 1) (x . (x - Ac))^2 over all centroids at once
-        size = m * CENTROIDS * PART
-        at = ((np.arange(m) * CENTROIDS + codes) * PART)[:, :, None] + np.arange(PART)
-        v = np.zeros((n, size))
-        np.put_along_axis(v, at.reshape(n, -1), x.reshape(n, -1), axis=1)
-        used = np.bincount(at.ravel(), minlength=size).astype(float)
-        left = (eta - 1) * (v.T @ v) + np.diag(used + 1e-6)
-        books = np.linalg.solve(left, eta * v.sum(axis=0) + 1e-6 * books.ravel()).reshape(m, CENTROIDS, PART)
+        refit(x, books, codes, eta)
     return books
 
 
@@ -92,34 +127,39 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
     """``rows`` (vec_id, embedding) -> query_id, rank, vec_id, score for the rows that ``is_query`` holds for."""
     clean = rows.where(usable(F.col("embedding"))).select("vec_id", F.col("embedding").alias("vector"))
     clean = clean.withColumn("dim", F.size("vector"))
-    books: dict[int, tuple[np.ndarray, float]] = {}
+    books: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
     for dim in [r[0] for r in clean.select("dim").distinct().collect()]:
         x = parts(unit(as_matrix(r[0] for r in sample_of(clean.where(F.col("dim") == dim).select("vector", "vec_id"), "vec_id", sample).collect())))
         eta = max(1.0, (dim - 1) * threshold**2 / (1 - threshold**2))
-        books[dim] = (train(x, eta), eta)
+        first = train(x, eta)
+        books[dim] = (first, train(residual(x, first, encode(x, first, eta)), 1.0), eta)
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf["code"], pdf["off"] = None, 0.0
+            pdf["code"], pdf["code2"] = None, None
+            pdf["off"], pdf["off2"] = 0.0, 0.0
             for dim, at in pdf.groupby("dim").indices.items():
-                b, eta = books[int(dim)]
+                b1, b2, eta = books[int(dim)]
                 x = parts(unit(as_matrix(pdf["vector"].iloc[at])))
-                codes = encode(x, b, eta).astype(np.uint8)
-                pdf.iloc[at, pdf.columns.get_loc("off")] = np.linalg.norm((x - b[np.arange(len(b)), codes]).reshape(len(x), -1), axis=1)
-                codes = np.pad(codes, ((0, 0), (0, codes.shape[1] % 2)))
-                packed = codes[:, 0::2] | codes[:, 1::2] << 4
-                for i, c in zip(at, packed, strict=True):
-                    pdf.iat[i, pdf.columns.get_loc("code")] = c.tobytes()
+                codes = encode(x, b1, eta)
+                left = residual(x, b1, codes)
+                codes2 = encode(left, b2, 1.0, 0)
+                length = lambda e: np.linalg.norm(e.reshape(len(e), -1), axis=1)
+                for name, values in (("off", length(left)), ("off2", length(residual(left, b2, codes2)))):
+                    pdf.iloc[at, pdf.columns.get_loc(name)] = values
+                for name, packed in (("code", pack(codes)), ("code2", pack(codes2))):
+                    for i, c in zip(at, packed, strict=True):
+                        pdf.iat[i, pdf.columns.get_loc(name)] = c.tobytes()
             yield pdf
 
     own = clean.schema["vector"].dataType.simpleString()
-    coded = keep(clean.mapInPandas(code, f"vec_id long, vector {own}, dim int, code binary, off double").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
+    coded = keep(clean.mapInPandas(code, f"vec_id long, vector {own}, dim int, code binary, code2 binary, off double, off2 double").withColumn("uid", F.monotonically_increasing_id()), "search-coded")
     queries = coded.where(is_query)
     row_blocks, query_blocks = (max(1, -(-x.count() // size)) for x, size in ((coded, row_block), (queries, query_block)))
     block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("off"), F.lit(True).alias("asks"))
-    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code", "off", F.lit(False).alias("asks"))
+    left = queries.select("dim", block(query_blocks).alias("q"), every(row_blocks).alias("r"), "uid", "vec_id", "vector", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("binary").alias("code2"), F.lit(None).cast("double").alias("off"), F.lit(None).cast("double").alias("off2"), F.lit(True).alias("asks"))
+    right = coded.select("dim", every(query_blocks).alias("q"), block(row_blocks).alias("r"), "uid", "vec_id", "vector", "code", "code2", "off", "off2", F.lit(False).alias("asks"))
 
     def scan(key: tuple, both: pd.DataFrame) -> pd.DataFrame:
         """The best ``k`` of one block of rows for each query of one block."""
@@ -127,19 +167,17 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
         none = pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
         if not len(q) or not len(c):
             return none
-        b = books[int(key[0])][0]
+        b, b2, _ = books[int(key[0])]
         c = c.sort_values(["vec_id", "uid"], kind="stable", na_position="last")
         x, uids = as_matrix(c["vector"]), c["uid"].to_numpy()
         ids = [None if pd.isna(i) else int(i) for i in c["vec_id"]]
         _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
         by_vector = np.argsort(same, kind="stable")  # rows of equal vectors side by side, smaller ids first
         begins = np.searchsorted(same[by_vector], np.arange(len(first) + 1))
-        packed = np.frombuffer(b"".join(c["code"]), np.uint8).reshape(len(c), -1)[first]
-        codes = np.empty((len(first), packed.shape[1] * 2), np.uint8)
-        codes[:, 0::2], codes[:, 1::2] = packed & 15, packed >> 4
-        off = c["off"].to_numpy()[first] + SLACK
+        codes, codes2 = (unpack(np.frombuffer(b"".join(c[name]), np.uint8).reshape(len(c), -1)[first]) for name in ("code", "code2"))
+        off, off2 = (c[name].to_numpy()[first] + SLACK for name in ("off", "off2"))
         y, asked = as_matrix(q["vector"]), [None if pd.isna(i) else int(i) for i in q["vec_id"]]
-        tables = np.einsum("qpi,pki->qpk", parts(unit(y)), b).astype(np.float32)
+        tables, tables2 = (np.einsum("qpi,pki->qpk", parts(unit(y)), book).astype(np.float32) for book in (b, b2))
         n = min(max(rerank, k + 1), len(first))
         last = min(k + 1, n)  # one of them may be the query itself
         out = []
@@ -156,9 +194,11 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, rerank: int = 128, sam
                 at, scored = best[i], exact[i]
                 least = np.partition(scored, -last)[-last]
                 rest = np.flatnonzero(bound[i] >= least)
-                rest = rest[np.argsort(-bound[i][rest], kind="stable")]
-                for more in np.split(rest, range(n, len(rest), n)):
-                    more = more[bound[i][more] >= least]
+                closer = approx[i][rest] + sums(tables2[s + i], codes2[rest]) + off2[rest]
+                order = np.argsort(-closer, kind="stable")
+                rest, closer = rest[order], closer[order]
+                for start in range(0, len(rest), n):
+                    more = rest[start : start + n][closer[start : start + n] >= least]
                     if not len(more):
                         break
                     at, scored = np.concatenate([at, more]), np.concatenate([scored, cosine(y[s + i], x[first[more]])])
