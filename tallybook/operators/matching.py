@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -163,27 +164,28 @@ def greedy_rounds(keys: DataFrame, edges: DataFrame, auto: float = AUTO_MERGE) -
     """``greedy`` by joins: ``keys`` (match_key, n), ``edges`` (a, b, score) -> key, anchor, score, nearest, nearest_score.
 
     A key is decided in the round in which all its earlier neighbours are, so the rounds are as many as the longest chain of alike names
-    of falling counts. Rounds are written out; a task sees a key's own edges at most, combined before the shuffle.
+    of falling counts. A round is written once and only read by the next and at the end; a task sees a key's own edges at most, combined before the shuffle.
     """
     order = lambda n, k: F.struct((-F.col(n)).alias("n"), F.col(k).alias("k"))
     place = keys.select(F.col("match_key").alias("__k"), order("n", "match_key").alias("at"))
     both = edges.select("a", "b", "score").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     both = both.join(place.withColumnRenamed("at", "at_a"), F.col("a") == F.col("__k")).drop("__k").join(place.withColumnRenamed("at", "at_b"), F.col("b") == F.col("__k")).drop("__k")
     earlier = settled(both.where(F.col("at_b") < F.col("at_a")).select(F.col("a").alias("key"), "b", "at_b", "score"))
-    decided = keys.select(F.col("match_key").alias("key")).join(earlier.select("key"), "key", "left_anti")
-    decided = settled(decided.select("key", F.col("key").alias("anchor"), F.lit(100.0).alias("score"), F.lit(None).cast("string").alias("nearest"), F.lit(None).cast("double").alias("nearest_score")))
-    left = earlier
+    first = keys.select(F.col("match_key").alias("key")).join(earlier.select("key"), "key", "left_anti")
+    fresh = settled(first.select("key", F.col("key").alias("anchor"), F.lit(100.0).alias("score"), F.lit(None).cast("string").alias("nearest"), F.lit(None).cast("double").alias("nearest_score")))
+    rounds, left = [fresh], earlier.withColumn("anchors", F.lit(None).cast("boolean"))
     while not left.isEmpty():
-        known = decided.select(F.col("key").alias("__b"), (F.col("anchor") == F.col("key")).alias("anchors"))
-        seen = left.join(known, F.col("b") == F.col("__b"), "left")
+        # edges learn what the last round has decided of their earlier key; what was decided before stands in them already
+        known = fresh.select(F.col("key").alias("__b"), (F.col("anchor") == F.col("key")).alias("__now"))
+        left = settled(left.join(known, F.col("b") == F.col("__b"), "left").withColumn("anchors", F.coalesce("anchors", "__now")).drop("__b", "__now"))
         best = F.min(F.when(F.col("anchors"), F.struct((-F.col("score")).alias("s"), "at_b", "b"))).alias("best")
-        ready = seen.groupBy("key").agg(F.count_if(F.col("anchors").isNull()).alias("open"), best).where("open = 0")
+        ready = left.groupBy("key").agg(F.count_if(F.col("anchors").isNull()).alias("open"), best).where("open = 0")
         score = -F.col("best.s")
         joins = score >= auto
-        ready = settled(ready.select("key", F.when(joins, F.col("best.b")).otherwise(F.col("key")).alias("anchor"), F.when(joins, score).otherwise(100.0).alias("score"), F.when(~joins, F.col("best.b")).alias("nearest"), F.when(~joins, score).alias("nearest_score")))
-        decided = settled(decided.unionAll(ready))
-        left = settled(left.join(ready.select("key"), "key", "left_anti"))
-    return decided
+        fresh = settled(ready.select("key", F.when(joins, F.col("best.b")).otherwise(F.col("key")).alias("anchor"), F.when(joins, score).otherwise(100.0).alias("score"), F.when(~joins, F.col("best.b")).alias("nearest"), F.when(~joins, score).alias("nearest_score")))
+        rounds.append(fresh)
+        left = left.join(fresh.select("key"), "key", "left_anti")
+    return reduce(DataFrame.unionAll, rounds)
 
 
 def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float = REVIEW) -> DataFrame:
