@@ -19,7 +19,9 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("report")
     r.add_argument("--out", default="report.html")
     r.add_argument("--truth", help="a folder of ground truth to score the load against")
-    sub.add_parser("calibrate")
+    r.add_argument("--readme", help="a text file with marks for a block of results")
+    c = sub.add_parser("calibrate")
+    c.add_argument("--chart", help="an SVG file for precision and recall over thresholds")
     a = p.parse_args(argv)
     if a.command == "generate":
         from tallybook.plans.synthetic import generate
@@ -32,14 +34,23 @@ def main(argv: list[str] | None = None) -> int:
 
         print(run_load(spark, f"{a.data_dir}/books", f"{a.data_dir}/tables"))
     elif a.command == "report":
-        from tallybook.plans.reports import build_report
+        from tallybook.plans.reports import build_report, update_text
 
-        print(build_report(spark, f"{a.data_dir}/tables", a.out, a.out.rsplit(".", 1)[0] + ".json", a.truth))
+        numbers = build_report(spark, f"{a.data_dir}/tables", a.out, a.out.rsplit(".", 1)[0] + ".json", a.truth)
+        print(numbers)
+        if a.readme:
+            print("updated" if update_text(a.readme, numbers) else "unchanged", a.readme)
     else:
         from tallybook.plans.calibrate import calibrate, sweep
-
-        sweep(spark).show(100)
-        print("auto, review:", calibrate(spark))
+        from tallybook.plans.reports import sweep_chart
+
+        table = sweep(spark)
+        table.show(100)
+        auto, review = calibrate(spark)
+        print("auto, review:", (auto, review))
+        if a.chart:
+            with open(a.chart, "w") as f:
+                f.write(sweep_chart([(r["threshold"], r["precision"], r["recall"]) for r in table.collect()], auto))
     return 0
 
 

@@ -594,3 +594,22 @@ def reading_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated, priced = reports.reading({f"parsed_{d}": rows.where(F.col("domain") == d).drop("domain") for d in ("purchases", "sales", "movements")}).values()
     first = dated.select(F.lit("dates").alias("what"), "domain", F.col("date_method").alias("how"), _null().alias("currency"), "n")
     return first.unionByName(priced.select(F.lit("currencies").alias("what"), "domain", F.col("currency_source").alias("how"), "currency", "n"))
+
+
+@query("""WITH k AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 3 <> 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 9 < 4)
+ SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 AND l_orderkey IN (SELECT k FROM k) THEN 'PO-' || l_orderkey::VARCHAR END AS po_number FROM lineitem""")
+def receipts_to_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A receipt keeps its order's number only if this load or an earlier one knows the order; an order that both know doesn't double it."""
+    number = lambda k: F.concat(F.lit("PO-"), F.col(k).cast("string"))
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", number("o_orderkey").alias("po_number"))
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_linenumber") % 2 == 0, number("l_orderkey")).alias("po_number"))
+    return resolve.if_known(lines, "po_number", orders.where("o_orderkey % 3 <> 0").select("po_number"), orders.where("o_orderkey % 9 < 4").select("po_number"))
+
+
+@query("""SELECT date_trunc('month', o_orderdate)::DATE AS period, count(*)::INT AS employee_count, sum(o_totalprice::DECIMAL(14,2))::DECIMAL(16,2) AS total_gross, sum((o_custkey % 100)::DECIMAL(14,2))::DECIMAL(16,2) AS total_deductions,
+ sum(o_totalprice::DECIMAL(14,2) - (o_custkey % 100)::DECIMAL(14,2))::DECIMAL(16,2) AS total_net FROM orders GROUP BY 1""")
+def payroll_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each month's lines with the sums of gross, deductions and net."""
+    gross, less = F.col("o_totalprice").cast("decimal(14,2)"), (F.col("o_custkey") % 100).cast("decimal(14,2)")
+    paid = read(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM").alias("period"), gross.alias("gross"), less.alias("deductions"), (gross - less).alias("net"))
+    return load.payroll_totals(paid)

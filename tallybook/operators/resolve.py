@@ -26,6 +26,14 @@ def fx_rates(rows: DataFrame, first: Column, last: Column) -> DataFrame:
     return usd.unionByName(months.select(F.lit("RWF").alias("currency"), "month", F.lit(1).cast("decimal(12,4)").alias("rate_to_rwf")))
 
 
+def if_known(rows: DataFrame, column: str, *known: DataFrame) -> DataFrame:
+    """``rows`` with ``column`` kept where one of the one-column tables ``known`` has its value, else null. A row never comes back twice."""
+    values = known[0].select(F.col(known[0].columns[0]).alias("__known"))
+    for more in known[1:]:
+        values = values.unionAll(more.select(F.col(more.columns[0])))
+    return rows.join(values.distinct(), F.col(column) == F.col("__known"), "left").withColumn(column, F.col("__known")).drop("__known")
+
+
 def with_rates(rows: DataFrame, rates: DataFrame, day: str) -> DataFrame:
     """``rows`` with fx_month and rate_to_rwf of their currency in the month of ``day``; the rate is null where there is none."""
     known = rates.select("currency", F.col("month").alias("fx_month"), "rate_to_rwf")

@@ -68,6 +68,12 @@ def _reject(rows: DataFrame, condition, code: str, detail) -> DataFrame:
     return rows.where(condition).select(*ID, F.lit(code).alias("reason_code"), detail.cast("string").alias("detail"))
 
 
+def payroll_totals(paid: DataFrame) -> DataFrame:
+    """A row for each month that was paid: its lines and their sums."""
+    total = lambda x: F.sum(x).cast("decimal(16,2)").alias(f"total_{x}")
+    return paid.groupBy("period").agg(F.count("*").cast("int").alias("employee_count"), total("gross"), total("deductions"), total("net"))
+
+
 def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All staging, outcome and target tables of one load.
 
@@ -148,10 +154,8 @@ def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None)
     moved, m, c = _first_wins(with_item(good["movements"]), ["voucher_no"], ["movement_date", "sku", "movement_type", "quantity"], F.col("voucher_no"))
     merged.append(m)
     rejects.append(c)
-    known = orders.select(F.col("po_number").alias("__po"))
-    if "purchase_orders" in published:
-        known = known.unionByName(published["purchase_orders"].select(F.col("po_number").alias("__po"))).distinct()
-    moved = moved.join(known, F.col("po_number") == F.col("__po"), "left").withColumns({"po_number": F.col("__po"), "quantity": F.col("quantity").cast("decimal(12,2)")})
+    earlier = [published["purchase_orders"].select("po_number")] if "purchase_orders" in published else []
+    moved = resolve.if_known(moved, "po_number", orders.select("po_number"), *earlier).withColumn("quantity", F.col("quantity").cast("decimal(12,2)"))
 
     # payroll
     coded = good["payroll"].where("employee_code IS NOT NULL")
@@ -168,8 +172,7 @@ def build_from(grids: DataFrame, published: dict[str, DataFrame] | None = None)
     rejects.append(c)
     cash = {x: F.col(x).cast("decimal(14,2)") for x in ("gross", "deductions", "net")}
     paid = paid.withColumns(cash)
-    total = lambda x: F.sum(x).cast("decimal(16,2)").alias(f"total_{x}")
-    runs = paid.groupBy("period").agg(F.count("*").cast("int").alias("employee_count"), total("gross"), total("deductions"), total("net"))
+    runs = payroll_totals(paid)
 
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     all_rejects, all_merged = settled(union(rejects)), settled(union(merged))

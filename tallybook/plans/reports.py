@@ -1,4 +1,4 @@
-"""The quality report of a load: tables as DataFrames, rendered to a page and a metrics file."""
+"""The quality report of a load: tables as DataFrames, rendered to a page, a metrics file and a block of a text file."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from tallybook.operators import upsert
 from tallybook.plans import scoring, stock
 from tallybook.plans.load import TABLES
 from tallybook.plans.rows import ID
+from tallybook.vocabulary import AUTO_MERGE, REVIEW
 
 
 def loaded_rows(tables: dict[str, DataFrame]) -> DataFrame:
@@ -111,6 +112,54 @@ def bar_chart(bars: list[tuple[str, float]], width: int = 640) -> str:
     return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{22 * len(bars) + 4}">{"".join(rows)}</svg>'
 
 
+def sweep_chart(points: list[tuple[float, float, float]], chosen: float, width: int = 640, height: int = 240) -> str:
+    """Precision and recall over thresholds as inline SVG, with the chosen threshold marked."""
+    low, high = min(t for t, _, _ in points), max(t for t, _, _ in points)
+    x = lambda t: 40 + (width - 60) * (t - low) / ((high - low) or 1)
+    y = lambda v: 10 + (height - 40) * (1 - v)
+    line = lambda i, colour: f'<polyline fill="none" stroke="{colour}" stroke-width="2" points="{" ".join(f"{x(p[0]):.1f},{y(p[i]):.1f}" for p in sorted(points))}"/>'
+    marks = "".join(f'<text x="{x(t):.1f}" y="{height - 12}" font-size="11" text-anchor="middle">{t:g}</text>' for t in (low, chosen, high))
+    marks += "".join(f'<text x="4" y="{y(v) + 4:.1f}" font-size="11">{v:.1f}</text>' for v in (0.0, 0.5, 1.0))
+    at = f'<line x1="{x(chosen):.1f}" x2="{x(chosen):.1f}" y1="10" y2="{height - 30}" stroke="#999" stroke-dasharray="4"/>'
+    names = f'<text x="{width - 150}" y="{height - 50}" font-size="12" fill="#47a">precision</text><text x="{width - 80}" y="{height - 50}" font-size="12" fill="#a64">recall</text>'
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{height}">{line(1, "#47a")}{line(2, "#a64")}{at}{marks}{names}</svg>'
+
+
+#: What stands around the block of results in a text file.
+BLOCK = ("<!-- load results: begin -->", "<!-- load results: end -->")
+
+
+def results_text(numbers: dict) -> str:
+    """The main figures as a Markdown table; those that need a ground truth only where there was one."""
+    share = lambda a, b: f"{numbers[a]:,} of {numbers[b]:,} ({100 * numbers[a] / max(numbers[b], 1):.2f} %)"
+    rows = [
+        ("Workbooks; sheets read / skipped", f"{numbers['workbooks']:,}; {numbers['sheets_read']:,} / {numbers['sheets_skipped']:,}"), ("Rows below a header", f"{numbers['rows_in']:,}"),
+        ("Rows loaded / merged / rejected / skipped", " / ".join(f"{numbers.get(f'rows_{o}', 0):,}" for o in ("loaded", "merged", "rejected", "skipped"))), ("Loaded rows that no table has", f"{numbers['loaded_rows_missing']:,}"),
+        ("Supplier spellings, suppliers", f"{numbers['supplier_spellings']:,}, {numbers['suppliers_found']:,}"), ("Last load inserted / updated", f"{numbers['last_run_inserted']:,} / {numbers['last_run_updated']:,}"),
+    ]
+    if "outcomes_checked" in numbers:
+        rows += [
+            ("Outcomes equal to the truth", share("outcomes_right", "outcomes_checked")), ("Suppliers in truth", f"{numbers['suppliers_true']:,}"), ("Supplier pairs: precision / recall", f"{numbers['supplier_precision']:.4f} / {numbers['supplier_recall']:.4f}"),
+            ("False merges", f"{numbers['false_merges']:,}"), ("Review queue / right", f"{numbers['review_queue']:,} / {numbers['review_right']:,}"), ("Dates right", share("dates_right", "dates_checked")), ("Amounts right", share("amounts_right", "amounts_checked")),
+        ]
+    return "| Figure | Value |\n| --- | --- |\n" + "\n".join(f"| {a} | {b} |" for a, b in rows)
+
+
+def update_text(path: str, numbers: dict) -> bool:
+    """Puts the results between the marks of a text file; whether it changed. A file without both marks, in order, is left alone."""
+    with open(path) as f:
+        old = f.read()
+    head, mark, rest = old.partition(BLOCK[0])
+    _, end, tail = rest.partition(BLOCK[1])
+    if not mark or not end:
+        return False
+    new = f"{head}{mark}\n{results_text(numbers)}\n{end}{tail}"
+    if new != old:
+        with open(path, "w") as f:
+            f.write(new)
+    return new != old
+
+
 def reading(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """How dates were read and where currencies came from, of the rows that could be read."""
     fine = {d: tables[f"parsed_{d}"].where("reason IS NULL") for d in ("purchases", "sales", "movements")}
@@ -166,9 +215,18 @@ def build_report(spark: SparkSession, out_dir: str, page: str, metrics: str, tru
     counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
     numbers = {f"rows_{k}": v for k, v in counts.items()} | {f"core_{n}": t[n].count() for n in TABLES} | {"rows_in": sum(counts.values()), "workbooks": len(got["Books"])}
     numbers |= {f"dates_{r['domain']}_{r['date_method']}": r["n"] for r in got["Dates by method"]} | {f"matches_{r['match_method']}": r["n"] for r in got["Matches"]} | {"review_queue": len(got["Review"])}
+    sheets = t["sheets"].agg(F.count_if(F.col("skipped_reason").isNull()).alias("read"), F.count_if(F.col("skipped_reason").isNotNull()).alias("skipped")).first()
+    last = got["Loads"][-1]
+    numbers |= {
+        "sheets_read": sheets["read"], "sheets_skipped": sheets["skipped"], "loaded_rows_missing": sum(r["missing"] for r in got["Books"]), "supplier_spellings": numbers["core_supplier_aliases"], "suppliers_found": numbers["core_suppliers"],
+        "auto_merge_threshold": AUTO_MERGE, "review_threshold": REVIEW, "load_runs": len(got["Loads"]), "last_run_inserted": last["inserted"], "last_run_updated": last["updated"],
+    }
     if truth_dir:
         pairs, scored = got["Supplier pairs"][0], got["Outcomes against truth"]
         numbers |= {"outcomes_checked": sum(r["n"] for r in scored), "outcomes_right": sum(r["n"] for r in scored if r["agree"]), "supplier_precision": round(pairs["precision"], 4), "supplier_recall": round(pairs["recall"], 4), "false_merges": len(got["False merges"])}
+        truth = scoring.read_truth(spark, truth_dir)
+        about = truth["manifest"].select("seed", "start_year", "end_year").first()
+        numbers |= {"suppliers_true": truth["suppliers"].count(), "review_right": got["Review hits"][0]["right"], "seed": about["seed"], "years": f"{about['start_year']}-{about['end_year']}"}
         numbers |= {f"{what}_{k}": sum(r[k] for r in got[f"{what.capitalize()} against truth"]) for what in ("dates", "amounts", "currencies") for k in ("checked", "right")}
     body = [f"<h1>Load report</h1>{bar_chart(sorted(counts.items()))}"]
     for name, rows in got.items():

@@ -96,12 +96,14 @@ def merged_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_BOOKS}, r AS (SELECT *, year(d)::VARCHAR AS reason FROM outcomes WHERE outcome = 'rejected'),
  x AS (SELECT reason, k, n, copy_no, count(*) OVER (PARTITION BY reason) AS total, row_number() OVER (PARTITION BY reason ORDER BY k, n, copy_no) AS i FROM r)
- SELECT reason, k AS order_key, n AS line_number, copy_no::INT AS copy_no, total::BIGINT AS total, i::INT AS i FROM x WHERE i <= 3""")
+ SELECT reason, k AS order_key, n AS line_number, copy_no::INT AS copy_no, total::BIGINT AS total, i::INT AS i FROM x WHERE i <= 3 OR i = total""")
 def reject_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first three examples of each reason with the reason's count (the count is grouped, not windowed)."""
+    """The first three examples of each reason and its last, with the reason's count (count and last are grouped, not windowed)."""
     r = _outcomes(spark, sf_dir).where("outcome = 'rejected'").select(F.year("d").cast("string").alias("reason"), F.col("k").alias("order_key"), F.col("n").alias("line_number"), "copy_no")
     first = r.withColumn("i", F.row_number().over(Window.partitionBy("reason").orderBy("order_key", "line_number", "copy_no"))).where("i <= 3")
-    return first.join(r.groupBy("reason").agg(F.count("*").alias("total")), "reason").select("reason", "order_key", "line_number", "copy_no", "total", "i")
+    every = r.groupBy("reason").agg(F.count("*").alias("total"), F.max(F.struct("order_key", "line_number", "copy_no")).alias("last"))
+    last = every.where("total > 3").select("reason", "last.*", "total", F.col("total").cast("int").alias("i"))
+    return first.join(every, "reason").select("reason", "order_key", "line_number", "copy_no", "total", "i").unionByName(last)
 
 
 # --- resolution -----------------------------------------------------------------------------------

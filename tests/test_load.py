@@ -76,8 +76,13 @@ def test_load(spark, books, loaded):
     assert str(sale["amount_rwf"]) == "37500.00" and sale["sku"] == "FAB-COT-001"  # 30 USD at 1000 + 5 * 50
     moves = {r["voucher_no"]: (float(r["quantity"]), r["po_number"]) for r in upsert.current(spark, out, "movements").collect()}
     assert moves == {"GRN-2019-00001": (10.0, "PO-2019-00001"), "ISS-2019-00001": (-4.0, None)}
+    ids = lambda: {t: {r[c] for r in upsert.current(spark, out, t).select(c).collect()} for t, c in load.IDS.items()}
+    before = ids()
+    assert before["products"] == {1, 2} and all(found == set(range(1, len(found) + 1)) for found in before.values())
     again = load.run_load(spark, books, out)
-    assert set(again.changes.values()) == {(0, 0)}
+    assert set(again.changes.values()) == {(0, 0)} and ids() == before
+    now = upsert.snapshot(spark, out)
+    assert now.number == 2 and all(f"run={first.run_id}" in p for t in load.TABLES for p in now.paths[t].values())  # nothing was written anew
 
 
 def test_report(spark, loaded, tmp_path):
@@ -102,7 +107,11 @@ def test_generated_books_are_scored(spark, tmp_path):
     n = reports.build_report(spark, str(tmp_path / "tables"), str(tmp_path / "r.html"), str(tmp_path / "r.json"), str(tmp_path / "truth"))
     assert n["outcomes_checked"] > 400 and n["outcomes_right"] / n["outcomes_checked"] > 0.995
     assert n["dates_right"] == n["dates_checked"] > 100 and n["amounts_right"] == n["amounts_checked"] > 50 and n["currencies_right"] == n["currencies_checked"] > 50
-    assert n["false_merges"] == 0
+    assert n["false_merges"] == 0 and n["suppliers_true"] > 0 and n["review_right"] <= n["review_queue"] and n["loaded_rows_missing"] == 0
+    assert (n["seed"], n["years"], n["load_runs"], n["last_run_updated"]) == (42, "2018-2018", 1, 0) and n["sheets_read"] > n["sheets_skipped"] > 0
+    text = tmp_path / "notes.md"
+    text.write_text("\n".join(reports.BLOCK))
+    assert reports.update_text(str(text), n) and f"| Suppliers in truth | {n['suppliers_true']} |" in text.read_text()
     details = upsert.current(spark, str(tmp_path / "tables"), "row_outcomes").where("outcome = 'rejected'")
     assert details.where("detail IS NULL").count() == 0
 
