@@ -17,7 +17,8 @@ A byte is removed if it lies in a ``window``-byte string that also starts anywhe
 
 Documents are identified by 128 bits of their text, so that copies share one entry, whatever their number.
 
-Edge cases: null text is empty; texts shorter than the window lose nothing; repeated rows and copies are other places,
+Edge cases: null text is empty; texts shorter than the window lose nothing; long texts are hashed in overlapping pieces of a million windows (a run
+that goes on in the next piece is two runs, of different windows, which can't be taken for each other's copies); repeated rows and copies are other places,
 so both are removed; matches never cross documents; an empty table gives no rows; a null doc_id is passed through.
 """
 
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tallybook.llm.common import keep, table, text_batches, text_key
 
-CHUNK = 400_000
+#: Bytes that are hashed at once, and the bytes in which a piece of a long text has its windows.
+CHUNK, LONG = 400_000, 1_000_000
 BATCH = 5_000
 SHALLOW = 32
 
@@ -246,25 +248,36 @@ def scan_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
         for batch in batches:
             texts: list[bytes] = []
             rows: list[int] = []
+            places: list[int] = []  # where in its text each piece begins
             size = 0
+
+            def scan(batch=batch, texts=texts, rows=rows, places=places) -> pa.RecordBatch:
+                joined = b"".join(texts)
+                begins = np.cumsum([0, *map(len, texts[:-1])])
+                starts, counts, offsets, keys = runs_of(np.frombuffer(joined, np.uint8), begins, window, gram)
+                view = memoryview(joined)
+                content = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts.tolist(), (starts + counts + window - 1).tolist(), strict=True)), np.uint64, len(starts))
+                piece = np.searchsorted(begins, starts, side="right") - 1
+                out = [batch["id"].take(pa.array(np.array(rows)[piece])), pa.array(starts - begins[piece] + np.array(places)[piece]), pa.array(counts.astype(np.int32)), pa.array(offsets.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(content.view(np.int64))]
+                texts.clear()
+                rows.clear()
+                places.clear()
+                return pa.RecordBatch.from_arrays(out, names=["id", "start", "windows", "offset", "key", "content"])
+
             for i, t in enumerate(batch["text"]):
                 raw = t.as_buffer()
-                if raw is not None and raw.size >= window:
-                    texts.append(raw.to_pybytes())
+                if raw is None or raw.size < window:
+                    continue
+                for at in range(0, raw.size - window + 1, LONG):  # the windows that begin in LONG bytes
+                    texts.append(raw.slice(at, min(LONG + window - 1, raw.size - at)).to_pybytes())
                     rows.append(i)
-                    size += raw.size
-                if texts and (size >= CHUNK or i == batch.num_rows - 1):
-                    joined = b"".join(texts)
-                    begins = np.cumsum([0, *map(len, texts[:-1])])
-                    starts, counts, offsets, keys = runs_of(np.frombuffer(joined, np.uint8), begins, window, gram)
-                    view = memoryview(joined)
-                    content = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts.tolist(), (starts + counts + window - 1).tolist(), strict=True)), np.uint64, len(starts))
-                    doc = np.searchsorted(begins, starts, side="right") - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [batch["id"].take(pa.array(np.array(rows)[doc])), pa.array(starts - begins[doc]), pa.array(counts.astype(np.int32)), pa.array(offsets.astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(content.view(np.int64))],
-                        names=["id", "start", "windows", "offset", "key", "content"],
-                    )
-                    texts, rows, size = [], [], 0
+                    places.append(at)
+                    size += len(texts[-1])
+                    if size >= CHUNK:
+                        yield scan()
+                        size = 0
+            if texts:
+                yield scan()
 
     text_batches(docs.sparkSession)
     return docs.select(text_key("text").alias("id"), "text").mapInArrow(run, "id binary, start long, windows int, offset int, key long, content long")

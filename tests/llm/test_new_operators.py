@@ -316,3 +316,29 @@ def test_both_tokenisers_agree_on_plain_texts():
         some = rng.choice((letters, "abcde  \n'’.12", "aàbß '"))
         text = "".join(rng.choice(some) for _ in range(rng.randrange(60)))
         assert ids(text).tolist() == other.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("long", [200, 333, 1_000_000])
+def test_long_texts_are_scanned_in_pieces(spark, long, monkeypatch):
+    """Whatever the pieces, what is removed is what brute force removes, also from one long text that repeats itself."""
+    from tallybook.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "LONG", long)
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghij é") for _ in range(n))
+    shared = noise(700)
+    texts = [noise(3000) + shared + noise(1500) + shared[:450] + noise(900) + "z" * 650, noise(100) + shared[200:600], noise(199), "q" * 200, None, ""]
+    raws = [(t or "").encode() for t in texts]
+    places = {}
+    for i, raw in enumerate(raws):
+        for at in range(len(raw) - 199):
+            places.setdefault(raw[at : at + 200], []).append((i, at))
+    gone = [bytearray(len(raw)) for raw in raws]
+    for found in places.values():
+        if len(found) > 1:
+            for i, at in found:
+                gone[i][at : at + 200] = b"\x01" * 200
+    kept = [hashlib.sha256(bytes(c for c, g in zip(raw, flags, strict=True) if not g)).hexdigest() for raw, flags in zip(raws, gone, strict=True)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in suffix_dedup.dedup_substrings(docs).collect()}
+    assert got == {i: (sum(flags), kept[i]) for i, flags in enumerate(gone)} and 0 < sum(gone[0]) < len(raws[0])
