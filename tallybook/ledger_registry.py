@@ -66,7 +66,7 @@ def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     body = (
         F.when(n == 0, blank).when(n == 1, row("Sub-Total", None, None, None, None, amount)).when(n == 2, row("Balance b/f", po, None, None, None, amount))
-        .when((n == 3) & (F.pmod(k, F.lit(7)) == 0), row("date", "po no", "Supplier name", "item code", "Remarks", "amount")).otherwise(row(day, po, "Total Packaging", "FAB-COT-001", "5", amount))
+        .when((n == 3) & (F.pmod(k, F.lit(7)) == 0), row("date", "po no", "Supplier name", "item code", "Remarks", "amount")).otherwise(row(day, po, "Total Barrels", "FAB-COT-001", "5", amount))
     )
     order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", "l_quantity", "f")
     heading = sheets.select("*", F.posexplode(top).alias("p", "cells")).select("book", "sheet_index", "sheet", (F.col("p") + 1).alias("row_num"), "cells", F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("order_key"))
@@ -94,7 +94,7 @@ def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_SHEETS}, l AS (SELECT b.book, b.k, (l_orderkey + l_linenumber) % 9 AS n, l_orderkey FROM lineitem JOIN b ON b.k = l_suppkey WHERE m = 0)
  SELECT k::INT AS sheet_index, l_orderkey AS order_key, CASE n WHEN 0 THEN 'blank' WHEN 1 THEN 'subtotal' WHEN 3 THEN 'repeated_header' ELSE 'data' END AS kind,
-  CASE WHEN n > 3 THEN 'Total Packaging' WHEN n = 3 THEN 'Supplier name' END AS supplier, CASE WHEN n = 2 OR n > 3 THEN 'PO-2019-' || (l_orderkey % 100000)::VARCHAR WHEN n = 3 THEN 'po no' END AS po FROM l""")
+  CASE WHEN n > 3 THEN 'Total Barrels' WHEN n = 3 THEN 'Supplier name' END AS supplier, CASE WHEN n = 2 OR n > 3 THEN 'PO-2019-' || (l_orderkey % 100000)::VARCHAR WHEN n = 3 THEN 'po no' END AS po FROM l""")
 def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blank rows, subtotals (not where the key can be read, nor for a name that begins like one), pasted headers, and data."""
     grids = _grids(spark, sf_dir)
