@@ -62,7 +62,7 @@ def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     pad = [F.array_repeat(title, F.pmod(k, F.lit(4)).cast("int")), F.array()]
     top = F.coalesce(*[F.when(F.pmod(k, F.lit(7)) == i, F.concat(pad[0], F.array(*h))) for i, h in enumerate(heads)])
     n = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(9))
-    po, amount = F.concat(F.lit("PO-2019-"), (F.col("l_orderkey") % 100000).cast("string")), F.col("l_extendedprice").cast("decimal(14,2)").cast("string")
+    po, amount = F.concat(pick(k, "PO-2019-", "RCT-2019-", "PO-2019-", "PO-2019-", "GRN-2019-", "PO-2019-", "PO-2019-"), (F.col("l_orderkey") % 100000).cast("string")), F.col("l_extendedprice").cast("decimal(14,2)").cast("string")
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     body = (
         F.when(n == 0, blank).when(n == 1, row("Sub-Total", None, None, None, None, amount)).when(n == 2, row("Balance b/f", po, None, None, None, amount))
@@ -92,16 +92,19 @@ def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("book", "sheet_index", "domain", "year", "header_row", names.alias("fields"), F.try_element_at("hints", F.lit("amount")).alias("amount_hint"), "skipped_reason")
 
 
-@query(f"""WITH {_SHEETS}, l AS (SELECT b.book, b.k, (l_orderkey + l_linenumber) % 9 AS n, l_orderkey FROM lineitem JOIN b ON b.k = l_suppkey WHERE m = 0)
- SELECT k::INT AS sheet_index, l_orderkey AS order_key, CASE n WHEN 0 THEN 'blank' WHEN 1 THEN 'subtotal' WHEN 3 THEN 'repeated_header' ELSE 'data' END AS kind,
-  CASE WHEN n > 3 THEN 'Total Barrels' WHEN n = 3 THEN 'Supplier name' END AS supplier, CASE WHEN n = 2 OR n > 3 THEN 'PO-2019-' || (l_orderkey % 100000)::VARCHAR WHEN n = 3 THEN 'po no' END AS po FROM l""")
+@query(f"""WITH {_SHEETS}, l AS (SELECT b.book, b.k, b.m, (l_orderkey + l_linenumber) % 9 AS n, l_orderkey FROM lineitem JOIN b ON b.k = l_suppkey WHERE m < 5)
+ SELECT k::INT AS sheet_index, l_orderkey AS order_key, ['purchases', 'sales', 'payroll', 'products', 'inventory'][m + 1] AS domain,
+  CASE WHEN n = 0 THEN 'blank' WHEN n = 1 OR m IN (2, 3) THEN 'subtotal' WHEN n = 3 AND m = 0 THEN 'repeated_header' ELSE 'data' END AS kind,
+  CASE WHEN m = 0 AND n > 3 THEN 'Total Barrels' WHEN m = 0 AND n = 3 THEN 'Supplier name' END AS supplier,
+  CASE WHEN m IN (0, 1, 4) THEN CASE WHEN n = 3 AND m = 0 THEN 'po no' WHEN n > 1 THEN ['PO', 'RCT', '', '', 'GRN'][m + 1] || '-2019-' || (l_orderkey % 100000)::VARCHAR END END AS document FROM l""")
 def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blank rows, subtotals (not where the key can be read, nor for a name that begins like one), pasted headers, and data."""
+    """Of all five domains blank rows, subtotals (not where the key can be read, though a name begins like one), pasted headers, and data."""
     grids = _grids(spark, sf_dir)
-    rows = classify_rows(grids.drop("n", "order_key"), find_layouts(grids.drop("n", "order_key"))).where("domain = 'purchases'")
+    rows = classify_rows(grids.drop("n", "order_key"), find_layouts(grids.drop("n", "order_key")))
     known = grids.where("n IS NOT NULL").select("book", "sheet_index", "row_num", "order_key")
-    get = lambda f: F.try_element_at(F.col("cells"), F.lit(f))["s"].alias(f)
-    return rows.join(known, ["book", "sheet_index", "row_num"]).select("sheet_index", "order_key", "kind", get("supplier"), get("po_number").alias("po"))
+    get = lambda f: F.try_element_at(F.col("cells"), F.lit(f))["s"]
+    document = F.coalesce(get("po_number"), get("receipt_no"), get("voucher_no"))
+    return rows.join(known, ["book", "sheet_index", "row_num"]).select("sheet_index", "order_key", "domain", "kind", get("supplier").alias("supplier"), document.alias("document"))
 
 
 # --- row parsers ----------------------------------------------------------------------------------
