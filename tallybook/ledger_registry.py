@@ -14,7 +14,7 @@ from tallybook.operators.graph import scratch, settled
 from tallybook.operators.ordering import numbered
 from tallybook.plans import load, reports, scoring
 from tallybook.plans import rows as parse
-from tallybook.registry import ORACLE_SQL, query, read
+from tallybook.registry import ORACLE_SQL, query, read, spread
 from tallybook.sources.layout import classify_rows, find_layouts
 
 def _null() -> Column:
@@ -110,14 +110,9 @@ def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- row parsers ----------------------------------------------------------------------------------
 
 
-def _spread(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` dealt out by a key: a given table is one row group, thus one task, and parsing is work for all cores."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their whole numbers: quantity, and the price in cents."""
-    return _spread(read(spark, sf_dir, "lineitem"), "l_orderkey").withColumns({"q": F.col("l_quantity").cast("long"), "a": F.col("l_extendedprice").cast("decimal(14,2)"), "y": F.year("l_shipdate").cast("string")})
+    return spread(read(spark, sf_dir, "lineitem"), "l_orderkey").withColumns({"q": F.col("l_quantity").cast("long"), "a": F.col("l_extendedprice").cast("decimal(14,2)"), "y": F.year("l_shipdate").cast("string")})
 
 
 def _given(rows: DataFrame, cells: Column, hints: Column | None = None, names: tuple[str, ...] = (), **more: Column) -> DataFrame:
@@ -189,7 +184,7 @@ def parse_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN k % 2 = 0 THEN 'Tailor' END AS position FROM r""")
 def parse_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pay lines; the period comes from the sheet's name, the code may be missing, the net must agree."""
-    orders = _spread(read(spark, sf_dir, "orders"), "o_orderkey").withColumns({"c": (F.col("o_totalprice").cast("decimal(14,2)") * 100).cast("long"), "k": F.col("o_orderkey")})
+    orders = spread(read(spark, sf_dir, "orders"), "o_orderkey").withColumns({"c": (F.col("o_totalprice").cast("decimal(14,2)") * 100).cast("long"), "k": F.col("o_orderkey")})
     k, c = F.col("k"), F.col("c")
     d = F.floor(c / 10).cast("long")
     cash = lambda x: (x.cast("decimal(20,0)") / 100).cast("decimal(20,2)").cast("string")

@@ -29,6 +29,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt out by a key: a given table is one row group, thus one task, and parsing is work for all cores."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 @query("""
 WITH m AS (SELECT l_partkey AS item, l_shipdate::DATE AS day, (CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END * l_quantity)::DECIMAL(18,2) AS q FROM lineitem),
 d AS (SELECT item, day, sum(q) AS net FROM m GROUP BY ALL),
@@ -428,7 +433,7 @@ def first_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(i == 2, (a / q + 900).cast("decimal(14,4)")).when(i == 1, F.lit("7"))
     fields = {"po_number": F.lit("po 2019/1"), "supplier": F.lit("x"), "sku": F.lit("FAB COT 1"), "quantity": F.when(i == 0, F.concat(F.lit("-"), q)).otherwise(q.cast("string")), "amount": F.when(i == 1, "TBC").otherwise(a.cast("string")), "unit_price": price, "currency": F.lit("Frw")}
     cells = F.map_from_arrays(F.array(*[F.lit(f) for f in fields]), F.array(*[cell(v) for v in fields.values()]))
-    lines = read(spark, sf_dir, "lineitem")
+    lines = spread(read(spark, sf_dir, "lineitem"), "l_orderkey")
     given = lines.select(
         F.col("l_orderkey").alias("book"), F.col("l_linenumber").alias("sheet_index"), F.col("l_partkey").alias("row_num"), cells.alias("cells"), F.create_map().cast("map<string,string>").alias("hints"),
         F.to_date("l_shipdate").alias("date"), F.lit("iso").alias("date_method"), F.lit(None).cast("string").alias("date_reason"), q.alias("q0"),
