@@ -298,6 +298,7 @@ pairs AS MATERIALIZED (SELECT a, b, ar, br, score FROM c2 WHERE score >= 73)"""
 def supplier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of keys that scores 73 or more, from names spelled by four hands."""
     aliases = settled(_spellings(spark, sf_dir).select("alias"))  # the rules run once for each spelling, not for each line
+    aliases = aliases.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = settled(aliases.select(matching.keys_of("alias").alias("k")).select("k.match_key", "k.identity").distinct())
     return matching.candidate_pairs(keys).select("a", "b", F.round("score", 6).alias("score"))
 
@@ -556,7 +557,7 @@ def supplier_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(hand == 2, F.concat(F.lit("É"), word, F.lit(" & Sons Mfg"))).otherwise(F.concat(F.lit("Intl. "), word, F.lit(" Bros")))
     )
     lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    names = settled(lines.groupBy(alias.alias("alias")).agg(F.count("*").alias("n")))
+    names = settled(lines.groupBy(alias.alias("alias")).agg(F.count("*").alias("n"))).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     return names.select("alias", "n", matching.keys_of("alias").alias("k")).select("alias", "k.match_key", "k.identity", "n")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -107,32 +109,81 @@ def _tokens(text: str) -> Column:
     return F.flatten(F.transform(F.array_distinct(F.split(text, "")), lambda c: F.transform(F.sequence(F.lit(1), times(c)), lambda i: F.concat(c, i.cast("string")))))
 
 
-def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:
-    """(a, b, score) with a < b of all keys scored ``review`` (above 0) or more.
+#: Names of two lengths are looked up by their subsequences if there are at most so many of the length that both must share.
+SUBSEQUENCES = 1000
+
+
+def _needed(l: int, m: int, review: float) -> int:
+    """Letters that names of lengths ``l`` and ``m`` must share, in order, to score ``review``."""
+    return math.ceil((l + m) * review / 200 - 1e-9)
+
+
+def _few(l: int, m: int, review: float) -> bool:
+    n = _needed(l, m, review)
+    return n <= min(l, m) and math.comb(l, n) + math.comb(m, n) <= SUBSEQUENCES
+
+
+def _by_subsequence(keys: DataFrame, lengths: list[int], review: float) -> DataFrame:
+    """a, a_id, b, b_id: the pairs whose identifying parts, in either order of the words, have a common subsequence long enough for ``review``."""
+    sizes = {l: sorted({_needed(l, m, review) for m in lengths if _few(l, m, review)}) for l in lengths}
+
+    def subsequences(batches):
+        for pdf in batches:
+            rows = []
+            for key, name in zip(pdf["match_key"], pdf["identity"], strict=True):
+                for form in {name, " ".join(sorted(name.split()))}:
+                    rows += [(key, name, len(form), part) for n in sizes.get(len(form), []) for part in {"".join(x) for x in combinations(form, n)}]
+            yield pd.DataFrame(rows, columns=["match_key", "identity", "l", "part"])
+
+    spread = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't merged: few bytes are much work here
+    parts = keys.repartition(spread, "match_key").mapInPandas(subsequences, "match_key string, identity string, l int, part string")
+    parts = parts.select("match_key", "identity", "l", F.length("part").alias("n"), F.xxhash64("part").alias("part")).repartition(spread, "part")  # a clash is one more candidate
+    other = parts.select(*[F.col(c).alias(f"b_{c}") for c in parts.columns])
+    needed = F.ceil((F.col("l") + F.col("b_l")) * F.lit(review / 200) - F.lit(1e-9))
+    pairs = parts.join(other, (F.col("part") == F.col("b_part")) & (F.col("n") == F.col("b_n")) & (F.col("match_key") < F.col("b_match_key"))).where(F.col("n") == needed)
+    return pairs.select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), F.col("b_match_key").alias("b"), F.col("b_identity").alias("b_id"))
+
+
+def _by_tokens(keys: DataFrame, lengths: list[int], review: float) -> DataFrame:
+    """a, a_id, b, b_id: the pairs of the other lengths that share enough letters.
 
-    The score is the lower of the whole names' and the identifying parts', so both parts must be alike. A common subsequence, in
-    either order of the words, is no longer than the shared multiset of characters, so a score of ``review`` between lengths l and m needs
-    ``review * (l + m) / 200`` shared (character, occurrence) tokens. Two keys with that many share one of the first
-    ``l - needed + 1`` and ``m - needed + 1`` in one order of all tokens, rare ones first: keys are joined on both lengths and these,
-    and those that share enough tokens are scored. No pair is lost.
+    Two keys with that many (character, occurrence) tokens in common share one of the first ``l - needed + 1`` and ``m - needed + 1`` in one order of
+    all tokens, rare ones first: keys are joined on both lengths and these.
     """
     needed = lambda l, m: F.ceil((l + m) * F.lit(review / 200) - F.lit(1e-9)).cast("int")
-    spelled = keys.where((F.length("identity") > 0) & (F.length("match_key") > 0)).select("match_key", "identity", _tokens("match_key").alias("whole"), F.explode(_tokens("identity")).alias("token"))
+    spelled = keys.select("match_key", "identity", _tokens("match_key").alias("whole"), F.explode(_tokens("identity")).alias("token"))
     often = spelled.groupBy(F.col("token").alias("__token")).agg(F.count("*").alias("n"))
     ranked = spelled.join(often, F.col("token") == F.col("__token")).groupBy("match_key", "identity", "whole").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
     ranked = ranked.withColumn("tokens", F.col("tokens.token")).withColumn("l", F.size("tokens"))
-    reach = (200 - review) / review  # the longer of two alike keys is at most so many times as long
-    ranked = ranked.withColumn("m", F.explode(F.sequence(F.floor(F.col("l") / reach).cast("int"), F.ceil(F.col("l") * reach).cast("int"))))
-    ranked = ranked.where(needed(F.col("l"), F.col("m")) <= F.least("l", "m"))
+    partners = {l: [m for m in lengths if _needed(l, m, review) <= min(l, m) and not _few(l, m, review)] for l in lengths}
+    met = F.create_map(*[x for l, ms in partners.items() for x in (F.lit(l), F.array(*[F.lit(m) for m in ms]).cast("array<int>"))])
+    ranked = ranked.withColumn("m", F.explode(F.try_element_at(met, F.col("l"))))
     blocks = ranked.withColumn("block", F.explode(F.slice("tokens", F.lit(1), F.col("l") - needed(F.col("l"), F.col("m")) + 1)))
-    spread = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't merged: few bytes are much work here
-    blocks = blocks.repartition(spread, "block", "l", "m")
+    blocks = blocks.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block", "l", "m")
     other = blocks.select(*[F.col(c).alias(f"b_{c}") for c in blocks.columns])
     pairs = blocks.join(other, (F.col("block") == F.col("b_block")) & (F.col("l") == F.col("b_m")) & (F.col("m") == F.col("b_l")) & (F.col("match_key") < F.col("b_match_key")))
     common = F.array_intersect("tokens", "b_tokens")
     pairs = pairs.where((F.element_at(common, 1) == F.col("block")) & (F.size(common) >= needed(F.col("l"), F.col("m"))))  # each pair once, at its first common token
     pairs = pairs.where(F.size(F.array_intersect("whole", "b_whole")) >= needed(F.size("whole"), F.size("b_whole")))
-    pairs = pairs.select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), F.col("b_match_key").alias("b"), F.col("b_identity").alias("b_id")).repartition(spread)
+    return pairs.select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), F.col("b_match_key").alias("b"), F.col("b_identity").alias("b_id"))
+
+
+def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:
+    """(a, b, score) with a < b of all keys scored ``review`` (above 0) or more.
+
+    The score is the lower of the whole names' and the identifying parts', so both must be alike. A score of ``review`` between lengths l and m
+    needs a common subsequence of ``review * (l + m) / 200`` letters in one order of the words or the other. Where the lengths leave few
+    subsequences of that size, keys are joined on them, so candidates grow no faster than alike parts do; longer names are joined on rare
+    letters. What is found is scored; no pair is lost.
+    """
+    keys = keys.where((F.length("identity") > 0) & (F.length("match_key") > 0)).select("match_key", "identity")
+    forms = F.explode(F.array(F.length("identity"), F.length(F.trim(F.regexp_replace("identity", r"\s+", " ")))))
+    lengths = sorted(r["l"] for r in keys.select(forms.alias("l")).distinct().collect())  # no more than the longest name has letters
+    found = [_by_subsequence(keys, lengths, review)] if any(_few(l, m, review) for l in lengths for m in lengths) else []
+    if not found or any(_needed(l, m, review) <= min(l, m) and not _few(l, m, review) for l in lengths for m in lengths):
+        found.append(_by_tokens(keys, lengths, review))
+    pairs = reduce(DataFrame.unionAll, found).groupBy("a", "b").agg(F.first("a_id").alias("a_id"), F.first("b_id").alias("b_id"))
+    pairs = pairs.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return pairs.withColumn("score", scores("a", "a_id", "b", "b_id")).where(F.col("score") >= review).select("a", "b", "score")
 
 
@@ -163,29 +214,32 @@ def greedy(keys: list[tuple[str, int]], edges: Iterable[tuple[str, str, float]],
 def greedy_rounds(keys: DataFrame, edges: DataFrame, auto: float = AUTO_MERGE) -> DataFrame:
     """``greedy`` by joins: ``keys`` (match_key, n), ``edges`` (a, b, score) -> key, anchor, score, nearest, nearest_score.
 
-    A key is decided in the round in which all its earlier neighbours are, so the rounds are as many as the longest chain of alike names
-    of falling counts. A round is written once and only read by the next and at the end; a task sees a key's own edges at most, combined before the shuffle.
+    Only edges of ``auto`` or more say who is an anchor: a key is none once an earlier neighbour by such an edge is one, and is one once all of them
+    are none. So the rounds are as many as the longest chain of names that merge, of falling counts, and none holds the other edges, which are joined to
+    the anchors at the end. A round is written once; a task sees a key's own edges at most, combined before the shuffle.
     """
     order = lambda n, k: F.struct((-F.col(n)).alias("n"), F.col(k).alias("k"))
     place = keys.select(F.col("match_key").alias("__k"), order("n", "match_key").alias("at"))
     both = edges.select("a", "b", "score").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     both = both.join(place.withColumnRenamed("at", "at_a"), F.col("a") == F.col("__k")).drop("__k").join(place.withColumnRenamed("at", "at_b"), F.col("b") == F.col("__k")).drop("__k")
     earlier = settled(both.where(F.col("at_b") < F.col("at_a")).select(F.col("a").alias("key"), "b", "at_b", "score"))
-    first = keys.select(F.col("match_key").alias("key")).join(earlier.select("key"), "key", "left_anti")
-    fresh = settled(first.select("key", F.col("key").alias("anchor"), F.lit(100.0).alias("score"), F.lit(None).cast("string").alias("nearest"), F.lit(None).cast("double").alias("nearest_score")))
-    rounds, left = [fresh], earlier.withColumn("anchors", F.lit(None).cast("boolean"))
+    left = earlier.where(F.col("score") >= auto).select("key", "b", F.lit(None).cast("boolean").alias("anchors"))
+    fresh = settled(keys.select(F.col("match_key").alias("key")).join(left.select("key"), "key", "left_anti").withColumn("leads", F.lit(True)))
+    rounds = [fresh]
     while not left.isEmpty():
         # edges learn what the last round has decided of their earlier key; what was decided before stands in them already
-        known = fresh.select(F.col("key").alias("__b"), (F.col("anchor") == F.col("key")).alias("__now"))
+        known = fresh.select(F.col("key").alias("__b"), F.col("leads").alias("__now"))
         left = settled(left.join(known, F.col("b") == F.col("__b"), "left").withColumn("anchors", F.coalesce("anchors", "__now")).drop("__b", "__now"))
-        best = F.min(F.when(F.col("anchors"), F.struct((-F.col("score")).alias("s"), "at_b", "b"))).alias("best")
-        ready = left.groupBy("key").agg(F.count_if(F.col("anchors").isNull()).alias("open"), best).where("open = 0")
-        score = -F.col("best.s")
-        joins = score >= auto
-        fresh = settled(ready.select("key", F.when(joins, F.col("best.b")).otherwise(F.col("key")).alias("anchor"), F.when(joins, score).otherwise(100.0).alias("score"), F.when(~joins, F.col("best.b")).alias("nearest"), F.when(~joins, score).alias("nearest_score")))
+        asked = left.groupBy("key").agg(F.count_if(F.col("anchors").isNull()).alias("open"), F.count_if("anchors").alias("led"))
+        fresh = settled(asked.where("led > 0 OR open = 0").select("key", (F.col("led") == 0).alias("leads")))
         rounds.append(fresh)
         left = left.join(fresh.select("key"), "key", "left_anti")
-    return reduce(DataFrame.unionAll, rounds)
+    anchors = reduce(DataFrame.unionAll, rounds).where("leads").select(F.col("key").alias("__b"))
+    best = earlier.join(anchors, F.col("b") == F.col("__b")).groupBy(F.col("key").alias("__key")).agg(F.min(F.struct((-F.col("score")).alias("s"), "at_b", "b")).alias("best"))
+    score = -F.col("best.s")
+    joins = score >= auto
+    out = keys.select(F.col("match_key").alias("key")).join(best, F.col("key") == F.col("__key"), "left")
+    return out.select("key", F.when(joins, F.col("best.b")).otherwise(F.col("key")).alias("anchor"), F.when(joins, score).otherwise(100.0).alias("score"), F.when(~joins, F.col("best.b")).alias("nearest"), F.when(~joins, score).alias("nearest_score"))
 
 
 def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float = REVIEW) -> DataFrame:
@@ -193,7 +247,8 @@ def match_suppliers(counts: DataFrame, auto: float = AUTO_MERGE, review: float =
 
     The canonical spelling is the most frequent of the cluster. A name without any key (a legal form alone) is its own cluster by its spelling.
     """
-    keyed = counts.withColumn("k", keys_of("alias")).select("alias", "row_count", F.when(F.col("k.match_key") == "", F.lower("alias")).otherwise(F.col("k.match_key")).alias("match_key"), "k.identity")
+    dealt = counts.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
+    keyed = dealt.withColumn("k", keys_of("alias")).select("alias", "row_count", F.when(F.col("k.match_key") == "", F.lower("alias")).otherwise(F.col("k.match_key")).alias("match_key"), "k.identity")
     keyed = settled(keyed)
     keys = settled(keyed.groupBy("match_key").agg(F.first("identity").alias("identity"), F.sum("row_count").alias("n")))
     clusters = greedy_rounds(keys, settled(candidate_pairs(keys, review)), auto)

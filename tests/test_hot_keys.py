@@ -53,3 +53,31 @@ def test_windows_never_hold_a_whole_item(spark):
     shown = stock.negative_stock(rows)._jdf.queryExecution().analyzed().toString()
     windows = [line for line in shown.split("\n") if "windowspecdefinition" in line]
     assert len(windows) >= 2 and all("__month" in w or "__m#" in w for w in windows)
+
+
+def test_a_name_pair_costs_no_candidates_of_its_length(spark):
+    """Short names are joined on what they must have in common: of many names of one length and one alphabet hardly any other pair is looked at."""
+    from itertools import combinations
+
+    from tallybook.operators import matching
+
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice((8, 9)))) for _ in range(500)} | {"abcdefghi", "abcdfghi"})
+    keys = spark.createDataFrame([(f"{w} textiles", w) for w in words], "match_key string, identity string")
+    looked_at = matching._by_subsequence(keys, [8, 9], 73).distinct().collect()
+    want = {(f"{a} textiles", f"{b} textiles") for a, b in combinations(words, 2) if matching.similarity(f"{a} textiles", f"{b} textiles", a, b) >= 73}
+    assert {(r["a"], r["b"]) for r in looked_at} == want == {(r["a"], r["b"]) for r in matching.candidate_pairs(keys).collect()} and ("abcdefghi textiles", "abcdfghi textiles") in want
+
+
+def test_only_merging_edges_make_rounds(spark, monkeypatch):
+    """A chain of names that are only alike enough for review is decided without a round a link."""
+    from tallybook.operators import matching
+
+    made = []
+    monkeypatch.setattr(matching, "settled", lambda df: made.append(1) or df.localCheckpoint())
+    keys = [(f"k{i:02d}", 100 - i) for i in range(40)]
+    edges = [(f"k{i:02d}", f"k{i + 1:02d}", 90.0 if i == 5 else 75.0) for i in range(39)]
+    got = matching.greedy_rounds(spark.createDataFrame(keys, "match_key string, n long"), spark.createDataFrame(edges, "a string, b string, score double")).collect()
+    found, queue = matching.greedy(keys, edges)
+    assert {r["key"]: (r["anchor"], r["score"]) for r in got} == found and {r["key"]: (r["nearest"], r["nearest_score"]) for r in got if r["nearest"]} == queue
+    assert len(made) < 8
