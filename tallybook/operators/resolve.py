@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def by_code_or_key(rows: DataFrame, items: DataFrame, code: str, key: str, item_id: str, item_code: str, item_key: str) -> DataFrame:
@@ -27,11 +28,17 @@ def fx_rates(rows: DataFrame, first: Column, last: Column) -> DataFrame:
 
 
 def if_known(rows: DataFrame, column: str, *known: DataFrame) -> DataFrame:
-    """``rows`` with ``column`` kept where one of the one-column tables ``known`` has its value, else null. A row never comes back twice."""
+    """``rows`` with ``column`` kept where one of the one-column tables ``known`` has its value, else null. A row never comes back twice.
+
+    Rows without a value meet nothing; they are dealt out by their other columns, since as one null key they would be one task's.
+    """
     values = known[0].select(F.col(known[0].columns[0]).alias("__known"))
     for more in known[1:]:
         values = values.unionAll(more.select(F.col(more.columns[0])))
-    return rows.join(values.distinct(), F.col(column) == F.col("__known"), "left").withColumn(column, F.col("__known")).drop("__known")
+    values = values.where("__known IS NOT NULL").distinct().select("__known", F.struct(F.col("__known").alias("v"), F.lit(0).cast("long").alias("h")).alias("__of"))
+    others = [F.col(c) for c in rows.columns if c != column and not isinstance(rows.schema[c].dataType, T.MapType | T.VariantType)] or [F.lit(0)]
+    met = F.struct(F.col(column).alias("v"), F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*others), F.lit(4096))).otherwise(0).alias("h"))
+    return rows.withColumn("__met", met).join(values, F.col("__met") == F.col("__of"), "left").withColumn(column, F.col("__known")).drop("__known", "__of", "__met")
 
 
 def with_rates(rows: DataFrame, rates: DataFrame, day: str) -> DataFrame:

@@ -81,3 +81,22 @@ def test_only_merging_edges_make_rounds(spark, monkeypatch):
     found, queue = matching.greedy(keys, edges)
     assert {r["key"]: (r["anchor"], r["score"]) for r in got} == found and {r["key"]: (r["nearest"], r["nearest_score"]) for r in got if r["nearest"]} == queue
     assert len(made) < 8
+
+
+def test_rows_without_a_value_are_no_task_of_their_own(spark):
+    from tallybook.operators import resolve
+
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.concat(F.lit("o"), (F.col("id") % 100).cast("string"))).alias("o"))
+        known = spark.createDataFrame([("o0",), ("o0",), ("o40",), (None,)], "o string")
+        out = resolve.if_known(rows, "o", known)
+        got = out.withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert out.columns == ["id", "o"] and {r["id"]: r["o"] for r in got} == {i: f"o{i % 100}" if i % 100 in (0, 40) else None for i in range(4000)} and len(got) == 4000
+    assert max(sum(r["p"] == p for r in got if r["id"] % 4) for p in range(4)) < 1000  # of 3,000 without a value
