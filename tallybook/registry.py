@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import dates, money, text
 from tallybook.operators import constraints, dedupe, matching, resolve, upsert
+from tallybook.operators.graph import settled
 from tallybook.plans import stock
 
 QUERIES = {}
@@ -68,10 +69,11 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"),
         F.col("l_quantity").cast("decimal(12,2)").alias("q"), F.col("l_extendedprice").cast("decimal(14,2)").alias("a"), F.to_date("l_shipdate").alias("d"),
     )
-    books = lines.select(F.lit("book").alias("book"), "*").unionByName(lines.where("p % 7 = 0").select(F.lit("book_revised").alias("book"), "*"))
-    rows = books.withColumn("print", dedupe.fingerprint(*[F.col(c) for c in ("p", "s", "q", "a", "d")]))
-    ranked = dedupe.rank_copies(rows, ["k", "n"], ["book", "d", "p", "s", "q", "a"], "print", ["book", "d"])
-    return ranked.withColumn("outcome", dedupe.outcome())
+    books = lines.select(F.explode(F.when(F.col("p") % 7 == 0, F.array(F.lit("book"), F.lit("book_revised"))).otherwise(F.array(F.lit("book")))).alias("book"), "*")
+    values = ["p", "s", "q", "a", "d"]
+    ranked = dedupe.rank_copies(books, ["k", "n"], ["book", "d", "p", "s", "q", "a"], None, ["book", *values])  # prints are made of the kept values, not shuffled
+    prints = {"print": dedupe.fingerprint(*[F.col(c) for c in values]), "kept_print": dedupe.fingerprint(*[F.col(f"kept_{c}") for c in values])}
+    return ranked.withColumns(prints).withColumn("outcome", dedupe.outcome())
 
 
 @query(f"WITH {_BOOKS} SELECT book, k AS order_key, n AS line_number, copy_no::INT AS copy_no, outcome, fp AS print FROM outcomes")
@@ -104,7 +106,7 @@ def merged_location(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT reason, k AS order_key, n AS line_number, copy_no::INT AS copy_no, total::BIGINT AS total, i::INT AS i FROM x WHERE i <= 3 OR i = total""")
 def reject_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three examples of each reason and its last, with the reason's count (count and last are grouped, not windowed)."""
-    r = _outcomes(spark, sf_dir).where("outcome = 'rejected'").select(F.year("d").cast("string").alias("reason"), F.col("k").alias("order_key"), F.col("n").alias("line_number"), "copy_no")
+    r = settled(_outcomes(spark, sf_dir).where("outcome = 'rejected'").select(F.year("d").cast("string").alias("reason"), F.col("k").alias("order_key"), F.col("n").alias("line_number"), "copy_no"))
     first = r.withColumn("i", F.row_number().over(Window.partitionBy("reason").orderBy("order_key", "line_number", "copy_no"))).where("i <= 3")
     every = r.groupBy("reason").agg(F.count("*").alias("total"), F.max(F.struct("order_key", "line_number", "copy_no")).alias("last"))
     last = every.where("total > 3").select("reason", "last.*", "total", F.col("total").cast("int").alias("i"))

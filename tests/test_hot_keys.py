@@ -100,3 +100,16 @@ def test_rows_without_a_value_are_no_task_of_their_own(spark):
             spark.conf.set(k, v)
     assert out.columns == ["id", "o"] and {r["id"]: r["o"] for r in got} == {i: f"o{i % 100}" if i % 100 in (0, 40) else None for i in range(4000)} and len(got) == 4000
     assert max(sum(r["p"] == p for r in got if r["id"] % 4) for p in range(4)) < 1000  # of 3,000 without a value
+
+
+def test_copies_go_through_one_shuffle(spark):
+    """No ranges, no rows joined back, unless a key is hot; a hot key's rows are sorted apart and get the same numbers."""
+    rng = random.Random(7)
+    rows = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{rng.randrange(900)}", rng.choice("ab"), i) for i in range(6000)]
+    given = spark.createDataFrame(rows, "k string, print string, n int")
+    plain, split = (dedupe.rank_copies(given, ["k"], ["n"], "print", ["n"], most) for most in (1_000_000, 1000))
+    assert {r["k"] for r in dedupe.hot_keys(given, ["k"], 1000)} == {"hot", None} and dedupe.hot_keys(given, ["k"], 1_000_000) == []
+    shown = plain._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert shown.count("Exchange") == 1 and "Join" not in shown
+    columns = ["k", "n", "print", "copy_no", "kept_print", "kept_n"]
+    assert sorted(plain.select(columns).collect(), key=str) == sorted(split.select(columns).collect(), key=str)
