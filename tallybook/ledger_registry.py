@@ -15,7 +15,7 @@ from tallybook.operators.ordering import numbered
 from tallybook.plans import load, reports, scoring
 from tallybook.plans import rows as parse
 from tallybook.registry import ORACLE_SQL, query, read, spread
-from tallybook.sources.layout import classify_rows, find_layouts
+from tallybook.sources.layout import SEARCH_ROWS, classify_rows, find_layouts
 
 def _null() -> Column:
     return F.lit(None).cast("string")
@@ -42,8 +42,8 @@ def fields(**values: Column) -> Column:
 _BOOKS = ("'purchases_2019.xlsx'", "'Sales_2020_b.xlsx'", "'payroll_1998.xlsx'", "'item_master.xlsx'", "'inventory_2021.xlsx'", "'notes_2019.xlsx'", "'purchases_2018.xlsx'")
 
 
-def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sheet per supplier: up to three rows of title, a header of its domain in one or two rows, and lines of that supplier below."""
+def _grids(spark: SparkSession, sf_dir: str, lines_each: int | None = None) -> DataFrame:
+    """One sheet per supplier: up to three rows of title, a header of its domain in one or two rows, and lines of that supplier below (the first ``lines_each``)."""
     k = F.col("l_suppkey")
     lines = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", F.col("l_returnflag").alias("f"))
     book = pick(k, "purchases_2019.xlsx", "Sales_2020_b.xlsx", "payroll_1998.xlsx", "item_master.xlsx", "inventory_2021.xlsx", "notes_2019.xlsx", "purchases_2018.xlsx")
@@ -71,7 +71,10 @@ def _grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", "l_quantity", "f")
     heading = sheets.select("*", F.posexplode(top).alias("p", "cells")).select("book", "sheet_index", "sheet", (F.col("p") + 1).alias("row_num"), "cells", F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("order_key"))
     height = sheets.select("l_suppkey", "book", "sheet", F.size(top).alias("h"))
-    below = lines.withColumn("cells", body).withColumn("r", F.row_number().over(order)).join(height, "l_suppkey")
+    placed = lines.withColumn("r", F.row_number().over(order))
+    if lines_each is not None:
+        placed = placed.where(F.col("r") <= lines_each)
+    below = placed.withColumn("cells", body).join(height, "l_suppkey")
     below = below.select("book", k.cast("int").alias("sheet_index"), "sheet", (F.col("r") + F.col("h")).alias("row_num"), "cells", n.cast("long").alias("n"), F.col("l_orderkey").alias("order_key"))
     start = sheets.select("book", "sheet_index", "sheet", F.lit(0).alias("row_num"), F.array().cast("array<struct<kind:string,s:string>>").alias("cells"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("order_key"))
     return start.unionByName(heading).unionByName(below)
@@ -87,7 +90,7 @@ b AS (SELECT *, [{", ".join(_BOOKS)}][m + 1] AS book FROM s)"""
  CASE m WHEN 0 THEN 'RWF' WHEN 1 THEN 'USD' END AS amount_hint, CASE m WHEN 5 THEN 'file name does not identify a domain' WHEN 6 THEN 'no recognisable header' END AS skipped_reason FROM b""")
 def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain and year from the file's name, the header row in one or two levels, fields, hints, and why sheets are skipped."""
-    out = find_layouts(_grids(spark, sf_dir).drop("n", "order_key"))
+    out = find_layouts(_grids(spark, sf_dir, SEARCH_ROWS).drop("n", "order_key"))  # no header is looked for below these rows
     names = F.array_join(F.transform("entries", lambda e: e["field"]), ",")
     return out.select("book", "sheet_index", "domain", "year", "header_row", names.alias("fields"), F.try_element_at("hints", F.lit("amount")).alias("amount_hint"), "skipped_reason")
 
@@ -99,12 +102,11 @@ def sheet_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN m IN (0, 1, 4) THEN CASE WHEN n = 3 AND m = 0 THEN 'po no' WHEN n > 1 THEN ['PO', 'RCT', '', '', 'GRN'][m + 1] || '-2019-' || (l_orderkey % 100000)::VARCHAR END END AS document FROM l""")
 def row_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all five domains blank rows, subtotals (not where the key can be read, though a name begins like one), pasted headers, and data."""
-    grids = _grids(spark, sf_dir)
-    rows = classify_rows(grids.drop("n", "order_key"), find_layouts(grids.drop("n", "order_key")))
-    known = grids.where("n IS NOT NULL").select("book", "sheet_index", "row_num", "order_key")
+    layouts = find_layouts(_grids(spark, sf_dir, SEARCH_ROWS).drop("n", "order_key"))  # no header is looked for below these rows
+    rows = classify_rows(_grids(spark, sf_dir).where("n IS NOT NULL"), layouts, "order_key")
     get = lambda f: F.try_element_at(F.col("cells"), F.lit(f))["s"]
     document = F.coalesce(get("po_number"), get("receipt_no"), get("voucher_no"))
-    return rows.join(known, ["book", "sheet_index", "row_num"]).select("sheet_index", "order_key", "domain", "kind", get("supplier").alias("supplier"), document.alias("document"))
+    return rows.select("sheet_index", "order_key", "domain", "kind", get("supplier").alias("supplier"), document.alias("document"))
 
 
 # --- row parsers ----------------------------------------------------------------------------------

@@ -77,8 +77,8 @@ def _readable_key(domain: Column, cells: Column) -> Column:
     )
 
 
-def classify_rows(grids: DataFrame, layouts: DataFrame) -> DataFrame:
-    """Rows below the headers: book, sheet_index, sheet, row_num, domain, year, kind (data, blank, subtotal, repeated_header), cells (map by field), hints."""
+def classify_rows(grids: DataFrame, layouts: DataFrame, *more: str) -> DataFrame:
+    """Rows below the headers: book, sheet_index, sheet, row_num, domain, year, kind (data, blank, subtotal, repeated_header), cells (map by field), hints, fields, and the columns ``more`` of ``grids``."""
     rows = grids.where("row_num > 0").drop("sheet").join(layouts.where("skipped_reason IS NULL"), _SHEET).where("row_num > header_row")
     pairs = F.transform("entries", lambda e: F.struct(e["field"].alias("key"), F.get(F.col("cells"), e["i"]).alias("value")))
     rows = rows.withColumn("cells", F.map_from_entries(pairs))
@@ -91,4 +91,4 @@ def classify_rows(grids: DataFrame, layouts: DataFrame) -> DataFrame:
         .when(F.exists("__texts", lambda t: t.rlike(SUBTOTAL)) & ~F.coalesce(_readable_key(F.col("domain"), F.col("cells")), F.lit(False)), "subtotal")
         .otherwise("data")
     )
-    return rows.select(*_SHEET, "sheet", "row_num", "domain", "year", kind.alias("kind"), "cells", "hints", F.transform("entries", lambda e: e["field"]).alias("fields"))
+    return rows.select(*_SHEET, "sheet", "row_num", "domain", "year", kind.alias("kind"), "cells", "hints", F.transform("entries", lambda e: e["field"]).alias("fields"), *more)

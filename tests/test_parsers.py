@@ -76,3 +76,10 @@ def test_parsed_rows_that_no_source_row_has(spark):
     rows = spark.createDataFrame([("b", 0, 1), ("b", 0, 2)], "book string, sheet_index int, row_num int")
     parsed = spark.createDataFrame([("b", 0, 2), ("b", 0, 3), ("c", 0, 1)], "book string, sheet_index int, row_num int")
     assert constraints.foreign_key(parsed, "parsed row to row", parse.ID, rows, parse.ID).first()["violations"] == 2
+
+
+def test_lines_are_sorted_once_for_row_kinds(spark):
+    """Headers are looked for in the first rows of a sheet, and a row's key goes with it: all lines are numbered in one window, and never joined to themselves."""
+    shown = plan(QUERIES["row_kinds"](spark, SF)).split("== Initial Plan ==")[0]
+    windows = [line for line in shown.split("\n") if " Window [" in line and "row_number() windowspecdefinition(l_suppkey" in line]
+    assert windows and len(windows) - shown.count("Final") <= 1, (len(windows), shown.count("Final"))
