@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import let, lookup, trimmed
+from tallybook.functions.text import let, lookup, meaning, staging, trim, trimmed
 from tallybook.vocabulary import CURRENCIES, MONEY_SHAPE, QUANTITY_UNIT
 
 DECIMAL = "decimal(38,10)"
@@ -22,57 +22,64 @@ def to_decimal(c: Column) -> Column:
     groups of three or, once before one or two digits, a fraction. Several points part groups of three; one is a fraction's.
     """
 
-    def signed(s: Column) -> Column:
-        bracketed = s.startswith("(") & s.endswith(")")
-        inner = F.when(bracketed, trimmed(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
-        return let(inner, lambda t: unsigned(F.when(t.startswith("-"), trimmed(F.substring(t, F.lit(2), F.length(t)))).otherwise(t), bracketed | t.startswith("-")))
+    return let(trimmed(c), _number)
 
-    def unsigned(t: Column, negative: Column) -> Column:
-        joined = F.regexp_replace(t, r"(?U)(?<=\d)\s(?=\d)", "")
-        return let(joined, lambda s: let(F.when(s.rlike(r"^\d[\d.,]*$"), plain(s)), lambda p: number(p, negative)))
 
-    def plain(s: Column) -> Column:
+def _number(s: Column) -> Column:
+    """The same of a trimmed text. It stays a text till the end: wide decimals are costly to carry."""
+    bracketed = s.startswith("(") & s.endswith(")")
+    inner = F.when(bracketed, trim(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
+    negative = bracketed | inner.startswith("-")
+    bare = F.when(inner.startswith("-"), trim(F.substring(inner, F.lit(2), F.length(inner)))).otherwise(inner)
+    joined = F.when(s.rlike(r"^[!-~]*\z"), bare).otherwise(F.regexp_replace(bare, r"(?U)(?<=\d)\s(?=\d)", ""))
+
+    def pointed(s: Column) -> Column:
+        """Without groups, the fraction after a point."""
         commas, points = s.contains(","), s.contains(".")
         comma_last = F.length(F.substring_index(s, ",", -1)) < F.length(F.substring_index(s, ".", -1))
-        continental = F.regexp_replace(F.regexp_replace(s, r"\.", ""), r",(?=[^,]*$)", ".")
-        pointed = F.concat(F.regexp_replace(F.regexp_replace(s, r"\.[^.]*$", ""), ",", ""), F.lit("."), F.substring_index(s, ".", -1))
+        without = lambda mark, to="": F.replace(s, F.lit(mark), F.lit(to))
         return (
-            F.when(commas & points & comma_last, continental)
-            .when(commas & points, pointed)
-            .when(commas & s.rlike(r"^\d{1,3}(,\d{3})+$"), F.regexp_replace(s, ",", ""))
-            .when(commas & s.rlike(r"^\d+,\d{1,2}$"), F.regexp_replace(s, ",", "."))
+            F.when(commas & points & comma_last, F.regexp_replace(without("."), r",(?=[^,]*$)", "."))
+            .when(commas & points, without(","))
+            .when(commas & s.rlike(r"^\d{1,3}(,\d{3})+$"), without(","))
+            .when(commas & s.rlike(r"^\d+,\d{1,2}$"), without(",", "."))
             .when(commas, F.lit(None))
-            .when(s.rlike(r"\..*\."), F.when(s.rlike(r"^\d{1,3}(\.\d{3})+$"), F.regexp_replace(s, r"\.", "")))
+            .when(s.rlike(r"\..*\."), F.when(s.rlike(r"^\d{1,3}(\.\d{3})+$"), without(".")))
             .otherwise(s)
         )
 
-    def number(p: Column, negative: Column) -> Column:
-        value = F.when(p.rlike(r"^\d+\.?\d*$"), p.try_cast(DECIMAL))
-        return F.when(negative, -value).otherwise(value)
-
-    def any_shape(s: Column) -> Column:
-        rest = let(F.when(~s.rlike(_PLAIN), s), signed)  # plain numbers need no more looking at
-        return F.when(s.rlike(_PLAIN), s.try_cast(DECIMAL)).otherwise(rest)
+    def without_groups(j: Column) -> Column:
+        return F.when(j.rlike(_PLAIN), j).when(j.rlike(r"^\d[\d.,]*$"), pointed(j))
 
-    return let(trimmed(c), any_shape)
+    value = lambda p: F.when(negative, -p.try_cast(DECIMAL)).otherwise(p.try_cast(DECIMAL))
+    return let(joined, lambda j: let(without_groups(j), value))
 
 
 def money(c: Column) -> Column:
     """Struct (amount, currency, reason) of a text cell such as ``Frw 125,000/=``."""
 
     def read(s: Column) -> Column:
-        return let(F.when(s.rlike(MONEY_SHAPE), F.array(*[F.regexp_extract(s, MONEY_SHAPE, i) for i in (1, 2, 3)])), lambda g: known(s, g))
+        """A plain number is all amount; from other texts it is cut out, and currencies stand before and after it."""
+        amount = F.when(s.rlike(_PLAIN), s).otherwise(F.nullif(trim(F.regexp_extract(s, MONEY_SHAPE, 2)), F.lit("")))
+        return let(amount, lambda n: let(_number(n), lambda v: marked(s, n, v)))
 
-    def known(s: Column, g: Column) -> Column:
-        marks = F.struct(lookup(g[0], CURRENCIES).alias("a"), lookup(g[2], CURRENCIES).alias("b"), to_decimal(g[1]).alias("n"))
-        return let(marks, lambda m: result(s, g, m))
+    def marked(s: Column, n: Column, v: Column) -> Column:
+        at = F.instr(s, n)
+        before, after = F.substring(s, F.lit(1), at - 1), F.substring(s, at + F.length(n), F.length(s))
+        return let(meaning(trim(before), CURRENCIES), lambda a: let(meaning(trim(after), CURRENCIES), lambda b: result(s, a, b, v)))
 
-    def result(s: Column, g: Column, m: Column) -> Column:
-        reason = F.when(s == "", "MISSING_FIELD").when(g.isNull(), "BAD_AMOUNT").when(m["a"] != m["b"], "CURRENCY_CONFLICT").when(m["n"].isNull(), "BAD_AMOUNT")
-        return F.struct(F.when(reason.isNull(), m["n"]).alias("amount"), F.when(reason.isNull(), F.coalesce(m["a"], m["b"])).alias("currency"), reason.alias("reason"))
+    def result(s: Column, a: Column, b: Column, v: Column) -> Column:
+        reason = F.when(s == "", "MISSING_FIELD").when(a != b, "CURRENCY_CONFLICT").when(v.isNull(), "BAD_AMOUNT")
+        fine = v.isNotNull() & ~F.coalesce(a != b, F.lit(False))
+        return F.struct(F.when(fine, v).alias("amount"), F.when(fine, F.coalesce(a, b)).alias("currency"), reason.alias("reason"))
 
-    text = F.regexp_replace(trimmed(F.coalesce(c, F.lit(""))), r"(?U)\s*/[=\-]$", "")
-    return let(F.regexp_replace(text, "\u00a0", " "), read)
+    def bare(x: Column) -> Column:
+        """Without white space around it and ``/=`` behind it; hard blanks become blanks. Only texts beyond plain ASCII need patterns replaced."""
+        other = F.regexp_replace(F.regexp_replace(trim(F.coalesce(x, F.lit(""))), r"(?U)\s*/[=\-]$", ""), "\u00a0", " ")
+        cut = F.rtrim(F.substring(x, F.lit(1), F.length(x) - 2))
+        return F.when(x.rlike(r"^[!-~](?:[ -~]*[!-~&&[^=\-]])?\z"), x).when(x.rlike(r"^[!-~][ -~]*/[=\-]\z"), cut).otherwise(other)
+
+    return let(c, lambda x: let(bare(x), read))
 
 
 def quantity(c: Column) -> Column:
@@ -82,7 +89,11 @@ def quantity(c: Column) -> Column:
         reason = F.when(s == "", "MISSING_FIELD").when(value.isNull(), "BAD_QUANTITY")
         return F.struct(F.when(reason.isNull(), value).alias("quantity"), reason.alias("reason"))
 
-    return let(trimmed(F.coalesce(c, F.lit(""))), lambda s: let(to_decimal(F.regexp_replace(s, QUANTITY_UNIT, "")), lambda v: result(s, v)))
+    def bare(s: Column) -> Column:
+        """Without its unit, which no text that ends in a digit has."""
+        return F.when(F.substring(s, -1, 1).between("0", "9"), s).otherwise(trim(F.regexp_replace(s, QUANTITY_UNIT, "")))
+
+    return let(F.coalesce(trimmed(c), F.lit("")), lambda s: let(bare(s), lambda u: let(_number(u), lambda v: result(s, v))))
 
 
 def currency(c: Column) -> Column:
@@ -94,7 +105,7 @@ def currency(c: Column) -> Column:
 def resolve_currency(cell: Column, amount_marker: Column, price_marker: Column, header: Column) -> Column:
     """Struct (currency, source, reason): the column before the marker in the text before the header's hint."""
 
-    def chosen(x: Column) -> Column:
+    def chosen(x: Column | dict[str, Column]) -> Column:
         column, marker = x["c"]["currency"], F.coalesce(x["a"], x["p"])
         reason = (
             F.when(x["a"] != x["p"], "CURRENCY_CONFLICT")
@@ -105,7 +116,8 @@ def resolve_currency(cell: Column, amount_marker: Column, price_marker: Column,
         source = F.when(column.isNotNull(), "column").when(marker.isNotNull(), "embedded").when(x["h"].isNotNull(), "header")
         return let(reason, lambda r: F.struct(F.when(r.isNull(), F.coalesce(column, marker, x["h"])).alias("currency"), F.when(r.isNull(), source).alias("source"), r.alias("reason")))
 
-    return let(F.struct(currency(cell).alias("c"), amount_marker.alias("a"), price_marker.alias("p"), header.alias("h")), chosen)
+    given = {"c": currency(cell), "a": amount_marker, "p": price_marker, "h": header}
+    return chosen(given) if staging() else let(F.struct(*[v.alias(k) for k, v in given.items()]), chosen)
 
 
 def within_tolerance(amount: Column, qty: Column, price: Column) -> Column:

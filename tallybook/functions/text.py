@@ -32,6 +32,7 @@ class Stage:
         self.given = rows
         self._levels: list[dict[str, Column]] = []
         self._level: dict[str, int] = {}
+        self._clean: set[str] = set()
         conf = rows.sparkSession.conf
         if conf.get("spark.sql.codegen.hugeMethodLimit") == "65535":
             conf.set("spark.sql.codegen.hugeMethodLimit", 8000)
@@ -52,6 +53,19 @@ class Stage:
         self._level[name] = level
         return F.col(name)
 
+    def held(self, c: Column) -> Column:
+        """``c`` as a column, so that it may be used several times."""
+        return c if str(c)[len("Column<'") : -2] in self._level else self.bind(c)
+
+    def bind_clean(self, c: Column) -> Column:
+        """A column of which ``clean`` and ``trimmed`` know that they change nothing."""
+        out = self.bind(clean(c))
+        self._clean.add(str(out))
+        return out
+
+    def is_clean(self, c: Column) -> bool:
+        return str(c) in self._clean
+
     def rows(self) -> DataFrame:
         out = self.given
         for level in self._levels:
@@ -66,6 +80,11 @@ def staged(rows: DataFrame, **values: Callable[[], Column]) -> DataFrame:
     return stage.rows().select(*[c for c in rows.columns if c not in made], *[c.alias(name) for name, c in made.items()])
 
 
+def staging() -> bool:
+    """Whether a stage is open, so that columns that go into an expression are cheap."""
+    return _open.get() is not None
+
+
 def let(c: Column, f: Callable[[Column], Column]) -> Column:
     """``f(c)`` with ``c`` evaluated once, however often ``f`` uses it (nested expressions would be copied into the plan).
 
@@ -79,13 +98,34 @@ def let(c: Column, f: Callable[[Column], Column]) -> Column:
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
-def trimmed(c: Column) -> Column:
+def trim(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space around it. On a stage, texts between two visible ASCII characters pass as they are."""
+    stage = _open.get()
+    if not stage:
+        return trim(c)
+    if stage.is_clean(c):
+        return c
+    held = stage.held(c)
+    return F.when(held.rlike(r"^[!-~](?:.*[!-~])?\z"), held).otherwise(trim(held))
+
+
 def clean(c: Column) -> Column:
-    """Trimmed, with single blanks (any Unicode white space); null becomes the empty string."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    """Trimmed, with single blanks (any Unicode white space); null becomes the empty string.
+
+    On a stage, ASCII words with single blanks between pass as they are: replacing costs several times as much as looking.
+    """
+    replaced = lambda x: F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)\s+", " "))
+    stage = _open.get()
+    if not stage:
+        return replaced(c)
+    if stage.is_clean(c):
+        return c
+    held = stage.held(c)
+    return F.when(held.rlike(r"^(?:[!-~]++(?: [!-~]++)*+)?\z"), held).otherwise(replaced(held))
 
 
 def number_text(c: Column) -> Column:
@@ -99,8 +139,13 @@ def blank(c: Column) -> Column:
 
 def lookup(c: Column, words: Mapping[str, str]) -> Column:
     """The word's meaning, whatever its case; null if it has none. The map is a literal of the plan."""
+    return meaning(clean(c), words)
+
+
+def meaning(c: Column, words: Mapping[str, str]) -> Column:
+    """The same for a text without blanks around it."""
     pairs = [F.lit(x) for pair in words.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), F.lower(clean(c)))
+    return F.try_element_at(F.create_map(*pairs), F.lower(c))
 
 
 def _digits(c: Column, width: int) -> Column:
@@ -112,16 +157,18 @@ def _digits(c: Column, width: int) -> Column:
 def sku(c: Column) -> Column:
     """``fab cot 1`` -> ``FAB-COT-001``."""
     shape = r"^([A-Z]{3})([A-Z]{3})(\d{1,3})$"
-    whole = lambda s: F.when(s.rlike(shape), F.concat_ws("-", F.substring(s, 1, 3), F.substring(s, 4, 3), _digits(F.substring(s, 7, 3), 3)))
-    return let(F.upper(F.regexp_replace(clean(c), "[^A-Za-z0-9]", "")), whole)
+    whole = lambda s: F.when(s.rlike(shape), F.concat(F.substring(s, 1, 3), F.lit("-"), F.substring(s, 4, 3), F.lit("-"), F.lpad(F.substring(s, 7, 3), 3, "0")))
+    rest = lambda s: F.when(s.rlike(r"^[A-Za-z0-9]*\z"), s).otherwise(F.regexp_replace(s, "[^A-Za-z0-9]", ""))
+    usual = F.replace(F.replace(clean(c), F.lit(" "), F.lit("")), F.lit("-"), F.lit(""))  # the usual separators without a pattern
+    return let(usual, lambda s: let(F.upper(rest(s)), whole))
 
 
 def document(c: Column, domain: str) -> Column:
     """``po 2019/42`` -> ``PO-2019-00042`` if the prefix belongs to the domain."""
     shape = rf"^({'|'.join(DOC_PREFIXES[domain])})\W*(\d{{4}})\W*(\d{{1,5}})$"
-    part = lambda s, i: F.regexp_extract(s, shape, i)
-    whole = lambda s: F.when(s.rlike(shape), F.concat_ws("-", part(s, 1), part(s, 2), _digits(part(s, 3), 5)))
-    return let(F.upper(clean(c)), whole)
+    (n,) = {len(p) for p in DOC_PREFIXES[domain]}  # of one length, so the parts have fixed places once the separators are gone
+    whole = lambda x: F.concat(F.substring(x, 1, n), F.lit("-"), F.substring(x, n + 1, 4), F.lit("-"), F.lpad(F.substring(x, n + 5, 5), 5, "0"))
+    return let(F.upper(clean(c)), lambda s: let(F.when(s.rlike(shape), F.regexp_replace(s, r"\W+", "")), whole))
 
 
 def employee(c: Column) -> Column:

@@ -16,15 +16,19 @@ class Cells(text.Stage):
 
     def __init__(self, rows: DataFrame):
         super().__init__(rows)
+        self._raw: dict[tuple[str, str], Column] = {}
         self._texts: dict[str, Column] = {}
 
-    def cell(self, field: str) -> Column:
-        return F.try_element_at(F.col("cells"), F.lit(field))
+    def raw(self, field: str, part: str = "s") -> Column:
+        """A cell's text or kind, taken from the row at the first level, so that no other carries its cells."""
+        if (field, part) not in self._raw:
+            self._raw[field, part] = self.bind(F.col("cells")[field][part])
+        return self._raw[field, part]
 
     def text(self, field: str) -> Column:
         """The cell's text, trimmed and with single blanks; empty where there is none."""
         if field not in self._texts:
-            self._texts[field] = self.bind(text.clean(self.cell(field)["s"]))
+            self._texts[field] = self.bind_clean(self.raw(field))
         return self._texts[field]
 
     def filled(self, field: str) -> Column:
@@ -32,8 +36,7 @@ class Cells(text.Stage):
 
     def amount(self, field: str, parser=money.money) -> Column:
         """A money or quantity struct; a truth value in the cell is bad whatever its text."""
-        cell = self.bind(self.cell(field))
-        return self.bind(parser(F.when(cell["kind"] == "b", "?").otherwise(cell["s"])))
+        return parser(self.bind(F.when(F.col("cells")[field]["kind"] == "b", "?").otherwise(F.col("cells")[field]["s"])))
 
     def optional(self, field: str, parser=money.money) -> Column:
         return F.when(self.filled(field), self.amount(field, parser))
@@ -45,9 +48,9 @@ class Cells(text.Stage):
 
     def product(self) -> tuple[dict[str, Column], Column]:
         """Code and description key, and why there is neither."""
-        code, key = self.bind(text.sku(self.text("sku"))), self.bind(text.description_key(self.cell("description")["s"]))
+        code, key = self.bind(text.sku(self.text("sku"))), self.bind(F.when(~self.filled("sku"), text.description_key(self.raw("description"))))  # asked for only without a code
         reason = F.when(self.filled("sku"), F.when(code.isNull(), "BAD_CODE")).when(key.isNull(), "MISSING_FIELD")
-        return {"sku": code, "description_key": F.when(~self.filled("sku"), key)}, reason
+        return {"sku": code, "description_key": key}, reason
 
     def finish(self, reasons: list[Column], values: dict[str, Column]) -> DataFrame:
         return self.rows().select(*ID, F.coalesce(*reasons).alias("reason"), *[v.alias(k) for k, v in values.items()])
@@ -79,9 +82,9 @@ def with_dates(rows: DataFrame) -> DataFrame:
 
 
 def _money_line(row: Cells) -> tuple[list[Column], dict[str, Column]]:
-    quantity, amount, price = row.amount("quantity", money.quantity), row.amount("amount"), row.bind(row.optional("unit_price"))
-    hint = F.coalesce(F.try_element_at("hints", F.lit("amount")), F.try_element_at("hints", F.lit("unit_price")))
-    currency = row.bind(money.resolve_currency(row.text("currency"), amount["currency"], price["currency"], hint))
+    quantity, amount, price = row.amount("quantity", money.quantity), row.amount("amount"), row.optional("unit_price")
+    hint = row.bind(F.coalesce(F.col("hints")["amount"], F.col("hints")["unit_price"]))
+    currency = money.resolve_currency(row.text("currency"), amount["currency"], price["currency"], hint)
     q, a, p = quantity["quantity"], amount["amount"], price["amount"]
     reasons = [
         quantity["reason"], F.when(q <= 0, "BAD_QUANTITY"), amount["reason"], F.when(a <= 0, "BAD_AMOUNT"), price["reason"], currency["reason"],
@@ -120,14 +123,14 @@ def movements(rows: DataFrame) -> DataFrame:
         number, bad_number = row.document("voucher_no", "inventory")
         product, bad_product = row.product()
         kind = row.bind(text.movement_type(row.text("movement_type")))
-        into, out_of, one = row.bind(row.optional("qty_in", money.quantity)), row.bind(row.optional("qty_out", money.quantity)), row.amount("quantity", money.quantity)
+        into, out_of, one = row.optional("qty_in", money.quantity), row.optional("qty_out", money.quantity), row.amount("quantity", money.quantity)
         got_in, got_out = (F.coalesce(x["quantity"], F.lit(0).cast(money.DECIMAL)) for x in (into, out_of))
-        pair = F.array_contains("fields", "qty_in")
+        pair = row.bind(F.array_contains("fields", "qty_in"))
         two = F.coalesce(into["reason"], out_of["reason"], F.when(((got_in != 0) & (got_out != 0)) | ((got_in == 0) & (got_out == 0)) | (got_in < 0) | (got_out < 0), "BAD_QUANTITY"))
         typed = row.bind(F.when(pair, F.when(got_in != 0, got_in).otherwise(-got_out)).otherwise(one["quantity"]))
         quantity = F.when(kind.isin("receipt", "production"), F.abs(typed)).when(kind.isin("issue", "sale"), -F.abs(typed)).otherwise(typed)
         reference = F.nullif(row.text("reference"), F.lit(""))
-        order = row.bind(text.document(reference, "purchases"))
+        order = row.bind(text.document(row.text("reference"), "purchases"))
     reasons = [bad_number, bad_product, F.when(kind.isNull(), "UNKNOWN_MOVEMENT_TYPE"), F.col("date_reason"), F.when(pair, two).otherwise(one["reason"]), F.when(typed == 0, "BAD_QUANTITY")]
     values = {
         "voucher_no": number, "movement_date": F.col("date"), "date_method": F.col("date_method"), **product, "movement_type": kind, "quantity": quantity, "reference": reference,
