@@ -491,7 +491,8 @@ def target_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, text in _BROKEN.items():
         for t in given:
             text = re.sub(rf"\bFROM {t}\b", f"FROM {{{t}}}", text)
-        tables[name] = settled(spark.sql(text, **{t: df for t, df in given.items() if f"{{{t}}}" in text}))
+        made = spark.sql(text, **{t: df for t, df in given.items() if f"{{{t}}}" in text})
+        tables[name] = settled(made) if name in ("fx_rates", "payroll_runs") else made  # a row a month; of the others each rule reads the columns that it needs
     return load.violations(tables)
 
 
