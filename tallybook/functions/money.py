@@ -66,7 +66,8 @@ def money(c: Column) -> Column:
     def marked(s: Column, n: Column, v: Column) -> Column:
         at = F.instr(s, n)
         before, after = F.substring(s, F.lit(1), at - 1), F.substring(s, at + F.length(n), F.length(s))
-        return let(meaning(trim(before), CURRENCIES), lambda a: let(meaning(trim(after), CURRENCIES), lambda b: result(s, a, b, v)))
+        mark = lambda x: F.when(F.length(s) > F.length(n), meaning(trim(x), CURRENCIES))
+        return let(mark(before), lambda a: let(mark(after), lambda b: result(s, a, b, v)))
 
     def result(s: Column, a: Column, b: Column, v: Column) -> Column:
         reason = F.when(s == "", "MISSING_FIELD").when(a != b, "CURRENCY_CONFLICT").when(v.isNull(), "BAD_AMOUNT")
