@@ -124,7 +124,10 @@ def _few(l: int, m: int, review: float) -> bool:
 
 
 def _by_subsequence(keys: DataFrame, lengths: list[int], review: float) -> DataFrame:
-    """a, a_id, b, b_id: the pairs whose identifying parts, in either order of the words, have a common subsequence long enough for ``review``."""
+    """a, a_id, b, b_id: the pairs whose identifying parts, in either order of the words, have a common subsequence long enough for ``review``.
+
+    The planner takes the subsequences to be as few bytes as the keys, of which each has dozens: without a hint it would broadcast them.
+    """
     sizes = {l: sorted({_needed(l, m, review) for m in lengths if _few(l, m, review)}) for l in lengths}
 
     def subsequences(batches):
@@ -137,10 +140,10 @@ def _by_subsequence(keys: DataFrame, lengths: list[int], review: float) -> DataF
 
     spread = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't merged: few bytes are much work here
     parts = keys.repartition(spread, "match_key").mapInPandas(subsequences, "match_key string, identity string, l int, part string")
-    parts = parts.select("match_key", "identity", "l", F.length("part").alias("n"), F.xxhash64("part").alias("part")).repartition(spread, "part")  # a clash is one more candidate
+    parts = parts.select("match_key", "identity", "l", F.length("part").alias("n"), F.xxhash64("part").alias("part")).repartition(spread, "part", "n")  # a clash is one more candidate
     other = parts.select(*[F.col(c).alias(f"b_{c}") for c in parts.columns])
     needed = F.ceil((F.col("l") + F.col("b_l")) * F.lit(review / 200) - F.lit(1e-9))
-    pairs = parts.join(other, (F.col("part") == F.col("b_part")) & (F.col("n") == F.col("b_n")) & (F.col("match_key") < F.col("b_match_key"))).where(F.col("n") == needed)
+    pairs = parts.hint("merge").join(other.hint("merge"), (F.col("part") == F.col("b_part")) & (F.col("n") == F.col("b_n")) & (F.col("match_key") < F.col("b_match_key"))).where(F.col("n") == needed)
     return pairs.select(F.col("match_key").alias("a"), F.col("identity").alias("a_id"), F.col("b_match_key").alias("b"), F.col("b_identity").alias("b_id"))
 
 
@@ -148,7 +151,7 @@ def _by_tokens(keys: DataFrame, lengths: list[int], review: float) -> DataFrame:
     """a, a_id, b, b_id: the pairs of the other lengths that share enough letters.
 
     Two keys with that many (character, occurrence) tokens in common share one of the first ``l - needed + 1`` and ``m - needed + 1`` in one order of
-    all tokens, rare ones first: keys are joined on both lengths and these.
+    all tokens, rare ones first: keys are joined on both lengths and these (hinted, as the planner doesn't see how many rows a key becomes).
     """
     needed = lambda l, m: F.ceil((l + m) * F.lit(review / 200) - F.lit(1e-9)).cast("int")
     spelled = keys.select("match_key", "identity", _tokens("match_key").alias("whole"), F.explode(_tokens("identity")).alias("token"))
@@ -161,7 +164,7 @@ def _by_tokens(keys: DataFrame, lengths: list[int], review: float) -> DataFrame:
     blocks = ranked.withColumn("block", F.explode(F.slice("tokens", F.lit(1), F.col("l") - needed(F.col("l"), F.col("m")) + 1)))
     blocks = blocks.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block", "l", "m")
     other = blocks.select(*[F.col(c).alias(f"b_{c}") for c in blocks.columns])
-    pairs = blocks.join(other, (F.col("block") == F.col("b_block")) & (F.col("l") == F.col("b_m")) & (F.col("m") == F.col("b_l")) & (F.col("match_key") < F.col("b_match_key")))
+    pairs = blocks.hint("merge").join(other.hint("merge"), (F.col("block") == F.col("b_block")) & (F.col("l") == F.col("b_m")) & (F.col("m") == F.col("b_l")) & (F.col("match_key") < F.col("b_match_key")))
     common = F.array_intersect("tokens", "b_tokens")
     pairs = pairs.where((F.element_at(common, 1) == F.col("block")) & (F.size(common) >= needed(F.col("l"), F.col("m"))))  # each pair once, at its first common token
     pairs = pairs.where(F.size(F.array_intersect("whole", "b_whole")) >= needed(F.size("whole"), F.size("b_whole")))

@@ -54,6 +54,17 @@ def test_candidates_are_all_pairs(spark):
     assert queued == {"Benderson Textiles": None, "Hendersen Textiles": "benderson textiles"}
 
 
+def test_candidates_are_not_broadcast(spark):
+    """supplier_lines, supplier_match, supplier_pairs: once the few bytes of the keys are known, the many rows made of them still aren't sent to the driver."""
+    rng = random.Random(8)
+    for length, joined in ((9, "part"), (30, "block")):  # by subsequences, by letters
+        names = [("".join(rng.choice("aeionrst") for _ in range(length)),) * 2 for _ in range(30)]
+        pairs = matching.candidate_pairs(spark.createDataFrame(names, "match_key string, identity string"))
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert f"SortMergeJoin [{joined}#" in plan and f"HashJoin [{joined}#" not in plan
+
+
 def test_method_follows_the_canonical_spelling(spark):
     """The canonical spelling may have another key than the anchor: what shares its key is normalized, the rest is fuzzy."""
     rows = [("Walker Textiles", 5), ("WALKER TEXTILES LTD", 5), ("Walkers Textiles", 6)]
