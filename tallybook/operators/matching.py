@@ -182,9 +182,9 @@ def candidate_pairs(keys: DataFrame, review: float = REVIEW) -> DataFrame:
     keys = keys.where((F.length("identity") > 0) & (F.length("match_key") > 0)).select("match_key", "identity")
     forms = F.explode(F.array(F.length("identity"), F.length(F.trim(F.regexp_replace("identity", r"\s+", " ")))))
     lengths = sorted(r["l"] for r in keys.select(forms.alias("l")).distinct().collect())  # no more than the longest name has letters
-    found = [_by_subsequence(keys, lengths, review)] if any(_few(l, m, review) for l in lengths for m in lengths) else []
-    if not found or any(_needed(l, m, review) <= min(l, m) and not _few(l, m, review) for l in lengths for m in lengths):
-        found.append(_by_tokens(keys, lengths, review))
+    found = [_by_tokens(keys, lengths, review)] if any(_needed(l, m, review) <= min(l, m) and not _few(l, m, review) for l in lengths for m in lengths) else []
+    if not found or any(_few(l, m, review) for l in lengths for m in lengths):  # also if there are no names at all
+        found.append(_by_subsequence(keys, lengths, review))
     pairs = reduce(DataFrame.unionAll, found).groupBy("a", "b").agg(F.first("a_id").alias("a_id"), F.first("b_id").alias("b_id"))
     pairs = pairs.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return pairs.withColumn("score", scores("a", "a_id", "b", "b_id")).where(F.col("score") >= review).select("a", "b", "score")

@@ -65,6 +65,12 @@ def test_candidates_are_not_broadcast(spark):
         assert f"SortMergeJoin [{joined}#" in plan and f"HashJoin [{joined}#" not in plan
 
 
+def test_no_names_have_no_pairs(spark):
+    """supplier_match: a load without purchases has no supplier names."""
+    none = spark.createDataFrame([], "alias string, row_count long")
+    assert matching.candidate_pairs(spark.createDataFrame([], "match_key string, identity string")).isEmpty() and matching.match_suppliers(none).isEmpty()
+
+
 def test_method_follows_the_canonical_spelling(spark):
     """The canonical spelling may have another key than the anchor: what shares its key is normalized, the rest is fuzzy."""
     rows = [("Walker Textiles", 5), ("WALKER TEXTILES LTD", 5), ("Walkers Textiles", 6)]
